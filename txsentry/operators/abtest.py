@@ -74,9 +74,18 @@ def mann_whitney(samples: DataFrame, value: str = "f1", by: str = "model", a: st
     )
 
 
-def ab_verdict(samples: DataFrame, value: str = "f1", by: str = "model", a: str = "A", b: str = "B", alpha: float = 0.05, k: float = 3.0) -> DataFrame:
+def ab_verdict(
+    samples: DataFrame, value: str = "f1", by: str = "model", a: str = "A", b: str = "B", alpha: float = 0.05, k: float = 3.0, materialize: bool = True
+) -> DataFrame:
     """One row: the test (U1, p), whether the distributions differ at ``alpha``,
-    both intervals, and which model is better when the intervals do not overlap."""
+    both intervals, and which model is better when the intervals do not overlap.
+
+    The sample table is read three times (test, two intervals); it has one row per
+    model and replicate, so it is checkpointed to the shared checkpoint folder
+    first (``materialize``) instead of recomputing the scoring behind it.
+    """
+    if materialize:
+        samples = samples.checkpoint(eager=True)
     test = mann_whitney(samples, value, by, a, b)
     iv = f1_interval(samples, value, by, k)
     ia = iv.filter(F.col(by) == F.lit(a)).select(*[F.col(c).alias(f"{c}_a") for c in ("mean", "lo", "hi", "n_undefined")])

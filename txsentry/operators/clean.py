@@ -112,9 +112,22 @@ def clean(
     method: str = "exact",
     rel_error: float = 0.05,
     partitions: int | None = None,
+    stage_path: str | None = None,
 ) -> DataFrame:
     """Dedup, drop sentinel / NULL keys, then cut amounts above the upper IQR fence
-    computed on the filtered rows (the fence is upper-side only)."""
+    computed on the filtered rows (the fence is upper-side only).
+
+    ``stage_path``: write the deduplicated, key-checked rows there once (a folder
+    under the shared ``spark.checkpoint.dir``) and read them back for both the
+    fence and the filter. That costs one write but saves the second full-row
+    shuffle (the fence branch then reads only the amount column) and cuts the
+    lineage, so a lost executor does not re-run the dedup. Without it the plan
+    stays one lazy query (the dedup is evaluated in both branches, the fence
+    test is pushed into the scan of the main branch).
+    """
     base = drop_null_key(filter_sentinel(dedup_rows(df), sentinel=sentinel), key_cols)
+    if stage_path:
+        base.write.mode("errorifexists").parquet(stage_path)
+        base = df.sparkSession.read.parquet(stage_path)
     fences = iqr_fences(base, amount_col, k=k, method=method, rel_error=rel_error, partitions=partitions)
     return apply_upper_fence(base, amount_col, fences.select("upper_fence").scalar())

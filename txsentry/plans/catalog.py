@@ -57,7 +57,7 @@ def _base(spark, sf):
 
 
 def _clean(spark, sf):
-    return cl.clean(_tx(spark, sf))
+    return cl.clean(_tx(spark, sf), stage_path=scratch_path(spark, "dedup"))
 
 
 def _filled(spark, sf):

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txsentry.operators import abtest, clean as cl, metrics, ml, sampling
+from txsentry.session import scratch_path
 from txsentry.sources import files
 from txsentry.sources.tables import ID, LABEL
 from txsentry.streaming import score as st
@@ -62,7 +63,8 @@ def clean_job(spark: SparkSession, src: str, dst: str, sentinel: int = cl.SENTIN
     if raw_copy:
         files.write_parquet(raw, raw_copy)
         raw = files.read_parquet(spark, raw_copy)
-    out = cl.clean(raw, sentinel=sentinel, method=method, rel_error=rel_error)
+    stage = scratch_path(spark, "clean-stage")
+    out = cl.clean(raw, sentinel=sentinel, method=method, rel_error=rel_error, stage_path=stage)
     files.write_parquet(out, dst)
     return files.read_parquet(spark, dst)
 
