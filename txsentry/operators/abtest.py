@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from txsentry.functions.mathx import normal_two_sided_p
 from txsentry.operators.ranking import running_totals
+from txsentry.session import scratch_dir
 
 
 def f1_interval(samples: DataFrame, value: str = "f1", by: str = "model", k: float = 3.0) -> DataFrame:
@@ -85,6 +86,7 @@ def ab_verdict(
     first (``materialize``) instead of recomputing the scoring behind it.
     """
     if materialize:
+        scratch_dir(samples.sparkSession)  # the shared checkpoint folder is set
         samples = samples.checkpoint(eager=True)
     test = mann_whitney(samples, value, by, a, b)
     iv = f1_interval(samples, value, by, k)

@@ -67,14 +67,18 @@ def histogram(df: DataFrame, value: str, bins: int = 3, by: list[str] | None = N
     """Equal-width histogram per group over the group's own [min, max]; the last bin
     includes its right edge (the usual plotting convention). NULLs are left out.
 
-    The per-group range is a grouped aggregate joined back; there is one row per
-    group in it, so it is broadcast.
+    The per-group range is a grouped aggregate joined back. It has one row per
+    group, but the number of groups is not bounded by anything, so no broadcast is
+    forced: adaptive execution broadcasts it when its measured size is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keeps a
+    sort-merge join whose hot partitions (one group with a large share of the
+    rows) are split by the skew-join rule.
     """
     by = list(by or [])
     x = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
     rng = x.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     if by:
-        j = x.join(F.broadcast(rng), by, "inner")
+        j = x.join(rng, by, "inner")
     else:
         j = x.withColumns({"_lo": rng.select("_lo").scalar(), "_hi": rng.select("_hi").scalar()})
     width = F.col("_hi") - F.col("_lo")

@@ -61,9 +61,21 @@ def tx_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan yields fewer
+    partitions than there are cores (one small file, one row group), so the
+    per-row work after the scan is not a single task. A large input already has
+    at least that many splits and is left as it is: no extra shuffle at scale.
+    Filters and column pruning still reach the scan below the repartition."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw transaction table over ``events``."""
-    return tx_from_events(table(spark, sf_dir, "events"))
+    return tx_from_events(spread(table(spark, sf_dir, "events")))
 
 
 # The same mapping for DuckDB (views of the driver's tables).
