@@ -68,6 +68,16 @@ def _split(spark, sf):
     return jobs.train_test(_filled(spark, sf))
 
 
+def _ml_split(spark, sf):
+    """Train / test parts for model fitting. A fit makes many passes over its input
+    (scaler statistics, split candidates, one pass per tree level), so the prepared
+    rows are written once to the shared scratch folder and read back: each pass
+    then scans a file instead of re-running the dedup and the fence, and a lost
+    executor does not send the fit back to the raw table."""
+    prepared = files.materialize(_filled(spark, sf), scratch_path(spark, "ml-input"))
+    return jobs.train_test(prepared)
+
+
 def _rules():
     return ml.rule_model(jobs.RULE_A_THRESHOLD), ml.rule_model(jobs.RULE_B_THRESHOLD)
 
@@ -228,7 +238,7 @@ def q_assemble(spark, sf):
 
 
 def q_minmax_scale(spark, sf):
-    train, _ = _split(spark, sf)
+    train, _ = _ml_split(spark, sf)
     stages = [fe.assembler(), fe.scaler()]
     from pyspark.ml import Pipeline
 
@@ -289,32 +299,32 @@ def q_ml_metrics(spark, sf):
 
 
 def q_train_rf(spark, sf):
-    train, test = _split(spark, sf)
+    train, test = _ml_split(spark, sf)
     model = ml.rf_pipeline().fit(train)
     return ml.score(model, test)
 
 
 def q_train_gbt(spark, sf):
-    train, test = _split(spark, sf)
+    train, test = _ml_split(spark, sf)
     model = ml.gbt_pipeline().fit(train)
     return ml.score(model, test)
 
 
 def q_train_dt_ab(spark, sf):
-    train, test = _split(spark, sf)
+    train, test = _ml_split(spark, sf)
     ma = ml.dt_pipeline(**ml.DT_A_PARAMS).fit(train)
     mb = ml.dt_pipeline(**ml.DT_B_PARAMS).fit(train)
     return jobs.predictions_ab(test, ma, mb)
 
 
 def q_importances(spark, sf):
-    train, _ = _split(spark, sf)
+    train, _ = _ml_split(spark, sf)
     model = ml.rf_pipeline().fit(train)
     return ml.importances_frame(spark, model, name="rf")
 
 
 def q_tune_grid(spark, sf):
-    train, _ = _split(spark, sf)
+    train, _ = _ml_split(spark, sf)
     return ml.tune_grid(train)[1]
 
 
@@ -324,24 +334,24 @@ TUNE_CV_TRIALS = 6
 
 
 def q_tune_random(spark, sf):
-    train, _ = _split(spark, sf)
+    train, _ = _ml_split(spark, sf)
     return ml.tune_random(train, n_trials=TUNE_RANDOM_TRIALS)[1]
 
 
 def q_tune_cv(spark, sf):
-    train, _ = _split(spark, sf)
+    train, _ = _ml_split(spark, sf)
     return ml.tune_cv(train, n_trials=TUNE_CV_TRIALS)[1]
 
 
 def q_model_roundtrip(spark, sf):
-    train, test = _split(spark, sf)
+    train, test = _ml_split(spark, sf)
     model = ml.dt_pipeline(**ml.DT_B_PARAMS).fit(train)
     path = ml.save_model(model, scratch_path(spark, "model-dt"))
     return ml.score(ml.load_model(path), test)
 
 
 def q_run_log(spark, sf):
-    train, test = _split(spark, sf)
+    train, test = _ml_split(spark, sf)
     model = ml.dt_pipeline(**ml.DT_B_PARAMS).fit(train)
     auc = me.auc_pr(ml.score(model, test), score="p_fraud").first()["area_under_pr"]
     return ml.log_run(spark, scratch_path(spark, "runs"), "dt_md7", {"features": FEATURES, **ml.DT_B_PARAMS}, {"areaUnderPR": auc})
