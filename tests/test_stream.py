@@ -94,3 +94,19 @@ def test_stream_clean_matches_batch(spark, tmp_path):
     got = spark.read.parquet(out)
     assert got.count() == cl.clean(df).count() == 300
     assert got.agg(F.sum("transaction_id")).first()[0] == sum(range(300))
+
+
+def test_framing_bounds_messages_with_repeated_ids(spark):
+    from tests.conftest import row, tx_rows
+    from txsentry.streaming.messages import decode_messages, messages_from_tx
+
+    # one id holds a third of the rows, some ids are NULL; the rest are unique
+    rows = [row(7, 1.0)] * 300 + [row(None, 2.0)] * 40 + [row(i, float(i)) for i in range(100, 700)]
+    msgs = messages_from_tx(tx_rows(spark, rows))
+    dec = decode_messages(msgs)
+    sizes = [r["n"] for r in dec.groupBy("partition", "offset").count().withColumnRenamed("count", "n").collect()]
+    assert max(sizes) <= 5
+    assert dec.count() == len(rows)
+    # unique ids keep the producer's framing: partition 0, offset = id div 5
+    normal = dec.filter("transaction_id >= 100").select("partition", "offset", "transaction_id").collect()
+    assert all(r["partition"] == 0 and r["offset"] == r["transaction_id"] // 5 for r in normal)

@@ -40,8 +40,29 @@ def _json_str(c: str) -> F.Column:
 
 def messages_from_tx(tx: DataFrame, per_message: int = 5, topic: str = "data", key: str = "transaction_id") -> DataFrame:
     """Frame transactions into messages of ``per_message`` consecutive ids, as the
-    producer does. A message is a bounded group (``per_message`` rows)."""
-    msg = F.floor(F.col(key) / F.lit(per_message)).cast("bigint")
+    producer does: partition 0, offset = id div ``per_message``.
+
+    A message must stay a bounded group even when ids repeat (or are NULL) for a
+    large share of the rows. Bucket sizes are counted first (a map-side combined
+    aggregate, joined back without a broadcast hint so adaptive execution picks
+    the join and splits a skewed side). Rows of a bucket holding more than
+    ``per_message`` rows are framed by their position in the scan instead, in
+    chunks of ``per_message`` on partition 1, so no message exceeds the limit.
+    """
+    bucket = F.floor(F.col(key) / F.lit(per_message)).cast("bigint")
+    # the scan position is taken before any shuffle, so a retried task repeats it
+    chunk = F.floor(F.monotonically_increasing_id() / F.lit(per_message)).cast("bigint")
+    rows = tx.withColumns({"_b": bucket, "_c": chunk})
+    sizes = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
+    rows = rows.join(sizes, rows["_b"].eqNullSafe(sizes["_b"]), "left").drop(sizes["_b"])
+    overflow = F.col("_b").isNull() | (F.col("_bn") > F.lit(per_message))
+    part = F.when(overflow, F.lit(1)).otherwise(F.lit(0))
+    msg = F.when(overflow, F.col("_c")).otherwise(F.col("_b"))
+    return _frame(rows.withColumn("_part", part), msg, topic, key)
+
+
+def _frame(tx: DataFrame, msg: F.Column, topic: str, key: str) -> DataFrame:
+    """One JSON message per (``_part``, ``msg``) group of rows."""
     row_json = F.concat(
         F.lit("["),
         _json_num("transaction_id"),
@@ -55,10 +76,10 @@ def messages_from_tx(tx: DataFrame, per_message: int = 5, topic: str = "data", k
         _json_num("tx_amount"),
         F.lit("]"),
     )
-    framed = tx.select(msg.alias("offset"), F.col(key).alias("_pos"), row_json.alias("_row"))
-    grouped = framed.groupBy("offset").agg(F.sort_array(F.collect_list(F.struct("_pos", "_row"))).alias("_rows"))
+    framed = tx.select("_part", msg.alias("offset"), F.col(key).alias("_pos"), row_json.alias("_row"))
+    grouped = framed.groupBy("_part", "offset").agg(F.sort_array(F.collect_list(F.struct("_pos", "_row"))).alias("_rows"))
     value = F.concat(F.lit("["), F.array_join(F.transform("_rows", lambda r: r["_row"]), ","), F.lit("]"))
-    return grouped.select(F.lit(topic).alias("topic"), F.lit(0).alias("partition"), "offset", value.alias("value"))
+    return grouped.select(F.lit(topic).alias("topic"), F.col("_part").cast("int").alias("partition"), "offset", value.alias("value"))
 
 
 def decode_messages(msgs: DataFrame, keep: list[str] | None = None) -> DataFrame:
