@@ -124,11 +124,14 @@ def clean_stream(
     unbounded stream are not defined.
     """
     key_cols = key_cols or ["terminal_id"]
-    ts = F.col("tx_datetime").try_cast("timestamp")
-    s = tx.withColumn("_event_ts", ts).withWatermark("_event_ts", delay)
-    s = s.dropDuplicatesWithinWatermark(TX_COLUMNS)
     cond = F.col("customer_id") != F.lit(sentinel)
     for c in key_cols:
         cond = cond & F.col(c).isNotNull()
     cond = cond & (F.col("tx_amount") <= F.lit(float(upper_fence)))
-    return s.filter(cond).drop("_event_ts")
+    # The filters test one row at a time and copies are identical rows, so they
+    # commute with the full-row dedup; filtering first keeps rejected rows out of
+    # the dedup state.
+    ts = F.col("tx_datetime").try_cast("timestamp")
+    s = tx.filter(cond).withColumn("_event_ts", ts).withWatermark("_event_ts", delay)
+    s = s.dropDuplicatesWithinWatermark(TX_COLUMNS)
+    return s.drop("_event_ts")
