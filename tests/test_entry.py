@@ -32,3 +32,31 @@ def test_oracle_queries_match_duckdb_small(spark):
         if digest(df.columns, rows)[0] != digest(ocols, res.fetchall())[0]:
             bad.append(name)
     assert bad == []
+
+
+def test_approx_queries_within_rank_error(spark):
+    """The reference's approximate fence: each quartile's rank is within the
+    relative error of the target, and the cleaned rows are exactly those at or
+    below the fence built from those quartiles (checked by DuckDB)."""
+    import duckdb
+
+    from txsentry.plans.catalog import APPROX_REL_ERROR, CTES
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf}/events.parquet')")
+    base = dict(CTES)
+    con.execute(f"CREATE VIEW tx AS {base['tx']}")
+    con.execute(f"CREATE VIEW dedup AS {base['dedup']}")
+    con.execute(f"CREATE VIEW base AS {base['base']}")
+    q = E.queries()["quantiles_approx"](spark, sf).first()
+    n = con.execute("SELECT count(*) FROM base WHERE tx_amount IS NOT NULL").fetchone()[0]
+    for p, v in ((0.25, q["p25"]), (0.5, q["p50"]), (0.75, q["p75"])):
+        lo, hi = con.execute(
+            f"SELECT count_if(tx_amount < {v}), count_if(tx_amount <= {v}) FROM base WHERE tx_amount IS NOT NULL"
+        ).fetchone()
+        # some rank r with lo < r <= hi is within the error of p * n
+        assert lo - APPROX_REL_ERROR * n <= p * n <= hi + APPROX_REL_ERROR * n
+    fence = q["p75"] + 1.5 * (q["p75"] - q["p25"])
+    want = con.execute(f"SELECT count(*) FROM base WHERE tx_amount <= {fence!r}").fetchone()[0]
+    assert E.queries()["clean_iqr_approx"](spark, sf).count() == want

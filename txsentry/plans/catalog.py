@@ -141,6 +141,21 @@ def q_iqr_fences(spark, sf):
     return cl.iqr_fences(_base(spark, sf))
 
 
+# The reference's own fence: approximate quartiles with relative rank error 0.05.
+# Greenwald-Khanna summaries merge map-side; the result is within the rank error of
+# the exact one, not equal to it, so these two have no value oracle.
+APPROX_REL_ERROR = 0.05
+
+
+def q_quantiles_approx(spark, sf):
+    q = cl.quantiles(_base(spark, sf), "tx_amount", [0.25, 0.5, 0.75], method="approx", rel_error=APPROX_REL_ERROR)
+    return q.select(F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
+
+
+def q_clean_iqr_approx(spark, sf):
+    return cl.clean(_tx(spark, sf), method="approx", rel_error=APPROX_REL_ERROR, stage_path=scratch_path(spark, "dedup"))
+
+
 def q_clean_iqr(spark, sf):
     return _clean(spark, sf)
 
@@ -368,6 +383,8 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fill_zero": q_fill_zero,
     "quantiles": q_quantiles,
     "iqr_fences": q_iqr_fences,
+    "quantiles_approx": q_quantiles_approx,
+    "clean_iqr_approx": q_clean_iqr_approx,
     "project_features": q_project_features,
     "tx_time_feature": q_tx_time_feature,
     "time_parts": q_time_parts,
