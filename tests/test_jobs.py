@@ -1,10 +1,12 @@
 """The user-level jobs end to end: raw CSV -> clean -> train -> A/B verdict."""
 
 import random
+from pathlib import Path
 
 from tests.conftest import row, tx_rows
 from txsentry.operators import ml
 from txsentry.plans import jobs
+from txsentry.session import scratch_dir
 from txsentry.sources import files
 
 
@@ -39,10 +41,13 @@ def test_clean_train_validate(spark, tmp_path):
     src = str(tmp_path / "raw")
     files.write_csv(tx_rows(spark, rows), src)
     dst = str(tmp_path / "clean")
+    scratch = Path(scratch_dir(spark).removeprefix("file:"))
+    stages_before = set(scratch.glob("clean-stage-*"))
     clean = jobs.clean_job(spark, src, dst, raw_copy=str(tmp_path / "raw_copy"))
     want = expected_clean(rows)
     got = {tuple(r) for r in clean.collect()}
     assert got == want
+    assert set(scratch.glob("clean-stage-*")) == stages_before  # the job removed its staged copy
 
     model, metrics = jobs.train_job(
         spark, dst, str(tmp_path / "model"), params={"numTrees": 10, "maxDepth": 4}, run_log=str(tmp_path / "runs")

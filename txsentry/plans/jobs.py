@@ -66,6 +66,9 @@ def clean_job(spark: SparkSession, src: str, dst: str, sentinel: int = cl.SENTIN
     stage = scratch_path(spark, "clean-stage")
     out = cl.clean(raw, sentinel=sentinel, method=method, rel_error=rel_error, stage_path=stage)
     files.write_parquet(out, dst)
+    # the result is read back from ``dst``; the staged copy (as large as the clean
+    # table) is no longer referenced
+    files.remove_path(spark, stage)
     return files.read_parquet(spark, dst)
 
 

@@ -44,3 +44,13 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     Survives executor loss, unlike a cache or a local checkpoint."""
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this package wrote (a staged table under the scratch folder)
+    through the Hadoop file system of its URI, so it works the same on HDFS, object
+    stores and local disk. Only for paths the caller made and no longer reads."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))
