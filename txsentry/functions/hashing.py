@@ -26,13 +26,31 @@ def hash_uniform(key: Column | str, seed: int | str = 42, salt: Column | str | N
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def hash_uniform_sql(key_sql: str, seed: int | str = 42, salt_sql: str | None = None) -> str:
-    """The same number as ``hash_uniform`` written for DuckDB."""
+# An md5 digest is 32 hex digits: four independent 32-bit lanes per hash.
+LANES = 4
+
+
+def hash_uniform_lanes(key: Column | str, seed: int | str = 42, salt: Column | str | None = None) -> list[Column]:
+    """``LANES`` numbers in [0, 1) from one md5('seed:' [|| salt || ':'] || key):
+    lane j is hex digits 8j+1 .. 8j+8. Lane 0 equals ``hash_uniform``."""
+    key = F.col(key) if isinstance(key, str) else key
+    parts = [F.lit(f"{seed}:")]
+    if salt is not None:
+        salt = F.col(salt) if isinstance(salt, str) else salt
+        parts += [salt.cast("string"), F.lit(":")]
+    parts.append(key.cast("string"))
+    digest = F.md5(F.concat(*parts))
+    return [F.conv(F.substring(digest, 8 * j + 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) for j in range(LANES)]
+
+
+def hash_uniform_sql(key_sql: str, seed: int | str = 42, salt_sql: str | None = None, lane_sql: str = "0") -> str:
+    """The same number as ``hash_uniform`` (lane 0) or lane ``lane_sql`` of
+    ``hash_uniform_lanes``, written for DuckDB."""
     inner = f"'{seed}:'"
     if salt_sql is not None:
         inner += f" || CAST({salt_sql} AS VARCHAR) || ':'"
     inner += f" || CAST({key_sql} AS VARCHAR)"
-    return f"(CAST(('0x' || substr(md5({inner}), 1, 8)) AS BIGINT) / 4294967296e0)"
+    return f"(CAST(('0x' || substr(md5({inner}), 8 * ({lane_sql}) + 1, 8)) AS BIGINT) / 4294967296e0)"
 
 
 def poisson_cdf(rate: float, tol: float = 1e-12) -> list[float]:

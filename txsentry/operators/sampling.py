@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txsentry.functions.hashing import hash_uniform, poisson_weight
+from txsentry.functions.hashing import LANES, hash_uniform, hash_uniform_lanes, poisson_weight
 from txsentry.operators.metrics import prf_cols
 
 
@@ -51,24 +51,43 @@ def bootstrap_cells(
     with replacement of expected size ``rate`` x rows.
 
     The draw for a row depends on (group, replicate, key) only, so it repeats on
-    re-execution. The replicate fan-out happens inside the map stage and the
-    aggregate is partial there, so each task ships at most groups x replicates rows.
+    re-execution. Replicate r uses lane r mod 4 of md5('seed:' || group || ':' ||
+    r div 4 || ':' || key), so one hash serves four replicates: rows fan out over
+    blocks of four replicates, not over replicates. The fan-out happens inside the
+    map stage and the aggregate is partial there, so each task ships at most
+    groups x blocks rows, which are then unpivoted to one row per replicate.
     """
     by = list(by or [])
-    salt_parts = [F.col(b).cast("string") for b in by] + [F.col("replicate").cast("string")]
-    salt = F.concat_ws(":", *salt_parts)
+    blocks = -(-replicates // LANES)
+    salt = F.concat_ws(":", *[F.col(b).cast("string") for b in by], F.col("_blk").cast("string"))
     y = F.col(label).cast("long")
     p = F.col(pred).cast("long")
-    fan = preds.select(*by, key, y.alias("_y"), p.alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    w = poisson_weight(hash_uniform(key, seed, salt=salt), rate)
-    weighted = fan.select(*by, "replicate", w.alias("_w"), "_y", "_p")
-    return weighted.groupBy(*by, "replicate").agg(
-        F.sum(F.col("_w") * F.col("_y") * F.col("_p")).alias("tp"),
-        F.sum(F.col("_w") * (1 - F.col("_y")) * (1 - F.col("_p"))).alias("tn"),
-        F.sum(F.col("_w") * (1 - F.col("_y")) * F.col("_p")).alias("fp"),
-        F.sum(F.col("_w") * F.col("_y") * (1 - F.col("_p"))).alias("fn"),
-        F.sum("_w").alias("n"),
+    fan = preds.select(*by, key, y.alias("_y"), p.alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_blk"))
+    weights = [poisson_weight(u, rate).alias(f"_w{j}") for j, u in enumerate(hash_uniform_lanes(key, seed, salt=salt))]
+    weighted = fan.select(*by, "_blk", "_y", "_p", *weights)
+    yv, pv = F.col("_y"), F.col("_p")
+    sums = []
+    for j in range(LANES):
+        w = F.col(f"_w{j}")
+        sums += [
+            F.sum(w * yv * pv).alias(f"tp{j}"),
+            F.sum(w * (1 - yv) * (1 - pv)).alias(f"tn{j}"),
+            F.sum(w * (1 - yv) * pv).alias(f"fp{j}"),
+            F.sum(w * yv * (1 - pv)).alias(f"fn{j}"),
+            F.sum(w).alias(f"n{j}"),
+        ]
+    per_block = weighted.groupBy(*by, "_blk").agg(*sums)
+    lanes = F.array(
+        *[
+            F.struct(
+                (F.col("_blk") * LANES + j).cast("int").alias("replicate"),
+                *[F.col(f"{c}{j}").alias(c) for c in ("tp", "tn", "fp", "fn", "n")],
+            )
+            for j in range(LANES)
+        ]
     )
+    out = per_block.select(*by, F.inline(lanes))
+    return out.filter(F.col("replicate") < F.lit(replicates))
 
 
 def bootstrap_f1(preds: DataFrame, replicates: int = 50, rate: float = 0.8, seed: int = 42, by: list[str] | None = None, **kw) -> DataFrame:

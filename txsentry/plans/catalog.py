@@ -442,7 +442,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ---------------------------------------------------------------------------
 
 _U_SPLIT = hash_uniform_sql("transaction_id", 42)
-_W_BOOT = poisson_weight_sql(hash_uniform_sql("transaction_id", 42, "model || ':' || CAST(replicate AS VARCHAR)"), 0.8)
+_W_BOOT = poisson_weight_sql(
+    hash_uniform_sql("transaction_id", 42, "model || ':' || CAST(replicate // 4 AS VARCHAR)", lane_sql="replicate % 4"), 0.8
+)
 
 # Named building blocks, in dependency order.
 CTES: list[tuple[str, str]] = [
