@@ -42,6 +42,13 @@ GBT_PARAMS = dict(maxIter=10, seed=42)
 DT_A_PARAMS: dict = dict(seed=42)
 DT_B_PARAMS = dict(maxDepth=7, seed=42)
 
+# How the trees are grown, not what they are: node ids of the training rows are
+# cached between levels instead of shipping the growing trees to every task, and
+# that cache (and a boosted model's running predictions) is checkpointed every 10
+# iterations to the SparkContext checkpoint folder, which bounds the lineage of a
+# deep tree or a long boosting run and survives a lost executor. Overridable per call.
+TREE_EXEC_PARAMS = dict(cacheNodeIds=True, checkpointInterval=10)
+
 # Search space of the sampled search: trees, depth, impurity.
 SEARCH_SPACE = {
     "numTrees": [100, 200, 300, 400],
@@ -76,16 +83,18 @@ def rf_pipeline(features: list[str] | None = None, label: str = LABEL, scaled: b
     if scaled:
         stages.append(scaler())
         fcol = "scaledFeatures"
-    stages.append(RandomForestClassifier(labelCol=label, featuresCol=fcol, **p))
+    stages.append(RandomForestClassifier(labelCol=label, featuresCol=fcol, **{**TREE_EXEC_PARAMS, **p}))
     return Pipeline(stages=stages)
 
 
 def gbt_pipeline(features: list[str] | None = None, label: str = LABEL, **params) -> Pipeline:
-    return Pipeline(stages=[assembler(features), GBTClassifier(labelCol=label, featuresCol="features", **{**GBT_PARAMS, **params})])
+    gbt = GBTClassifier(labelCol=label, featuresCol="features", **{**TREE_EXEC_PARAMS, **GBT_PARAMS, **params})
+    return Pipeline(stages=[assembler(features), gbt])
 
 
 def dt_pipeline(features: list[str] | None = None, label: str = LABEL, **params) -> Pipeline:
-    return Pipeline(stages=[assembler(features), scaler(), DecisionTreeClassifier(labelCol=label, featuresCol="scaledFeatures", **params)])
+    dt = DecisionTreeClassifier(labelCol=label, featuresCol="scaledFeatures", **{**TREE_EXEC_PARAMS, **params})
+    return Pipeline(stages=[assembler(features), scaler(), dt])
 
 
 def score(model: PipelineModel, df: DataFrame, keep: list[str] | None = None, label: str = LABEL) -> DataFrame:
@@ -164,7 +173,7 @@ def _tuning_frame(spark: SparkSession, maps, metrics, metric_name: str, method:
 
 
 def _rf_for_tuning(label: str) -> RandomForestClassifier:
-    return RandomForestClassifier(labelCol=label, featuresCol="features", seed=42)
+    return RandomForestClassifier(labelCol=label, featuresCol="features", seed=42, **TREE_EXEC_PARAMS)
 
 
 def tune_grid(train: DataFrame, label: str = LABEL, train_ratio: float = 0.8, parallelism: int = 3, seed: int = 42, **grid):

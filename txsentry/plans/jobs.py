@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txsentry.operators import abtest, clean as cl, metrics, ml, sampling
-from txsentry.session import scratch_path
+from txsentry.session import scratch_dir, scratch_path
 from txsentry.sources import files
 from txsentry.sources.tables import ID, LABEL
 from txsentry.streaming import score as st
@@ -75,6 +75,7 @@ def clean_job(spark: SparkSession, src: str, dst: str, sentinel: int = cl.SENTIN
 def train_job(spark: SparkSession, src: str, model_dir: str, params: dict | None = None, run_log: str | None = None, run: str = "rf") -> tuple[PipelineModel, dict]:
     """Clean Parquet -> split -> assembler/scaler/forest on the training part ->
     area under PR on the test part -> model files (+ run log row)."""
+    scratch_dir(spark)  # the checkpoint folder the tree learner checkpoints into
     df = files.read_parquet(spark, src)
     train, test = train_test(df)
     p = {**ml.RF_JOB_PARAMS, **(params or {})}
