@@ -89,11 +89,17 @@ def _pred_test(spark, sf):
 
 
 def _scored_all(spark, sf):
-    """Both rule models on every clean row, long form with amount and time."""
+    """Both rule models on every clean row, long form with amount and time. One scan:
+    B scores A's output, then the pair is unpivoted."""
     df = _filled(spark, sf)
     a, b = _rules()
-    keep = [ID, LABEL, "tx_amount", "tx_datetime", "prediction", "score"]
-    return a.transform(df).select(F.lit("A").alias("model"), *keep).unionByName(b.transform(df).select(F.lit("B").alias("model"), *keep))
+    base = [ID, LABEL, "tx_amount", "tx_datetime"]
+    sa = a.transform(df).select(*base, F.col("prediction").alias("prediction_a"), F.col("score").alias("score_a"))
+    sb = b.transform(sa).select(*base, "prediction_a", "score_a", F.col("prediction").alias("prediction_b"), F.col("score").alias("score_b"))
+    pairs = F.array(
+        *[F.struct(F.lit(m).alias("model"), F.col(f"prediction_{m.lower()}").alias("prediction"), F.col(f"score_{m.lower()}").alias("score")) for m in ("A", "B")]
+    )
+    return sb.select(*base, F.inline(pairs)).select("model", *base, "prediction", "score")
 
 
 def _samples(spark, sf):
