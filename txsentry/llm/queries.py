@@ -11,14 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsentry.llm import line_dedup, merkle, mixing
+from txsentry.llm import decontaminate, line_dedup, merkle, mixing, simhash, toxicity
 from txsentry.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document what the template tree dropped and a digest of what is left."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -26,6 +35,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "dropped_lines", "dropped_sentences", F.length(left).cast("long").alias("n_chars"), F.sha2(left, 256).alias("text_sha256"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
@@ -33,8 +46,11 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op2_merkle_fingerprints,
+        op5_simhash_neardup,
         op6_line_dedup,
+        op7_decontaminate,
         op8_mix_sources,
     )
 }
