@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsentry.llm import decontaminate, line_dedup, merkle, mixing, simhash, toxicity
+from txsentry.llm import decontaminate, language_id, language_model, line_dedup, merkle, mixing, simhash, toxicity
 from txsentry.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -43,15 +47,21 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.log_likelihood(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity,
         op2_merkle_fingerprints,
+        op4_language_id,
         op5_simhash_neardup,
         op6_line_dedup,
         op7_decontaminate,
         op8_mix_sources,
+        op10_lm_scoring,
     )
 }
 
