@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsentry.llm import decontaminate, language_id, language_model, line_dedup, merkle, mixing, simhash, toxicity
+from txsentry.llm import decontaminate, html_extract, language_id, language_model, line_dedup, merkle, mixing, secrets, simhash, toxicity
 from txsentry.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per finding its probability; the finding itself only as a digest."""
+    out = secrets.scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "number", F.sha2("finding", 256).alias("finding_sha256"), F.col("length").cast("long").alias("length"), "labelled", "probability", "secret")
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.log_likelihood(table(spark, sf_dir, "documents"))
 
@@ -56,11 +66,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity,
         op2_merkle_fingerprints,
+        op3_html_text,
         op4_language_id,
         op5_simhash_neardup,
         op6_line_dedup,
         op7_decontaminate,
         op8_mix_sources,
+        op9_secret_scan,
         op10_lm_scoring,
     )
 }
