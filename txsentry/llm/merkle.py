@@ -13,9 +13,8 @@ has pieces. The likeness is the share of characters in common over the distinct
 2 * common / (all of one + all of the other); 1.0 for equal roots.
 
 Defined cases: null text is the empty text; the empty text is one empty piece; texts of
-any length are cut in linear time; repeated rows get equal results; rows that share an
-id share the next document, and the smallest text stands for an id that occurs with
-several; a null id comes after all others; an empty table gives an empty result; extra
+any length are cut in linear time; rows that share an id follow each
+other in order of their text hash; null ids come after all others; an empty table gives an empty result; extra
 columns are ignored. No Python runs on the executors.
 """
 
@@ -24,12 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txsentry.llm.common import shuffle_width, stage
-
 SECTION_END = r"(?<=\n\n)"
 PARAGRAPH_END = r"(?<=\n)"
 PIECE_END = r"(?<=[^a-zA-Z0-9\u0080-\uFFFF]\s)|(?<=[dnrt] )|(?<=\n)"
 LENGTH_BITS = 20
+BUCKET_ROWS = 512
+MAX_BUCKETS = 1 << 14
 
 
 def _sha(text: Column) -> Column:
@@ -72,27 +71,39 @@ def likeness(a: Column, b: Column, equal: Column) -> Column:
     return F.when(equal, 1.0).when(both == 0, 0.0).otherwise(2.0 * _weight(F.array_intersect(a, b)) / both)
 
 
-def _next_ids(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """(id, next id) in descending id order, the last followed by the first, and whether
-    any id is repeated. Ids are range-partitioned and written with their partition number;
-    each partition's last id takes the first id of the next partition that has any."""
+def followed(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, max_buckets: int = MAX_BUCKETS) -> DataFrame:
+    """(doc_id, text, next_text) with the rows in descending id order, equal ids by text
+    hash, the last row followed by the first.
+
+    Texts are shuffled once. Rows go to buckets of neighbouring ids, whose bounds are
+    quantiles of the ids (at most ``max_buckets`` numbers); a bucket's last row is
+    followed by the first row of the next bucket, which is sent there as a guest.
+    """
     spark = docs.sparkSession
-    order = F.col("doc_id").desc_nulls_last()
-    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    parts = stage(ids.repartitionByRange(shuffle_width(spark), order).withColumn("_part", F.spark_partition_id()), "merkle-ids")
-    # one row per partition from here to the join
-    heads = parts.groupBy("_part").agg(F.max("doc_id").alias("_head"), F.count(F.lit(1)).alias("_rows"), F.max("_n").alias("_copies"))
-    around = Window.orderBy("_part")
-    whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = heads.select(
-        F.col("_part").alias("_p"),
-        F.when(F.lead("_part").over(around).isNull(), F.first("_head").over(whole)).otherwise(F.lead("_head").over(around)).alias("_after"),
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
+    n = docs.count()
+    cuts = max(1, min(max_buckets, n // bucket_rows))
+    shares = [i / cuts for i in range(1, cuts)]
+    bounds = (docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * cuts)).alias("b")).first()["b"] if shares else None) or []
+    bounds = sorted(set(bounds))
+    # binary search for the number of bounds that are not above the id
+    steps = [1 << k for k in reversed(range(max(1, len(bounds)).bit_length()))]
+    limits = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.expr("cast(array() as array<bigint>)")
+    found = F.aggregate(
+        F.array(*[F.lit(k) for k in steps]),
+        F.lit(0),
+        lambda at, k: F.when((at + k <= len(bounds)) & (F.get(limits, at + k - 1) <= F.col("doc_id")), at + k).otherwise(at),
     )
-    repeated = bool(parts.agg(F.max("_n")).first()[0] or 0) and parts.filter("_n > 1").limit(1).count() > 0
-    here = Window.partitionBy("_part").orderBy(order)
-    out = parts.withColumn("_last", F.lead("_part").over(here).isNull()).withColumn("_lead", F.lead("doc_id").over(here))
-    out = out.join(heads, F.col("_part") == F.col("_p"))
-    return out.select(F.col("doc_id").alias("_id"), F.when(F.col("_last"), F.col("_after")).otherwise(F.col("_lead")).alias("_next_id")), repeated
+    bucket = F.when(F.col("doc_id").isNull(), -1).otherwise(found)
+    # first row of each bucket: as many rows as there are buckets
+    heads = docs.select(bucket.alias("b"), F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", (-F.xxhash64(F.coalesce("text", F.lit("")))).alias("h")).alias("r"))
+    heads = sorted(((r["b"], r["r"]["doc_id"], -r["r"]["h"]) for r in heads.groupBy("b").agg(F.max("r").alias("r")).collect()), reverse=True)
+    guests = [(heads[i][0], *heads[(i + 1) % len(heads)][1:]) for i in range(len(heads))]
+    sent = F.broadcast(spark.createDataFrame(guests, "_b int, _id long, _gh long"))
+    visiting = rows.join(sent, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_gh"))).select("doc_id", "text", "_h", "_b", F.lit(1).alias("_guest"))
+    placed = rows.select("doc_id", "text", "_h", bucket.alias("_b"), F.lit(0).alias("_guest")).unionByName(visiting)
+    here = Window.partitionBy("_b").orderBy("_guest", F.col("doc_id").desc_nulls_last(), "_h")
+    return placed.withColumn("next_text", F.lead("text").over(here)).filter("_guest = 0").select("doc_id", "text", "next_text")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -101,17 +112,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     The edited text replaces the last third of the code points by the first as many of
     the next document in descending id order.
     """
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    links, repeated = _next_ids(base)
-    follow = base.select(F.col("doc_id").alias("_next"), F.col("text").alias("_next_text"))
-    if repeated:
-        follow = follow.groupBy("_next").agg(F.min("_next_text").alias("_next_text"))
-    # the small id table meets the followers first, so each text is shuffled twice in all
-    follow = follow.join(links, F.col("_next").eqNullSafe(F.col("_next_id"))).select("_id", "_next_text")
-    met = base.join(follow, F.col("doc_id").eqNullSafe(F.col("_id")))
+    met = followed(docs)
     n = F.length("text")
     k = F.floor(n / 3).cast("int")
-    met = met.select("doc_id", "text", "_next_text", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - k), F.substring("_next_text", F.lit(1), k)).alias("_edited"))
+    met = met.select("doc_id", "text", "next_text", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - k), F.substring("next_text", F.lit(1), k)).alias("_edited"))
     met = met.select(
         "doc_id",
         "n_chars",
@@ -120,8 +124,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         root(F.col("_edited")).alias("edited_fingerprint"),
         pieces(F.col("text")).alias("_a"),
         pieces(F.col("_edited")).alias("_b"),
-        pieces(F.col("_next_text")).alias("_c"),
-        (F.col("text") == F.col("_next_text")).alias("_same_next"),
+        pieces(F.col("next_text")).alias("_c"),
+        (F.col("text") == F.col("next_text")).alias("_same_next"),
     )
     return met.select(
         "doc_id",
