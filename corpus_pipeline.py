@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txsentry.llm import decontaminate, line_dedup, mixing, simhash, toxicity
-from txsentry.llm.common import stage, table
+from txsentry.llm.common import packed, stage, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go."""
-    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), keep=docs.columns)
-    return scored.filter("predicted = 0").select(*docs.columns)
+    scored = toxicity.toxicity(packed(docs), table(spark, sf_dir, "labels"), keep=["_doc"])
+    return scored.filter("predicted = 0").select("_doc.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,12 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The whole row as one column ``_doc`` beside doc_id and text, so that no column of
+    the caller meets a column that an operator adds; ``select("_doc.*")`` undoes it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "doc_id", "text")
+
+
 def crc_mod(column: str, k: int) -> Column:
     """crc32 of the column's text modulo k; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(k))

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txsentry.llm.common import packed
+
 WINDOW = 13
 COVERAGE = 20  # contaminated from one hit word in 20
 BLOCK_WORDS = 100_000
@@ -247,10 +249,8 @@ def without(text: bytes | None, spans: list[list[int]]) -> str | None:
 def clean(docs: DataFrame, items: DataFrame, whole: bool = True, **options) -> DataFrame:
     """``docs`` without contamination: contaminated rows go (``whole``), or only their hit
     spans are cut out of ``text``. Rows under the coverage limit stay as they are."""
-    keep = [c for c in docs.columns if c != "text"]
+    held = scan(packed(docs), items, keep=["_doc"], cut=not whole, **options)
     if whole:
-        held = scan(docs, items, keep=docs.columns, **options)
-        return held.filter("not contaminated").select(*docs.columns)
-    held = scan(docs, items, keep=docs.columns, cut=True, **options)
-    text = F.when(F.col("contaminated"), F.col("rest")).otherwise(F.col("text"))
-    return held.select(*[text.alias("text") if c == "text" else F.col(c) for c in [*keep, "text"]]).select(*docs.columns)
+        return held.filter("not contaminated").select("_doc.*")
+    text = F.when(F.col("contaminated"), F.col("rest")).otherwise(F.col("_doc.text"))
+    return held.select(*[text.alias(c) if c == "text" else F.col(f"_doc.`{c}`") for c in docs.columns])

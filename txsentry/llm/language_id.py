@@ -56,7 +56,9 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.concatenate(([0], np.cumsum(keep)))
     c = spaced[keep]
     one = np.concatenate((np.full(2, 32, np.uint32), c))
-    a, b = one[:-2], one[1:-1]
+    a, b = one[:-2].copy(), one[1:-1].copy()
+    first = at[starts]
+    a[first] = b[first] = a[first + 1] = 32
     shift = np.uint32(32 - BITS)
     with np.errstate(over="ignore"):
         bins = np.stack(

@@ -49,6 +49,7 @@ LANES = 512  # documents scored side by side
 TRAIN_LANES = 64
 WINDOW = 32  # steps of truncated backpropagation, and of a scoring window
 RATE = 0.01
+START = 20_000  # tokens that the untrained model counts for in an average
 END = b"\n"  # no word holds white space
 
 
@@ -354,7 +355,7 @@ def train(found: DataFrame, words: list[bytes], net: Net, share: int = SHARE, ro
         summed = found.select("tokens", "words", "lens", "held").mapInArrow(run, "at int, v double")
         got = summed.groupBy("at").agg(F.sum("v").alias("v")).toPandas().sort_values("at")["v"].to_numpy()  # the parameters
         if len(got):
-            net = Net.of(net.state()).load(got[:-1] / got[-1])
+            net = Net.of(net.state()).load((got[:-1] + START * net.flat()) / (got[-1] + START))
     return net
 
 

@@ -42,7 +42,7 @@ SAMPLE_DOCS = 40_000  # bound on the documents that the classifier is fitted on
 MAX_FEATURES = 4_000
 PREFIXES = (3, 4, 5, 6)
 GROUPS = 6  # lexicon voters, and as many pattern voters
-MASK = (1 << 62) - 1
+PRIOR_VOTES = 2.0  # a voter's first guess counts as so many votes
 
 # Insults that a voter knows without any label.
 LEXICON = (
@@ -127,7 +127,8 @@ class LabelModel:
     def __init__(self, n_voters: int, prior: float):
         self.prior, self.share = prior, np.ones(n_voters)
         # start: a vote is right more often than not
-        self.table = np.array([[0.45, 0.10, 0.45], [0.10, 0.45, 0.45]])[:, None, :].repeat(n_voters, 1)
+        self.start = np.array([[0.45, 0.10, 0.45], [0.10, 0.45, 0.45]])[:, None, :].repeat(n_voters, 1)
+        self.table = self.start
 
     def posterior(self, v: np.ndarray) -> np.ndarray:
         """P(toxic) per row of votes."""
@@ -143,8 +144,13 @@ class LabelModel:
         for _ in range(rounds):
             p = self.posterior(v)
             mass = np.stack([w * (1 - p), w * p])
-            counts = np.einsum("yn,nvk->yvk", mass, said) + 0.1
+            counts = np.einsum("yn,nvk->yvk", mass, said) + PRIOR_VOTES * self.start
             self.table = counts / counts.sum(axis=2, keepdims=True)
+            # no voter is worse than chance, which also keeps the classes from changing places
+            t, c = self.table[:, :, TOXIC], self.table[:, :, CLEAN]
+            t[1] = np.maximum(t[1], t[0])
+            c[0] = np.maximum(c[0], c[1])
+            self.table /= self.table.sum(axis=2, keepdims=True)
             self.prior = float(np.clip((mass[1].sum() + 1) / (w.sum() + 10), 0.005, 0.5))
             # correlations of speaking toxic within the classes
             x = said[:, :, 1] - said[:, :, 0]
