@@ -39,6 +39,10 @@ def test_query_against_brute_force(spark):
     assert len(got) == len(rows)
     check(got, brute(rows))
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 10 == 0) and r.score < 0 for r in got)
+
+
+def test_held_out_text_is_likelier_than_under_the_base(spark):
+    got = queries.QUERIES["op10_lm_scoring"](spark, SF.replace("0.001", "0.01")).collect()
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 

@@ -43,13 +43,13 @@ SHORTLIST = 1024
 CLASSES = 32
 HIDDEN = 16
 BLOCK_TOKENS = 2_000_000
-SHARE = 32
+SHARE = 16
 ROUNDS = 2
 LANES = 512  # documents scored side by side
 TRAIN_LANES = 64
 WINDOW = 32  # steps of truncated backpropagation, and of a scoring window
 RATE = 0.01
-START = 20_000  # tokens that the untrained model counts for in an average
+START = 5_000  # tokens that the untrained model counts for in an average
 END = b"\n"  # no word holds white space
 
 
