@@ -1,9 +1,11 @@
 import math
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from txsentry.functions.hashing import POISSON_08_CDF, poisson_cdf
+from txsentry.functions.hashing import cdf_points
 from txsentry.functions.mathx import erfc, erfc_py
 from txsentry.operators import abtest, sampling
 
@@ -81,6 +83,14 @@ def test_verdict(spark):
     assert v["verdict"] == "undecided" and v["same_distribution"] is True
 
 
+def test_undefined_side_is_not_called_the_same(spark):
+    v = abtest.ab_verdict(samples(spark, [0.1, 0.2, 0.3], [None, None, None])).first()
+    assert v["p_value"] is None and v["same_distribution"] is None
+    assert (v["verdict"], v["n_undefined_b"]) == ("undefined", 3)
+    same = abtest.ab_verdict(samples(spark, [0.2] * 5, [0.2] * 5)).first()
+    assert same["p_value"] is None and same["same_distribution"] is None and same["verdict"] == "undecided"
+
+
 def test_erfc_column_accuracy(spark):
     xs = [x / 10 for x in range(-50, 51)]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
@@ -91,7 +101,19 @@ def test_erfc_column_accuracy(spark):
 
 
 def test_poisson_constants():
-    assert [round(c, 10) for c in poisson_cdf(0.8)[:9]] == [round(c, 10) for c in POISSON_08_CDF]
+    """All points that a 32-bit uniform can reach, and no more."""
+    for rate in (0.8, 0.01, 5.0, 40.0):
+        points = cdf_points(rate)
+        p, acc = math.exp(-rate), 0.0
+        for k, c in enumerate(points):
+            acc += p
+            assert abs(c - acc) < 1e-11
+            p *= rate / (k + 1)
+        assert points[-1] <= 1 - 2.0**-32 < acc + p + 1e-12
+    assert len(cdf_points(0.8)) == 11
+    for bad in (800.0, -1.0):
+        with pytest.raises(ValueError):
+            cdf_points(bad)
 
 
 def pred_frame(spark, n=3000):

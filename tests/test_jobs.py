@@ -54,11 +54,40 @@ def test_clean_train_validate(spark, tmp_path):
     )
     base_rate = sum(r[7] for r in want) / len(want)
     assert metrics["areaUnderPR"] > base_rate + 0.2
-    assert spark.read.parquet(str(tmp_path / "runs")).filter("kind = 'metric'").count() == 1
+    assert spark.read.parquet(str(tmp_path / "runs")).filter("kind = 'metric'").count() == 2
+    keys = {r["key"] for r in spark.read.parquet(str(tmp_path / "runs")).collect()}
+    assert {"features", "split", "numTrees", "areaUnderPR", "f1"} <= keys
 
     # B flags nothing: every F1 of B is undefined, counted, and the verdict cannot be decided
     never = ml.rule_model(1e12)
     v = jobs.ab_job(spark, dst, str(tmp_path / "model"), never, reps=20).first()
     assert v["n_undefined_b"] == 20 and v["mean_b"] is None
-    assert v["mean_a"] > 0 and v["verdict"] == "undecided"
+    assert v["mean_a"] > 0 and v["verdict"] == "undefined"
+    assert v["p_value"] is None and v["same_distribution"] is None
 
+
+
+def test_rows_without_a_key_are_split_alike(spark):
+    """Training and validation prepare rows the same way, so a row without an id lies in
+    the same part for both, and such rows spread over the parts."""
+    df = tx_rows(spark, [row(None, float(i)) for i in range(400)])
+    train, test = jobs.train_test(jobs.prepared(df))
+    n = test.count()
+    assert train.count() + n == 400 and 10 < n < 80
+    assert {r.transaction_id for r in test.collect()} == {r.transaction_id for r in jobs.train_test(jobs.prepared(df.repartition(5)))[1].collect()}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    import types
+
+    import pytest
+
+    from txsentry import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    sc = types.SimpleNamespace(getConf=Conf, applicationId="app-x", master="spark://h:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(types.SimpleNamespace(sparkContext=sc, conf=Conf()))

@@ -82,3 +82,29 @@ def test_run_log_appends(spark):
     ml.log_run(spark, path, "r1", {"numTrees": 10}, {"areaUnderPR": 0.5})
     out = ml.log_run(spark, path, "r2", {"numTrees": 20}, {"areaUnderPR": 0.6})
     assert out.count() == 4 and {r["run"] for r in out.collect()} == {"r1", "r2"}
+
+
+def test_more_trials_than_points(spark):
+    rf = ml._rf_for_tuning("tx_fraud")
+    maps = ml.random_maps(rf, 100)
+    assert len(maps) == 100
+    points = [tuple(sorted((p.name, v) for p, v in m.items())) for m in maps]
+    assert len(set(points[:72])) == 72
+    assert {m[rf.maxDepth] for m in ml.random_maps(rf, 40, space=ml.CV_SPACE)} == {2, 3, 4, 5, 6}
+
+
+def test_baseline_forest_parameters():
+    rf = ml.rf_baseline().getStages()[-1]
+    assert (rf.getNumTrees(), rf.getMaxDepth(), rf.getMinInstancesPerNode(), rf.getSeed()) == (40, 5, 1, 42)
+
+
+def test_best_params_listing(spark):
+    model, _ = ml.tune_grid(planted(spark, 300), num_trees=(5,), max_depth=(3,))
+    got = {r["param"]: r["value"] for r in ml.best_params(spark, model).collect()}
+    assert got["numTrees"] == "5" and got["maxDepth"] == "3" and got["impurity"] == "gini"
+
+
+def test_searches_do_not_depend_on_the_layout(spark):
+    df = planted(spark, 400)
+    a, b = ([r["value"] for r in ml.tune_random(x, n_trials=2)[1].collect()] for x in (df.repartition(2).sortWithinPartitions("transaction_id"), df.repartition(2).sortWithinPartitions("transaction_id")))
+    assert a == b

@@ -1,44 +1,89 @@
 """Plan-shape and skew properties: what must hold at any scale."""
 
 import math
+import os
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import row, tx_rows
 from txsentry.operators import abtest, clean as cl, metrics as me, sampling, stats
 from txsentry.operators.ranking import running_totals, value_counts
 from txsentry.session import scratch_path
-from txsentry.sources.tables import spread
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_spread_only_small_inputs(spark, tmp_path):
-    one = str(tmp_path / "one")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    small = spark.read.parquet(one)
-    cores = spark.sparkContext.defaultParallelism
-    assert small.rdd.getNumPartitions() < cores
-    assert spread(small).rdd.getNumPartitions() == cores
-    many = str(tmp_path / "many")
-    spark.range(1000).repartition(cores * 2).write.parquet(many)
-    big = spark.read.parquet(many)
-    assert spread(big) is big
-
-
-def test_filter_and_pruning_reach_scan_through_spread(spark, tmp_path):
+def test_filter_and_pruning_reach_the_scan(spark, tmp_path):
     p = str(tmp_path / "t")
     spark.range(1000).selectExpr("id", "id % 7 AS k", "'x' AS s").coalesce(1).write.parquet(p)
-    q = spread(spark.read.parquet(p)).filter(F.col("k") == 3).select("id")
+    q = spark.read.parquet(p).filter(F.col("k") == 3).select("id")
     plan = _plan(q)
     assert "PushedFilters: [IsNotNull(k), EqualTo(k,3)]" in plan
     assert "ReadSchema: struct<id:bigint,k:bigint>" in plan
     assert q.count() == len([i for i in range(1000) if i % 7 == 3])
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_many_distinct_values_are_exact(spark, reuse):
+    """More distinct values than range sampling looks at, 16 partitions: results equal
+    numpy's, whether or not Spark reuses an exchange."""
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        n = 500_000
+        df = spark.range(n).select(
+            F.col("id").alias("transaction_id"),
+            (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("score"),
+            (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)) < 20).cast("int").alias("tx_fraud"),
+            F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("model"),
+        ).withColumn("f1", F.col("score"))
+        pdf = df.toPandas()
+        x = np.sort(pdf["score"].to_numpy())
+        assert len(np.unique(x)) == n
+        q = cl.quantiles(df, "score", [0.25, 0.5, 0.75], partitions=16).first()
+        assert [q["q0"], q["q1"], q["q2"]] == [x[math.ceil(p * n) - 1] for p in (0.25, 0.5, 0.75)]
+
+        order = pdf.sort_values("score")
+        y = order["tx_fraud"].to_numpy()
+        pos, neg = int(y.sum()), int((1 - y).sum())
+        auc = float((y * np.cumsum(1 - y)).sum()) / (pos * neg)
+        assert abs(me.auc_roc(df, partitions=16).first()["auc_roc"] - auc) < 1e-12
+        d = y[::-1]
+        tp, k = np.cumsum(d), np.arange(1, n + 1)
+        prec = tp / k
+        before = np.concatenate(([prec[0]], prec[:-1]))
+        assert abs(me.auc_pr(df, partitions=16).first()["area_under_pr"] - float((d / pos * (prec + before) / 2).sum())) < 1e-9
+        curve = me.pr_curve(df, partitions=16).agg(F.count("*"), F.count_distinct("tp", "fp"), F.sum("tp")).first()
+        assert tuple(curve) == (n, n, int(tp.sum()))
+
+        rank = np.empty(n)
+        rank[order.index.to_numpy()] = np.arange(1, n + 1)
+        a = (pdf["model"] == "A").to_numpy()
+        u1 = float(rank[a].sum()) - a.sum() * (a.sum() + 1) / 2
+        assert abtest.mann_whitney(df, partitions=16).first()["u1"] == u1
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+def test_staged_columns_and_scratch_are_bounded(spark):
+    """A metric's staged copy holds the columns it needs, and a scope removes it."""
+    from txsentry.session import scratch_scope
+    from txsentry.sources import files
+
+    df = tx_rows(spark, [row(i, float(i % 37)) for i in range(200)])
+    with scratch_scope():
+        path = scratch_path(spark, "dedup")
+        cl.clean(df, stage_path=path, keep=["transaction_id", "tx_fraud"]).collect()
+        assert set(files.read_parquet(spark, path).columns) == {"transaction_id", "tx_fraud", "tx_amount"}
+        assert os.path.exists(path.removeprefix("file:"))
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
 def test_running_totals_with_a_hot_value(spark):
     # one value holds a third of all rows
     vals = [5.0] * 3000 + [float(i % 50) for i in range(6000)]

@@ -56,7 +56,8 @@ def test_stream_equals_batch(spark):
     model = ml.rule_model(60.0)
     batch = msg.encode_predictions(st.scored_rows(m, model))
     sink = scratch_path(spark, "t-sink")
-    q = st.score_stream(st.file_message_source(spark, src, max_files=1), model, st.parquet_batch_sink(sink), scratch_path(spark, "t-ck"), available_now=True)
+    bad = st.bad_rows_parquet_sink(scratch_path(spark, "t-bad"))
+    q = st.score_stream(st.file_message_source(spark, src, max_files=1), model, st.parquet_batch_sink(sink), bad, scratch_path(spark, "t-ck"), available_now=True)
     q.awaitTermination()
     streamed = spark.read.parquet(sink).drop("epoch")
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
@@ -69,8 +70,54 @@ def test_stream_restart_does_not_repeat(spark):
     sink, ck = scratch_path(spark, "t-sink2"), scratch_path(spark, "t-ck2")
     model = ml.rule_model(60.0)
     for _ in range(2):
-        st.score_stream(st.file_message_source(spark, src), model, st.parquet_batch_sink(sink), ck, available_now=True).awaitTermination()
-    assert spark.read.parquet(sink).count() == m.count()
+        bad = st.bad_rows_parquet_sink(scratch_path(spark, "t-bad2"))
+        st.score_stream(st.file_message_source(spark, src), model, st.parquet_batch_sink(sink), bad, ck, available_now=True).awaitTermination()
+    answered = msg.decode_messages(m).filter("is_valid").select("partition", "offset").distinct().count()
+    assert spark.read.parquet(sink).count() == answered
+
+
+def test_stream_survives_bad_input(spark, tmp_path):
+    """A fitted tree on a session without map settings: a repeated id, a NULL customer, a
+    message without a valid row and one that is no JSON. All rows come out somewhere."""
+    old = spark.conf.get("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    try:
+        train = tx_rows(spark, [row(i, 100.0 if i % 2 else 1.0, fraud=i % 2, secs=i) for i in range(200)])
+        model = ml.dt_pipeline(maxDepth=2).fit(train)
+        values = [
+            '[[1, "2024-02-07 11:59:44", 5, 9, 100.0], [2, "2024-02-07 11:59:45", 5, 9, 1.0], [1, "2024-02-07 11:59:46", 5, 9, 1.0]]',
+            '[[3, "2024-02-07 11:59:44", null, 9, 100.0], [4, "2024-02-07 11:59:44", 1, 9, 100.0]]',
+            '[[5, "never", 1, 9, 100.0], [6, "2024-02-07 11:59:44", 1, null, 100.0]]',
+            "not json",
+        ]
+        src, sink, bad = (str(tmp_path / n) for n in ("src", "sink", "bad"))
+        files.write_parquet(messages(spark, values), src)
+        st.score_stream(st.file_message_source(spark, src), model, st.parquet_batch_sink(sink), st.bad_rows_parquet_sink(bad), str(tmp_path / "ck"), available_now=True).awaitTermination()
+        got = {r["offset"]: (json.loads(r["value"]), r["n_rows"]) for r in spark.read.parquet(sink).collect()}
+        assert got == {0: ({"1": 0.0, "2": 0.0}, 3), 1: ({"4": 1.0}, 1)}
+        lost = sorted((r["offset"], r["pos"], r["transaction_id"]) for r in spark.read.parquet(bad).filter("pos is not null").collect())
+        assert lost == [(1, 0, 3), (2, 0, 5), (2, 1, 6)]
+        assert spark.read.parquet(bad).filter("pos is null").count() == 1
+    finally:
+        spark.conf.set("spark.sql.mapKeyDedupPolicy", old)
+
+
+def test_stream_clean_keeps_late_rows(spark, tmp_path):
+    """Rows far out of time order and copies in later micro-batches: the sink equals the
+    batch job's result."""
+    late = [row(1, 5.0, dt="2024-03-01 10:00:00.000000"), row(2, 6.0, dt="2024-01-01 10:00:00.000000"), row(3, 7.0, dt="2024-02-01 10:00:00.000000"), row(4, 8.0, dt="bad")]
+    src = str(tmp_path / "src")
+    for i, rows in enumerate([late[:1], late[1:2], late[2:], late]):
+        tx_rows(spark, rows).coalesce(1).write.mode("append").parquet(src)
+    sink = str(tmp_path / "sink")
+    st.clean_stream_to(st.tx_file_source(spark, src, max_files=1), sink, 100.0, str(tmp_path / "ck"), available_now=True).awaitTermination()
+    assert sorted(r["transaction_id"] for r in spark.read.parquet(sink).collect()) == [1, 2, 3, 4]
+
+
+def test_framing_does_not_depend_on_the_layout(spark):
+    rows = [row(7, 1.0)] * 20 + [row(7, 2.0)] * 3 + [row(None, 2.0)] * 4 + [row(i, float(i)) for i in range(100, 130)]
+    a, b = (sorted(map(tuple, msg.messages_from_tx(tx_rows(spark, rows).repartition(n)).collect())) for n in (2, 7))
+    assert a == b
 
 
 def test_stream_clean_matches_batch(spark, tmp_path):

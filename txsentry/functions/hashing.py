@@ -53,37 +53,22 @@ def hash_uniform_sql(key_sql: str, seed: int | str = 42, salt_sql: str | None =
     return f"(CAST(('0x' || substr(md5({inner}), 8 * ({lane_sql}) + 1, 8)) AS BIGINT) / 4294967296e0)"
 
 
-def poisson_cdf(rate: float, tol: float = 1e-12) -> list[float]:
-    """Cumulative Poisson(rate) probabilities P(X <= k) for k = 0, 1, ... until 1 - tol."""
-    out, p, acc, k = [], math.exp(-rate), 0.0, 0
+def cdf_points(rate: float) -> list[float]:
+    """Cumulative Poisson(rate) probabilities P(X <= 0), P(X <= 1), ... as far as a 32-bit
+    uniform can reach (its largest value is 1 - 2**-32), each rounded to 12 places."""
+    p = math.exp(-rate)
+    if p <= 0.0 or rate < 0:
+        raise ValueError(f"rate {rate} is out of range: exp(-rate) must be positive")
+    out, acc, k = [], 0.0, 0
     while True:
         acc += p
-        out.append(acc)
-        if 1.0 - acc < tol or k > 1000:
+        if round(acc, 12) > 1.0 - 2.0**-32:
             return out
+        out.append(round(acc, 12))
         k += 1
         p *= rate / k
-
-
-# Poisson(0.8) CDF points P(X <= 0) ... P(X <= 8). A weight is the
-# number of points a uniform draw reaches, so P(weight = k) is the Poisson mass.
-POISSON_08_CDF = [
-    0.449328964117,
-    0.808792135411,
-    0.952577403929,
-    0.9909201422,
-    0.998588689854,
-    0.999815657479,
-    0.999979253162,
-    0.999997949812,
-    0.999999819477,
-]
-
-
-def cdf_points(rate: float) -> list[float]:
-    if abs(rate - 0.8) < 1e-15:
-        return POISSON_08_CDF
-    return [round(c, 12) for c in poisson_cdf(rate, 1e-9)]
+        if p == 0.0:  # no further mass in double precision
+            return out
 
 
 def poisson_weight(u: Column, rate: float = 0.8) -> Column:
@@ -92,7 +77,3 @@ def poisson_weight(u: Column, rate: float = 0.8) -> Column:
     for c in cdf_points(rate):
         total = total + (u >= F.lit(float(c))).cast("int")
     return total
-
-
-def poisson_weight_sql(u_sql: str, rate: float = 0.8) -> str:
-    return "(" + " + ".join(f"CAST({u_sql} >= {c!r}e0 AS INTEGER)" if "e" not in repr(c) else f"CAST({u_sql} >= {c!r} AS INTEGER)" for c in cdf_points(rate)) + ")"

@@ -46,17 +46,6 @@ def erfc_py(x: float) -> float:
     return ans if x >= 0 else 2.0 - ans
 
 
-def erfc_sql(x_sql: str) -> str:
-    """The same expression for DuckDB."""
-    z = f"abs({x_sql})"
-    t = f"(1e0 / (1e0 + 0.5e0 * {z}))"
-    poly = f"({ERFC_COEF[-1]!r}e0)"
-    for c in reversed(ERFC_COEF[:-1]):
-        poly = f"({c!r}e0 + {t} * {poly})"
-    ans = f"({t} * exp(-{z} * {z} + {poly}))"
-    return f"(CASE WHEN {x_sql} >= 0 THEN {ans} ELSE 2e0 - {ans} END)"
-
-
 def normal_two_sided_p(z: Column) -> Column:
-    """Two-sided normal tail probability for a statistic z, capped at 1."""
-    return F.least(F.lit(1.0), erfc(z / F.lit(math.sqrt(2.0))))
+    """Two-sided normal tail probability for a statistic z, capped at 1; NULL for a NULL z."""
+    return F.when(z.isNotNull(), F.least(F.lit(1.0), erfc(z / F.lit(math.sqrt(2.0)))))

@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def parse_ts(c: Column | str) -> Column:
-    """String or timestamp to timestamp; a malformed string becomes NULL instead of failing."""
+def parse_ts(c: Column | str, fmt: str | None = None) -> Column:
+    """String or timestamp to timestamp, by the pattern ``fmt`` if given; a malformed
+    string becomes NULL instead of failing."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("timestamp")
+    return F.try_to_timestamp(c, F.lit(fmt)) if fmt else c.try_cast("timestamp")
 
 
 def seconds_of_day(ts: Column | str) -> Column:
-    """Whole seconds since midnight: unix seconds of the instant minus those of its date."""
+    """Whole seconds since midnight, from the wall-clock parts."""
     ts = F.col(ts) if isinstance(ts, str) else ts
     return (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("int")
 

@@ -42,7 +42,8 @@ def mann_whitney(samples: DataFrame, value: str = "f1", by: str = "model", a: st
     distinct values (so it scales to raw score columns, not only to bootstrap
     samples). Reports U1 (of ``a``), U2, the normal statistic with continuity
     correction and tie correction, and its two-sided p value. The p value is the
-    asymptotic one for every sample size.
+    asymptotic one for every sample size; it is NULL (the test is undefined) when a
+    side has no defined value or all pooled values are equal.
     """
     x = F.col(value).cast("double")
     s = samples.filter(x.isNotNull() & F.col(by).isin(a, b))
@@ -79,7 +80,9 @@ def ab_verdict(
     samples: DataFrame, value: str = "f1", by: str = "model", a: str = "A", b: str = "B", alpha: float = 0.05, k: float = 3.0, materialize: bool = True
 ) -> DataFrame:
     """One row: the test (U1, p), whether the distributions differ at ``alpha``,
-    both intervals, and which model is better when the intervals do not overlap.
+    both intervals, and which model is better when the intervals do not overlap. A
+    model without any defined sample has no interval: the test's columns and
+    ``same_distribution`` are NULL and the verdict is ``undefined``.
 
     The sample table is read three times (test, two intervals); it has one row per
     model and replicate, so it is checkpointed to the shared checkpoint folder
@@ -100,7 +103,8 @@ def ab_verdict(
     )
     same = F.col("p_value") > F.lit(alpha)
     verdict = (
-        F.when(F.col("hi_a") < F.col("lo_b"), F.lit("B better"))
+        F.when(F.col("mean_a").isNull() | F.col("mean_b").isNull(), F.lit("undefined"))
+        .when(F.col("hi_a") < F.col("lo_b"), F.lit("B better"))
         .when(F.col("hi_b") < F.col("lo_a"), F.lit("A better"))
         .otherwise(F.lit("undecided"))
     )

@@ -1,9 +1,9 @@
 """Cleaning operators for the raw transaction table: full-row dedup, key checks,
 fill, exact or approximate quantiles and the upper IQR fence.
 
-``clean`` is one lazy plan. The fence is a one-row aggregate used as a scalar
-subquery, so no value crosses to the driver and Catalyst is free to push the
-fence test below the dedup into the Parquet scan.
+The fence of ``clean`` is a one-row aggregate used as a scalar subquery, so no value
+crosses to the driver. With ``stage_path`` the deduplicated rows are written once, at
+once; the rest stays lazy.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txsentry.operators.ranking import running_totals, value_counts
+from txsentry.sources.files import materialize
 
 # Fixed value: the "unknown customer" id of the raw feed.
 SENTINEL_CUSTOMER = -999999
@@ -113,6 +114,7 @@ def clean(
     rel_error: float = 0.05,
     partitions: int | None = None,
     stage_path: str | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Dedup, drop sentinel / NULL keys, then cut amounts above the upper IQR fence
     computed on the filtered rows (the fence is upper-side only).
@@ -124,10 +126,15 @@ def clean(
     lineage, so a lost executor does not re-run the dedup. Without it the plan
     stays one lazy query (the dedup is evaluated in both branches, the fence
     test is pushed into the scan of the main branch).
+
+    ``keep``: the columns of the result. They are projected after the dedup (which
+    needs all columns) and before the write, so only they and the amount are staged.
     """
     base = drop_null_key(filter_sentinel(dedup_rows(df), sentinel=sentinel), key_cols)
+    if keep:
+        base = base.select(*dict.fromkeys([*keep, amount_col]))
     if stage_path:
-        base.write.mode("errorifexists").parquet(stage_path)
-        base = df.sparkSession.read.parquet(stage_path)
+        base = materialize(base, stage_path)
     fences = iqr_fences(base, amount_col, k=k, method=method, rel_error=rel_error, partitions=partitions)
-    return apply_upper_fence(base, amount_col, fences.select("upper_fence").scalar())
+    out = apply_upper_fence(base, amount_col, fences.select("upper_fence").scalar())
+    return out.select(*keep) if keep else out

@@ -23,9 +23,9 @@ def with_tx_time(df: DataFrame, ts_col: str = "tx_datetime", out: str = "tx_time
     return df.withColumn(out, seconds_of_day(parse_ts(ts_col)))
 
 
-def with_time_parts(df: DataFrame, ts_col: str = "tx_datetime") -> DataFrame:
+def with_time_parts(df: DataFrame, ts_col: str = "tx_datetime", fmt: str | None = None) -> DataFrame:
     """Hour of day, minute of hour, minutes since midnight, seconds since midnight."""
-    return df.withColumns(time_parts_cols(parse_ts(ts_col)))
+    return df.withColumns(time_parts_cols(parse_ts(ts_col, fmt)))
 
 
 def assembler(features: list[str] | None = None, out: str = "features", handle_invalid: str = "error") -> VectorAssembler:

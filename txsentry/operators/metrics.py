@@ -140,7 +140,8 @@ def kpi_report(
         F.count_if(y & ~p).alias("n_missed"),
         F.count_if(~y & p).alias("n_declined"),
         F.count_if(~y).alias("n_good"),
-        F.coalesce(F.sum(F.when(y & ~p, F.col(amount))), F.lit(0.0)).alias("missed_amount"),
+        # money is summed as decimal, so the order of the rows does not matter
+        F.coalesce(F.sum(F.when(y & ~p, F.col(amount).cast("decimal(18,6)"))).cast("double"), F.lit(0.0)).alias("missed_amount"),
     )
     miss = F.try_divide(F.col("n_missed").cast("double"), F.col("n_fraud").cast("double"))
     fdr = F.try_divide(F.col("n_declined").cast("double"), F.col("n_good").cast("double"))

@@ -8,25 +8,30 @@ a feature-importance vector of length = number of features, metric scalars).
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import json
-import random
 import warnings
 from datetime import datetime, timezone
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txsentry.functions.hashing import hash_uniform
 from txsentry.operators.features import assembler, scaler
+from txsentry.operators.sampling import split_label
 from txsentry.sources.tables import FEATURES, ID, LABEL
 
-# Parameters of the weekly training job. minInfoGain is 0.0 here: a gini gain is
+# Parameters of the weekly training job, of the other models and of the
+# sampled searches. minInfoGain is 0.0 here: a gini gain is
 # at most 0.5, so a larger value turns every tree into a single leaf.
 RF_JOB_PARAMS = dict(
     numTrees=200,
@@ -37,7 +42,7 @@ RF_JOB_PARAMS = dict(
     bootstrap=True,
     seed=42,
 )
-RF_BASELINE_PARAMS = dict(numTrees=40, seed=42)
+RF_BASELINE_PARAMS = dict(numTrees=40, seed=42)  # all else at MLlib's defaults
 GBT_PARAMS = dict(maxIter=10, seed=42)
 DT_A_PARAMS: dict = dict(seed=42)
 DT_B_PARAMS = dict(maxDepth=7, seed=42)
@@ -55,6 +60,12 @@ SEARCH_SPACE = {
     "maxDepth": list(range(2, 11)),
     "impurity": ["gini", "entropy"],
 }
+# Search space of the cross-validated search.
+CV_SPACE = {
+    "numTrees": [100, 200, 300],
+    "maxDepth": list(range(2, 7)),
+    "impurity": ["gini", "entropy"],
+}
 
 
 def rule_model(threshold: float, amount: str = "tx_amount") -> PipelineModel:
@@ -87,6 +98,13 @@ def rf_pipeline(features: list[str] | None = None, label: str = LABEL, scaled: b
     return Pipeline(stages=stages)
 
 
+def rf_baseline(features: list[str] | None = None, label: str = LABEL, **params) -> Pipeline:
+    """The baseline forest: 40 trees, MLlib's defaults (depth 5, one row per leaf), on
+    unscaled features."""
+    rf = RandomForestClassifier(labelCol=label, featuresCol="features", **{**TREE_EXEC_PARAMS, **RF_BASELINE_PARAMS, **params})
+    return Pipeline(stages=[assembler(features), rf])
+
+
 def gbt_pipeline(features: list[str] | None = None, label: str = LABEL, **params) -> Pipeline:
     gbt = GBTClassifier(labelCol=label, featuresCol="features", **{**TREE_EXEC_PARAMS, **GBT_PARAMS, **params})
     return Pipeline(stages=[assembler(features), gbt])
@@ -121,15 +139,6 @@ def importances_frame(spark: SparkSession, model: PipelineModel, features: list[
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 
 
-def tree_summary(spark: SparkSession, model: PipelineModel, name: str = "model") -> DataFrame:
-    """Structure of a fitted tree stage: number of trees, total nodes, max depth."""
-    tree = model.stages[-1]
-    trees = getattr(tree, "trees", None) or [tree]
-    nodes = sum(t.numNodes for t in trees)
-    depth = max(t.depth for t in trees)
-    return spark.createDataFrame([(name, len(trees), int(nodes), int(depth))], "model string, n_trees int, n_nodes int, max_depth int")
-
-
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
@@ -147,19 +156,17 @@ def grid_maps(rf: RandomForestClassifier, num_trees=(100, 200), max_depth=(2, 7)
 
 
 def random_maps(rf: RandomForestClassifier, n_trials: int, seed: int = 42, space: dict | None = None):
-    """A seeded random draw of parameter maps from the search space."""
+    """``n_trials`` parameter maps in random order: all points of the space in the order
+    of the md5 of 'seed:round:values', without repeats within a round; a further round
+    over the whole space follows as often as needed."""
     space = space or SEARCH_SPACE
-    rnd = random.Random(seed)
-    maps, seen = [], set()
-    for _ in range(n_trials * 20):
-        pick = (rnd.choice(space["numTrees"]), rnd.choice(space["maxDepth"]), rnd.choice(space["impurity"]))
-        if pick in seen:
-            continue
-        seen.add(pick)
-        maps.append({rf.numTrees: pick[0], rf.maxDepth: pick[1], rf.impurity: pick[2]})
-        if len(maps) == n_trials:
-            break
-    return maps
+    points = list(itertools.product(*space.values()))
+    maps: list[dict] = []
+    for turn in itertools.count():
+        if len(maps) >= n_trials:
+            return maps[:n_trials]
+        order = sorted(points, key=lambda p: hashlib.md5(":".join(map(str, (seed, turn, *p))).encode()).hexdigest())
+        maps += [{rf.getParam(n): v for n, v in zip(space, p)} for p in order]
 
 
 def _tuning_frame(spark: SparkSession, maps, metrics, metric_name: str, method: str) -> DataFrame:
@@ -172,37 +179,66 @@ def _tuning_frame(spark: SparkSession, maps, metrics, metric_name: str, method:
     return spark.createDataFrame(rows, schema)
 
 
+def best_params(spark: SparkSession, model, name: str = "best") -> DataFrame:
+    """The winning model's full parameter listing, one row per parameter."""
+    tree = model.bestModel
+    rows = [(name, p.name, str(tree.getOrDefault(p))) for p in tree.params if tree.isDefined(p)]
+    return spark.createDataFrame(rows, "model string, param string, value string")
+
+
 def _rf_for_tuning(label: str) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=label, featuresCol="features", seed=42, **TREE_EXEC_PARAMS)
 
 
-def tune_grid(train: DataFrame, label: str = LABEL, train_ratio: float = 0.8, parallelism: int = 3, seed: int = 42, **grid):
+# The tuners' own splits draw by row and so depend on the layout. Folds are marked by a
+# hash of the key instead; a single train / validation split is one fold of such a
+# cross-validation, evaluated on the fold that holds ``1 - train_ratio`` of the rows.
+
+
+def _holdout(maps, est, ev, data: DataFrame, key: str, train_ratio: float, seed: int, parallelism: int):
+    part = split_label(key, [train_ratio, 1 - train_ratio], ["train", "validation"], seed)
+    train, valid = data.filter(part == "train"), data.filter(part == "validation")
+    with ThreadPool(max(1, parallelism)) as pool:
+        fitted = pool.map(lambda m: (lambda model: (model, ev.evaluate(model.transform(valid))))(est.copy(m).fit(train)), maps)
+    metrics = [v for _, v in fitted]
+    best = max(range(len(metrics)), key=lambda i: metrics[i])
+    return est.copy(maps[best]).fit(data), metrics
+
+
+class TunedModel:
+    """The best model of a search, refitted on all rows, and each trial's metric."""
+
+    def __init__(self, best_model, metrics: list[float]):
+        self.bestModel, self.validationMetrics = best_model, metrics
+
+
+def tune_grid(train: DataFrame, label: str = LABEL, train_ratio: float = 0.8, parallelism: int = 3, seed: int = 42, key: str = ID, **grid):
     """Grid search with a train/validation split, scored by area under ROC."""
     rf = _rf_for_tuning(label)
     maps = grid_maps(rf, **grid)
     ev = BinaryClassificationEvaluator(labelCol=label)
-    tvs = TrainValidationSplit(estimator=rf, estimatorParamMaps=maps, evaluator=ev, trainRatio=train_ratio, parallelism=parallelism, seed=seed)
-    model = tvs.fit(assembler().transform(train))
-    return model, _tuning_frame(train.sparkSession, maps, list(model.validationMetrics), ev.getMetricName(), "grid")
+    model = TunedModel(*_holdout(maps, rf, ev, assembler().transform(train), key, train_ratio, seed, parallelism))
+    return model, _tuning_frame(train.sparkSession, maps, model.validationMetrics, ev.getMetricName(), "grid")
 
 
-def tune_random(train: DataFrame, n_trials: int = 50, label: str = LABEL, train_ratio: float = 0.8, parallelism: int = 3, seed: int = 42):
+def tune_random(train: DataFrame, n_trials: int = 50, label: str = LABEL, train_ratio: float = 0.8, parallelism: int = 3, seed: int = 42, key: str = ID):
     """Sampled search over the search space, scored by area under PR."""
     rf = _rf_for_tuning(label)
     maps = random_maps(rf, n_trials, seed)
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
-    tvs = TrainValidationSplit(estimator=rf, estimatorParamMaps=maps, evaluator=ev, trainRatio=train_ratio, parallelism=parallelism, seed=seed)
-    model = tvs.fit(assembler().transform(train))
-    return model, _tuning_frame(train.sparkSession, maps, list(model.validationMetrics), "areaUnderPR", "random")
+    model = TunedModel(*_holdout(maps, rf, ev, assembler().transform(train), key, train_ratio, seed, parallelism))
+    return model, _tuning_frame(train.sparkSession, maps, model.validationMetrics, "areaUnderPR", "random")
 
 
-def tune_cv(train: DataFrame, n_trials: int = 40, folds: int = 2, label: str = LABEL, parallelism: int = 3, seed: int = 42):
-    """The sampled parameter maps under k-fold cross-validation."""
+def tune_cv(train: DataFrame, n_trials: int = 40, folds: int = 2, label: str = LABEL, parallelism: int = 3, seed: int = 42, key: str = ID):
+    """Maps drawn from the search's own space under k-fold cross-validation; a row's fold
+    is a hash of its key."""
     rf = _rf_for_tuning(label)
-    maps = random_maps(rf, n_trials, seed)
+    maps = random_maps(rf, n_trials, seed, CV_SPACE)
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, parallelism=parallelism, seed=seed)
-    model = cv.fit(assembler().transform(train))
+    fold = F.floor(hash_uniform(key, seed, salt=F.lit("fold")) * folds).cast("int")
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, parallelism=parallelism, seed=seed, foldCol="_fold")
+    model = cv.fit(assembler().transform(train).withColumn("_fold", F.coalesce(fold, F.lit(0))))
     return model, _tuning_frame(train.sparkSession, maps, list(model.avgMetrics), "areaUnderPR", "cv")
 
 

@@ -7,13 +7,15 @@ use this instead:
 1. aggregate to one row per distinct value (map-side partial aggregation, so a
    value that holds a third of all rows becomes one row before the shuffle);
 2. range-partition the distinct values (Spark samples the bounds), tag each row
-   with its partition number, which is monotone in the value;
+   with its partition number, which is monotone in the value, and write the tagged
+   rows once to the shared scratch folder: both uses below read the same tags. (A
+   second planning of the range shuffle may sample other bounds.)
 3. per-partition totals (one row per partition, a bounded table) give the
    offset of each partition by a window over those few rows;
 4. a window partitioned by the tag gives the running sum inside a partition;
    offset + local running sum = the global running sum.
 
-Every step is a DataFrame operation in one lazy plan.
+Every step is a DataFrame operation.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txsentry.session import scratch_path
+
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
@@ -45,6 +49,9 @@ def running_totals(
         .repartitionByRange(n, key)
         .withColumn("_part", F.spark_partition_id())
     )
+    path = scratch_path(counts.sparkSession, "running-totals")
+    tagged.write.parquet(path)
+    tagged = counts.sparkSession.read.schema(tagged.schema).parquet(path)
     part_tot = tagged.groupBy("_part").agg(*[F.sum(c).alias(f"_pt_{c}") for c in sum_cols])
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(F.lit(0))

@@ -33,23 +33,24 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return _stack(df.agg(*aggs), cols, ["count", "mean", "stddev", "min", "max"])
 
 
-def schema_profile(df: DataFrame, cols: list[str] | None = None, exact: bool = True, rsd: float = 0.01) -> DataFrame:
+def schema_profile(df: DataFrame, cols: list[str] | None = None, exact: list[str] | None = None, rsd: float = 0.01) -> DataFrame:
     """Per column: type name, row count, NULL count and distinct count.
 
-    exact=False uses HyperLogLog++ (``approx_count_distinct``), which merges
-    map-side and needs no shuffle of the values; exact=True counts distinct
-    values exactly (a shuffle of the distinct values of each column).
+    Distinct counts come from HyperLogLog++ sketches (relative error ``rsd``), which
+    merge map-side in the same aggregate as the other counts. The columns named in
+    ``exact`` are counted exactly instead, each by its own two-step aggregate (its
+    distinct values are shuffled; no row is expanded once per column).
     """
     cols = cols or df.columns
+    exact = [c for c in cols if c in set(exact or [])]
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     aggs = [F.count(F.lit(1)).alias("rows__all")]
     for c in cols:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"nulls__{c}"))
-        if exact:
-            aggs.append(F.count_distinct(F.col(c)).alias(f"distinct__{c}"))
-        else:
+        if c not in exact:
             aggs.append(F.approx_count_distinct(F.col(c), rsd).alias(f"distinct__{c}"))
     one = df.agg(*aggs)
+    one = one.withColumns({f"distinct__{c}": df.select(c).distinct().agg(F.count(c)).scalar() for c in exact})
     parts = [
         F.struct(
             F.lit(c).alias("col_name"),

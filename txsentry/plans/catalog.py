@@ -5,8 +5,12 @@ tables.
 Inputs: ``events`` mapped to the raw transaction table (see
 ``txsentry.sources.tables``). Every query reads the whole table. Metric queries
 use two fixed rule models (A: amount > 60, B: amount > 30) so that their
-results can be reproduced by SQL; the model-training queries have no SQL form
-and return their predictions / tuning tables.
+results can be reproduced by SQL.
+
+The model-fitting queries learn a planted label, a rule on a feature with eight values
+(``_planted``), so a right model's predictions, its top feature, its logged metrics and
+its saved copy's agreement can be stated in SQL. What the oracles do not cover: the
+probabilities of the models and the metric of each search trial.
 
 Double columns are rounded to 6 places on both sides.
 """
@@ -15,12 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Pipeline
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txsentry.functions.hashing import hash_uniform_sql, poisson_weight_sql
-from txsentry.functions.mathx import erfc_sql
+from txsentry.functions.timefeat import TS_FORMAT
 from txsentry.operators import abtest, clean as cl, features as fe, metrics as me, ml, sampling, stats
 from txsentry.plans import jobs
 from txsentry.session import ensure_conf, scratch_path
@@ -56,16 +60,26 @@ def _base(spark, sf):
     return cl.drop_null_key(cl.filter_sentinel(cl.dedup_rows(_tx(spark, sf))))
 
 
-def _clean(spark, sf):
-    return cl.clean(_tx(spark, sf), stage_path=scratch_path(spark, "dedup"))
+def _clean(spark, sf, keep=None):
+    """The clean table; only the columns ``keep`` (and the amount) are staged."""
+    return cl.clean(_tx(spark, sf), stage_path=scratch_path(spark, "dedup"), keep=keep)
+
+
+def _filled(spark, sf, keep=None):
+    return jobs.prepared(_clean(spark, sf, keep))
+
 
+def _split(spark, sf, keep=None):
+    return jobs.train_test(_filled(spark, sf, keep))
 
-def _filled(spark, sf):
-    return jobs.prepared(_clean(spark, sf))
 
+RULE_COLUMNS = [ID, LABEL, "tx_amount"]
 
-def _split(spark, sf):
-    return jobs.train_test(_filled(spark, sf))
+
+def _planted(df):
+    """The terminal as one of eight groups, and a label that is a rule on it."""
+    group = F.pmod(F.col("terminal_id"), F.lit(8))
+    return df.withColumn("terminal_id", group).withColumn(LABEL, (group >= 4).cast("int"))
 
 
 def _ml_split(spark, sf):
@@ -74,8 +88,8 @@ def _ml_split(spark, sf):
     rows are written once to the shared scratch folder and read back: each pass
     then scans a file instead of re-running the dedup and the fence, and a lost
     executor does not send the fit back to the raw table."""
-    prepared = files.materialize(_filled(spark, sf), scratch_path(spark, "ml-input"))
-    return jobs.train_test(prepared)
+    rows = _planted(_filled(spark, sf, [ID, LABEL, *FEATURES]))
+    return jobs.train_test(files.materialize(rows, scratch_path(spark, "ml-input")))
 
 
 def _rules():
@@ -83,7 +97,7 @@ def _rules():
 
 
 def _pred_test(spark, sf):
-    _, test = _split(spark, sf)
+    _, test = _split(spark, sf, RULE_COLUMNS)
     a, b = _rules()
     return jobs.predictions_ab(test, a, b)
 
@@ -91,7 +105,7 @@ def _pred_test(spark, sf):
 def _scored_all(spark, sf):
     """Both rule models on every clean row, long form with amount and time. One scan:
     B scores A's output, then the pair is unpivoted."""
-    df = _filled(spark, sf)
+    df = _filled(spark, sf, [*RULE_COLUMNS, "tx_datetime"])
     a, b = _rules()
     base = [ID, LABEL, "tx_amount", "tx_datetime"]
     sa = a.transform(df).select(*base, F.col("prediction").alias("prediction_a"), F.col("score").alias("score_a"))
@@ -158,6 +172,18 @@ def q_quantiles_approx(spark, sf):
     return q.select(F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
 
 
+def q_quantiles_approx_within(spark, sf):
+    """Whether the rank of each approximate quartile lies within the error."""
+    base = _base(spark, sf).select("tx_amount").filter("tx_amount is not null")
+    q = cl.quantiles(base, "tx_amount", [0.25, 0.5, 0.75], method="approx", rel_error=APPROX_REL_ERROR)
+    n, below, upto = F.count(F.lit(1)), {}, {}
+    for i in range(3):
+        v = q.select(f"q{i}").scalar()
+        below[i], upto[i] = F.count_if(F.col("tx_amount") < v) / n, F.count_if(F.col("tx_amount") <= v) / n
+    within = [((below[i] <= p + APPROX_REL_ERROR) & (upto[i] >= p - APPROX_REL_ERROR)).alias(c) for i, (p, c) in enumerate([(0.25, "p25"), (0.5, "p50"), (0.75, "p75")])]
+    return base.agg(*within)
+
+
 def q_clean_iqr_approx(spark, sf):
     return cl.clean(_tx(spark, sf), method="approx", rel_error=APPROX_REL_ERROR, stage_path=scratch_path(spark, "dedup"))
 
@@ -167,7 +193,7 @@ def q_clean_iqr(spark, sf):
 
 
 def q_project_features(spark, sf):
-    return fe.project_features(_clean(spark, sf))
+    return fe.project_features(_clean(spark, sf, [*FEATURES, LABEL]))
 
 
 def q_tx_time_feature(spark, sf):
@@ -175,15 +201,15 @@ def q_tx_time_feature(spark, sf):
 
 
 def q_time_parts(spark, sf):
-    return fe.with_time_parts(_tx(spark, sf).select(ID, "tx_datetime")).drop("tx_datetime")
+    return fe.with_time_parts(_tx(spark, sf).select(ID, "tx_datetime"), fmt=TS_FORMAT).drop("tx_datetime")
 
 
 def q_describe(spark, sf):
-    return stats.describe(_clean(spark, sf), [*FEATURES, LABEL])
+    return stats.describe(_clean(spark, sf, [*FEATURES, LABEL]), [*FEATURES, LABEL])
 
 
 def q_schema_profile(spark, sf):
-    return stats.schema_profile(_tx(spark, sf))
+    return stats.schema_profile(_tx(spark, sf), exact=TX_SCHEMA.names)
 
 
 def q_flagged(spark, sf):
@@ -203,15 +229,15 @@ def q_rmse(spark, sf):
 
 
 def q_auc_roc(spark, sf):
-    return me.auc_roc(_filled(spark, sf), score="tx_amount")
+    return me.auc_roc(_filled(spark, sf, RULE_COLUMNS), score="tx_amount")
 
 
 def q_pr_curve(spark, sf):
-    return me.pr_curve(_filled(spark, sf), score="tx_amount")
+    return me.pr_curve(_filled(spark, sf, RULE_COLUMNS), score="tx_amount")
 
 
 def q_auc_pr(spark, sf):
-    return me.auc_pr(_filled(spark, sf), score="tx_amount")
+    return me.auc_pr(_filled(spark, sf, RULE_COLUMNS), score="tx_amount")
 
 
 def q_kpi_report(spark, sf):
@@ -220,7 +246,26 @@ def q_kpi_report(spark, sf):
 
 def q_split_hash(spark, sf):
     lab = sampling.split_label(ID, jobs.SPLIT_WEIGHTS, ["train", "test"], jobs.SPLIT_SEED)
-    return _filled(spark, sf).select(ID, lab.alias("part"))
+    return _filled(spark, sf, [ID]).select(ID, lab.alias("part"))
+
+
+def _split_variant(weights, seed):
+    def run(spark, sf):
+        lab = sampling.split_label(ID, weights, ["train", "test"], seed)
+        return _filled(spark, sf, [ID]).select(ID, lab.alias("part"))
+
+    return run
+
+
+def q_split_groups(spark, sf):
+    """The test part of the 90 / 10 split in two groups of equal weight."""
+    _, test = _split(spark, sf, [ID])
+    return test.select(ID, sampling.split_label(ID, [0.5, 0.5], ["A", "B"], GROUP_SEED).alias("part"))
+
+
+# Seeds of the other splits. The group split hashes with a seed of its own: with the
+# outer split's seed all its rows would fall into one group.
+BASELINE_SEED, GROUP_SEED = 24, 4242
 
 
 def q_bootstrap_f1(spark, sf):
@@ -239,12 +284,20 @@ def q_ab_verdict(spark, sf):
     return abtest.ab_verdict(_samples(spark, sf))
 
 
+def q_ab_verdict_undefined(spark, sf):
+    """Model B flags nothing, so its F1 is undefined in every replicate."""
+    _, test = _split(spark, sf, RULE_COLUMNS)
+    a, _ = _rules()
+    preds = jobs.predictions_ab(test, a, ml.rule_model(1e300))
+    return abtest.ab_verdict(sampling.bootstrap_f1(preds, jobs.BOOT_REPLICATES, jobs.BOOT_RATE, by=["model"]))
+
+
 def q_histogram(spark, sf):
     return stats.histogram(_samples(spark, sf), "f1", bins=3, by=["model"])
 
 
 def q_ab_paired(spark, sf):
-    _, test = _split(spark, sf)
+    _, test = _split(spark, sf, RULE_COLUMNS)
     a, b = _rules()
     return abtest.ab_paired(jobs.side_by_side(test, a, b))
 
@@ -254,22 +307,27 @@ def q_score_batch(spark, sf):
 
 
 def q_assemble(spark, sf):
-    out = fe.assembler().transform(_clean(spark, sf)).select(ID, "features")
+    out = fe.assembler().transform(_clean(spark, sf, [ID, *FEATURES])).select(ID, "features")
     return fe.vector_columns(out, "features", FEATURES, "f_")
 
 
 def q_minmax_scale(spark, sf):
-    train, _ = _ml_split(spark, sf)
-    stages = [fe.assembler(), fe.scaler()]
-    from pyspark.ml import Pipeline
-
-    model = Pipeline(stages=stages).fit(train)
-    out = model.transform(_filled(spark, sf)).select(ID, "scaledFeatures")
+    rows = files.materialize(_filled(spark, sf, [ID, *FEATURES]), scratch_path(spark, "ml-input"))
+    train, _ = jobs.train_test(rows)
+    model = Pipeline(stages=[fe.assembler(), fe.scaler()]).fit(train)
+    out = model.transform(rows).select(ID, "scaledFeatures")
     return fe.vector_columns(out, "scaledFeatures", FEATURES, "s_")
 
 
 def _messages(spark, sf):
-    return msg.messages_from_tx(_tx(spark, sf))
+    """Messages as the producer frames them; every 50th one also comes broken, and
+    another one with its rows twice (repeated ids in one message)."""
+    good = files.materialize(msg.messages_from_tx(_tx(spark, sf)), scratch_path(spark, "messages"))
+    first = good.filter("partition = 0")
+    broken = first.filter(F.col("offset") % 50 == 7).select("topic", F.lit(1000).alias("partition"), "offset", F.concat(F.lit("broken "), "value").alias("value"))
+    rows = F.col("value").substr(F.lit(2), F.length("value") - 2)
+    twice = first.filter(F.col("offset") % 50 == 9).select("topic", F.lit(1001).alias("partition"), "offset", F.concat(F.lit("["), rows, F.lit(","), rows, F.lit("]")).alias("value"))
+    return good.unionByName(broken).unionByName(twice)
 
 
 def q_decode_messages(spark, sf):
@@ -282,53 +340,61 @@ def q_encode_predictions(spark, sf):
     return msg.encode_predictions(a.transform(fe.with_tx_time(rows)))
 
 
-def q_stream_score(spark, sf):
-    src = scratch_path(spark, "messages")
+def _run_score_stream(spark, sf):
+    src, sink, bad = (scratch_path(spark, n) for n in ("messages", "predicted", "bad-rows"))
     files.write_parquet(_messages(spark, sf), src)
-    sink = scratch_path(spark, "predicted")
     a, _ = _rules()
-    q = st.score_stream(st.file_message_source(spark, src), a, st.parquet_batch_sink(sink), scratch_path(spark, "ckpt-score"), available_now=True)
+    q = st.score_stream(st.file_message_source(spark, src), a, st.parquet_batch_sink(sink), st.bad_rows_parquet_sink(bad), scratch_path(spark, "ckpt-score"), available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(sink).drop("epoch")
+    return spark.read.parquet(sink).drop("epoch"), spark.read.parquet(bad).drop("epoch")
+
+
+def q_stream_score(spark, sf):
+    return _run_score_stream(spark, sf)[0]
+
+
+def q_stream_bad_rows(spark, sf):
+    """The side output of the scoring stream."""
+    return _run_score_stream(spark, sf)[1]
 
 
 def q_stream_clean(spark, sf):
-    src = scratch_path(spark, "tx-stream")
-    files.write_parquet(_tx(spark, sf), src)
-    fence = cl.iqr_fences(_base(spark, sf)).first()["upper_fence"]
-    sink = scratch_path(spark, "clean-stream")
-    s = st.clean_stream(st.tx_file_source(spark, src), fence)
-    q = (
-        s.writeStream.format("parquet")
-        .option("path", sink)
-        .option("checkpointLocation", scratch_path(spark, "ckpt-clean"))
-        .trigger(availableNow=True)
-        .start()
-    )
+    """The raw table arrives in four micro-batches in no order of time."""
+    src, sink = scratch_path(spark, "tx-stream"), scratch_path(spark, "clean-stream")
+    files.write_parquet(_tx(spark, sf).repartition(4), src)
+    fence = cl.iqr_fences(_base(spark, sf).select("tx_amount")).first()["upper_fence"]
+    q = st.clean_stream_to(st.tx_file_source(spark, src, max_files=1), sink, fence, scratch_path(spark, "ckpt-clean"), available_now=True)
     q.awaitTermination()
-    return spark.read.schema(TX_SCHEMA).parquet(sink)
+    return spark.read.parquet(sink).select(TX_SCHEMA.names)
 
 
 def q_ml_metrics(spark, sf):
     a, _ = _rules()
-    scored = a.transform(_filled(spark, sf))
+    scored = a.transform(_filled(spark, sf, RULE_COLUMNS))
     m = ml.ml_metrics(scored, raw="score", num_bins=0)
     return spark.createDataFrame([(m["f1_label1"], m["area_under_pr"], m["area_under_roc"], m["rmse"])], "f1_label1 double, area_under_pr double, area_under_roc double, rmse double")
 
 
-# --- model training (no SQL form) ----------------------------------------------
+# --- model training on the planted label ----------------------------------------
+
+
+def _predictions(model, test):
+    return ml.score(model, test).select(ID, LABEL, "prediction")
 
 
 def q_train_rf(spark, sf):
     train, test = _ml_split(spark, sf)
-    model = ml.rf_pipeline().fit(train)
-    return ml.score(model, test)
+    return _predictions(ml.rf_pipeline().fit(train), test)
+
+
+def q_train_rf_baseline(spark, sf):
+    train, test = _ml_split(spark, sf)
+    return _predictions(ml.rf_baseline().fit(train), test)
 
 
 def q_train_gbt(spark, sf):
     train, test = _ml_split(spark, sf)
-    model = ml.gbt_pipeline().fit(train)
-    return ml.score(model, test)
+    return _predictions(ml.gbt_pipeline().fit(train), test)
 
 
 def q_train_dt_ab(spark, sf):
@@ -339,43 +405,56 @@ def q_train_dt_ab(spark, sf):
 
 
 def q_importances(spark, sf):
+    """Per feature whether it is the most important one, and the importances' sum."""
     train, _ = _ml_split(spark, sf)
-    model = ml.rf_pipeline().fit(train)
-    return ml.importances_frame(spark, model, name="rf")
+    found = ml.importances_frame(spark, ml.rf_pipeline().fit(train), name="rf")
+    every = Window.partitionBy("model")
+    return found.select("model", "feature", (F.col("importance") == F.max("importance").over(every)).alias("is_top"), F.sum("importance").over(every).alias("total"))
 
 
-def q_tune_grid(spark, sf):
-    train, _ = _ml_split(spark, sf)
-    return ml.tune_grid(train)[1]
+TRIALS_AT_ONCE = 8
+TRIAL_COLUMNS = ["method", "trial", "params", "num_trees", "max_depth", "impurity", "metric"]
 
 
-# Trial counts of the registered sampled searches; the API defaults are 50 and 40.
-TUNE_RANDOM_TRIALS = 8
-TUNE_CV_TRIALS = 6
+def q_tune_grid(spark, sf):
+    train, _ = _ml_split(spark, sf)
+    return ml.tune_grid(train)[1].select(*TRIAL_COLUMNS)
 
 
 def q_tune_random(spark, sf):
     train, _ = _ml_split(spark, sf)
-    return ml.tune_random(train, n_trials=TUNE_RANDOM_TRIALS)[1]
+    return ml.tune_random(train, parallelism=TRIALS_AT_ONCE)[1].select(*TRIAL_COLUMNS)
 
 
 def q_tune_cv(spark, sf):
     train, _ = _ml_split(spark, sf)
-    return ml.tune_cv(train, n_trials=TUNE_CV_TRIALS)[1]
+    return ml.tune_cv(train, parallelism=TRIALS_AT_ONCE)[1].select(*TRIAL_COLUMNS)
+
+
+def q_best_params(spark, sf):
+    """The winner's searched parameters; the grid has one forest size and depth."""
+    train, _ = _ml_split(spark, sf)
+    model, _ = ml.tune_grid(train, num_trees=(40,), max_depth=(7,))
+    return ml.best_params(spark, model).filter(F.col("param").isin("numTrees", "maxDepth", "impurity", "seed"))
 
 
 def q_model_roundtrip(spark, sf):
+    """The test rows scored by a saved and loaded model, and whether the model scored
+    them alike before."""
     train, test = _ml_split(spark, sf)
     model = ml.dt_pipeline(**ml.DT_B_PARAMS).fit(train)
     path = ml.save_model(model, scratch_path(spark, "model-dt"))
-    return ml.score(ml.load_model(path), test)
+    both = jobs.side_by_side(test, model, ml.load_model(path))
+    return both.select(ID, LABEL, F.col("prediction_b").alias("prediction"), (F.col("prediction_a") == F.col("prediction_b")).alias("same"))
 
 
 def q_run_log(spark, sf):
     train, test = _ml_split(spark, sf)
     model = ml.dt_pipeline(**ml.DT_B_PARAMS).fit(train)
-    auc = me.auc_pr(ml.score(model, test), score="p_fraud").first()["area_under_pr"]
-    return ml.log_run(spark, scratch_path(spark, "runs"), "dt_md7", {"features": FEATURES, **ml.DT_B_PARAMS}, {"areaUnderPR": auc})
+    scored = ml.score(model, test)
+    auc = me.auc_pr(scored, score="p_fraud").first()["area_under_pr"]
+    f1 = me.f1_score(scored).first()["f1"]
+    return ml.log_run(spark, scratch_path(spark, "runs"), "dt_md7", {"features": FEATURES, **ml.DT_B_PARAMS}, {"areaUnderPR": auc, "f1": f1}).drop("logged_at")
 
 
 SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -390,6 +469,7 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quantiles": q_quantiles,
     "iqr_fences": q_iqr_fences,
     "quantiles_approx": q_quantiles_approx,
+    "quantiles_approx_within": q_quantiles_approx_within,
     "clean_iqr_approx": q_clean_iqr_approx,
     "project_features": q_project_features,
     "tx_time_feature": q_tx_time_feature,
@@ -405,10 +485,14 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "auc_pr": q_auc_pr,
     "kpi_report": q_kpi_report,
     "split_hash": q_split_hash,
+    "split_90_10_seed24": _split_variant([0.9, 0.1], BASELINE_SEED),
+    "split_95_5_seed42": _split_variant(jobs.TRAIN_WEIGHTS, jobs.SPLIT_SEED),
+    "split_groups": q_split_groups,
     "bootstrap_f1": q_bootstrap_f1,
     "f1_interval": q_f1_interval,
     "mann_whitney": q_mann_whitney,
     "ab_verdict": q_ab_verdict,
+    "ab_verdict_undefined": q_ab_verdict_undefined,
     "histogram": q_histogram,
     "ab_paired": q_ab_paired,
     "score_batch": q_score_batch,
@@ -417,15 +501,18 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_messages": q_decode_messages,
     "encode_predictions": q_encode_predictions,
     "stream_score": q_stream_score,
+    "stream_bad_rows": q_stream_bad_rows,
     "stream_clean": q_stream_clean,
     "ml_metrics": q_ml_metrics,
     "train_rf": q_train_rf,
+    "train_rf_baseline": q_train_rf_baseline,
     "train_gbt": q_train_gbt,
     "train_dt_ab": q_train_dt_ab,
     "importances": q_importances,
     "tune_grid": q_tune_grid,
     "tune_random": q_tune_random,
     "tune_cv": q_tune_cv,
+    "best_params": q_best_params,
     "model_roundtrip": q_model_roundtrip,
     "run_log": q_run_log,
 }
@@ -447,9 +534,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # DuckDB side
 # ---------------------------------------------------------------------------
 
-_U_SPLIT = hash_uniform_sql("transaction_id", 42)
-_W_BOOT = poisson_weight_sql(
-    hash_uniform_sql("transaction_id", 42, "model || ':' || CAST(replicate // 4 AS VARCHAR)", lane_sql="replicate % 4"), 0.8
+# The constants below are written out by hand, apart from the Python lists.
+
+
+def _u(seed: int) -> str:
+    """A uniform number from the row's id: the first 32 bits of md5('seed:id')."""
+    return f"(CAST(('0x' || substr(md5('{seed}:' || CAST(transaction_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296e0)"
+
+
+_U_SPLIT = _u(42)
+# Replicate r of a model reads 32-bit lane r mod 4 of md5('42:model:(r div 4):id').
+_U_BOOT = (
+    "(CAST(('0x' || substr(md5('42:' || model || ':' || CAST(replicate // 4 AS VARCHAR) || ':' || CAST(transaction_id AS VARCHAR)), "
+    "8 * (replicate % 4) + 1, 8)) AS BIGINT) / 4294967296e0)"
+)
+# Poisson(0.8): the weight is how many of P(X <= 0), P(X <= 1), ... the uniform reaches.
+_W_BOOT = (
+    "(CASE WHEN u < 0.449328964117 THEN 0 WHEN u < 0.808792135411 THEN 1 WHEN u < 0.952577403929 THEN 2 WHEN u < 0.990920142200 THEN 3 "
+    "WHEN u < 0.998588689854 THEN 4 WHEN u < 0.999815657479 THEN 5 WHEN u < 0.999979253162 THEN 6 WHEN u < 0.999997949812 THEN 7 "
+    "WHEN u < 0.999999819477 THEN 8 WHEN u < 0.999999985669 THEN 9 WHEN u < 0.999999998964 THEN 10 ELSE 11 END)"
+)
+# Two-sided normal tail of z: erfc(x) at x = z / sqrt(2) (x >= 0) by the ten-term
+# Chebyshev fit in t = 1 / (1 + x / 2), written as a plain polynomial.
+_ERFC = (
+    "(t * exp(-x * x - 1.26551223e0 + 1.00002368e0 * t + 0.37409196e0 * t ** 2 + 0.09678418e0 * t ** 3 - 0.18628806e0 * t ** 4 "
+    "+ 0.27886807e0 * t ** 5 - 1.13520398e0 * t ** 6 + 1.48851587e0 * t ** 7 - 0.82215223e0 * t ** 8 + 0.17087277e0 * t ** 9))"
 )
 
 # Named building blocks, in dependency order.
@@ -493,7 +602,7 @@ CTES: list[tuple[str, str]] = [
         f"SELECT model, CAST(replicate AS INTEGER) AS replicate, "
         f"CAST(sum(w * y * p) AS BIGINT) AS tp, CAST(sum(w * (1 - y) * p) AS BIGINT) AS fp, "
         f"CAST(sum(w * y * (1 - p)) AS BIGINT) AS fn, CAST(sum(w) AS BIGINT) AS n "
-        f"FROM (SELECT *, {_W_BOOT} AS w FROM boot_rows) GROUP BY model, replicate",
+        f"FROM (SELECT *, {_W_BOOT} AS w FROM (SELECT *, {_U_BOOT} AS u FROM boot_rows)) GROUP BY model, replicate",
     ),
     (
         "samples",
@@ -527,19 +636,39 @@ CTES: list[tuple[str, str]] = [
         "(CASE WHEN sqrt(n1 * n2 / 12e0 * ((n1 + n2 + 1e0) - ties / ((n1 + n2) * (n1 + n2 - 1e0)))) > 0 "
         "THEN sqrt(n1 * n2 / 12e0 * ((n1 + n2 + 1e0) - ties / ((n1 + n2) * (n1 + n2 - 1e0)))) END) AS z FROM mw_u",
     ),
-    ("mw", f"SELECT CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, u1, u2, z, least(1e0, {erfc_sql('(z / sqrt(2e0))')}) AS p_value FROM mw_z"),
+    (
+        "mw",
+        "SELECT CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, u1, u2, z, CASE WHEN z IS NULL THEN NULL "
+        f"WHEN z >= 0 THEN least(1e0, {_ERFC}) ELSE least(1e0, 2e0 - {_ERFC}) END AS p_value "
+        "FROM (SELECT *, 1e0 / (1e0 + 0.5e0 * x) AS t FROM (SELECT *, abs(z) / sqrt(2e0) AS x FROM mw_z))",
+    ),
+    (
+        "good_rows",
+        "SELECT 'data' AS topic, \"partition\", CAST(floor(transaction_id / 5) AS BIGINT) AS \"offset\", "
+        "CAST(row_number() OVER (PARTITION BY \"partition\", floor(transaction_id / 5) ORDER BY transaction_id) - 1 AS INTEGER) AS pos, "
+        "transaction_id, tx_datetime, customer_id, terminal_id, tx_amount, "
+        "customer_id IS NOT NULL AND terminal_id IS NOT NULL AND tx_amount IS NOT NULL AS is_valid "
+        "FROM (SELECT *, CAST(row_number() OVER (PARTITION BY transaction_id) - 1 AS INTEGER) AS \"partition\" FROM tx)",
+    ),
     (
         "messages_rows",
-        "SELECT 'data' AS topic, CAST(0 AS INTEGER) AS \"partition\", CAST(floor(transaction_id / 5) AS BIGINT) AS \"offset\", "
-        "CAST(row_number() OVER (PARTITION BY floor(transaction_id / 5) ORDER BY transaction_id) - 1 AS INTEGER) AS pos, "
-        "transaction_id, tx_datetime, customer_id, terminal_id, tx_amount FROM tx",
+        "SELECT * FROM good_rows UNION ALL SELECT DISTINCT topic, CAST(1000 AS INTEGER), \"offset\", CAST(NULL AS INTEGER), CAST(NULL AS BIGINT), "
+        "CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), false "
+        "FROM good_rows WHERE \"partition\" = 0 AND \"offset\" % 50 = 7 "
+        "UNION ALL SELECT topic, CAST(1001 AS INTEGER), \"offset\", CAST(pos + again * (count(*) OVER (PARTITION BY \"offset\", again)) AS INTEGER), "
+        "transaction_id, tx_datetime, customer_id, terminal_id, tx_amount, is_valid "
+        "FROM good_rows, (VALUES (0), (1)) AS t(again) WHERE \"partition\" = 0 AND \"offset\" % 50 = 9",
+    ),
+    (
+        "answers",
+        "SELECT topic, \"partition\", \"offset\", transaction_id, max(pos) AS pos, max(CAST(tx_amount > 60.0e0 AS INTEGER)) AS flag, count(*) AS n "
+        "FROM messages_rows WHERE is_valid GROUP BY ALL",
     ),
     (
         "encoded",
-        "SELECT topic, \"partition\", \"offset\", "
-        "'{' || string_agg('\"' || CAST(transaction_id AS VARCHAR) || '\":' || "
-        "CASE WHEN tx_amount > 60.0e0 THEN '1.0' ELSE '0.0' END, ',' ORDER BY pos) || '}' AS value, "
-        "CAST(count(*) AS INTEGER) AS n_rows FROM messages_rows GROUP BY topic, \"partition\", \"offset\"",
+        "SELECT topic, \"partition\", \"offset\", '{' || string_agg('\"' || CAST(transaction_id AS VARCHAR) || '\":' || "
+        "CASE WHEN flag = 1 THEN '1.0' ELSE '0.0' END, ',' ORDER BY pos) || '}' AS value, "
+        "CAST(sum(n) AS INTEGER) AS n_rows FROM answers GROUP BY topic, \"partition\", \"offset\"",
     ),
     (
         "score_counts",
@@ -709,13 +838,16 @@ def oracle_sql() -> dict[str, str]:
             "FROM (SELECT model, substr(tx_datetime, 1, 7) AS period, count(*) AS n, "
             "CAST(count_if(tx_fraud = 1) AS BIGINT) AS n_fraud, CAST(count_if(tx_fraud = 1 AND prediction <> 1) AS BIGINT) AS n_missed, "
             "CAST(count_if(tx_fraud <> 1 AND prediction = 1) AS BIGINT) AS n_declined, CAST(count_if(tx_fraud <> 1) AS BIGINT) AS n_good, "
-            "coalesce(sum(CASE WHEN tx_fraud = 1 AND prediction <> 1 THEN tx_amount END), 0e0) AS missed_amount "
+            "coalesce(CAST(sum(CASE WHEN tx_fraud = 1 AND prediction <> 1 THEN CAST(tx_amount AS DECIMAL(18, 6)) END) AS DOUBLE), 0e0) AS missed_amount "
             "FROM scored_all GROUP BY model, substr(tx_datetime, 1, 7))",
             "scored_all",
         ),
         ["miss_rate", "false_decline_rate", "missed_amount"],
     )
     s["split_hash"] = _with("SELECT transaction_id, part FROM labeled", "labeled")
+    s["split_90_10_seed24"] = _with(f"SELECT transaction_id, CASE WHEN {_u(24)} < 0.9e0 THEN 'train' ELSE 'test' END AS part FROM filled", "filled")
+    s["split_95_5_seed42"] = _with(f"SELECT transaction_id, CASE WHEN {_u(42)} < 0.95e0 THEN 'train' ELSE 'test' END AS part FROM filled", "filled")
+    s["split_groups"] = _with(f"SELECT transaction_id, CASE WHEN {_u(4242)} < 0.5e0 THEN 'A' ELSE 'B' END AS part FROM test", "test")
     s["bootstrap_f1"] = _round(_with("SELECT * FROM samples", "samples"), ["f1"])
     s["f1_interval"] = _round(_with("SELECT * FROM intervals", "intervals"), ["mean", "std", "lo", "hi"])
     s["mann_whitney"] = _round(_with("SELECT * FROM mw", "mw"), ["u1", "u2", "z", "p_value"])
@@ -723,12 +855,21 @@ def oracle_sql() -> dict[str, str]:
         _with(
             "SELECT mw.u1, mw.p_value, mw.p_value > 0.05e0 AS same_distribution, a.mean AS mean_a, a.lo AS lo_a, a.hi AS hi_a, "
             "b.mean AS mean_b, b.lo AS lo_b, b.hi AS hi_b, a.n_undefined AS n_undefined_a, b.n_undefined AS n_undefined_b, "
-            "CASE WHEN a.hi < b.lo THEN 'B better' WHEN b.hi < a.lo THEN 'A better' ELSE 'undecided' END AS verdict "
+            "CASE WHEN a.mean IS NULL OR b.mean IS NULL THEN 'undefined' WHEN a.hi < b.lo THEN 'B better' WHEN b.hi < a.lo THEN 'A better' ELSE 'undecided' END AS verdict "
             "FROM mw, (SELECT * FROM intervals WHERE model = 'A') AS a, (SELECT * FROM intervals WHERE model = 'B') AS b",
             "mw",
         ),
         ["u1", "p_value", "mean_a", "lo_a", "hi_a", "mean_b", "lo_b", "hi_b"],
     )
+    s["ab_verdict_undefined"] = _round(
+        _with(
+            "SELECT 0e0 AS u1, CAST(NULL AS DOUBLE) AS p_value, CAST(NULL AS BOOLEAN) AS same_distribution, a.mean AS mean_a, a.lo AS lo_a, a.hi AS hi_a, "
+            "CAST(NULL AS DOUBLE) AS mean_b, CAST(NULL AS DOUBLE) AS lo_b, CAST(NULL AS DOUBLE) AS hi_b, a.n_undefined AS n_undefined_a, "
+            "CAST(50 AS BIGINT) AS n_undefined_b, 'undefined' AS verdict FROM intervals AS a WHERE model = 'A'",
+            "intervals",
+        ),
+        ["u1", "p_value", "mean_a", "lo_a", "hi_a", "mean_b", "lo_b", "hi_b"],
+    )
     s["histogram"] = _round(
         _with(
             "SELECT model, CAST(bin AS INTEGER) AS bin, lo + (hi - lo) * bin / 3e0 AS bin_lo, lo + (hi - lo) * (bin + 1) / 3e0 AS bin_hi, "
@@ -750,7 +891,8 @@ def oracle_sql() -> dict[str, str]:
     s["score_batch"] = _with("SELECT * FROM pred", "pred")
     s["assemble"] = _round(_with(_vector_sql("clean", "f_", False), "clean"), [f"f_{c}" for c in FEATURES])
     s["minmax_scale"] = _round(_with(_vector_sql("filled", "s_", True), "train"), [f"s_{c}" for c in FEATURES])
-    s["decode_messages"] = _round(_with("SELECT *, true AS is_valid FROM messages_rows", "messages_rows"), TX_DOUBLES)
+    s["decode_messages"] = _round(_with("SELECT * FROM messages_rows", "messages_rows"), TX_DOUBLES)
+    s["stream_bad_rows"] = _round(_with("SELECT * FROM messages_rows WHERE NOT is_valid", "messages_rows"), TX_DOUBLES)
     s["encode_predictions"] = _with("SELECT * FROM encoded", "encoded")
     s["stream_score"] = s["encode_predictions"]
     s["stream_clean"] = s["clean_iqr"]
@@ -765,4 +907,41 @@ def oracle_sql() -> dict[str, str]:
         ),
         ["f1_label1", "area_under_pr", "area_under_roc", "rmse"],
     )
+    s["quantiles_approx_within"] = "SELECT true AS p25, true AS p50, true AS p75"
+    rule = "CAST(terminal_id % 8 >= 4 AS INTEGER) AS tx_fraud, CAST(terminal_id % 8 >= 4 AS DOUBLE) AS prediction"
+    for name in ("train_rf", "train_rf_baseline", "train_gbt"):
+        s[name] = _with(f"SELECT transaction_id, {rule} FROM test", "test")
+    s["train_dt_ab"] = _with(f"SELECT model, transaction_id, {rule} FROM test, (VALUES ('A'), ('B')) AS m(model)", "test")
+    s["model_roundtrip"] = _with(f"SELECT transaction_id, {rule}, true AS same FROM test", "test")
+    s["importances"] = (
+        "SELECT 'rf' AS model, feature, feature = 'terminal_id' AS is_top, 1e0 AS total "
+        "FROM (VALUES ('customer_id'), ('terminal_id'), ('tx_amount'), ('tx_time_seconds')) AS f(feature)"
+    )
+    trial = (
+        "'{\"impurity\": \"' || impurity || '\", \"maxDepth\": ' || max_depth || ', \"numTrees\": ' || num_trees || '}' AS params, "
+        "CAST(num_trees AS INTEGER) AS num_trees, CAST(max_depth AS INTEGER) AS max_depth, impurity"
+    )
+    s["tune_grid"] = (
+        f"SELECT 'grid' AS method, CAST(trial AS INTEGER) AS trial, {trial}, 'areaUnderROC' AS metric "
+        "FROM (VALUES (0, 100, 2, 'gini'), (1, 100, 7, 'gini'), (2, 200, 2, 'gini'), (3, 200, 7, 'gini')) AS t(trial, num_trees, max_depth, impurity)"
+    )
+
+    def draws(method: str, n: int, trees: str, depths: str) -> str:
+        points = (
+            "SELECT round, num_trees, max_depth, impurity FROM range(0, 9) AS r(round), "
+            f"(SELECT unnest({trees}) AS num_trees), (SELECT unnest({depths}) AS max_depth), (VALUES ('gini'), ('entropy')) AS i(impurity)"
+        )
+        drawn = (
+            "SELECT *, row_number() OVER (ORDER BY round, md5('42:' || round || ':' || num_trees || ':' || max_depth || ':' || impurity)) - 1 AS trial "
+            f"FROM ({points}) QUALIFY trial < {n}"
+        )
+        return f"SELECT '{method}' AS method, CAST(trial AS INTEGER) AS trial, {trial}, 'areaUnderPR' AS metric FROM ({drawn})"
+
+    s["tune_random"] = draws("random", 50, "[100, 200, 300, 400]", "[2, 3, 4, 5, 6, 7, 8, 9, 10]")
+    s["tune_cv"] = draws("cv", 40, "[100, 200, 300]", "[2, 3, 4, 5, 6]")
+    s["best_params"] = "SELECT 'best' AS model, * FROM (VALUES ('numTrees', '40'), ('maxDepth', '7'), ('impurity', 'gini'), ('seed', '42')) AS p(param, value)"
+    s["run_log"] = (
+        "SELECT 'dt_md7' AS run, * FROM (VALUES ('param', 'features', '[\"customer_id\", \"terminal_id\", \"tx_amount\", \"tx_time_seconds\"]'), "
+        "('param', 'maxDepth', '7'), ('param', 'seed', '42'), ('metric', 'areaUnderPR', '1.0'), ('metric', 'f1', '1.0')) AS r(kind, key, value)"
+    )
     return s

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txsentry.operators import abtest, clean as cl, metrics, ml, sampling
-from txsentry.session import scratch_dir, scratch_path
+from txsentry.session import ensure_conf, scratch_dir, scratch_path, scratch_scope
 from txsentry.sources import files
-from txsentry.sources.tables import ID, LABEL
+from txsentry.sources.tables import FEATURES, ID, LABEL, TX_SCHEMA
 from txsentry.streaming import score as st
 
 # The split used for training and validation (90 / 10, seed 42) and
@@ -24,6 +24,8 @@ SPLIT_SEED = 42
 BOOT_REPLICATES = 50
 BOOT_RATE = 0.8
 
+NUMERIC_COLUMNS = [f.name for f in TX_SCHEMA.fields if f.dataType.typeName() != "string"]
+
 # Deterministic rule models used where results must be reproducible in SQL.
 RULE_A_THRESHOLD = 60.0
 RULE_B_THRESHOLD = 30.0
@@ -35,8 +37,14 @@ def train_test(df: DataFrame, weights: list[float] | None = None, seed: int = SP
 
 
 def prepared(df: DataFrame) -> DataFrame:
-    """Clean rows as the validation job reads them: NULL numbers -> 0."""
-    return cl.fill_zero(df)
+    """Clean rows as both the training and the validation job read them: NULL numbers
+    become 0. A row without a key gets a negative one from its content, as the split and
+    the bootstrap hash the key: such rows spread over parts and weights like others."""
+    out = df.fillna(0, subset=[c for c in df.columns if c != ID and c in NUMERIC_COLUMNS])
+    if ID not in df.columns:
+        return out
+    alone = -F.shiftrightunsigned(F.xxhash64(*df.columns), 1)
+    return out.withColumn(ID, F.coalesce(F.col(ID), alone))
 
 
 def predictions_ab(test: DataFrame, model_a: PipelineModel, model_b: PipelineModel) -> DataFrame:
@@ -63,52 +71,76 @@ def side_by_side(test: DataFrame, model_a: PipelineModel, model_b: PipelineModel
 
 
 def clean_job(spark: SparkSession, src: str, dst: str, sentinel: int = cl.SENTINEL_CUSTOMER, method: str = "exact", rel_error: float = 0.05, raw_copy: str | None = None, fmt: str = "csv") -> DataFrame:
-    """Raw CSV (or Parquet) -> optional raw Parquet copy -> clean -> Parquet at ``dst``."""
-    raw = files.read_csv(spark, src) if fmt == "csv" else files.read_parquet(spark, src)
-    if raw_copy:
-        files.write_parquet(raw, raw_copy)
-        raw = files.read_parquet(spark, raw_copy)
-    stage = scratch_path(spark, "clean-stage")
-    out = cl.clean(raw, sentinel=sentinel, method=method, rel_error=rel_error, stage_path=stage)
-    files.write_parquet(out, dst)
-    # the result is read back from ``dst``; the staged copy (as large as the clean
-    # table) is no longer referenced
-    files.remove_path(spark, stage)
+    """Raw CSV (or Parquet) -> optional raw Parquet copy -> clean -> Parquet at ``dst``.
+    Staged copies are removed at the end, also after a failure."""
+    ensure_conf(spark)
+    with scratch_scope():
+        raw = files.read_csv(spark, src) if fmt == "csv" else files.read_parquet(spark, src)
+        if raw_copy:
+            files.write_parquet(raw, raw_copy)
+            raw = files.read_parquet(spark, raw_copy)
+        out = cl.clean(raw, sentinel=sentinel, method=method, rel_error=rel_error, stage_path=scratch_path(spark, "clean-stage"))
+        files.write_parquet(out, dst)
     return files.read_parquet(spark, dst)
 
 
-def train_job(spark: SparkSession, src: str, model_dir: str, params: dict | None = None, run_log: str | None = None, run: str = "rf") -> tuple[PipelineModel, dict]:
-    """Clean Parquet -> split -> assembler/scaler/forest on the training part ->
-    area under PR on the test part -> model files (+ run log row)."""
+# The training job's own split (95 / 5).
+TRAIN_WEIGHTS = [0.95, 0.05]
+
+
+def train_job(
+    spark: SparkSession,
+    src: str,
+    model_dir: str,
+    params: dict | None = None,
+    run_log: str | None = None,
+    run: str = "rf",
+    random_state: int = SPLIT_SEED,
+    weights: list[float] | None = None,
+) -> tuple[PipelineModel, dict]:
+    """Clean Parquet -> split by ``weights`` and ``random_state`` -> assembler/scaler/
+    forest on the training part -> F1 and area under PR on the test part -> model files
+    (+ run log rows: features, split, parameters, metrics)."""
+    ensure_conf(spark)
     scratch_dir(spark)  # the checkpoint folder the tree learner checkpoints into
-    df = files.read_parquet(spark, src)
-    train, test = train_test(df)
-    p = {**ml.RF_JOB_PARAMS, **(params or {})}
-    model = ml.rf_pipeline(**p).fit(train)
-    auc = metrics.auc_pr(ml.score(model, test), score="p_fraud").first()["area_under_pr"]
-    ml.save_model(model, model_dir)
-    result = {"areaUnderPR": float(auc) if auc is not None else float("nan")}
+    with scratch_scope():
+        df = prepared(files.read_parquet(spark, src))
+        weights = weights or TRAIN_WEIGHTS
+        train, test = train_test(df, weights, random_state)
+        p = {**ml.RF_JOB_PARAMS, "seed": random_state, **(params or {})}
+        model = ml.rf_pipeline(**p).fit(train)
+        scored = files.materialize(ml.score(model, test), scratch_path(spark, "train-scored"))
+        auc = metrics.auc_pr(scored, score="p_fraud").first()["area_under_pr"]
+        f1 = metrics.f1_score(scored).first()["f1"]
+        ml.save_model(model, model_dir)
+    nan = float("nan")
+    result = {"areaUnderPR": nan if auc is None else float(auc), "f1": nan if f1 is None else float(f1)}
     if run_log:
-        ml.log_run(spark, run_log, run, p, result)
+        ml.log_run(spark, run_log, run, {"features": FEATURES, "split": weights, **p}, result)
     return model, result
 
 
-def ab_job(spark: SparkSession, src: str, model_a: str | PipelineModel, model_b: str | PipelineModel, reps: int = BOOT_REPLICATES, rate: float = BOOT_RATE, alpha: float = 0.05) -> DataFrame:
+def ab_job(spark: SparkSession, src: str, model_a: str | PipelineModel, model_b: str | PipelineModel, reps: int = BOOT_REPLICATES, rate: float = BOOT_RATE, alpha: float = 0.05, random_state: int = SPLIT_SEED, weights: list[float] | None = None) -> DataFrame:
     """Score the test part with both models once, bootstrap F1 in one pass, then the
     interval, the U test and the verdict (one row)."""
+    ensure_conf(spark)
     df = prepared(files.read_parquet(spark, src))
-    _, test = train_test(df)
+    _, test = train_test(df, weights, random_state)
     ma = ml.load_model(model_a) if isinstance(model_a, str) else model_a
     mb = ml.load_model(model_b) if isinstance(model_b, str) else model_b
     samples = sampling.bootstrap_f1(predictions_ab(test, ma, mb), reps, rate, by=["model"])
     return abtest.ab_verdict(samples, alpha=alpha)
 
 
-def score_stream_job(spark: SparkSession, source_opts: dict, sink_opts: dict, model_dir: str, checkpoint: str, trigger: str | None = None):
-    """Kafka in -> scores -> Kafka out. ``source_opts`` / ``sink_opts`` need
-    ``bootstrap`` and ``topic``; other keys are passed as Kafka options."""
+def score_stream_job(spark: SparkSession, source_opts: dict, sink_opts: dict, bad_opts: dict, model_dir: str, checkpoint: str, trigger: str | None = None):
+    """Kafka in -> scores -> Kafka out. ``source_opts`` / ``sink_opts`` / ``bad_opts`` need
+    ``bootstrap`` and ``topic``; other keys are passed as Kafka options. Rows that cannot
+    be scored go to the topic of ``bad_opts``."""
+    ensure_conf(spark)
     so = dict(source_opts)
     msgs = st.kafka_source(spark, so.pop("bootstrap"), so.pop("topic"), so)
     ko = dict(sink_opts)
     sink = st.kafka_batch_sink(ko.pop("bootstrap"), ko.pop("topic", "predicted"), ko)
-    return st.score_stream(msgs, ml.load_model(model_dir), sink, checkpoint, processing_time=trigger)
+    bo = dict(bad_opts)
+    bad = st.bad_rows_kafka_sink(bo.pop("bootstrap"), bo.pop("topic"), bo)
+    return st.score_stream(msgs, ml.load_model(model_dir), sink, bad, checkpoint, processing_time=trigger)

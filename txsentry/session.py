@@ -1,26 +1,23 @@
 """Session helpers: a local session for tests and benches, and the shared scratch folder.
 
-On a cluster the caller owns the session; the library only reads from it. The one
-setting the library itself depends on is a UTC session time zone (seconds since
-midnight are computed from wall-clock parts).
+On a cluster the caller owns the session; the library only reads from it. Results do
+not depend on session settings except the time zone of ``timestamp`` columns, which
+must be UTC (``ensure_conf``).
 """
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this package expects. Applied by ``local_session`` and
-# checked (not forced) by ``ensure_conf`` on a caller's session.
-REQUIRED_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    # A Python dict keeps the last value of a repeated key; maps built from
-    # message rows follow the same rule.
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-}
+# Checked on the caller's session, set by ``local_session``.
+REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC"}
 
 TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -38,7 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     for k, v in {**REQUIRED_CONF, **TUNING_CONF}.items():
         builder = builder.config(k, v)
@@ -49,24 +46,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_conf(spark: SparkSession) -> None:
-    """Set the settings results depend on, where the caller has not set them."""
+    """Set the required settings where the caller has set nothing; raise where the
+    caller's value conflicts."""
     for k, v in REQUIRED_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
+        now = spark.conf.get(k, None)
+        explicit = spark.sparkContext.getConf().contains(k) or now not in (None, _java_default(spark, k))
+        if now == v:
+            continue
+        if explicit:
+            raise ValueError(f"{k} is {now}; this package needs {v}")
+        spark.conf.set(k, v)
+
+
+def _java_default(spark: SparkSession, key: str) -> str | None:
+    """The value a session takes when nobody sets the time zone: the JVM's own."""
+    if key != "spark.sql.session.timeZone":
+        return None
+    return spark.sparkContext._jvm.java.util.TimeZone.getDefault().getID()
 
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session. Only when it is unset (local tests, the driver's
-    checks) a fresh folder under the system temp dir is made and registered,
-    so later calls in the same session share it.
+    Read from the session. Where it is unset, a fresh local folder is made for a local
+    master only (tests, the driver's checks); on a cluster executors would each write
+    to their own disk, so that raises.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = _LOCAL_SCRATCH.get(sc.applicationId)
     if not d:
+        master = sc.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="txsentry-ckpt-")
         _LOCAL_SCRATCH[sc.applicationId] = d
     if not sc.getCheckpointDir():
@@ -75,17 +88,44 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_MADE: list[tuple[SparkSession, str]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path below the shared scratch folder."""
+    """A new, unique path below the shared scratch folder. It is removed when the
+    ``scratch_scope`` around the call ends, at the latest when Python exits."""
     base = scratch_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append((spark, path))
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this package wrote through the Hadoop file system of its URI, so
+    it works the same on HDFS, object stores and local disk."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))
+
+
+def _remove_from(mark: int) -> None:
+    while len(_MADE) > mark:
+        spark, path = _MADE.pop()
+        try:
+            remove_path(spark, path)
+        except Exception:  # noqa: BLE001  a stopped session; the folder is scratch
+            pass
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Remove every scratch path made inside when the block ends, also after an error."""
+    mark = len(_MADE)
+    try:
+        yield
+    finally:
+        _remove_from(mark)
 
 
-def path_exists(path: str) -> bool:
-    return is_local_path(path) and os.path.exists(path.removeprefix("file:"))
+atexit.register(_remove_from, 0)

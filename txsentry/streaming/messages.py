@@ -10,7 +10,7 @@ the same on a static table, inside ``foreachBatch`` and on a Kafka source.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,29 +40,23 @@ def _json_str(c: str) -> F.Column:
 
 def messages_from_tx(tx: DataFrame, per_message: int = 5, topic: str = "data", key: str = "transaction_id") -> DataFrame:
     """Frame transactions into messages of ``per_message`` consecutive ids, as the
-    producer does: partition 0, offset = id div ``per_message``.
-
-    A message must stay a bounded group even when ids repeat (or are NULL) for a
-    large share of the rows. Bucket sizes are counted first (a map-side combined
-    aggregate, joined back without a broadcast hint so adaptive execution picks
-    the join and splits a skewed side). Rows of a bucket holding more than
-    ``per_message`` rows are framed by their position in the scan instead, in
-    chunks of ``per_message`` on partition 1, so no message exceeds the limit.
+    producer does: offset = id div ``per_message``. The k-th row of an id travels in
+    partition k - 1, so a message holds each id once and never more than ``per_message``
+    rows, however often an id repeats. A row without an id is a message of its own, its
+    offset a hash of its content (above all id offsets).
+
+    One rule for all rows that depends on their content alone, so the framing is the same
+    on every layout. Equal rows are counted before the shuffle, so copies of one row that
+    make up a large share of the table cost one row per task.
     """
-    bucket = F.floor(F.col(key) / F.lit(per_message)).cast("bigint")
-    # the scan position is taken before any shuffle, so a retried task repeats it
-    chunk = F.floor(F.monotonically_increasing_id() / F.lit(per_message)).cast("bigint")
-    rows = tx.withColumns({"_b": bucket, "_c": chunk})
-    sizes = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
-    rows = rows.join(sizes, rows["_b"].eqNullSafe(sizes["_b"]), "left").drop(sizes["_b"])
-    overflow = F.col("_b").isNull() | (F.col("_bn") > F.lit(per_message))
-    part = F.when(overflow, F.lit(1)).otherwise(F.lit(0))
-    msg = F.when(overflow, F.col("_c")).otherwise(F.col("_b"))
-    return _frame(rows.withColumn("_part", part), msg, topic, key)
-
-
-def _frame(tx: DataFrame, msg: F.Column, topic: str, key: str) -> DataFrame:
-    """One JSON message per (``_part``, ``msg``) group of rows."""
+    known = F.col(key).isNotNull()
+    distinct = tx.groupBy(*ROW_FIELDS).agg(F.count(F.lit(1)).alias("_n"))
+    alone = F.shiftrightunsigned(F.xxhash64(*ROW_FIELDS), 2).bitwiseOR(F.lit(1 << 62))
+    rows = distinct.withColumn("_m", F.when(known, F.floor(F.col(key) / F.lit(per_message))).otherwise(alone).cast("bigint"))
+    rows = rows.withColumn("_same", F.when(known, F.col(key)).otherwise(alone))
+    before = Window.partitionBy("_same", known).orderBy(*ROW_FIELDS).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    rows = rows.withColumn("_part", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)))
     row_json = F.concat(
         F.lit("["),
         _json_num("transaction_id"),
@@ -76,7 +70,7 @@ def _frame(tx: DataFrame, msg: F.Column, topic: str, key: str) -> DataFrame:
         _json_num("tx_amount"),
         F.lit("]"),
     )
-    framed = tx.select("_part", msg.alias("offset"), F.col(key).alias("_pos"), row_json.alias("_row"))
+    framed = rows.select("_part", F.col("_m").alias("offset"), F.col(key).alias("_pos"), row_json.alias("_row"))
     grouped = framed.groupBy("_part", "offset").agg(F.sort_array(F.collect_list(F.struct("_pos", "_row"))).alias("_rows"))
     value = F.concat(F.lit("["), F.array_join(F.transform("_rows", lambda r: r["_row"]), ","), F.lit("]"))
     return grouped.select(F.lit(topic).alias("topic"), F.col("_part").cast("int").alias("partition"), "offset", value.alias("value"))
@@ -108,6 +102,8 @@ def decode_messages(msgs: DataFrame, keep: list[str] | None = None) -> DataFrame
         F.col("pos").isNotNull()
         & (F.col("_n") == 5)
         & F.col("transaction_id").isNotNull()
+        & F.col("customer_id").isNotNull()
+        & F.col("terminal_id").isNotNull()
         & F.col("tx_amount").isNotNull()
         & F.col("tx_datetime").try_cast("timestamp").isNotNull()
     )
@@ -116,11 +112,11 @@ def decode_messages(msgs: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 def encode_predictions(scored: DataFrame, key: list[str] | None = None, id_col: str = "transaction_id", pred: str = "prediction") -> DataFrame:
     """One outgoing message per incoming message: a JSON object from transaction id
-    to prediction, in message order; a repeated id keeps its last value (needs
-    ``spark.sql.mapKeyDedupPolicy=LAST_WIN``). Groups are messages, so each is
-    bounded by the message size."""
+    to prediction, in message order; a repeated id keeps its last value. Groups are
+    messages, so each is bounded by the message size."""
     key = key or MSG_KEY
     entries = F.sort_array(F.collect_list(F.struct(F.col("pos"), F.col(id_col).cast("string").alias("k"), F.col(pred).cast("double").alias("v"))))
     g = scored.groupBy(*key).agg(entries.alias("_e"))
-    m = F.map_from_entries(F.transform("_e", lambda e: F.struct(e["k"], e["v"])))
+    first = F.filter("_e", lambda e, i: ~F.exists(F.slice("_e", 1, i), lambda x: x["k"] == e["k"]))
+    m = F.map_from_entries(F.transform(first, lambda e: F.struct(e["k"], F.element_at(F.filter("_e", lambda x: x["k"] == e["k"]), -1)["v"])))
     return g.select(*key, F.to_json(m).alias("value"), F.size("_e").alias("n_rows"))

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from txsentry.operators.clean import SENTINEL_CUSTOMER
@@ -46,8 +47,7 @@ def file_message_source(spark: SparkSession, path: str, max_files: int | None =
 
 def scored_rows(msgs: DataFrame, model: PipelineModel) -> DataFrame:
     """Decoded valid rows with features and the model's prediction."""
-    rows = decode_messages(msgs).filter("is_valid")
-    return model.transform(with_tx_time(rows))
+    return model.transform(with_tx_time(decode_messages(msgs).filter("is_valid")))
 
 
 def parquet_batch_sink(path: str) -> Callable[[DataFrame, int], None]:
@@ -70,18 +70,42 @@ def kafka_batch_sink(bootstrap: str, topic: str = "predicted", options: dict[str
     return write
 
 
+def bad_rows_parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Write each micro-batch's invalid rows under its epoch."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={epoch}")
+
+    return write
+
+
+def bad_rows_kafka_sink(bootstrap: str, topic: str, options: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+    """Send each invalid row, as JSON with its message's place, to a topic of its own."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        w = batch.select(F.to_json(F.struct(*batch.columns)).alias("value")).write.format("kafka")
+        w = w.option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
+        for k, v in (options or {}).items():
+            w = w.option(k, v)
+        w.save()
+
+    return write
+
+
 def score_stream(
     msgs: DataFrame,
     model: PipelineModel,
     sink: Callable[[DataFrame, int], None],
+    bad_sink: Callable[[DataFrame, int], None],
     checkpoint: str,
-    bad_sink: Callable[[DataFrame, int], None] | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start the scoring query: decode -> features -> model -> one JSON map per message.
-    Grouping by message happens per micro-batch (a message never spans batches),
-    so no streaming state is kept."""
+    Rows that cannot be scored (malformed message, missing or malformed model input) go
+    to ``bad_sink`` with their message's place, so no row of the input vanishes; a message
+    without any valid row has no answer but its rows there. Grouping by message happens
+    per micro-batch (a message never spans batches), so no streaming state is kept."""
     decoded = decode_messages(msgs)
 
     def each(batch: DataFrame, epoch: int) -> None:
@@ -89,8 +113,7 @@ def score_stream(
         try:
             good = model.transform(with_tx_time(batch.filter("is_valid")))
             sink(good, epoch)
-            if bad_sink is not None:
-                bad_sink(batch.filter(~F.col("is_valid")), epoch)
+            bad_sink(batch.filter(~F.col("is_valid")), epoch)
         finally:
             batch.unpersist()
 
@@ -109,6 +132,13 @@ def tx_file_source(spark: SparkSession, path: str, max_files: int | None = None)
     return r.parquet(path)
 
 
+def _clean_rows(tx: DataFrame, upper_fence: float, sentinel: int, key_cols: list[str] | None) -> DataFrame:
+    cond = F.col("customer_id") != F.lit(sentinel)
+    for c in key_cols or ["terminal_id"]:
+        cond = cond & F.col(c).isNotNull()
+    return tx.filter(cond & (F.col("tx_amount") <= F.lit(float(upper_fence))))
+
+
 def clean_stream(
     tx: DataFrame,
     upper_fence: float,
@@ -116,22 +146,59 @@ def clean_stream(
     sentinel: int = SENTINEL_CUSTOMER,
     key_cols: list[str] | None = None,
 ) -> DataFrame:
-    """Streaming form of the cleaning job with bounded state.
+    """Streaming form of the cleaning job with bounded state, for rows in time order.
 
-    Duplicates are dropped within the watermark (state is kept for ``delay`` of
-    event time, then evicted; a copy arriving later than that is not seen as a
-    duplicate). The fence is fixed, computed by the batch job: quantiles of an
-    unbounded stream are not defined.
+    Duplicates are dropped within the watermark: state is kept for ``delay`` of event
+    time. Spark drops every row older than the watermark, copy or not, and a row whose
+    time is malformed has no event time; where such rows must be kept, use
+    ``clean_stream_to``, which drops none. The fence is fixed, computed by the batch
+    job: quantiles of an unbounded stream are not defined.
     """
-    key_cols = key_cols or ["terminal_id"]
-    cond = F.col("customer_id") != F.lit(sentinel)
-    for c in key_cols:
-        cond = cond & F.col(c).isNotNull()
-    cond = cond & (F.col("tx_amount") <= F.lit(float(upper_fence)))
     # The filters test one row at a time and copies are identical rows, so they
     # commute with the full-row dedup; filtering first keeps rejected rows out of
     # the dedup state.
     ts = F.col("tx_datetime").try_cast("timestamp")
-    s = tx.filter(cond).withColumn("_event_ts", ts).withWatermark("_event_ts", delay)
-    s = s.dropDuplicatesWithinWatermark(TX_COLUMNS)
-    return s.drop("_event_ts")
+    s = _clean_rows(tx, upper_fence, sentinel, key_cols).withColumn("_event_ts", ts).withWatermark("_event_ts", delay)
+    return s.dropDuplicatesWithinWatermark(TX_COLUMNS).drop("_event_ts")
+
+
+def clean_stream_to(
+    tx: DataFrame,
+    path: str,
+    upper_fence: float,
+    checkpoint: str,
+    sentinel: int = SENTINEL_CUSTOMER,
+    key_cols: list[str] | None = None,
+    available_now: bool = False,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Streaming clean that keeps late rows: the result equals the batch job's, whatever
+    the order of arrival.
+
+    The sink itself is the dedup state. It is partitioned by epoch and day; a
+    micro-batch reads back only the days that it has rows of, from earlier epochs, and
+    writes the rows that are not there yet. A replayed epoch overwrites its own folder.
+    """
+    place = path.rstrip("/")
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        day = F.coalesce(F.substring("tx_datetime", 1, 10), F.lit("none"))
+        rows = _clean_rows(batch, upper_fence, sentinel, key_cols).dropDuplicates(TX_COLUMNS).withColumn("day", day)
+        seen = spark.read.schema(T.StructType([*TX_SCHEMA.fields, T.StructField("epoch", T.LongType()), T.StructField("day", T.StringType())]))
+        if epoch > 0:
+            days = [r["day"] for r in rows.select("day").distinct().collect()]  # the days of one micro-batch
+            old = seen.parquet(place).filter((F.col("epoch") < epoch) & F.col("day").isin(days))
+            old = old.select(F.xxhash64(*TX_COLUMNS).alias("_key"), *[F.col(c).alias(f"_{c}") for c in TX_COLUMNS])
+            same = F.xxhash64(*TX_COLUMNS) == F.col("_key")
+            for c in TX_COLUMNS:
+                same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+            rows = rows.join(old, same, "left_anti")
+        rows.write.mode("overwrite").partitionBy("day").parquet(f"{place}/epoch={epoch}")
+
+    w = tx.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
