@@ -53,7 +53,7 @@ def source_targets(sizes: DataFrame, cycle: int = CYCLE, max_repeat: int = MAX_R
 
 def offset(source: str, seed: int = SEED):
     """One uniform number in [0, 1) per source, the same in every run."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(source), F.lit("\x00null")))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(source), F.lit("null")))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 

@@ -77,4 +77,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = "coalesce(regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+# Word windows of items and documents are joined as texts; no automaton.
+_DECONTAMINATE = f"""
+WITH items AS (SELECT item_id, {_ITEM_WORDS.format("text")} AS w FROM benchmark),
+places AS (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS g FROM places),
+docs AS (SELECT doc_id, {_ITEM_WORDS.format("text")} AS w FROM documents),
+spots AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+hits AS (
+  SELECT DISTINCT s.doc_id, s.i, s.n, x.item_id
+  FROM (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS g FROM spots) AS s JOIN windows AS x ON s.n = x.n AND s.g = x.g
+),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(t.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM docs AS d LEFT JOIN hit_words AS h ON d.doc_id = h.doc_id LEFT JOIN hit_items AS t ON d.doc_id = t.doc_id
+"""
+
+# The share per weight in closed form: sources in order of bound / weight, the first so
+# many of them capped, as long as the share of the others would exceed their bound.
+_MIX = r"""
+WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+per_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS bound FROM per_source),
+ordered AS (
+  SELECT *, row_number() OVER o AS k, coalesce(sum(bound) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+         sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free, sum(source_size) OVER () AS total
+  FROM weighed WINDOW o AS (ORDER BY CAST(bound AS DOUBLE) / weight, source NULLS LAST)
+),
+share AS (
+  SELECT CAST(total - held AS DOUBLE) / free AS s FROM ordered WHERE bound > weight * (CAST(total - held AS DOUBLE) / free) ORDER BY k LIMIT 1
+),
+targets AS (
+  SELECT source, source_size, least(CAST(bound AS DOUBLE), weight * coalesce((SELECT s FROM share), CAST(bound AS DOUBLE))) AS target FROM weighed
+),
+placed AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+         row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) AS r,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0e0 END AS rate,
+         CAST(('0x' || substr(md5('8:' || coalesce(d.source, 'null')), 1, 8)) AS BIGINT) / 4294967296e0 AS u
+  FROM sized AS d JOIN targets AS t ON d.source IS NOT DISTINCT FROM t.source
+),
+drawn AS (SELECT *, CAST(floor(u + rate * r) - floor(u + rate * (r - 1)) AS BIGINT) AS copies FROM placed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, copies * CAST(size AS BIGINT) AS taken, copies, source FROM drawn
+"""
+
+ORACLES: dict[str, str] = {"op7_decontaminate": _DECONTAMINATE, "op8_mix_sources": _MIX}
