@@ -10,7 +10,7 @@
 3. A generative label model estimates each voter's class-conditional vote rates
    (accuracies) by EM without trusting any single voter, and the correlations that
    remain between voters within a class; correlated voters share their weight.
-4. A logistic regression over the mined features is trained on the model's posterior
+4. A logistic regression over the features' presence and density is trained on the model's posterior
    labels and scores every document.
 
 Labels are learnt from the training rows only; label, language, source and id are never
@@ -42,6 +42,9 @@ SAMPLE_DOCS = 40_000  # bound on the documents that the classifier is fitted on
 MAX_FEATURES = 4_000
 PREFIXES = (3, 4, 5, 6)
 GROUPS = 6  # lexicon voters, and as many pattern voters
+DENSE = 5.0
+BALANCE = 5.0
+TRUST = 1000.0
 PRIOR_VOTES = 2.0  # a voter's first guess counts as so many votes
 
 # Insults that a voter knows without any label.
@@ -77,27 +80,35 @@ def _copy_key(text: str | None) -> int:
 
 
 class Features:
-    """Ids of the known features in a text; words are looked up once."""
+    """The known features of a text and how dense they are; words are looked up once."""
 
     def __init__(self, names: list[str]):
         self.ids = {n: i for i, n in enumerate(names)}
         self.seen: dict[str, tuple] = {}
 
-    def of(self, text: str | None) -> list[int]:
-        seen, ids, out = self.seen, self.ids, set()
-        for w in _words(text):
+    def of(self, text: str | None) -> tuple[list[int], list[float], float]:
+        """Ids of the features present, how many of 100 words have each (``DENSE`` at
+        most), and the share of words with any."""
+        seen, ids, out = self.seen, self.ids, {}
+        counts = Counter(_WORD.findall((text or "").lower()))
+        hits = 0
+        for w, c in counts.items():
             hit = seen.get(w)
             if hit is None:
                 if len(seen) > 300_000:
                     seen.clear()
                 hit = seen[w] = tuple(ids[p] for p in _parts(w) if p in ids)
             if hit:
-                out.update(hit)
-        return sorted(out)
+                hits += c
+                for i in hit:
+                    out[i] = out.get(i, 0) + c
+        n = max(1, counts.total())
+        found = sorted(out)
+        return found, [min(DENSE, 100 * out[i] / n) for i in found], hits / n
 
 
-def votes(text: str | None, found: list[int], names: list[str], label: int | None) -> bytes:
-    """One vote per voter on a text in which the features ``found`` are present."""
+def votes(text: str | None, found: list[int], share: float, names: list[str], label: int | None) -> bytes:
+    """One vote per voter on a text with the features ``found``, in ``share`` of its words."""
     out = [NONE] * (2 * GROUPS)
     for i in found:
         n = names[i]
@@ -110,7 +121,7 @@ def votes(text: str | None, found: list[int], names: list[str], label: int | Non
         CLEAN if not words else NONE,
         CLEAN if len(found) == len(words) else NONE,
         CLEAN if not found else NONE,
-        TOXIC if len(found) >= 6 else CLEAN if not found else NONE,
+        TOXIC if share >= 0.01 else CLEAN if share < 0.003 else NONE,
         TOXIC if len(_SHOUT.findall(raw)) * 20 > len(raw) else NONE,
         TOXIC if _ADDRESS.search(raw.lower()) and found else NONE,
         TOXIC if _STRESS.search(raw) else NONE,
@@ -124,10 +135,16 @@ class LabelModel:
     voters are discounted: within a class, a voter's log-likelihood is divided by one
     plus the sum of its correlations with the other voters."""
 
-    def __init__(self, n_voters: int, prior: float):
-        self.prior, self.share = prior, np.ones(n_voters)
+    def __init__(self, n_voters: int, prior: float, annotator: int | None = None):
+        """``annotator``: a voter that is trusted from the start (``TRUST`` votes, nearly
+        all right) and whose votes are not discounted."""
+        self.prior, self.share, self.annotator = prior, np.ones(n_voters), annotator
         # start: a vote is right more often than not
         self.start = np.array([[0.45, 0.10, 0.45], [0.10, 0.45, 0.45]])[:, None, :].repeat(n_voters, 1)
+        self.votes = np.full(n_voters, PRIOR_VOTES)
+        if annotator is not None:
+            self.start[:, annotator] = [[0.5, 0.001, 0.499], [0.001, 0.5, 0.499]]
+            self.votes[annotator] = TRUST
         self.table = self.start
 
     def posterior(self, v: np.ndarray) -> np.ndarray:
@@ -144,7 +161,7 @@ class LabelModel:
         for _ in range(rounds):
             p = self.posterior(v)
             mass = np.stack([w * (1 - p), w * p])
-            counts = np.einsum("yn,nvk->yvk", mass, said) + PRIOR_VOTES * self.start
+            counts = np.einsum("yn,nvk->yvk", mass, said) + self.votes[:, None] * self.start
             self.table = counts / counts.sum(axis=2, keepdims=True)
             # no voter is worse than chance, which also keeps the classes from changing places
             t, c = self.table[:, :, TOXIC], self.table[:, :, CLEAN]
@@ -160,6 +177,8 @@ class LabelModel:
             self.correlations = cov / np.outer(dev, dev)
             off = np.clip(self.correlations - np.eye(len(dev)), 0, 1)
             self.share = 1 / (1 + off.sum(axis=1))
+            if self.annotator is not None:
+                self.share[self.annotator] = 1.0
         return self
 
     def _mean(self, y: int) -> np.ndarray:
@@ -172,19 +191,25 @@ class LabelModel:
         return (t[0, :, 0] + t[1, :, 1]) / (t[:, :, 0].sum(0) + t[:, :, 1].sum(0))
 
 
-def fit_linear(rows: list[list[int]], p: np.ndarray, w: np.ndarray, n: int, l2: float = 2e-4, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic regression of posterior labels on present features (Adam, full batch)."""
+def fit_linear(rows: list[list[int]], dense: list[list[float]], p: np.ndarray, w: np.ndarray, n: int, l2: float = 2e-5, steps: int = 800) -> tuple[np.ndarray, float]:
+    """Logistic regression of posterior labels on each feature's presence and density
+    (Adam, full batch): 2 n weights and the bias. The rarer class counts up to ``BALANCE``
+    times, so one clear finding can outweigh a low base rate."""
+    mass = float((w * p).sum()), float((w * (1 - p)).sum())
+    w = w * np.where(p >= 0.5, min(BALANCE, max(1.0, mass[1] / max(mass[0], 1e-9))), 1.0)
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     ids = np.fromiter((i for r in rows for i in r), np.int64, len(at))
-    theta, m, s = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
+    much = np.fromiter((x for r in dense for x in r), float, len(at))
+    theta, m, s = np.zeros(2 * n + 1), np.zeros(2 * n + 1), np.zeros(2 * n + 1)
     total = w.sum()
     for t in range(1, steps + 1):
-        z = theta[n] + np.bincount(at, theta[ids], len(rows))
+        z = theta[-1] + np.bincount(at, theta[ids] + theta[n + ids] * much, len(rows))
         err = w * (1 / (1 + np.exp(-z)) - p) / total
-        g = np.append(np.bincount(ids, err[at], n) + l2 * theta[:n], err.sum())
+        g = np.concatenate((np.bincount(ids, err[at], n), np.bincount(ids, err[at] * much, n))) + l2 * theta[:-1]
+        g = np.append(g, err.sum())
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         theta -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
-    return theta[:n], float(theta[n])
+    return theta[:-1], float(theta[-1])
 
 
 def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
@@ -255,16 +280,19 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS) -> dict:
         for b in batches:
             ids, texts, labels_ = (c.to_pylist() for c in b.columns)
             found = [known.of(t) for t in texts]
-            said = [votes(t, f, names, y) for t, f, y in zip(texts, found, labels_)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(said, pa.binary()), pa.array(found, pa.list_(pa.int32()))], ["id", "votes", "found"])
+            said = [votes(t, f, share, names, y) for t, (f, _, share), y in zip(texts, found, labels_)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(said, pa.binary()), pa.array([f for f, _, _ in found], pa.list_(pa.int32())), pa.array([d for _, d, _ in found], pa.list_(pa.float64()))],
+                ["id", "votes", "found", "dense"],
+            )
 
-    seen = rows.mapInArrow(look, "id long, votes binary, found array<int>").toPandas()  # bounded by the sample
+    seen = rows.mapInArrow(look, "id long, votes binary, found array<int>, dense array<double>").toPandas()  # bounded by the sample
     if not mined and not len(seen):
-        return {"names": names, "weights": np.full(len(names), 4.0), "bias": -3.0, "label_model": None}
+        return {"names": names, "weights": np.repeat([4.0, 0.0], len(names)), "bias": -3.0, "label_model": None}
     v = np.stack([np.frombuffer(x, np.uint8) for x in seen["votes"]]).astype(np.int64)
     w = np.where(seen["id"].isin(one), 1.0, 0.05)  # a near copy adds little
-    model = LabelModel(v.shape[1], (n1 + 1) / (n1 + n0 + 10)).fit(v, w)
-    weights, bias = fit_linear([list(x) for x in seen["found"]], model.posterior(v), w, len(names))
+    model = LabelModel(v.shape[1], (n1 + 1) / (n1 + n0 + 10), v.shape[1] - 1).fit(v, w)
+    weights, bias = fit_linear([list(x) for x in seen["found"]], [list(x) for x in seen["dense"]], model.posterior(v), w, len(names))
     return {"names": names, "weights": weights, "bias": bias, "label_model": model}
 
 
@@ -277,9 +305,13 @@ def score(docs: DataFrame, model: dict, keep: list[str] | None = None) -> DataFr
 
     def run(batches):
         names, weights, bias = sent.value
-        known, weights = Features(names), np.array(weights)
+        known, weights, n = Features(names), np.array(weights), len(names)
         for b in batches:
-            z = np.array([bias + weights[known.of(t)].sum() for t in b.column(width).to_pylist()], float)
+            z = []
+            for t in b.column(width).to_pylist():
+                found, dense, _ = known.of(t)
+                z.append(bias + weights[found].sum() + weights[n:][found] @ np.array(dense, float))
+            z = np.array(z, float)
             p = 1 / (1 + np.exp(-z))
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [f.name for f in out.fields])
 
