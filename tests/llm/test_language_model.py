@@ -120,6 +120,32 @@ def test_training_learns_context():
     assert net.score(text[:5]).sum() > 0.5 * before
 
 
+def test_every_training_document_is_trained_on(spark, tmp_path, monkeypatch):
+    """Each training document is met in one round, whatever the blocks."""
+    rows = [(i, f"w{i} " * 3) for i in range(60)]
+    words = [f"w{i}".encode() for i in range(60)]
+    fit, log = lm.Net.fit, str(tmp_path)
+
+    def noted(self, docs, *a, **b):
+        import os
+        import uuid
+
+        with open(os.path.join(log, uuid.uuid4().hex), "w") as f:
+            f.writelines(f"{d[0]}\n" for d in docs)
+        return fit(self, docs, *a, **b)
+
+    monkeypatch.setattr(lm.Net, "fit", noted)
+    want = sorted(i for i, _ in rows if zlib.crc32(str(i).encode()) % 10)
+    for size in (30, 10**6):
+        found = lm.blocks(docs(spark, rows).repartition(3), size)
+        lm.train(found, words, lm.Net(np.full(60, 3.1), 1.0))
+        met = []
+        for f in tmp_path.iterdir():
+            met += [int(x) for x in f.read_text().split()]
+            f.write_text("")
+        assert sorted(met) == want
+
+
 def test_edge_rows(spark):
     df = docs(spark, EDGE, extra=True)
     got = lm.log_likelihood(df).collect()

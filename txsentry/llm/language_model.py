@@ -11,8 +11,8 @@ distribution over all words and starts out as the unigram base.
 2. ``word_counts``: the blocks' word lists are summed by word (partial sums per block)
    and the counts are sent back to the blocks that use the word. No word list is ever
    held whole by one task or the driver.
-3. ``train``: rounds of parameter averaging. Every task trains a copy on one in
-   ``SHARE`` training documents of its blocks (other ones each round) by truncated
+3. ``train``: rounds of parameter averaging. Each training document takes part in one
+   round: every task trains a copy on its blocks' documents of that round by truncated
    backpropagation in numpy; the copies are averaged by tokens in Spark. The work grows
    with the corpus.
 4. ``score``: documents run through the GRU in lanes; the state is carried over windows
@@ -43,7 +43,6 @@ SHORTLIST = 1024
 CLASSES = 32
 HIDDEN = 16
 BLOCK_TOKENS = 2_000_000
-SHARE = 16
 ROUNDS = 2
 LANES = 512  # documents scored side by side
 TRAIN_LANES = 64
@@ -331,8 +330,9 @@ def _cut(tokens: np.ndarray, lens: np.ndarray) -> list[np.ndarray]:
     return np.split(tokens, np.cumsum(lens)[:-1]) if len(lens) else []
 
 
-def train(found: DataFrame, words: list[bytes], net: Net, share: int = SHARE, rounds: int = ROUNDS) -> Net:
-    """Average the copies that the tasks trained, round by round."""
+def train(found: DataFrame, words: list[bytes], net: Net, rounds: int = ROUNDS) -> Net:
+    """Average the copies that the tasks trained, round by round; a round takes every
+    ``rounds``-th document of a block, so each is met once."""
     spark = found.sparkSession
     for turn in range(rounds if words else 0):
         sent = spark.sparkContext.broadcast((words, net.state()))  # bounded by the shortlist
@@ -344,7 +344,7 @@ def train(found: DataFrame, words: list[bytes], net: Net, share: int = SHARE, ro
                 for tokens, listed, lens, held in zip(*(b.column(i) for i in range(4))):
                     lens = lens.values.to_numpy()
                     serial = np.arange(len(lens))
-                    use = ~np.array(held.as_py(), bool) & ((serial * 7919 + turn) % share == 0)
+                    use = ~np.array(held.as_py(), bool) & (serial % rounds == turn)
                     if use.any():
                         codes = code(listed.as_py())[unpack(tokens.as_py())]
                         seen += net.fit([d for d, u in zip(_cut(codes, lens), use) if u])
@@ -359,7 +359,7 @@ def train(found: DataFrame, words: list[bytes], net: Net, share: int = SHARE, ro
     return net
 
 
-def log_likelihood(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, shortlist: int = SHORTLIST, share: int = SHARE, rounds: int = ROUNDS) -> DataFrame:
+def log_likelihood(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, shortlist: int = SHORTLIST, rounds: int = ROUNDS) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType
@@ -371,7 +371,7 @@ def log_likelihood(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, shortlist:
     smooth = np.array([r["c"] + ADD for r in top], float)
     whole = n + ADD * (v + 1)
     tail = whole - smooth.sum()
-    net = train(found, words, Net(smooth, tail), share, rounds)
+    net = train(found, words, Net(smooth, tail), rounds)
     sent = spark.sparkContext.broadcast((words, net.state()))  # bounded by the shortlist
 
     listed = found.select("block", F.posexplode("words").alias("at", "word"))
