@@ -120,6 +120,33 @@ def test_training_learns_context():
     assert net.score(text[:5]).sum() > 0.5 * before
 
 
+def test_long_documents_are_trained_on_to_their_end():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 4, n) for n in (3000, *[50] * 100, 7, 1)]
+    net = lm.Net(np.array([9.0, 7, 5]), 2.0, hidden=4, classes=2)
+    assert net.fit(texts, lanes=16) == sum(len(d) for d in texts)
+    # the end of a long text teaches something: words alternate there only
+    long = np.concatenate([np.full(400, 2), np.tile([0, 1], 3000)])
+    net = lm.Net(np.array([9.0, 9, 2]), 0.1, hidden=8, classes=2)
+    before = net.score([long]).sum()
+    for _ in range(10):
+        net.fit([long, *[np.array([2, 2, 2])] * 64], lanes=64)
+    assert net.score([long]).sum() > 0.7 * before
+
+
+def test_places_that_are_not_taken_give_no_gradient():
+    rng = np.random.default_rng(5)
+    net = lm.Net(np.array([9.0, 7, 5, 3, 2, 1]), 2.0, hidden=3, classes=3)
+    net.p = {n: rng.standard_normal(v.shape) * 0.5 for n, v in net.p.items()}
+    x, y, h = rng.integers(0, 8, (5, 2)), rng.integers(0, 7, (5, 2)), rng.standard_normal((2, 3))
+    on = np.ones((5, 2), bool)
+    on[3:, 1] = False
+    got, _ = net.window(x, y, h, on)
+    parts = [net.window(x[:, :1], y[:, :1], h[:1])[0], net.window(x[:3, 1:], y[:3, 1:], h[1:])[0]]
+    for n, g in got.items():
+        assert np.allclose(g, parts[0][n] + parts[1][n])
+
+
 def test_every_training_document_is_trained_on(spark, tmp_path, monkeypatch):
     """Each training document is met in one round, whatever the blocks."""
     rows = [(i, f"w{i} " * 3) for i in range(60)]

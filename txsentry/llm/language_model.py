@@ -194,17 +194,21 @@ class Net:
                 grad["wb"][lo:hi] += e.sum(axis=0)
         return (res, dh) if grad is not None else res
 
-    def window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray):
-        """Gradients of one window (steps, lanes), the state after it."""
+    def window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, on: np.ndarray | None = None):
+        """Gradients of one window (steps, lanes) over its taken places ``on`` (default:
+        all), the state after it."""
         H, kept, states = self.h, [], []
         for t in range(len(x)):
             h, back = self.step(x[t], h)
             kept.append(back)
             states.append(h)
         grad = {n: np.zeros_like(v) for n, v in self.p.items()}
-        _, dh = self.logp(np.concatenate(states), y.ravel(), grad)
+        taken = slice(None) if on is None or on.all() else on.ravel()
+        states = np.concatenate(states)
+        dh = np.zeros_like(states)
+        dh[taken] = self.logp(states[taken], y.ravel()[taken], grad)[1]
         dh = dh.reshape(len(x), -1, H)
-        later = np.zeros_like(h)
+        later, inners, outers = np.zeros_like(h), [], []
         for t in reversed(range(len(x))):
             xs, before, z, r, s, n = kept[t]
             d = dh[t] + later
@@ -212,13 +216,22 @@ class Net:
             dz = d * (before - n) * z * (1 - z)
             dr = dn * s * r * (1 - r)
             inner = np.concatenate([dz, dr, dn * r], axis=1)
-            grad["u"] += before.T @ inner
-            np.add.at(grad["x"], xs, np.concatenate([dz, dr, dn], axis=1))
+            inners.append(inner)
+            outers.append(np.concatenate([dz, dr, dn], axis=1))
             later = (d * z + inner @ self.p["u"].T) * (xs != self.k + 1)[:, None]
+        grad["u"] += np.concatenate([back[1] for back in reversed(kept)]).T @ np.concatenate(inners)
+        words = x[::-1].ravel()
+        order = np.argsort(words, kind="stable")
+        first = np.flatnonzero(np.diff(words[order], prepend=-1))
+        grad["x"][words[order[first]]] = np.add.reduceat(np.concatenate(outers)[order], first, axis=0)
         return grad, h
 
     def fit(self, docs: list[np.ndarray], lanes: int = TRAIN_LANES, rate: float = RATE) -> int:
-        """One pass over the documents (arrays of shortlist numbers) by Adam; tokens seen."""
+        """One pass over the documents (arrays of shortlist numbers) by Adam; tokens seen.
+
+        All lanes run to their ends. Where few are left, the gradients of several windows
+        make one step, so that a step rests on a quarter of the lanes' places or more.
+        """
         stream = lanes_of(docs, lanes, self.k)
         if stream is None:
             return 0
@@ -226,20 +239,24 @@ class Net:
         h = np.zeros((x.shape[1], self.h), np.float32)
         m = {n: np.zeros_like(v) for n, v in self.p.items()}
         s = {n: np.zeros_like(v) for n, v in self.p.items()}
-        seen = 0
-        for t, lo in enumerate(range(0, len(x), WINDOW), 1):
-            live = int(on[lo : lo + WINDOW].all(axis=0).sum())  # lanes are sorted by length
-            if live < max(1, x.shape[1] // 4):
-                break
-            xs, ys = x[lo : lo + WINDOW, :live], y[lo : lo + WINDOW, :live]
-            grad, h = self.window(xs, ys, h[:live])
+        least = WINDOW * max(1, x.shape[1] // 4)
+        seen = t = held = 0
+        for lo in range(0, len(x), WINDOW):
+            live = int(on[lo].sum())  # lanes are sorted by length
+            xs, ys, ok = (a[lo : lo + WINDOW, :live] for a in (x, y, on))
+            grad, h = self.window(xs, ys, h[:live], ok)
+            total = {n: total[n] + g for n, g in grad.items()} if held else grad
+            held += int(ok.sum())
+            if held < least and lo + WINDOW < len(x):
+                continue
+            t += 1
             step = rate / (1 + t / 400)
-            for n, g in grad.items():
-                g = np.clip(g / ys.size, -1, 1)
+            for n, g in total.items():
+                g = np.clip(g / held, -1, 1)
                 m[n] = 0.9 * m[n] + 0.1 * g
                 s[n] = 0.99 * s[n] + 0.01 * g * g
                 self.p[n] -= (step * (m[n] / (1 - 0.9**t)) / (np.sqrt(s[n] / (1 - 0.99**t)) + 1e-6)).astype(np.float32)
-            seen += ys.size
+            seen, held = seen + held, 0
         return seen
 
     def score(self, docs: list[np.ndarray], lanes: int = LANES) -> np.ndarray:
