@@ -1,6 +1,7 @@
 """Secret scan with a random forest that removes false positives.
 
-Findings are long runs of key signs with a digit among them. Each gets features: its
+Findings are long runs of key signs with a digit or mixed case, and values of any
+length and signs that are assigned to a name of a secret. Each gets features: its
 length, its character transitions and shares of character kinds, the share of its
 letters that are words of the corpus dictionary, its path (slashes, dots, an address
 before it, the source of the document) and the words beside it (names such as token or
@@ -39,10 +40,20 @@ MIN_COUNT = 5
 SAMPLE = 50_000
 TREES, DEPTH = 30, 6
 
-FINDING = rf"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*\d)[A-Za-z0-9+/_\-]{{{LEAST},}}+=?=?"
+# a digit, a capital after a small letter, or a small letter after two capitals
+MIXED = r"(?=[A-Za-z+/_\-]*(?:\d|[a-z][+/_\-]*[A-Z]|[A-Z][+/_\-]*[A-Z][+/_\-]*[a-z]))"
+FINDING = rf"(?<![A-Za-z0-9+/_\-]){MIXED}[A-Za-z0-9+/_\-]{{{LEAST},}}+=?=?"
 
 # Names of secrets, and key formats of providers.
 SECRET_NAME = r"(?i)(token|secret|passw(or)?d|pwd|api_?key|access_?key|credential|bearer|auth)"
+
+# A value assigned to a name of a secret, in quotes or up to white space, unless it is a
+# finding by itself.
+QUOTE, TAIL = "[\"'`]", r"\"'`,;.)\]}>"
+ASSIGNED = SECRET_NAME.replace("(?i)(", "(?i:").replace("(or)", "(?:or)") + rf"\w*+{QUOTE}?[^\S\n]*(?::=|=>|={{1,3}}|:)[^\S\n]*(?:(?i:bearer|basic)[^\S\n]+)?"
+QUOTED = "|".join(rf"{q}(?!{FINDING}{q})[^{q}\n]+{q}" for q in "\"'`")
+BARE = rf"(?!\"[^\"\n]*\"|'[^'\n]*'|`[^`\n]*`)(?!{QUOTE}?{FINDING}[{TAIL}]*(?:\s|$)){QUOTE}?\S*[^\s{TAIL}]"
+NAMED = rf"{ASSIGNED}(?:{QUOTED}|{BARE})"
 PROVIDER = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$"
 
 FEATURES = [
@@ -53,17 +64,29 @@ FEATURES = [
 
 def findings(docs: DataFrame) -> DataFrame:
     """(doc_id, source, number, finding, before, after): each finding with up to 40
-    characters on both sides."""
-    held = docs.filter(F.col("text").rlike(rf"[A-Za-z0-9+/_\-]{{{LEAST}}}")).select(
-        "doc_id", "source", F.regexp_extract_all("text", F.lit(FINDING), F.lit(0)).alias("found"), F.split("text", FINDING).alias("rest")
-    )
-    held = held.filter(F.size("found") > 0)
-    sides = F.arrays_zip(
-        F.col("found").alias("f"),
-        F.transform(F.slice("rest", 1, F.size("found")), lambda s: F.right(s, F.lit(40))).alias("b"),
-        F.transform(F.slice("rest", 2, F.size("found")), lambda s: F.left(s, F.lit(40))).alias("a"),
+    characters on both sides; named values follow the runs of a document."""
+    held = docs.filter(F.col("text").rlike(rf"[A-Za-z0-9+/_\-]{{{LEAST}}}|{ASSIGNED}")).select(
+        "doc_id",
+        "source",
+        F.regexp_extract_all("text", F.lit(FINDING), F.lit(0)).alias("found"),
+        F.split("text", FINDING).alias("rest"),
+        F.regexp_extract_all("text", F.lit(NAMED), F.lit(0)).alias("named"),
+        F.split("text", NAMED).alias("others"),
     )
-    each = held.select("doc_id", "source", F.posexplode(sides).alias("at", "x"))
+    held = held.filter((F.size("found") > 0) | (F.size("named") > 0))
+
+    def sides(found: str, rest: str) -> Column:
+        return F.arrays_zip(F.col(found).alias("f"), F.slice(rest, 1, F.size(found)).alias("b"), F.slice(rest, 2, F.size(found)).alias("a"))
+
+    def side(z: Column, f: Column, head: Column, end: Column) -> Column:
+        return F.struct(f.alias("f"), F.right(F.concat(z["b"], head), F.lit(40)).alias("b"), F.left(F.concat(end, z["a"]), F.lit(40)).alias("a"))
+
+    def named(z: Column) -> Column:
+        f, head, end = z["f"], rf"^{ASSIGNED}{QUOTE}?", f"{QUOTE}$"
+        return side(z, F.regexp_replace(f, f"{head}|{end}", ""), F.regexp_extract(f, head, 0), F.regexp_extract(f, end, 0))
+
+    runs = F.transform(sides("found", "rest"), lambda z: side(z, z["f"], F.lit(""), F.lit("")))
+    each = held.select("doc_id", "source", F.posexplode(F.concat(runs, F.transform(sides("named", "others"), named))).alias("at", "x"))
     return each.select("doc_id", "source", (F.col("at") + 1).alias("number"), F.col("x.f").alias("finding"), F.coalesce("x.b", F.lit("")).alias("before"), F.coalesce("x.a", F.lit("")).alias("after"))
 
 
@@ -115,9 +138,11 @@ def features(docs: DataFrame) -> DataFrame:
 def labelled_findings(found: DataFrame) -> DataFrame:
     """(finding, secret) for the findings whose kind a fixed rule tells."""
     f, b = F.col("finding"), F.col("before")
-    named = b.rlike(SECRET_NAME + r"\w*\s*[=:]\s*[\"']?$") & f.rlike("[0-9]") & f.rlike("[A-Za-z]")
-    plain = f.rlike(r"^[0-9+\-/_]+$") | f.rlike(r"^[A-Za-z]+[-_/]?[0-9]{1,4}$") | f.rlike(r"^[a-z]+([-_/][a-z]+)+[-_/]?[0-9]*$") | b.rlike(r"(?i)https?:\S*$")
-    kind = F.when(f.rlike(PROVIDER) | named, 1).when(plain, 0)
+    named = (b.rlike(SECRET_NAME + r"\w*\s*[=:]\s*[\"']?$") | b.rlike(rf"{ASSIGNED}{QUOTE}?$")) & ~b.rlike(r"(?i)authors?\s*[=:]\s*[\"']?$")
+    secret = named & f.rlike("[0-9]") & f.rlike("[A-Za-z]") & ~f.rlike(r"\s")
+    joined = f.rlike(r"^[A-Z]?[a-z]+([-_/+][A-Z]?[a-z]+)+$") & ~named
+    plain = f.rlike(r"^[0-9+\-/_]+$") | f.rlike(r"^[A-Za-z]+[-_/]?[0-9]{1,4}$") | f.rlike(r"^[a-z]+([-_/][a-z]+)+[-_/]?[0-9]*$") | b.rlike(r"(?i)https?:\S*$") | joined
+    kind = F.when(f.rlike(PROVIDER) | secret, 1).when(plain, 0)
     return found.select("finding", kind.alias("secret")).filter("secret is not null").groupBy("finding").agg(F.max("secret").alias("secret"))
 
 
