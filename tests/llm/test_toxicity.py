@@ -60,6 +60,21 @@ def test_label_model_finds_accuracies_and_discounts_copies():
     assert np.mean((model.posterior(v) > 0.5) == y) > 0.88
 
 
+def test_labelled_documents_come_first_in_the_sample(spark):
+    df = docs(spark, [(i, f"text {i}") for i in range(3000)])
+    marked = range(0, 3000, 30)
+    labels = spark.createDataFrame([*[(i, 0, i // 30 % 2) for i in marked], (1, 0, None), (9999, 0, 1)], "doc_id long, quality int, toxic int")
+    want = {f"text {i}": i // 30 % 2 for i in marked if zlib.crc32(str(i).encode()) % 5}
+    got = tx._sample(df, labels, 400).collect()
+    assert {r.text: r.label for r in got if r.label is not None} == want
+    assert 330 < len(got) < 470 and len({r.text for r in got}) == len(got)
+    # more labelled rows than the bound: a sample of them and no others
+    got = tx._sample(df, labels, 40).collect()
+    assert 20 < len(got) < 60 and all(want[r.text] == r.label for r in got)
+    # all fit
+    assert tx._sample(df, labels, 10**6).count() == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(3000))
+
+
 def test_edge_rows(spark):
     labels = spark.createDataFrame([(3, 1, 0), (5, 0, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     df = docs(spark, [*EDGE, (8, "you idiot, you pathetic loser, stupid worthless scum")], extra=True)

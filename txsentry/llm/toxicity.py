@@ -31,7 +31,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -213,15 +213,28 @@ def fit_linear(rows: list[list[int]], dense: list[list[float]], p: np.ndarray, w
 
 
 def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """(id, text, label) of at most about ``bound`` training documents."""
+    """(id, text, label) of at most about ``bound`` training documents: labelled ones
+    first, unlabelled ones for the rest of the bound."""
     train = crc_mod("doc_id", FOLDS) != 0
+
+    def picked(share: float) -> Column:
+        return F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(min(1.0, share) * (1 << 20))
+
+    # one row per labelled id that has documents, and how many
+    ids = docs.filter(train).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    given = labels.filter(F.col("toxic").isNotNull() & train).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("label"))
+    known = stage(ids.join(given, F.col("doc_id") == F.col("_id")).select("doc_id", "label", "n"), "toxicity-labels")
+    m = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n = docs.filter(train).count()
-    share = F.lit(min(1.0, bound / max(n, 1)) * (1 << 20))
-    picked = train & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
-    known = labels.filter(F.col("toxic").isNotNull() & picked).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("label"))
-    # rows are bounded by ``bound``; Spark broadcasts them if they are small enough
-    rows = docs.filter(picked).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.join(known, rows["doc_id"] == known["_id"], "left").select(F.xxhash64("doc_id", "text").alias("id"), "text", F.col("label").cast("int").alias("label"))
+    # both sides are bounded by ``bound``; Spark broadcasts the ids if they are small enough
+    share = bound / max(m, 1)
+    first = known.filter(picked(share)).select(F.col("doc_id").alias("_id"), "label")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(train)
+    sample = rows.filter(picked(share)).join(first, F.col("doc_id") == F.col("_id")).drop("_id")
+    if m < min(n, bound):
+        rest = rows.filter(picked((bound - m) / (n - m))).join(known.select("doc_id"), "doc_id", "left_anti")
+        sample = sample.unionByName(rest.withColumn("label", F.lit(None).cast("int")))
+    return sample.select(F.xxhash64("doc_id", "text").alias("id"), "text", "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS) -> dict:
