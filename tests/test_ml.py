@@ -104,6 +104,19 @@ def test_best_params_listing(spark):
     assert got["numTrees"] == "5" and got["maxDepth"] == "3" and got["impurity"] == "gini"
 
 
+def test_best_params_of_the_default_grid_are_the_winners(spark):
+    """The query's listing against the trial table of the same search."""
+    from txsentry.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    train, _ = catalog._ml_split(spark, sf)
+    trials = ml.tune_grid(train)[1].collect()
+    assert {(r["num_trees"], r["max_depth"]) for r in trials} == {(n, d) for n in (100, 200) for d in (2, 7)}
+    best = max(trials, key=lambda r: (r["value"], -r["trial"]))
+    got = {r["param"]: r["value"] for r in catalog.queries()["best_params_grid"](spark, sf).collect()}
+    assert got == {"numTrees": str(best["num_trees"]), "maxDepth": str(best["max_depth"]), "impurity": best["impurity"], "seed": "42"}
+
+
 def test_searches_do_not_depend_on_the_layout(spark):
     df = planted(spark, 400)
     a, b = ([r["value"] for r in ml.tune_random(x, n_trials=2)[1].collect()] for x in (df.repartition(2).sortWithinPartitions("transaction_id"), df.repartition(2).sortWithinPartitions("transaction_id")))

@@ -438,6 +438,13 @@ def q_best_params(spark, sf):
     return ml.best_params(spark, model).filter(F.col("param").isin("numTrees", "maxDepth", "impurity", "seed"))
 
 
+def q_best_params_grid(spark, sf):
+    """The searched parameters of the model that wins the default grid."""
+    train, _ = _ml_split(spark, sf)
+    model, _ = ml.tune_grid(train)
+    return ml.best_params(spark, model).filter(F.col("param").isin("numTrees", "maxDepth", "impurity", "seed"))
+
+
 def q_model_roundtrip(spark, sf):
     """The test rows scored by a saved and loaded model, and whether the model scored
     them alike before."""
@@ -513,6 +520,7 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tune_random": q_tune_random,
     "tune_cv": q_tune_cv,
     "best_params": q_best_params,
+    "best_params_grid": q_best_params_grid,
     "model_roundtrip": q_model_roundtrip,
     "run_log": q_run_log,
 }
