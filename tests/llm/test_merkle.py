@@ -55,6 +55,36 @@ def test_tree(spark):
     assert d == [1]
 
 
+def test_every_script_has_pieces(spark):
+    import random
+
+    rng = random.Random(6)
+
+    def words(signs, blank):
+        return lambda: blank.join("".join(rng.choice(signs) for _ in range(rng.randint(2, 8))) for _ in range(200))
+
+    cjk = [chr(c) for c in range(0x4E00, 0x5200)]
+    kinds = {
+        "cjk": lambda: "。".join("".join(rng.choice(cjk) for _ in range(rng.randint(8, 20))) for _ in range(40)),
+        "cyrillic": words([chr(c) for c in range(0x430, 0x450)], " "),
+        "capitals": words("ABCDEFGHIJKLMNOPQRSTUVWXYZ", " "),
+        "numbers": words("0123456789", " "),
+        "no blanks": words("acgt", ""),
+    }
+    rows = []
+    for make in kinds.values():
+        a, b = make(), make()
+        rows.append((a, a[: len(a) * 2 // 3] + b[: len(a) // 3], b))
+    likeness = [merkle.likeness(merkle.pieces(F.col("a")), merkle.pieces(F.col(c)), F.lit(False)).alias(c) for c in "bc"]
+    for kind, r in zip(kinds, spark.createDataFrame(rows, "a string, b string, c string").coalesce(1).select(*likeness).collect()):
+        assert 0.5 < r.b < 0.8 and r.c < 0.4, (kind, r)
+
+
+def test_a_long_piece_has_its_true_length(spark):
+    df = spark.createDataFrame([("\u00e9" + "x" * 1_500_000,)], "t string")
+    assert df.select(merkle._weight(merkle.pieces(F.col("t"))).alias("n")).first().n > 1_490_000
+
+
 def test_edge_rows(spark):
     df = docs(spark, EDGE, extra=True)
     got = merkle.fingerprints(df).collect()

@@ -7,9 +7,10 @@ digests, and the root that of its sections'. Equal roots mean equal texts; where
 differ, the differing branches show the edit (``differing``).
 
 For the likeness of two trees each paragraph carries its pieces, a level below: cuts
-that depend on the text alone, after white space that follows a sign or one of the
-letters d, n, r, t. An insertion moves no other cut, and a text without line ends still
-has pieces. The likeness is the share of characters in common over the distinct pieces,
+that depend on the text alone, after line ends and after white space whose word's hash
+says so (one word in ``WORDS``). A word of more than ``LONG`` code points (a line of a
+script without blanks, a key, markup) has cuts inside, by a hash of each ``GRAM`` code
+points. An insertion moves no cut beyond its word, and a text of any script has pieces. The likeness is the share of characters in common over the distinct pieces,
 2 * common / (all of one + all of the other); 1.0 for equal roots.
 
 Defined cases: null text is the empty text; the empty text is one empty piece; texts of
@@ -23,10 +24,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txsentry.llm.common import let
+
 SECTION_END = r"(?<=\n\n)"
 PARAGRAPH_END = r"(?<=\n)"
-PIECE_END = r"(?<=[^a-zA-Z0-9\u0080-\uFFFF]\s)|(?<=[dnrt] )|(?<=\n)"
-LENGTH_BITS = 20
+WORD_END = r"(?<=\s)(?=\S)"
+WORDS, LONG, GRAM, GRAMS = 3, 24, 3, 8
+CUT = "\x00"  # marks the end of a piece
+LENGTH_BITS = 31  # no text is longer
 BUCKET_ROWS = 512
 MAX_BUCKETS = 1 << 14
 
@@ -53,11 +58,27 @@ def differing(a: Column, b: Column) -> Column:
 
 
 def pieces(text: Column) -> Column:
-    """The distinct pieces as numbers: a hash in the upper bits, the length in the lowest 20."""
-    top = (1 << LENGTH_BITS) - 1
-    return F.array_distinct(
-        F.transform(F.split(text, PIECE_END), lambda s: F.shiftleft(F.xxhash64(s), LENGTH_BITS).bitwiseOR(F.least(F.length(s), F.lit(top)).cast("long")))
-    )
+    """The distinct pieces as numbers: a hash in the upper bits, the length in the lowest 31."""
+
+    def chosen(key: Column, one_in: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(one_in)) == 0
+
+    def inside(word: Column) -> Column:
+        def one(signs: Column) -> Column:
+            def gram(i: Column) -> Column:
+                return F.concat(*[F.coalesce(F.get(signs, i - k), F.lit("")) for k in reversed(range(GRAM))])
+
+            return F.array_join(F.transform(signs, lambda c, i: F.when(chosen(gram(i), GRAMS), F.concat(c, F.lit(CUT))).otherwise(c)), "")
+
+        return let(F.split(word, ""), one)
+
+    def ended(word: Column) -> Column:
+        body = F.when(F.length(word) > LONG, inside(word)).otherwise(word)
+        return F.when(word.endswith("\n") | chosen(word, WORDS), F.concat(body, F.lit(CUT))).otherwise(body)
+
+    marked = F.array_join(F.transform(F.split(text, WORD_END), ended), "")
+    found = F.filter(F.split(marked, CUT), lambda s: s != "")
+    return F.array_distinct(F.transform(found, lambda s: F.shiftleft(F.xxhash64(s), LENGTH_BITS).bitwiseOR(F.length(s).cast("long"))))
 
 
 def _weight(found: Column) -> Column:
