@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsentry.llm import decontaminate, html_extract, language_id, language_model, line_dedup, merkle, mixing, secrets, simhash, toxicity
+from txsentry.llm import decontaminate, html_extract, language_id, language_model, line_dedup, merkle, mixing, secrets, simhash, spelling, toxicity
 from txsentry.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.log_likelihood(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mix_sources,
         op9_secret_scan,
         op10_lm_scoring,
+        op13_spelling_variants,
     )
 }
 
