@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsentry.llm import decontaminate, html_extract, language_id, language_model, line_dedup, merkle, mixing, secrets, simhash, spelling, toxicity
+from txsentry.llm import bpe, decontaminate, html_extract, language_id, language_model, line_dedup, merkle, mixing, secrets, simhash, spelling, toxicity
 from txsentry.llm.common import table
 
 
@@ -61,6 +62,14 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.log_likelihood(table(spark, sf_dir, "documents"))
 
 
+def op12_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the number of its tokens and digests of their ids and decoded text."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -78,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mix_sources,
         op9_secret_scan,
         op10_lm_scoring,
+        op12_bpe_roundtrip,
         op13_spelling_variants,
     )
 }
