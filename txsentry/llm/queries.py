@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsentry.llm import bpe, decontaminate, html_extract, language_id, language_model, line_dedup, merkle, mixing, secrets, simhash, spelling, toxicity
+from txsentry.llm import bpe, decontaminate, html_extract, language_id, language_model, lexical, line_dedup, merkle, mixing, secrets, simhash, spelling, toxicity
 from txsentry.llm.common import table
 
 
@@ -62,6 +62,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.log_likelihood(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the number of its tokens and digests of their ids and decoded text."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mix_sources,
         op9_secret_scan,
         op10_lm_scoring,
+        op11_lexical_search,
         op12_bpe_roundtrip,
         op13_spelling_variants,
     )
@@ -144,4 +149,21 @@ drawn AS (SELECT *, CAST(floor(u + rate * r) - floor(u + rate * (r - 1)) AS BIGI
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, copies * CAST(size AS BIGINT) AS taken, copies, source FROM drawn
 """
 
-ORACLES: dict[str, str] = {"op7_decontaminate": _DECONTAMINATE, "op8_mix_sources": _MIX}
+_TERMS = "coalesce(regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), [])"
+
+_SEARCH = f"""
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS w FROM documents),
+totals AS (SELECT count(*) AS nd, CAST(sum(len(w)) AS BIGINT) AS nt FROM docs WHERE len(w) > 0),
+tfs AS (SELECT k, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT k, unnest(w) AS t FROM docs) GROUP BY k, t),
+dfs AS (SELECT t, CAST(floor(1000e0 * ln(CAST(2 * any_value(nd) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM tfs, totals GROUP BY t),
+sizes AS (SELECT k, doc_id, 100 - 50 + (50 * CAST(len(w) AS BIGINT) * nd) // nt AS m FROM docs, totals WHERE len(w) > 0),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+scores AS (
+  SELECT a.item_id, s.k, s.doc_id, CAST(sum(f.weight * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * s.m))) AS BIGINT) AS score
+  FROM asked AS a JOIN dfs AS f ON a.t = f.t JOIN tfs AS tf ON a.t = tf.t JOIN sizes AS s ON tf.k = s.k GROUP BY a.item_id, s.k, s.doc_id
+),
+placed AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 50
+"""
+
+ORACLES: dict[str, str] = {"op11_lexical_search": _SEARCH, "op7_decontaminate": _DECONTAMINATE, "op8_mix_sources": _MIX}
