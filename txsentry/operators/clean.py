@@ -1,9 +1,9 @@
 """Cleaning operators for the raw transaction table: full-row dedup, key checks,
 fill, exact or approximate quantiles and the upper IQR fence.
 
-The fence of ``clean`` is a one-row aggregate used as a scalar subquery, so no value
-crosses to the driver. With ``stage_path`` the deduplicated rows are written once, at
-once; the rest stays lazy.
+Exact quantiles are found by bracketed selection: a few global aggregates at once, whose
+counts and pivots (a handful of numbers) come to the driver. With ``stage_path`` the
+deduplicated rows are written once, at once; the rest stays lazy.
 """
 
 from __future__ import annotations
@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txsentry.operators import selection
 from txsentry.operators.ranking import running_totals, value_counts
+from txsentry.session import scratch_path
 from txsentry.sources.files import materialize
 
 # Fixed value: the "unknown customer" id of the raw feed.
@@ -53,11 +55,16 @@ def quantiles(
     method: str = "exact",
     rel_error: float = 0.05,
     partitions: int | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """One row with ``q<i>`` per probability.
 
-    exact: the smallest value whose cumulative share reaches p (``percentile_disc``),
-    found with distributed running counts, so no task holds all distinct values.
+    exact: the smallest value whose cumulative share reaches p (``percentile_disc``), by
+    bracketed selection (``operators.selection``): no shuffle of values, and no task holds
+    many. Each round reads the column again, so it is written to the shared scratch folder
+    first unless the caller says that ``df`` is ``staged`` (a table or file).
+    ranks: the same by distributed running counts over the distinct values, for types
+    without a sketch (decimals, dates), and where many probabilities are wanted.
     approx: Greenwald-Khanna summaries merged map-side (``percentile_approx``),
     accuracy 1 / rel_error.
     """
@@ -66,8 +73,13 @@ def quantiles(
         acc = max(1, int(round(1.0 / rel_error)))
         arr = F.percentile_approx(F.col(col), F.array(*[F.lit(float(p)) for p in probs]), acc)
         return df.agg(arr.alias("_q")).select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    if method != "exact":
+    if method not in ("exact", "ranks"):
         raise ValueError(f"unknown quantile method {method!r}")
+    if method == "exact" and selection.supported(df.schema[col].dataType):
+        values = df.select(col).filter(F.col(col).isNotNull())
+        if not staged:
+            values = materialize(values, scratch_path(df.sparkSession, "quantile-values"))
+        return selection.selected_quantiles(values, col, probs)
     vc = value_counts(df.filter(F.col(col).isNotNull()), col, name="v")
     cum = running_totals(vc, "v", ["n"], partitions=partitions)
     return cum.agg(
@@ -85,10 +97,16 @@ def iqr_fences(
     method: str = "exact",
     rel_error: float = 0.05,
     partitions: int | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """One row: q1, q3, iqr, lower and upper fence (q -/+ k * iqr)."""
-    q = quantiles(df, col, [0.25, 0.75], method=method, rel_error=rel_error, partitions=partitions)
-    q = q.select(F.col("q0").cast("double").alias("q1"), F.col("q1").cast("double").alias("q3"))
+    q = quantiles(df, col, [0.25, 0.75], method=method, rel_error=rel_error, partitions=partitions, staged=staged)
+    return fences_of(q.select(F.col("q0").alias("q1"), F.col("q1").alias("q3")), k)
+
+
+def fences_of(quartiles: DataFrame, k: float = 1.5) -> DataFrame:
+    """One row: the quartiles ``q1`` and ``q3`` with iqr, lower and upper fence."""
+    q = quartiles.select(F.col("q1").cast("double").alias("q1"), F.col("q3").cast("double").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return q.select(
         "q1",
@@ -135,6 +153,6 @@ def clean(
         base = base.select(*dict.fromkeys([*keep, amount_col]))
     if stage_path:
         base = materialize(base, stage_path)
-    fences = iqr_fences(base, amount_col, k=k, method=method, rel_error=rel_error, partitions=partitions)
+    fences = iqr_fences(base, amount_col, k=k, method=method, rel_error=rel_error, partitions=partitions, staged=bool(stage_path))
     out = apply_upper_fence(base, amount_col, fences.select("upper_fence").scalar())
     return out.select(*keep) if keep else out
