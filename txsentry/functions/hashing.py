@@ -43,16 +43,6 @@ def hash_uniform_lanes(key: Column | str, seed: int | str = 42, salt: Column | s
     return [F.conv(F.substring(digest, 8 * j + 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) for j in range(LANES)]
 
 
-def hash_uniform_sql(key_sql: str, seed: int | str = 42, salt_sql: str | None = None, lane_sql: str = "0") -> str:
-    """The same number as ``hash_uniform`` (lane 0) or lane ``lane_sql`` of
-    ``hash_uniform_lanes``, written for DuckDB."""
-    inner = f"'{seed}:'"
-    if salt_sql is not None:
-        inner += f" || CAST({salt_sql} AS VARCHAR) || ':'"
-    inner += f" || CAST({key_sql} AS VARCHAR)"
-    return f"(CAST(('0x' || substr(md5({inner}), 8 * ({lane_sql}) + 1, 8)) AS BIGINT) / 4294967296e0)"
-
-
 def cdf_points(rate: float) -> list[float]:
     """Cumulative Poisson(rate) probabilities P(X <= 0), P(X <= 1), ... as far as a 32-bit
     uniform can reach (its largest value is 1 - 2**-32), each rounded to 12 places."""
@@ -77,3 +67,30 @@ def poisson_weight(u: Column, rate: float = 0.8) -> Column:
     for c in cdf_points(rate):
         total = total + (u >= F.lit(float(c))).cast("int")
     return total
+
+
+#: Means from which a Poisson draw is taken from the normal form. Below, the distribution
+#: function is summed up; POISSON_TERMS terms leave less than 1e-16 beyond them.
+LARGE_MEAN = 64.0
+POISSON_TERMS = 200
+
+
+def poisson_draw(mean: Column, u: Column, u2: Column) -> Column:
+    """A Poisson draw of any mean (a double column, not negative) from two uniforms in [0, 1).
+
+    Small means: the smallest k whose distribution function exceeds ``u``, summed term by term.
+    Large means: mean + sqrt(mean) z + (z^2 - 1) / 6, rounded, with z normal from both uniforms
+    (the first terms of the Poisson quantile's expansion; what is left is below 0.1 counts).
+    """
+    start = F.struct(F.lit(0).cast("long").alias("k"), F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"))
+
+    def step(s: Column, j: Column) -> Column:
+        p = s["p"] * mean / j.cast("double")
+        more = s["cdf"] <= u
+        return F.struct(F.when(more, s["k"] + 1).otherwise(s["k"]).alias("k"), p.alias("p"), F.when(more, s["cdf"] + p).otherwise(s["cdf"]).alias("cdf"))
+
+    small = F.aggregate(F.sequence(F.lit(1), F.lit(POISSON_TERMS)), start, step, lambda s: s["k"])
+    half = F.lit(0.5 / 4294967296.0)  # the middle of a 32-bit step, so the logarithm is finite
+    z = F.sqrt(F.lit(-2.0) * F.log(u + half)) * F.cos(F.lit(2.0 * math.pi) * u2)
+    large = F.floor(mean + F.sqrt(mean) * z + (z * z - F.lit(1.0)) / F.lit(6.0) + F.lit(0.5))
+    return F.when(mean < F.lit(LARGE_MEAN), small).otherwise(F.greatest(large, F.lit(0))).cast("long")

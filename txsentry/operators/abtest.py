@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txsentry.functions.mathx import normal_two_sided_p
+from txsentry.functions.mathx import normal_two_sided_p, sign_test_p
 from txsentry.operators.ranking import running_totals
 from txsentry.session import scratch_dir
 
@@ -35,16 +35,20 @@ def f1_interval(samples: DataFrame, value: str = "f1", by: str = "model", k: flo
     )
 
 
-def mann_whitney(samples: DataFrame, value: str = "f1", by: str = "model", a: str = "A", b: str = "B", partitions: int | None = None) -> DataFrame:
+def mann_whitney(samples: DataFrame, value: str = "f1", by: str = "model", a: str = "A", b: str = "B", partitions: int | None = None, p_method: str = "asymptotic") -> DataFrame:
     """Two-sided Mann-Whitney U test of sample ``a`` against sample ``b``.
 
     Midranks over the pooled sample come from distributed running counts of
     distinct values (so it scales to raw score columns, not only to bootstrap
     samples). Reports U1 (of ``a``), U2, the normal statistic with continuity
-    correction and tie correction, and its two-sided p value. The p value is the
-    asymptotic one for every sample size; it is NULL (the test is undefined) when a
-    side has no defined value or all pooled values are equal.
+    correction and tie correction, and its two-sided p value. ``p_method`` decides which p
+    value, whatever the sample size: "asymptotic" from the normal statistic, "exact" from
+    the null distribution of U, which has no ties (NULL where there are some, and where
+    n1 * n2 exceeds EXACT_PAIRS). Both are NULL (the test is undefined) when a side has no
+    defined value; the asymptotic one also when all pooled values are equal.
     """
+    if p_method not in ("asymptotic", "exact"):
+        raise ValueError(f"unknown p_method {p_method!r}")
     x = F.col(value).cast("double")
     s = samples.filter(x.isNotNull() & F.col(by).isin(a, b))
     is_a = (F.col(by) == F.lit(a)).cast("long")
@@ -66,16 +70,49 @@ def mann_whitney(samples: DataFrame, value: str = "f1", by: str = "model", a: st
     var = n1 * n2 / F.lit(12.0) * ((n + F.lit(1.0)) - F.try_divide(F.col("ties"), n * (n - F.lit(1.0))))
     sd = F.sqrt(var)
     z = F.try_divide(F.greatest(F.col("u1"), F.col("u2")) - mu - F.lit(0.5), F.when(sd > 0, sd))
+    if p_method == "exact":
+        can = (n1 > 0) & (n2 > 0) & (F.col("ties") == 0) & (n1 * n2 <= F.lit(float(EXACT_PAIRS)))
+        p = F.when(can, exact_u_p(n1.cast("int"), n2.cast("int"), F.greatest(F.col("u1"), F.col("u2")).cast("int")))
+    else:
+        p = normal_two_sided_p(z)
     return one.select(
         F.col("n1").cast("bigint").alias("n1"),
         F.col("n2").cast("bigint").alias("n2"),
         "u1",
         "u2",
         z.alias("z"),
-        normal_two_sided_p(z).alias("p_value"),
+        p.alias("p_value"),
     )
 
 
+#: The exact test's work grows with the square of n1 * n2.
+EXACT_PAIRS = 4096
+
+
+def exact_u_p(n1: Column, n2: Column, u: Column) -> Column:
+    """2 P(U >= u) under the null hypothesis without ties, at most 1.
+
+    The number of arrangements with statistic u follows f(m, n, u) = f(m - 1, n, u - n) +
+    f(m, n - 1, u). For n = 0, 1, ..., n2 a list over m = 0 ... n1 of arrays over u is
+    carried on; all terms are positive, so doubles lose nothing to cancellation.
+    """
+    last = n1 * n2
+    zero = F.transform(F.sequence(F.lit(0), last), lambda x: F.when(x == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+    start = F.array_repeat(zero, n1 + 1)
+
+    def next_n(old: Column, n: Column) -> Column:
+        def next_m(new: Column, m: Column) -> Column:
+            before, same = F.get(new, m - 1), F.get(old, m)
+            return F.concat(new, F.array(F.transform(same, lambda x, v: x + F.when(v >= n, F.get(before, v - n)).otherwise(F.lit(0.0)))))
+
+        return F.aggregate(F.sequence(F.lit(1), n1), F.array(zero), next_m)
+
+    ways = F.get(F.aggregate(F.sequence(F.lit(1), n2), start, next_n), n1)
+    total = F.aggregate(ways, F.lit(0.0), lambda s, x: s + x)
+    tail = F.aggregate(F.slice(ways, u + 1, last - u + 1), F.lit(0.0), lambda s, x: s + x)
+    return F.least(F.lit(1.0), F.lit(2.0) * tail / total)
+
+
 def ab_verdict(
     samples: DataFrame, value: str = "f1", by: str = "model", a: str = "A", b: str = "B", alpha: float = 0.05, k: float = 3.0, materialize: bool = True
 ) -> DataFrame:
@@ -138,3 +175,15 @@ def ab_paired(scored: DataFrame, label: str = "tx_fraud", pred_a: str = "predict
         F.count_if(~ca & ~cb).alias("both_wrong"),
         F.count_if(F.col(pred_a) != F.col(pred_b)).alias("n_disagree"),
     )
+
+
+def mcnemar(scored: DataFrame, label: str = "tx_fraud", pred_a: str = "prediction_a", pred_b: str = "prediction_b") -> DataFrame:
+    """McNemar's test of two models on the same rows, one pass: one row with the numbers of
+    rows that only one model gets right, the exact two-sided p value (a sign test on them), the
+    continuity-corrected statistic and its asymptotic p value. Without any such row the exact
+    p is 1 and the statistic undefined (NULL). Rows with a NULL count for neither."""
+    pair = ab_paired(scored.filter(F.col(label).isNotNull() & F.col(pred_a).isNotNull() & F.col(pred_b).isNotNull()), label, pred_a, pred_b)
+    b, c = F.col("only_a_right"), F.col("only_b_right")
+    away = F.greatest(F.abs(b - c).cast("double") - F.lit(1.0), F.lit(0.0))
+    statistic = F.try_divide(away * away, (b + c).cast("double"))
+    return pair.select(b, c, sign_test_p(b, c).alias("p_exact"), statistic.alias("statistic"), normal_two_sided_p(F.sqrt(statistic)).alias("p_asymptotic"))

@@ -159,3 +159,47 @@ def kpi_report(
         (F.col("missed_amount") <= F.lit(max_missed_amount)).alias("missed_amount_ok"),
         (fdr <= F.lit(max_false_decline_rate)).alias("false_decline_ok"),
     )
+
+
+def operating_threshold(
+    df: DataFrame,
+    label: str = "tx_fraud",
+    score: str = "score",
+    amount: str = "tx_amount",
+    max_miss_rate: float = 0.02,
+    max_false_decline_rate: float = 0.05,
+    partitions: int | None = None,
+) -> DataFrame:
+    """One row: the threshold (score >= threshold is declined) with the best F1 among those
+    that meet both goals, the highest of them among equals; with its counts, rates and the
+    amount of the fraud that it misses. Where no threshold meets the goals, or a class is
+    missing, ``feasible`` is false and the rest NULL except the class sizes.
+
+    Every distinct score is a candidate. Their counts and amounts come from distributed running
+    totals, and the optimum is one global aggregate (a maximum over structs), so nothing is
+    sorted in one task.
+    """
+    y = F.col(label).cast("long")
+    money = F.coalesce(F.col(amount).cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
+    held = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counts = held.groupBy(F.col(score).cast("double").alias("v")).agg(
+        F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"), F.sum(F.when(y == 1, money).otherwise(F.lit(0).cast("decimal(18,6)"))).alias("fraud")
+    )
+    cum = running_totals(counts, "v", ["pos", "neg", "fraud"], ascending=False, partitions=partitions)
+    tp, fp, fn = F.col("cum_pos"), F.col("cum_neg"), F.col("tot_pos") - F.col("cum_pos")
+    miss = F.try_divide(fn.cast("double"), F.col("tot_pos").cast("double"))
+    declined = F.try_divide(fp.cast("double"), F.col("tot_neg").cast("double"))
+    point = F.struct(
+        prf_cols(tp, fp, fn)["f1"].alias("f1"),
+        F.col("v").alias("threshold"),
+        tp.cast("long").alias("tp"),
+        fp.cast("long").alias("fp"),
+        fn.cast("long").alias("fn"),
+        miss.alias("miss_rate"),
+        declined.alias("false_decline_rate"),
+        (F.col("tot_fraud") - F.col("cum_fraud")).cast("double").alias("missed_amount"),
+    )
+    meets = (miss <= F.lit(max_miss_rate)) & (declined <= F.lit(max_false_decline_rate)) & (tp > 0)
+    one = cum.agg(F.max(F.when(meets, point)).alias("b"), F.max("tot_pos").cast("long").alias("n_fraud"), F.max("tot_neg").cast("long").alias("n_good"))
+    names = ["threshold", "f1", "tp", "fp", "fn", "miss_rate", "false_decline_rate", "missed_amount"]
+    return one.select(F.col("b").isNotNull().alias("feasible"), *[F.col(f"b.{c}").alias(c) for c in names], F.coalesce("n_fraud", F.lit(0)).alias("n_fraud"), F.coalesce("n_good", F.lit(0)).alias("n_good"))

@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txsentry.functions.hashing import LANES, hash_uniform, hash_uniform_lanes, poisson_weight
-from txsentry.operators.metrics import prf_cols
+from txsentry.functions.hashing import LANES, hash_uniform, hash_uniform_lanes, poisson_draw, poisson_weight
+from txsentry.operators.metrics import confusion, prf_cols
 
 
 def split_label(key: Column | str, weights: list[float], names: list[str] | None = None, seed: int = 42) -> Column:
@@ -46,10 +46,17 @@ def bootstrap_cells(
     label: str = "tx_fraud",
     pred: str = "prediction",
     by: list[str] | None = None,
+    mode: str = "rows",
 ) -> DataFrame:
     """Weighted confusion cells per (group, replicate) for ``replicates`` resamples
     with replacement of expected size ``rate`` x rows.
 
+    ``mode="cells"``: the weights of a cell's rows are independent Poisson draws, so their sum
+    is one Poisson draw of mean ``rate`` x the cell's size. The rows are counted once (four
+    numbers a group), and each (group, replicate, cell) takes one draw from
+    md5('seed:' || group || ':' || replicate || ':' || cell): the cost of more replicates does
+    not depend on the rows. ``mode="rows"`` draws per row, as follows.
+
     The draw for a row depends on (group, replicate, key) only, so it repeats on
     re-execution. Replicate r uses lane r mod 4 of md5('seed:' || group || ':' ||
     r div 4 || ':' || key), so one hash serves four replicates: rows fan out over
@@ -58,6 +65,10 @@ def bootstrap_cells(
     groups x blocks rows, which are then unpivoted to one row per replicate.
     """
     by = list(by or [])
+    if mode == "cells":
+        return _draw_cells(confusion(preds, label, pred, by), replicates, rate, seed, by)
+    if mode != "rows":
+        raise ValueError(f"unknown bootstrap mode {mode!r}")
     blocks = -(-replicates // LANES)
     salt = F.concat_ws(":", *[F.col(b).cast("string") for b in by], F.col("_blk").cast("string"))
     y = F.col(label).cast("long")
@@ -90,6 +101,21 @@ def bootstrap_cells(
     return out.filter(F.col("replicate") < F.lit(replicates))
 
 
+CELLS = ["tp", "tn", "fp", "fn"]
+
+
+def _draw_cells(cells: DataFrame, replicates: int, rate: float, seed: int, by: list[str]) -> DataFrame:
+    """(group, replicate) with one Poisson draw per confusion cell; n is their sum."""
+    fan = cells.select(*by, *CELLS, F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
+    salt = F.concat_ws(":", *[F.col(b).cast("string") for b in by], F.col("replicate").cast("string"))
+    draws = []
+    for c in CELLS:
+        u, u2, *_ = hash_uniform_lanes(F.lit(c), seed, salt=salt)
+        draws.append(poisson_draw(F.col(c).cast("double") * F.lit(float(rate)), u, u2).alias(c))
+    out = fan.select(*by, "replicate", *draws)
+    return out.withColumn("n", F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn"))
+
+
 def bootstrap_f1(preds: DataFrame, replicates: int = 50, rate: float = 0.8, seed: int = 42, by: list[str] | None = None, **kw) -> DataFrame:
     """(group, replicate, n, f1): the F1 sample of each group. F1 is NULL for a
     replicate without true positives."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txsentry.functions.timefeat import TS_FORMAT
-from txsentry.operators import abtest, clean as cl, features as fe, metrics as me, ml, sampling, stats
+from txsentry.operators import abtest, clean as cl, features as fe, metrics as me, ml, sampling, sketches, stats
 from txsentry.plans import jobs
 from txsentry.session import ensure_conf, scratch_path
 from txsentry.sources import files
@@ -184,6 +184,29 @@ def q_quantiles_approx_within(spark, sf):
     return base.agg(*within)
 
 
+SKETCH_RUNS = 3
+
+
+def q_quantiles_sketched(spark, sf):
+    """Quartiles merged from stored sketches of each day and run, without a look at old
+    rows: their number of values and days, and whether each one's rank is within the
+    sketch's error (twice, as the rank on either side counts)."""
+    base = files.materialize(_base(spark, sf).select(ID, "tx_time_days", "tx_amount"), scratch_path(spark, "sketch-input"))
+    path = scratch_path(spark, "day-sketches")
+    for r in range(SKETCH_RUNS):
+        sketches.store(sketches.day_sketches(base.filter(F.pmod(ID, F.lit(SKETCH_RUNS)) == r), "tx_amount"), path, f"run{r}")
+    stored = sketches.stored(spark, path)
+    q = files.materialize(sketches.quantiles_from(stored, [0.25, 0.5, 0.75]), scratch_path(spark, "sketch-quartiles"))
+    v, n = F.col("tx_amount"), F.count("tx_amount")
+    within = []
+    for i, (p, c) in enumerate([(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]):
+        x = q.select(f"q{i}").scalar()
+        slack = 2 * sketches.RANK_ERROR
+        within.append(((F.count_if(v < x) / n <= p + slack) & (F.count_if(v <= x) / n >= p - slack)).alias(c))
+    days = stored.agg(F.count_distinct("day").alias("n")).select("n").scalar()
+    return base.agg(*within).select("p25", "p50", "p75", q.select("n").scalar().alias("n_values"), days.alias("n_days"))
+
+
 def q_clean_iqr_approx(spark, sf):
     return cl.clean(_tx(spark, sf), method="approx", rel_error=APPROX_REL_ERROR, stage_path=scratch_path(spark, "dedup"))
 
@@ -240,6 +263,19 @@ def q_auc_pr(spark, sf):
     return me.auc_pr(_filled(spark, sf, RULE_COLUMNS), score="tx_amount")
 
 
+def q_operating_threshold(spark, sf):
+    """The best threshold within the goals on a label that the score nearly tells (one row in
+    97 is mislabelled), and on the raw label, which no score here can tell."""
+    rows = _filled(spark, sf, [ID, LABEL, "tx_amount", "terminal_id"])
+    rows = files.materialize(rows, scratch_path(spark, "threshold-input"))
+    group = F.pmod(F.col("terminal_id"), F.lit(8))
+    odd = F.pmod(F.col(ID), F.lit(97)) == 0
+    planted = rows.select(((group >= 4) != odd).cast("int").alias(LABEL), (group + F.col("tx_amount") / F.lit(1000.0)).alias("score"), "tx_amount")
+    raw = rows.select(LABEL, F.col("tx_amount").alias("score"), "tx_amount")
+    one = me.operating_threshold(planted).withColumn("label", F.lit("planted"))
+    return one.unionByName(me.operating_threshold(raw).withColumn("label", F.lit("raw")))
+
+
 def q_kpi_report(spark, sf):
     return me.kpi_report(_scored_all(spark, sf), by=["model"])
 
@@ -272,6 +308,10 @@ def q_bootstrap_f1(spark, sf):
     return _samples(spark, sf)
 
 
+def q_bootstrap_f1_cells(spark, sf):
+    return sampling.bootstrap_f1(_pred_test(spark, sf), jobs.BOOT_REPLICATES, jobs.BOOT_RATE, by=["model"], mode="cells")
+
+
 def q_f1_interval(spark, sf):
     return abtest.f1_interval(_samples(spark, sf))
 
@@ -280,6 +320,22 @@ def q_mann_whitney(spark, sf):
     return abtest.mann_whitney(_samples(spark, sf))
 
 
+EXACT_REPLICATES = 8
+
+
+def q_mann_whitney_exact(spark, sf):
+    """The exact test on the first eight replicates of each model."""
+    few = _samples(spark, sf).filter(F.col("replicate") < EXACT_REPLICATES)
+    return abtest.mann_whitney(few, p_method="exact")
+
+
+def q_mcnemar(spark, sf):
+    """Two rules that differ on few rows."""
+    _, test = _split(spark, sf, RULE_COLUMNS)
+    a, _ = _rules()
+    return abtest.mcnemar(jobs.side_by_side(test, a, ml.rule_model(jobs.RULE_A_THRESHOLD + 2.0)))
+
+
 def q_ab_verdict(spark, sf):
     return abtest.ab_verdict(_samples(spark, sf))
 
@@ -477,6 +533,7 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "iqr_fences": q_iqr_fences,
     "quantiles_approx": q_quantiles_approx,
     "quantiles_approx_within": q_quantiles_approx_within,
+    "quantiles_sketched": q_quantiles_sketched,
     "clean_iqr_approx": q_clean_iqr_approx,
     "project_features": q_project_features,
     "tx_time_feature": q_tx_time_feature,
@@ -491,13 +548,17 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pr_curve": q_pr_curve,
     "auc_pr": q_auc_pr,
     "kpi_report": q_kpi_report,
+    "operating_threshold": q_operating_threshold,
     "split_hash": q_split_hash,
     "split_90_10_seed24": _split_variant([0.9, 0.1], BASELINE_SEED),
     "split_95_5_seed42": _split_variant(jobs.TRAIN_WEIGHTS, jobs.SPLIT_SEED),
     "split_groups": q_split_groups,
     "bootstrap_f1": q_bootstrap_f1,
+    "bootstrap_f1_cells": q_bootstrap_f1_cells,
     "f1_interval": q_f1_interval,
     "mann_whitney": q_mann_whitney,
+    "mann_whitney_exact": q_mann_whitney_exact,
+    "mcnemar": q_mcnemar,
     "ab_verdict": q_ab_verdict,
     "ab_verdict_undefined": q_ab_verdict_undefined,
     "histogram": q_histogram,
@@ -915,6 +976,76 @@ def oracle_sql() -> dict[str, str]:
         ),
         ["f1_label1", "area_under_pr", "area_under_roc", "rmse"],
     )
+    s["quantiles_sketched"] = _with(
+        "SELECT true AS p25, true AS p50, true AS p75, count(tx_amount) AS n_values, count(DISTINCT CASE WHEN tx_amount IS NOT NULL THEN tx_time_days END) AS n_days FROM base", "base"
+    )
+    s["operating_threshold"] = _round(
+        _with(
+            "SELECT label, feasible, threshold, f1, tp, fp, fn, miss_rate, false_decline_rate, missed_amount, n_fraud, n_good FROM ("
+            "SELECT *, row_number() OVER (PARTITION BY label ORDER BY feasible DESC, CASE WHEN feasible THEN f0 END DESC, v DESC) AS place, "
+            "CASE WHEN feasible THEN v END AS threshold, CASE WHEN feasible THEN f0 END AS f1, CASE WHEN feasible THEN tp0 END AS tp, "
+            "CASE WHEN feasible THEN fp0 END AS fp, CASE WHEN feasible THEN n_fraud - tp0 END AS fn, CASE WHEN feasible THEN miss0 END AS miss_rate, "
+            "CASE WHEN feasible THEN declined0 END AS false_decline_rate, CASE WHEN feasible THEN CAST(all_money - money0 AS DOUBLE) END AS missed_amount "
+            "FROM (SELECT *, miss0 <= 0.02e0 AND declined0 <= 0.05e0 AND tp0 > 0 AS feasible, 2e0 * tp0 / (2e0 * tp0 + fp0 + (n_fraud - tp0)) AS f0 "
+            "FROM (SELECT *, CAST(n_fraud - tp0 AS DOUBLE) / n_fraud AS miss0, CAST(fp0 AS DOUBLE) / n_good AS declined0 "
+            "FROM (SELECT label, v, CAST(sum(pos) OVER w AS BIGINT) AS tp0, CAST(sum(neg) OVER w AS BIGINT) AS fp0, sum(money) OVER w AS money0, "
+            "CAST(sum(pos) OVER (PARTITION BY label) AS BIGINT) AS n_fraud, CAST(sum(neg) OVER (PARTITION BY label) AS BIGINT) AS n_good, sum(money) OVER (PARTITION BY label) AS all_money "
+            "FROM (SELECT label, v, sum(y) AS pos, sum(1 - y) AS neg, sum(CASE WHEN y = 1 THEN CAST(tx_amount AS DECIMAL(18, 6)) ELSE 0 END) AS money "
+            "FROM (SELECT 'planted' AS label, (terminal_id % 8) + tx_amount / 1000e0 AS v, CAST((terminal_id % 8 >= 4) <> (transaction_id % 97 = 0) AS BIGINT) AS y, tx_amount FROM filled "
+            "UNION ALL SELECT 'raw' AS label, tx_amount AS v, CAST(tx_fraud AS BIGINT) AS y, tx_amount FROM filled) GROUP BY label, v) "
+            "WINDOW w AS (PARTITION BY label ORDER BY v DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))))) WHERE place = 1",
+            "filled",
+        ),
+        ["threshold", "f1", "miss_rate", "false_decline_rate", "missed_amount"],
+    )
+    s["bootstrap_f1_cells"] = _round(
+        _with(
+            "SELECT model, replicate, CAST(tp + tn + fp + fn AS BIGINT) AS n, tp, fp, fn, CASE WHEN tp > 0 THEN 2e0 * tp / (2e0 * tp + fp + fn) END AS f1 FROM ("
+            "SELECT model, replicate, CAST(sum(CASE WHEN cell = 'tp' THEN draw END) AS BIGINT) AS tp, CAST(sum(CASE WHEN cell = 'tn' THEN draw END) AS BIGINT) AS tn, "
+            "CAST(sum(CASE WHEN cell = 'fp' THEN draw END) AS BIGINT) AS fp, CAST(sum(CASE WHEN cell = 'fn' THEN draw END) AS BIGINT) AS fn FROM ("
+            "SELECT model, replicate, cell, CASE WHEN any_value(mean) < 64e0 THEN count_if(cdf <= u) "
+            "ELSE greatest(0, CAST(floor(any_value(mean) + sqrt(any_value(mean)) * any_value(z) + (any_value(z) * any_value(z) - 1e0) / 6e0 + 0.5e0) AS BIGINT)) END AS draw "
+            "FROM (SELECT model, replicate, cell, mean, u, z, k, sum(CASE WHEN mean = 0 THEN CAST(k = 0 AS INTEGER) ELSE exp(k * ln(greatest(mean, 1e-300)) - mean - lgamma(k + 1)) END) "
+            "OVER (PARTITION BY model, replicate, cell ORDER BY k) AS cdf "
+            "FROM (SELECT *, sqrt(-2e0 * ln(u + 0.5e0 / 4294967296e0)) * cos(2e0 * pi() * u2) AS z FROM ("
+            "SELECT model, replicate, cell, size * 0.8e0 AS mean, "
+            "CAST(('0x' || substr(h, 1, 8)) AS BIGINT) / 4294967296e0 AS u, CAST(('0x' || substr(h, 9, 8)) AS BIGINT) / 4294967296e0 AS u2 "
+            "FROM (SELECT c.model, CAST(r.replicate AS INTEGER) AS replicate, c.cell, c.size, md5('42:' || c.model || ':' || r.replicate || ':' || c.cell) AS h "
+            "FROM (SELECT model, cell, CAST(sum(CASE cell WHEN 'tp' THEN CAST(tx_fraud = 1 AND prediction = 1 AS INTEGER) WHEN 'tn' THEN CAST(tx_fraud <> 1 AND prediction <> 1 AS INTEGER) "
+            "WHEN 'fp' THEN CAST(tx_fraud <> 1 AND prediction = 1 AS INTEGER) ELSE CAST(tx_fraud = 1 AND prediction <> 1 AS INTEGER) END) AS DOUBLE) AS size "
+            "FROM pred, (VALUES ('tp'), ('tn'), ('fp'), ('fn')) AS n(cell) GROUP BY model, cell) AS c, range(0, 50) AS r(replicate)))), range(0, 200) AS t(k)) "
+            "GROUP BY model, replicate, cell) GROUP BY model, replicate)",
+            "pred",
+        ),
+        ["f1"],
+    )
+    few = "SELECT model, f1 AS v FROM samples WHERE replicate < 8 AND f1 IS NOT NULL"
+    s["mann_whitney_exact"] = _round(
+        _with(
+            f"SELECT n1, n2, u1, n1 * n2 - u1 AS u2, (greatest(u1, n1 * n2 - u1) - n1 * n2 / 2e0 - 0.5e0) / "
+            "sqrt(n1 * n2 / 12e0 * ((n1 + n2 + 1e0) - ties / ((n1 + n2) * (n1 + n2 - 1e0)))) AS z, "
+            "CASE WHEN ties = 0 THEN least(1e0, 2e0 * (SELECT count_if(w >= greatest(u1, n1 * n2 - u1)) / CAST(count(*) AS DOUBLE) FROM ("
+            "SELECT list_sum([CASE WHEN (m >> i) & 1 = 1 THEN i + 1 ELSE 0 END for i in range(0, 16)]) - n1 * (n1 + 1) / 2 AS w FROM range(0, 65536) AS t(m) "
+            "WHERE bit_count(m) = n1 AND m < (1 << CAST(n1 + n2 AS BIGINT))))) END AS p_value FROM ("
+            f"SELECT (SELECT count(*) FROM ({few}) WHERE model = 'A') AS n1, (SELECT count(*) FROM ({few}) WHERE model = 'B') AS n2, "
+            f"(SELECT coalesce(sum(CASE WHEN a.v > b.v THEN 1e0 WHEN a.v = b.v THEN 0.5e0 ELSE 0e0 END), 0e0) FROM ({few}) AS a, ({few}) AS b WHERE a.model = 'A' AND b.model = 'B') AS u1, "
+            f"(SELECT coalesce(sum(CAST(c AS DOUBLE) * c * c - c), 0e0) FROM (SELECT count(*) AS c FROM ({few}) GROUP BY v)) AS ties)",
+            "samples",
+        ),
+        ["u1", "u2", "z", "p_value"],
+    )
+    s["mcnemar"] = _round(
+        _with(
+            "SELECT only_a_right, only_b_right, CASE WHEN n = 0 THEN 1e0 ELSE least(1e0, 2e0 * (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2e0))) "
+            "FROM range(0, 1000000) AS t(i) WHERE i <= least(only_a_right, only_b_right))) END AS p_exact, statistic, "
+            f"CASE WHEN n > 0 THEN least(1e0, {_ERFC}) END AS p_asymptotic FROM (SELECT *, 1e0 / (1e0 + 0.5e0 * x) AS t FROM (SELECT *, sqrt(statistic) / sqrt(2e0) AS x FROM ("
+            "SELECT *, CASE WHEN n > 0 THEN greatest(abs(only_a_right - only_b_right) - 1e0, 0e0) ** 2 / n END AS statistic FROM ("
+            "SELECT *, only_a_right + only_b_right AS n FROM (SELECT CAST(count_if(ca AND NOT cb) AS BIGINT) AS only_a_right, CAST(count_if(NOT ca AND cb) AS BIGINT) AS only_b_right "
+            "FROM (SELECT (tx_amount > 60.0e0) = (tx_fraud = 1) AS ca, (tx_amount > 62.0e0) = (tx_fraud = 1) AS cb FROM test))))))",
+            "test",
+        ),
+        ["p_exact", "statistic", "p_asymptotic"],
+    )
     s["quantiles_approx_within"] = "SELECT true AS p25, true AS p50, true AS p75"
     rule = "CAST(terminal_id % 8 >= 4 AS INTEGER) AS tx_fraud, CAST(terminal_id % 8 >= 4 AS DOUBLE) AS prediction"
     for name in ("train_rf", "train_rf_baseline", "train_gbt"):
