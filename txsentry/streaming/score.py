@@ -14,13 +14,13 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from txsentry.operators.clean import SENTINEL_CUSTOMER
 from txsentry.operators.features import with_tx_time
 from txsentry.sources.tables import TX_COLUMNS, TX_SCHEMA
 from txsentry.streaming.messages import MESSAGE_SCHEMA, decode_messages, encode_predictions
+from txsentry.streaming.seen import first_rows, start_with_rocksdb
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str, options: dict[str, str] | None = None, starting: str = "latest") -> DataFrame:
@@ -162,6 +162,12 @@ def clean_stream(
     return s.dropDuplicatesWithinWatermark(TX_COLUMNS).drop("_event_ts")
 
 
+#: How far (event days) a row may lie behind the newest of its bucket, and into how many
+#: buckets rows are dealt. A bucket's day should hold some ten thousand rows at most.
+HORIZON_DAYS = 400
+BUCKETS = 64
+
+
 def clean_stream_to(
     tx: DataFrame,
     path: str,
@@ -171,34 +177,34 @@ def clean_stream_to(
     key_cols: list[str] | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
+    horizon_days: int = HORIZON_DAYS,
+    buckets: int = BUCKETS,
+    late_path: str | None = None,
 ) -> StreamingQuery:
-    """Streaming clean that keeps late rows: the result equals the batch job's, whatever
-    the order of arrival.
-
-    The sink itself is the dedup state. It is partitioned by epoch and day; a
-    micro-batch reads back only the days that it has rows of, from earlier epochs, and
-    writes the rows that are not there yet. A replayed epoch overwrites its own folder.
+    """Streaming clean that keeps rows out of time order: the result equals the batch job's,
+    whatever the order of arrival, as long as no row lies more than ``horizon_days`` behind
+    the newest of its bucket. Rows beyond that go to ``late_path`` (default: beside the sink,
+    ``<path>-late``), so none vanishes.
+
+    Which rows have been seen is keyed state in the checkpoint (``streaming.seen``), bounded by
+    the horizon; the sink is never read. A replayed epoch overwrites its own folder.
+    ``buckets`` is fixed for the life of a checkpoint.
     """
-    place = path.rstrip("/")
+    place, late_place = path.rstrip("/"), (late_path or f"{path.rstrip('/')}-late").rstrip("/")
+    # filters test one row at a time and copies are identical rows: rejected rows need no state
+    rows = first_rows(_clean_rows(tx, upper_fence, sentinel, key_cols).select(TX_COLUMNS), TX_SCHEMA, "tx_datetime", horizon_days, buckets)
 
     def each(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        day = F.coalesce(F.substring("tx_datetime", 1, 10), F.lit("none"))
-        rows = _clean_rows(batch, upper_fence, sentinel, key_cols).dropDuplicates(TX_COLUMNS).withColumn("day", day)
-        seen = spark.read.schema(T.StructType([*TX_SCHEMA.fields, T.StructField("epoch", T.LongType()), T.StructField("day", T.StringType())]))
-        if epoch > 0:
-            days = [r["day"] for r in rows.select("day").distinct().collect()]  # the days of one micro-batch
-            old = seen.parquet(place).filter((F.col("epoch") < epoch) & F.col("day").isin(days))
-            old = old.select(F.xxhash64(*TX_COLUMNS).alias("_key"), *[F.col(c).alias(f"_{c}") for c in TX_COLUMNS])
-            same = F.xxhash64(*TX_COLUMNS) == F.col("_key")
-            for c in TX_COLUMNS:
-                same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-            rows = rows.join(old, same, "left_anti")
-        rows.write.mode("overwrite").partitionBy("day").parquet(f"{place}/epoch={epoch}")
-
-    w = tx.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        batch.persist()
+        try:
+            for late, to in ((False, place), (True, late_place)):
+                batch.filter(F.col("is_late") == F.lit(late)).drop("is_late").write.mode("overwrite").parquet(f"{to}/epoch={epoch}")
+        finally:
+            batch.unpersist()
+
+    w = rows.writeStream.foreachBatch(each).outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    return start_with_rocksdb(tx.sparkSession, w.start)
