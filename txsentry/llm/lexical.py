@@ -34,6 +34,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,12 +43,11 @@ from txsentry.llm.common import shuffle_width, stage
 from txsentry.llm.decontaminate import words
 
 PLACES = 50
-SHARD_TERMS = 1 << 21
+SHARD_TERMS = 1 << 20
 SHARD_DOCS = 1 << 14
 BLOCK_TERMS = 200_000
 BATCH = 128  # ranges that are opened at once
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_BITS = np.array([m.bit_count() for m in range(16)], np.int64)
+_BITS = np.array([m.bit_count() for m in range(16)], np.int32)
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -94,10 +94,11 @@ class Treap:
         self.depth = depth
         kids = _BITS[quarters]
         leaves = len(short) - len(quarters)
-        self.quarters = np.concatenate(([0], quarters, np.zeros(leaves, np.uint8))).astype(np.uint8)
-        self.first = np.concatenate(([0], 2 + np.cumsum(kids) - kids, np.zeros(leaves, np.int64)))
-        self.top = np.zeros(len(short) + 1, np.int64)
-        self.top[1:] = -short.astype(np.int64)
+        self.quarters = np.concatenate((np.zeros(1, np.uint8), quarters, np.zeros(leaves, np.uint8)))
+        self.first = np.zeros(len(short) + 1, np.int32)
+        self.first[1 : len(quarters) + 1] = 2 + np.cumsum(kids, dtype=np.int32) - kids
+        self.top = np.zeros(len(short) + 1, np.int32)
+        np.negative(short, out=self.top[1:])
         self.top[1] = short[0]
         lo, hi = 1, 2
         for _ in range(depth):  # greatest values from the root down
@@ -115,7 +116,7 @@ class Treap:
         scores of ``least`` or more count: (columns, scores), in no order."""
         node = np.ones((1, len(rows)), np.int64)
         found_col, found_score = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        bound = np.array([(weights * self.top[1]).sum()])
+        bound = np.array([(weights * int(self.top[1])).sum()])
         level, col = np.array([self.depth]), np.array([0])
         bar, top = max(least, 1), np.empty(0, np.int64)
         if self.depth == 0:  # one term, one document
@@ -155,13 +156,23 @@ class Treap:
 def build_index(docs: DataFrame, shard_terms: int = SHARD_TERMS, shard_docs: int = SHARD_DOCS) -> tuple[DataFrame, int, int]:
     """The index of ``docs`` (doc_id, text) as a table of shards, the number of documents with
     a term and the number of their terms. Columns: docs (ids by column), terms (distinct terms
-    by row, joined by blanks), df (documents per row), depth, quarters, short."""
-    per_doc = F.coalesce(F.regexp_count(F.col("text"), F.lit(TERM)), F.lit(0)).cast("long")
-    n_docs, n_terms = docs.select(per_doc.alias("n")).agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
+    by row, joined by blanks), df (documents per row), depth, quarters, short; texts and tree
+    compressed, as a task reads several shards at once but needs one."""
+
+    def sizes(batches):
+        for b in batches:
+            n = [len(words(t)) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(x > 0 for x in n)], pa.int64()), pa.array([sum(n)], pa.int64())], ["docs", "terms"])
+
+    counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(sizes, "docs long, terms long")
+    n_docs, n_terms = counts.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("terms"), F.lit(0))).first()
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType.fromDDL("terms binary, df binary, depth int, quarters binary, short binary")
     schema = T.StructType([T.StructField("docs", T.ArrayType(kind)), *schema.fields])
 
+    def squeeze(data: bytes) -> bytes:
+        return zstandard.ZstdCompressor(level=1).compress(data)
+
     def shard(ids, doc_terms, names):
         size = np.fromiter(map(len, doc_terms), np.int64, len(doc_terms))
         cell, tf = np.unique(np.repeat(np.arange(len(ids)), size) << 32 | np.concatenate(doc_terms), return_counts=True)
@@ -172,7 +183,7 @@ def build_index(docs: DataFrame, shard_terms: int = SHARD_TERMS, shard_docs: int
         row[order] = np.arange(len(names))
         depth, quarters, short = build_tree(row[term], col, impact(tf, size[col], n_docs, n_terms))
         in_order = b" ".join([names[i] for i in order.tolist()])
-        values = [in_order, df[order].astype(np.int32).tobytes(), depth, quarters.tobytes(), short.tobytes()]
+        values = [squeeze(in_order), df[order].astype(np.int32).tobytes(), depth, squeeze(quarters.tobytes()), squeeze(short.tobytes())]
         return pa.RecordBatch.from_arrays([pa.array([ids.to_pylist()], pa.list_(ids.type)), *[pa.array([v]) if not isinstance(v, int) else pa.array([v], pa.int32()) for v in values]], schema.names)
 
     def run(batches):
@@ -218,11 +229,14 @@ def _search(index: DataFrame, block: list, n_docs: int, places: int) -> DataFram
     vocabulary = sorted({t for _, terms in block for t in terms})
     sent = spark.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
 
+    def loose(data: bytes) -> bytes:
+        return zstandard.ZstdDecompressor().decompress(data)
+
     def holders(batches):
         at = sent.value
         for b in batches:
             for terms, df in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ours = [(at[t], n) for t, n in zip(terms.split(b" "), np.frombuffer(df, np.int32).tolist()) if t in at]
+                ours = [(at[t], n) for t, n in zip(loose(terms).split(b" "), np.frombuffer(df, np.int32).tolist()) if t in at]
                 yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in ours], pa.int32()), pa.array([n for _, n in ours], pa.int64())], ["term", "df"])
 
     df = dict(index.select("terms", "df").mapInArrow(holders, "term int, df long").groupBy("term").agg(F.sum("df")).collect())
@@ -240,8 +254,8 @@ def _search(index: DataFrame, block: list, n_docs: int, places: int) -> DataFram
             kept_type = b.column(0).type.value_type
             for i in range(b.num_rows):
                 ids, terms, _, depth, quarters, short = (b.column(k)[i].as_py() for k in range(6))
-                row = {at[t]: r for r, t in enumerate(terms.split(b" ")) if t in at}
-                tree = Treap(depth, np.frombuffer(quarters, np.uint8), np.frombuffer(short, np.int32))
+                row = {at[t]: r for r, t in enumerate(loose(terms).split(b" ")) if t in at}
+                tree = Treap(depth, np.frombuffer(loose(quarters), np.uint8), np.frombuffer(loose(short), np.int32))
                 for q, query in enumerate(queries):
                     here = [(row[t], w) for t, w in query if t in row]
                     if not here:
