@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txsentry.operators import abtest, clean as cl, metrics, ml, sampling
+from txsentry.operators import abtest, clean as cl, metrics, ml, sampling, sketches
 from txsentry.session import ensure_conf, scratch_dir, scratch_path, scratch_scope
 from txsentry.sources import files
 from txsentry.sources.tables import FEATURES, ID, LABEL, TX_SCHEMA
@@ -84,6 +84,29 @@ def clean_job(spark: SparkSession, src: str, dst: str, sentinel: int = cl.SENTIN
     return files.read_parquet(spark, dst)
 
 
+def clean_run_job(spark: SparkSession, src: str, dst: str, sketch_path: str, run: str, sentinel: int = cl.SENTINEL_CUSTOMER, keep_days: int | None = None, k: float = 1.5, fmt: str = "csv") -> DataFrame:
+    """One run of the job that cleans every few minutes: the new rows at ``src`` only, with a fence
+    from all days' stored sketches (``keep_days``: only those so near to the newest day) and
+    this run's, merged. Old rows are not read. The run's clean rows go to ``dst/run=<run>``,
+    its sketches to ``sketch_path``; a repeated run replaces both. Copies are dropped within the
+    run; a run without any stored value keeps no row, as there is no fence."""
+    ensure_conf(spark)
+    with scratch_scope():
+        raw = files.read_csv(spark, src) if fmt == "csv" else files.read_parquet(spark, src)
+        base = cl.drop_null_key(cl.filter_sentinel(cl.dedup_rows(raw), sentinel=sentinel))
+        base = files.materialize(base, scratch_path(spark, "clean-run"))
+        sketches.store(sketches.day_sketches(base, "tx_amount"), sketch_path, run)
+        held = sketches.stored(spark, sketch_path)
+        if keep_days is not None:
+            newest = held.agg(F.max("day").alias("d")).select("d").scalar()
+            held = held.filter(F.col("day") > newest - F.lit(keep_days))
+        quartiles = sketches.quantiles_from(held, [0.25, 0.75]).select(F.col("q0").alias("q1"), F.col("q1").alias("q3"))
+        fence = cl.fences_of(quartiles, k).select("upper_fence").scalar()
+        out = f"{dst.rstrip('/')}/run={run}"
+        cl.apply_upper_fence(base, "tx_amount", fence).write.mode("overwrite").parquet(out)
+    return files.read_parquet(spark, out)
+
+
 # The training job's own split (95 / 5).
 TRAIN_WEIGHTS = [0.95, 0.05]
 
@@ -132,15 +155,16 @@ def ab_job(spark: SparkSession, src: str, model_a: str | PipelineModel, model_b:
     return abtest.ab_verdict(samples, alpha=alpha)
 
 
-def score_stream_job(spark: SparkSession, source_opts: dict, sink_opts: dict, bad_opts: dict, model_dir: str, checkpoint: str, trigger: str | None = None):
+def score_stream_job(spark: SparkSession, source_opts: dict, sink_opts: dict, bad_opts: dict, model_dir: str, checkpoint: str, trigger: str | None = None, outbox: str | None = None):
     """Kafka in -> scores -> Kafka out. ``source_opts`` / ``sink_opts`` / ``bad_opts`` need
     ``bootstrap`` and ``topic``; other keys are passed as Kafka options. Rows that cannot
-    be scored go to the topic of ``bad_opts``."""
+    be scored go to the topic of ``bad_opts``. Answers go through the outbox table at ``outbox``
+    (default: ``outbox`` in the checkpoint folder), so that a restart does not repeat them."""
     ensure_conf(spark)
     so = dict(source_opts)
     msgs = st.kafka_source(spark, so.pop("bootstrap"), so.pop("topic"), so)
     ko = dict(sink_opts)
-    sink = st.kafka_batch_sink(ko.pop("bootstrap"), ko.pop("topic", "predicted"), ko)
+    sink = st.outbox_sink(outbox or f"{checkpoint.rstrip('/')}/outbox", st.kafka_sender(ko.pop("bootstrap"), ko.pop("topic", "predicted"), ko))
     bo = dict(bad_opts)
     bad = st.bad_rows_kafka_sink(bo.pop("bootstrap"), bo.pop("topic"), bo)
     return st.score_stream(msgs, ml.load_model(model_dir), sink, bad, checkpoint, processing_time=trigger)

@@ -100,12 +100,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def mark_path(spark: SparkSession, path: str) -> None:
+    """Create an empty file (a mark); an existing one stays."""
+    fs, p = _file_system(spark, path)
+    fs.create(p, True).close()
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder this package wrote through the Hadoop file system of its URI, so
     it works the same on HDFS, object stores and local disk."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _file_system(spark, path)
     return bool(fs.delete(p, True))
 
 

@@ -112,11 +112,13 @@ def decode_messages(msgs: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 def encode_predictions(scored: DataFrame, key: list[str] | None = None, id_col: str = "transaction_id", pred: str = "prediction") -> DataFrame:
     """One outgoing message per incoming message: a JSON object from transaction id
-    to prediction, in message order; a repeated id keeps its last value. Groups are
-    messages, so each is bounded by the message size."""
+    to prediction, in message order; a repeated id keeps its first place and its last value.
+    Groups are messages, so each is bounded by the message size, and the work is linear in it:
+    the last value of each (message, id) is found before a message's entries are collected.
+    Rows are dealt once by message, which serves both groupings."""
     key = key or MSG_KEY
-    entries = F.sort_array(F.collect_list(F.struct(F.col("pos"), F.col(id_col).cast("string").alias("k"), F.col(pred).cast("double").alias("v"))))
-    g = scored.groupBy(*key).agg(entries.alias("_e"))
-    first = F.filter("_e", lambda e, i: ~F.exists(F.slice("_e", 1, i), lambda x: x["k"] == e["k"]))
-    m = F.map_from_entries(F.transform(first, lambda e: F.struct(e["k"], F.element_at(F.filter("_e", lambda x: x["k"] == e["k"]), -1)["v"])))
-    return g.select(*key, F.to_json(m).alias("value"), F.size("_e").alias("n_rows"))
+    rows = scored.select(*key, "pos", F.col(id_col).cast("string").alias("k"), F.col(pred).cast("double").alias("v")).repartition(*key)
+    last = rows.groupBy(*key, "k").agg(F.min("pos").alias("first"), F.max_by("v", "pos").alias("v"), F.count(F.lit(1)).alias("n"))
+    g = last.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("first", "k", "v"))).alias("_e"), F.sum("n").cast("int").alias("n_rows"))
+    m = F.map_from_entries(F.transform("_e", lambda e: F.struct(e["k"], e["v"])))
+    return g.select(*key, F.to_json(m).alias("value"), "n_rows")

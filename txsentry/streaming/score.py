@@ -18,8 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txsentry.operators.clean import SENTINEL_CUSTOMER
 from txsentry.operators.features import with_tx_time
+from txsentry.session import mark_path, path_exists
 from txsentry.sources.tables import TX_COLUMNS, TX_SCHEMA
-from txsentry.streaming.messages import MESSAGE_SCHEMA, decode_messages, encode_predictions
+from txsentry.streaming.messages import MESSAGE_SCHEMA, MSG_KEY, decode_messages, encode_predictions
 from txsentry.streaming.seen import first_rows, start_with_rocksdb
 
 
@@ -61,6 +62,9 @@ def parquet_batch_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def kafka_batch_sink(bootstrap: str, topic: str = "predicted", options: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+    """Send each micro-batch's answers at once. At least once: an epoch that is replayed after a
+    failure is sent again as a whole; ``outbox_sink`` avoids that."""
+
     def write(batch: DataFrame, epoch: int) -> None:
         w = encode_predictions(batch).select(F.col("value")).write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
         for k, v in (options or {}).items():
@@ -70,6 +74,51 @@ def kafka_batch_sink(bootstrap: str, topic: str = "predicted", options: dict[str
     return write
 
 
+def kafka_sender(bootstrap: str, topic: str = "predicted", options: dict[str, str] | None = None) -> Callable[[DataFrame], None]:
+    """Send answers to a topic; the message's place is the Kafka key, by which a reader can
+    tell an answer that was sent twice."""
+
+    def send(answers: DataFrame) -> None:
+        w = answers.select(F.concat_ws(":", *MSG_KEY).alias("key"), "value").write.format("kafka")
+        w = w.option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
+        for k, v in (options or {}).items():
+            w = w.option(k, v)
+        w.save()
+
+    return send
+
+
+def outbox_sink(path: str, send: Callable[[DataFrame], None], slices: int = 8) -> Callable[[DataFrame, int], None]:
+    """A sink for a receiver without transactions, by an outbox table at ``path`` (one per
+    query, on storage that survives a restart).
+
+    The answers of an epoch are written first, dealt into ``slices`` by a hash of the message,
+    and then sent slice by slice, each marked when ``send`` has returned. A replayed epoch
+    finds its answers written (they are not computed again, so they are the same even if the
+    model has changed since) and sends only the slices without a mark. So after a failure
+    between slices every message is answered once; a failure inside ``send`` can repeat that
+    slice's answers only.
+    """
+    box = path.rstrip("/")
+    kind = "topic string, partition int, offset long, value string, n_rows int, slice int"
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        place, marks = f"{box}/answers/epoch={epoch}", f"{box}/marks/epoch={epoch}"
+        if not path_exists(spark, f"{marks}/written"):
+            answers = encode_predictions(batch)
+            dealt = answers.withColumn("slice", F.pmod(F.xxhash64(*MSG_KEY), F.lit(slices)).cast("int"))
+            dealt.write.mode("overwrite").partitionBy("slice").parquet(place)
+            mark_path(spark, f"{marks}/written")
+        held = spark.read.schema(kind).parquet(place)
+        for i in range(slices):
+            if not path_exists(spark, f"{marks}/sent-{i}"):
+                send(held.filter(F.col("slice") == i).drop("slice"))
+                mark_path(spark, f"{marks}/sent-{i}")
+
+    return write
+
+
 def bad_rows_parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
     """Write each micro-batch's invalid rows under its epoch."""
 
@@ -165,7 +214,7 @@ def clean_stream(
 #: How far (event days) a row may lie behind the newest of its bucket, and into how many
 #: buckets rows are dealt. A bucket's day should hold some ten thousand rows at most.
 HORIZON_DAYS = 400
-BUCKETS = 64
+BUCKETS = 16
 
 
 def clean_stream_to(

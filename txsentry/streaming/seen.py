@@ -35,28 +35,26 @@ def _processor(horizon_days: int):
             self.newest = handle.getValueState("newest", "day int")
 
         def handleInputRows(self, key, rows, timerValues):
-            before = self.newest.get()[0] if self.newest.exists() else None
-            newest = before
+            held = self.newest.get()
+            newest = before = held[0] if held else None
             for chunk in rows:
-                out, late = [], []
-                for day, part in chunk.groupby("day", sort=True):
-                    day = int(day)
+                out, late, by_day = [], [], {}
+                for day, digest, row in zip(chunk["day"].tolist(), chunk["digest"], chunk["row"]):
+                    by_day.setdefault(day, {}).setdefault(bytes(digest), []).append(row)
+                for day, found in by_day.items():
                     if day != no_day and before is not None and day < before - horizon_days:
-                        out += part["row"].tolist()
-                        late += [True] * len(part)
+                        every = [row for copies in found.values() for row in copies]
+                        out += every
+                        late += [True] * len(every)
                         continue
-                    held = bytes(self.days.getValue((day,))[0]) if self.days.containsKey((day,)) else b""
-                    seen = {held[i : i + width] for i in range(0, len(held), width)}
-                    fresh = []
-                    for digest, row in zip(part["digest"], part["row"]):
-                        digest = bytes(digest)
-                        if digest not in seen:
-                            seen.add(digest)
-                            fresh.append(digest)
-                            out.append(row)
-                            late.append(False)
+                    entry = self.days.getValue((day,))
+                    old = bytes(entry[0]) if entry else b""
+                    seen = {old[i : i + width] for i in range(0, len(old), width)}
+                    fresh = [d for d in found if d not in seen]
                     if fresh:
-                        self.days.updateValue((day,), (held + b"".join(fresh),))
+                        self.days.updateValue((day,), (old + b"".join(fresh),))
+                        out += [found[d][0] for d in fresh]
+                        late += [False] * len(fresh)
                     if day != no_day:
                         newest = day if newest is None else max(newest, day)
                 yield pd.DataFrame({"row": pd.Series(out, dtype=object), "is_late": pd.Series(late, dtype=bool)})
