@@ -110,7 +110,7 @@ def test_best_params_of_the_default_grid_are_the_winners(spark):
 
     sf = "/root/testdata/sf0.001"
     train, _ = catalog._ml_split(spark, sf)
-    trials = ml.tune_grid(train)[1].collect()
+    trials = ml.tune_grid(catalog._deep(train))[1].collect()
     assert {(r["num_trees"], r["max_depth"]) for r in trials} == {(n, d) for n in (100, 200) for d in (2, 7)}
     best = max(trials, key=lambda r: (r["value"], -r["trial"]))
     got = {r["param"]: r["value"] for r in catalog.queries()["best_params_grid"](spark, sf).collect()}
@@ -118,6 +118,10 @@ def test_best_params_of_the_default_grid_are_the_winners(spark):
 
 
 def test_searches_do_not_depend_on_the_layout(spark):
+    """The rows of the split, the trials and, on a label that trees learn, their metrics."""
     df = planted(spark, 400)
-    a, b = ([r["value"] for r in ml.tune_random(x, n_trials=2)[1].collect()] for x in (df.repartition(2).sortWithinPartitions("transaction_id"), df.repartition(2).sortWithinPartitions("transaction_id")))
-    assert a == b
+    a, b = ([(r["params"], r["value"]) for r in ml.tune_random(x, n_trials=2)[1].collect()] for x in (df.repartition(2), df.repartition(7)))
+    assert a == b and all(v == 1.0 for _, v in a)
+    part = ml.split_label("transaction_id", [0.8, 0.2], ["train", "validation"], 42)
+    one, two = (sorted(map(tuple, x.select("transaction_id", part.alias("p")).collect())) for x in (df.repartition(2), df.repartition(7)))
+    assert one == two
