@@ -1,65 +1,119 @@
+import random
 import re
 
 import duckdb
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import EDGE, SF, docs
 from txsentry.llm import line_dedup as ld
 
 
-def brute(rows):
-    """The same rule row by row: (text, dropped lines, dropped sentences) per row."""
+def hashes(spark, tokens):
+    """Spark's hash of each token, which decides where pieces are cut."""
+    rows = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", (F.pmod(F.xxhash64("t"), F.lit(ld.CUT_ONE_IN)) == 0).alias("c")).collect()
+    return {r.t: r.c for r in rows}
 
-    def mark(t):
-        if re.search(ld.BLANKS, t):
-            t = re.sub(r"[ \t\r\x0b\f]+", " ", t)
-        for e in ".!?":
-            t = t.replace(e + " ", e + "\x0b")
-        return t
 
-    def mask(t):
-        return re.sub(r"(?<!\S)[^\s\d]*\d\S*", "<*>", t)
+def spaced(t):
+    if re.search(ld.BLANKS, t):
+        t = re.sub(r"[ \t\r\x0b\f]+", " ", t)
+    return re.sub(ld.CJK_STOP, "\\1\x0b ", t)
 
-    def count(u):
-        return len(re.split("[ \x0b]", u)) if u else 0
 
-    first, last = {}, {}
-    for d, t in sorted(rows):
-        for line in mask(mark(t)).split("\n"):
-            line = line.strip(" ")
-            for u in [line, *(line.split("\x0b") if "\x0b" in line else [])]:
-                if u:
-                    first.setdefault(u, d)
-                    last[u] = d
-    rec = {u for u in first if first[u] != last[u]}
+def mask(t):
+    return re.sub(r"(?<!\S)[^\s\d]*\d\S*", "<*>", t)
 
-    def gone(us, d, least):
-        n = [count(u) if u in rec and first[u] != d else 0 for u in us]
-        return [x > 0 and (n[i - 1] if i else 0) + x + (n[i + 1] if i + 1 < len(n) else 0) >= least for i, x in enumerate(n)]
 
+def brute(spark, rows, min_docs=2):
+    """The same rule row by row: (text, dropped lines, dropped pieces) per row of distinct ids."""
+    lines = {}  # (id, line) -> masked tokens
+    for d, t in rows:
+        for i, line in enumerate(mask(spaced(t)).split("\n")):
+            if line.strip(" "):
+                lines[d, i] = line.strip(" ").split(" ")
+    cuts = hashes(spark, {t for ts in lines.values() for t in ts})
+
+    def cut(tokens, shown=None):
+        out = [[]]
+        for t, s in zip(tokens, shown or tokens):
+            out[-1].append(s)
+            if cuts[t] or t.endswith("\x0b") or re.search(ld.STOP, t):
+                out.append([])
+        return [" ".join(p) for p in out if p]
+
+    pieces = {k: cut(ts) for k, ts in lines.items()}
+    ids = {}
+    for (d, i), ts in lines.items():
+        for u in {" ".join(ts), *pieces[d, i]}:
+            ids.setdefault(u, set()).add(d)
+
+    def goes(u, d):
+        return len(ids[u]) >= min_docs and d != min(ids[u])
+
+    def runs(values):
+        """Per element the total of its run of elements that are not None."""
+        out, i = [None] * len(values), 0
+        while i < len(values):
+            j = i
+            while j < len(values) and values[j] is not None:
+                j += 1
+            out[i:j] = [sum(values[i:j])] * (j - i)
+            i = max(j, i + 1)
+        return out
+
+    last = max((i for _, i in lines), default=0) + 1
+    full, inside = set(), {}
+    for d in {d for d, _ in lines}:
+        whole = [None] * last
+        for i in range(last):
+            if (d, i) in lines:
+                n, ps = [len(p.split(" ")) for p in pieces[d, i]], pieces[d, i]
+                away = [goes(p, d) for p in ps]
+                if goes(" ".join(lines[d, i]), d) or all(away):
+                    whole[i] = sum(n)
+                total = runs([(k if k >= ld.SHORT_PIECE else 0) if x else None for k, x in zip(n, away)])
+                inside[d, i] = [j for j, x in enumerate(total) if x is not None and x >= ld.MIN_SENTENCE_TOKENS and len(ps) > 1]
+        full |= {(d, i) for i, x in enumerate(runs(whole)) if x is not None and x >= ld.MIN_LINE_TOKENS}
+    # templates of the lines that are left
+    left = {k: ts for k, ts in lines.items() if k not in full and len(ts) >= ld.MIN_CONSTANT}
+    leaves = {}
+    for k, ts in left.items():
+        leaves.setdefault((len(ts), ts[0], ts[-1]), []).append(k)
+    for (n, *_), ks in leaves.items():
+        held = {}
+        for d, i in ks:
+            for at, t in enumerate(left[d, i]):
+                held.setdefault((at, t), set()).add(d)
+        same = {}
+        for d, i in ks:
+            form = tuple(t if len(held[at, t]) >= 2 else None for at, t in enumerate(left[d, i]))
+            const = sum(t is not None for t in form)
+            if const >= ld.CONSTANT * n and const >= ld.MIN_CONSTANT:
+                same.setdefault(form, []).append((d, i))
+        for members in same.values():
+            docs_ = {d for d, _ in members}
+            if len(docs_) >= min_docs:
+                full |= {(d, i) for d, i in members if d != min(docs_)}
     out = {}
     for d, t in rows:
-        masked = [m.strip(" ") for m in mask(mark(t)).split("\n")]
-        away, kept, lost = gone(masked, d, ld.MIN_LINE_TOKENS), [], 0
-        for line, m, x in zip(t.split("\n"), masked, away):
-            if x:
-                continue
-            if "\x0b" in m:
-                g = gone([s.strip(" ") for s in m.split("\x0b")], d, ld.MIN_SENTENCE_TOKENS)
-                if any(g):
-                    lost += sum(g)
-                    left = [s for s, y in zip(mark(line).strip(" ").split("\x0b"), g) if not y]
-                    if not left:
-                        continue
-                    line = " ".join(left)
-            kept.append(line)
-        out[d] = ("\n".join(kept) if sum(away) + lost else t, sum(away), lost)
+        kept, gone, lost = [], 0, 0
+        for i, line in enumerate(t.split("\n")):
+            if (d, i) in full:
+                gone += 1
+            elif inside.get((d, i)):
+                shown = spaced(line).strip(" ").split(" ")
+                kept.append(" ".join(p for j, p in enumerate(cut(lines[d, i], shown)) if j not in inside[d, i]).replace("\x0b ", "").replace("\x0b", ""))
+                lost += len(inside[d, i])
+            else:
+                kept.append(line)
+        out[d] = ("\n".join(kept), gone, lost)
     return out
 
 
 def test_against_brute_force(spark):
     rows = duckdb.sql(f"select doc_id, text from '{SF}/documents.parquet' where text is not null").fetchall()
     got = {r.doc_id: (r.text, r.dropped_lines, r.dropped_sentences) for r in ld.dedup_lines(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
-    assert {d: got[d] for d, _ in rows} == brute(rows)
+    assert {d: got[d] for d, _ in rows} == brute(spark, rows)
 
 
 def test_passage_inside_lines_and_fields(spark):
@@ -102,3 +156,50 @@ def test_a_sentence_meets_an_equal_line(spark):
     rows = [(1, line), (2, f"Own words stand here. {line} And here are more of them.")]
     got = {r.doc_id: (r.text, r.dropped_sentences) for r in ld.dedup_lines(docs(spark, rows)).collect()}
     assert got == {1: (line, 0), 2: ("Own words stand here. And here are more of them.", 1)}
+
+
+def test_names_that_vary_share_a_template(spark):
+    who = [("alice", "paris"), ("bob", "rome"), ("carol", "oslo"), ("dave", "bern")]
+    rows = [(i, f"User {n} logged in from the {t} office today\nThe line of {n} about {t} stands alone here {'so ' * i}") for i, (n, t) in enumerate(who)]
+    rows += [(9, "User of many words who went away with another office today")]
+    got = {r.doc_id: (r.text, r.dropped_lines) for r in ld.dedup_lines(docs(spark, rows)).collect()}
+    assert got == {d: v[:2] for d, v in brute(spark, rows).items()}
+    assert "User alice" in got[0][0] and not any("logged in" in got[i][0] for i in (1, 2, 3)) and got[9] == (rows[-1][1], 0)
+
+
+def test_passage_without_a_stop(spark):
+    rng = random.Random(6)
+    vocab = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "nu", "pe") for b in ("ra", "si", "to", "ve") for c in ("n", "l", "x", "")]
+    passage = " ".join(rng.choice(vocab) for _ in range(60))
+    rows = [(i, f"Own start {w} {'and more of it ' * i}{passage} own end {w} of this line") for i, w in enumerate(["alpha", "beta", "gamma"])]
+    got = {r.doc_id: r.text for r in ld.dedup_lines(docs(spark, rows)).collect()}
+    assert got[0] == rows[0][1]
+    for i in (1, 2):
+        left = got[i].split(" ")
+        assert left[:2] == ["Own", "start"] and left[-2:] == ["this", "line"] and len(left) < 22 + 32
+    assert got == {d: v[0] for d, v in brute(spark, rows).items()}
+
+
+def test_quotes_brackets_and_cjk_stops(spark):
+    said = "\"We saw it all ourselves on that same day.\" (Nobody else did say so at all!) That is where it ended for them."
+    cjk = "今天天气很好。我们去公园！"
+    rows = [(i, f"{w} {said} {w} went on\n{w}。{cjk}{w}") for i, w in enumerate(["alpha", "beta"])]
+    got = {r.doc_id: r.text for r in ld.dedup_lines(docs(spark, rows), min_sentence_tokens=8).collect()}
+    assert got == {d: v[0] for d, v in brute(spark, rows).items()}
+    assert got[0] == rows[0][1] and "Nobody" not in got[1] and "beta went on" in got[1]
+
+
+def test_ids_of_text_and_rows_without_id(spark):
+    line = "a whole line that is found in a few documents of ours"
+    df = spark.createDataFrame([("b", line), ("a", line + "\nown words"), (None, line), (None, line)], "doc_id string, text string")
+    got = sorted((str(r.doc_id), r.text) for r in ld.dedup_lines(df).collect())
+    assert got == [("None", ""), ("None", ""), ("a", line + "\nown words"), ("b", "")]
+
+
+def test_long_line_and_many_lines(spark):
+    """Linear work: a line of 100,000 words and a text of 20,000 lines, twice each."""
+    long = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(100_000))
+    many = "\n".join(f"line {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)} of many" for i in range(17_000))
+    got = {r.doc_id: r.text for r in ld.dedup_lines(docs(spark, [(1, "x " + long), (2, "y " + long), (3, many), (4, many + "\nits own end")])).collect()}
+    assert got[1] == "x " + long and got[3] == many
+    assert len(got[2]) < 400 and got[4] == "its own end"

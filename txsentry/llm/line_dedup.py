@@ -1,89 +1,109 @@
 """Line dedup by a log-template tree.
 
-A text is parsed into units: its lines, and the sentences of lines that hold several. A
-unit goes down a tree of fixed depth: first its token count, then its leading tokens,
-then the rest of its tokens. On the way every variable field (a token with a digit: ids,
-dates, amounts, addresses, keys) becomes ``<*>``, so lines that differ in such fields
-share a leaf, the template. A template met in ``min_docs`` or more documents recurs:
-the document with the smallest id keeps it, all others drop it.
-
-So that clean text stays as it is, chance repeats of a few words don't count: a line
-is dropped when it and the recurring lines beside it have ``min_line_tokens`` tokens,
-a sentence inside a line when it and the recurring sentences beside it have
-``min_sentence_tokens``. Passages pasted into the middle of a line are found by their
-sentences.
+A text is parsed into lines, and each line into pieces: a piece ends with a sentence (a stop,
+closing quotes and brackets, a stop of CJK text) or after a word chosen by its hash (one in
+``CUT_ONE_IN``), so that a passage pasted anywhere has pieces of its own even without a
+stop inside. On the way every token with a digit becomes ``<*>``.
+
+Lines go down a tree of fixed depth: token count, leading token, trailing token. First, equal
+lines and pieces are found: a key met in ``min_docs`` or more documents recurs, the document
+with the smallest id keeps it, all others drop it. Then the lines that are left meet in their
+leaves, and the leaf tells which of their fields vary: a token stays in the template if that
+token stands at that place in two documents' lines of the leaf, else the place becomes ``<*>``.
+Lines with the same template, at least ``CONSTANT`` of it constant, recur as before. Support
+is counted over the whole leaf at once, so the order of rows plays no part.
+
+So that clean text stays as it is, chance repeats of a few words don't count. Recurring
+neighbours are taken together, however many: a run of recurring lines goes if it has
+``min_line_tokens``, a run of recurring pieces inside a line if it has
+``min_sentence_tokens`` in pieces of three tokens or more. A line all of whose pieces
+recur is a recurring line.
 
 Defined cases: null text stays null, empty text stays empty and has no units; a document
 all of whose units recur keeps its row with the empty text; rows that share an id count
-as one document; rows without an id are documents of their own, told apart by their
-text and placed after all ids; an empty table gives an empty result; extra columns are
-kept. No Python runs on the executors.
+as one document; rows without an id come after all ids and are told apart by their text
+(equal ones are one document); ids may be of any orderable type; an empty table gives an
+empty result; extra columns are kept. No Python runs on the executors.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txsentry.llm.common import let, stage
 
 MIN_DOCS = 2
 MIN_LINE_TOKENS = 3
 MIN_SENTENCE_TOKENS = 8
+SHORT_PIECE = 3  # pieces of fewer tokens extend a run but don't count
+CUT_ONE_IN = 16
+CONSTANT = 0.7  # constant share of a template with variable fields
+MIN_CONSTANT = 5  # and its least number of constant tokens
 HOT_SHARE = 2000
-DEPTH = 3  # leading tokens that are levels of the tree
 
 FIELD = r"(?<!\S)[^\s\d]*+\d\S*"
 BLANKS = r"[\t\r\x0B\f]|  "
-CUT = "\x0B"  # marks a sentence end inside a line; white space for FIELD
+STOP = r"[.!?…][\"'’”»)\]]*$"
+CJK_STOP = r"([。！？][\"'”’»」』）)]*)"
+CUT = "\x0B"  # marks the end of a CJK sentence, which no blank follows
 NO_ID = 2**62
 
 
-def _id() -> Column:
-    """The document's id; without one, a number from its text that lies above any id."""
+def _id(docs: DataFrame) -> Column:
+    """The document's id; without one, a value from its text that lies above any id."""
     alone = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(NO_ID))
-    return F.coalesce(F.col("doc_id").cast("long"), alone)
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        return F.coalesce(F.col("doc_id").cast("long"), alone)
+    none = F.col("doc_id").isNull()
+    return F.struct(none.alias("none"), F.col("doc_id").alias("id"), F.when(none, alone).alias("alone"))
 
 
-def _marked(text: Column) -> Column:
-    """The text with single spaces, and ``CUT`` for the space after a sentence end."""
+def _spaced(text: Column) -> Column:
+    """Single spaces, none at a text's ends; a marked space after a CJK stop."""
     text = F.when(text.rlike(BLANKS), F.regexp_replace(text, r"[ \t\r\x0B\f]+", " ")).otherwise(text)
-    for end in ".!?":
-        text = F.replace(text, F.lit(end + " "), F.lit(end + CUT))
-    return text
+    return F.when(text.rlike("[。！？]"), F.regexp_replace(text, CJK_STOP, "$1" + CUT + " ")).otherwise(text)
 
 
-def _masked(marked: Column) -> Column:
-    """The marked text with its variable fields generalised, line by line as before."""
-    return F.when(marked.rlike(r"\d"), F.regexp_replace(marked, FIELD, "<*>")).otherwise(marked)
+def _masked(text: Column) -> Column:
+    """The spaced text with its variable fields generalised."""
+    return F.when(text.rlike(r"\d"), F.regexp_replace(text, FIELD, "<*>")).otherwise(text)
 
 
 def _tokens(unit: Column) -> Column:
-    """Token count of a trimmed unit."""
-    bare = F.replace(F.replace(unit, F.lit(" "), F.lit("")), F.lit(CUT), F.lit(""))
-    return F.when(unit == "", 0).otherwise(F.octet_length(unit) - F.octet_length(bare) + 1)
+    """Token count of a trimmed unit that is not empty."""
+    return F.octet_length(unit) - F.octet_length(F.replace(unit, F.lit(" "), F.lit(""))) + 1
 
 
-def template_key(unit: Column) -> Column:
-    """The leaf of the template tree as one number: token count, leading tokens, and all
-    tokens, of a unit whose variable fields are generalised."""
-    return F.xxhash64(_tokens(unit), F.substring_index(unit, " ", DEPTH), unit)
+def _ends(token: Column) -> Column:
+    """Whether a piece ends with this token."""
+    return (F.pmod(F.xxhash64(token), F.lit(CUT_ONE_IN)) == 0) | token.endswith(CUT) | token.rlike(STOP)
 
 
-def units(docs: DataFrame, min_sentence_tokens: int = MIN_SENTENCE_TOKENS) -> DataFrame:
-    """(id, key, long): the templates of each row's lines and sentences. ``long`` marks a
-    sentence of a third of ``min_sentence_tokens`` or more: of three neighbours that
-    reach that number together, one at least is such a sentence."""
-    lines = docs.select(_id().alias("id"), F.explode(F.split(_masked(_marked(F.col("text"))), "\n")).alias("line"))
-    lines = lines.select("id", F.trim("line").alias("line")).filter("line <> ''")
-    several = F.instr("line", CUT) > 0
-    each = lines.select("id", F.posexplode(F.when(several, F.concat(F.array("line"), F.split("line", CUT))).otherwise(F.array("line"))).alias("at", "u"))
-    long = (F.col("at") > 0) & (_tokens(F.col("u")) * 3 >= min_sentence_tokens)
-    return each.filter("u <> ''").select("id", template_key(F.col("u")).alias("key"), long.alias("long"))
+def _pieces(line: Column, shown: Column | None = None) -> Column:
+    """The pieces of a trimmed masked line, or of the line ``shown`` with as many tokens."""
+    tokens = F.split(line, " ")
+    if shown is None:
+        marked = F.transform(tokens, lambda t: F.when(_ends(t), F.concat(t, F.lit("\n"))).otherwise(t))
+    else:
+        marked = F.zip_with(tokens, F.split(shown, " "), lambda t, s: F.when(_ends(t), F.concat(s, F.lit("\n"))).otherwise(s))
+    return F.split(F.rtrim(F.array_join(marked, " "), F.lit("\n")), "\n ")
+
+
+def parsed_lines(docs: DataFrame) -> DataFrame:
+    """(id, th, line, n, key, leaf, pieces): each row's lines that are not blank, with their
+    place, token count, key, leaf of the tree and the (key, n) of their pieces, if several."""
+    lines = docs.select(_id(docs).alias("id"), F.xxhash64("text").alias("th"), F.posexplode(F.split(_masked(_spaced(F.col("text"))), "\n")).alias("line", "t"))
+    lines = lines.select("id", "th", "line", F.trim("t").alias("t")).filter("t <> ''")
+    keyed = F.transform(_pieces(F.col("t")), lambda p: F.struct(F.xxhash64(p).alias("key"), _tokens(p).alias("n")))
+    keyed = let(keyed, lambda p: F.when(F.size(p) > 1, p).otherwise(F.array().cast("array<struct<key:bigint,n:int>>")))
+    leaf = F.xxhash64(_tokens(F.col("t")), F.substring_index("t", " ", 1), F.substring_index("t", " ", -1))
+    return lines.select("id", "th", "line", _tokens(F.col("t")).alias("n"), F.xxhash64("t").alias("key"), leaf.alias("leaf"), keyed.alias("pieces"))
 
 
 def recurring(u: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(key, first_id, n) of each template in ``u`` that ``min_docs`` documents or more
+    """(key, first_id, n) of each key in ``u`` that ``min_docs`` documents or more
     hold; n counts its units (documents, if more than two are asked for).
 
     Counts are combined before the shuffle, so a template in a third of all documents is
@@ -93,22 +113,80 @@ def recurring(u: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     if min_docs > 2:
         u = u.select("id", "key").distinct()
     found = u.groupBy("key").agg(F.min("id").alias("first_id"), F.max("id").alias("_last"), F.count(F.lit(1)).alias("n"))
-    return found.filter("first_id <> _last" if min_docs <= 2 else F.col("n") >= min_docs).select("key", "first_id", "n")
+    return found.filter("first_id <> _last" if min_docs <= 2 else F.col("n") >= min_docs).select("key", "first_id", F.col("n").alias("units"))
 
 
-def with_first(u: DataFrame, found: DataFrame) -> DataFrame:
-    """The units of ``u`` whose key is in ``found``, with ``first_id``.
+def with_first(u: DataFrame, found: DataFrame, total: int) -> DataFrame:
+    """The units of ``u`` whose key is in ``found``, with ``first_id``. ``total``: their number.
 
     Very frequent keys, at least one in ``HOT_SHARE`` of all units and so at most
     ``HOT_SHARE`` keys, are joined by broadcast, so their units stay where they are; the
     others meet by a shuffle in which no key is large.
     """
-    least = u.count() / HOT_SHARE
-    hot = F.broadcast(found.filter(F.col("n") > least).select("key", "first_id"))
-    rest = u.join(hot.select("key"), "key", "left_anti").join(found.filter(F.col("n") <= least).select("key", "first_id"), "key")
+    least = total / HOT_SHARE
+    hot = F.broadcast(found.filter(F.col("units") > least).select("key", "first_id"))
+    rest = u.join(hot.select("key"), "key", "left_anti").join(found.filter(F.col("units") <= least).select("key", "first_id"), "key")
     return u.join(hot, "key").unionByName(rest)
 
 
+ROW = ["id", "th"]  # a row of the documents: its id and its text's hash
+PLACE = [*ROW, "line"]
+
+
+def _runs(rows: DataFrame, by: list[str], at: str, total: Column, members: str | None = None) -> DataFrame:
+    """``rows`` with ``run``: the total of all rows beside each other in ``at``, and the number of
+    rows there."""
+    order = Window.partitionBy(*by).orderBy(at)
+    rows = rows.withColumn("_run", F.col(at) - F.row_number().over(order))
+    run = Window.partitionBy(*by, "_run")
+    return rows.withColumn("run", F.sum(total).over(run)).withColumn("members", F.count(F.lit(1)).over(run)).drop("_run")
+
+
+def repeats(lines: DataFrame, min_docs: int, min_line_tokens: int, min_sentence_tokens: int) -> tuple[DataFrame, DataFrame]:
+    """Equal lines and pieces that recur: (id, th, line) of lines to go, and (id, th, line, piece)
+    of pieces to go inside other lines."""
+    # a line of one piece is that piece: piece -1, beside the pieces 0, 1, ... of the others
+    whole = F.struct(F.lit(-1).alias("piece"), F.col("key").alias("key"), F.col("n").alias("n"))
+    inner = F.transform("pieces", lambda p, i: F.struct(i.alias("piece"), p["key"].alias("key"), p["n"].alias("n")))
+    units = lines.select(*PLACE, F.size("pieces").alias("of"), F.explode(F.concat(F.array(whole), inner)).alias("u")).select(*PLACE, "of", "u.*")
+    found = stage(recurring(units.select("id", "key"), min_docs), "line-keys")
+    total = lines.agg(F.coalesce(F.sum(F.size("pieces") + 1), F.lit(0))).first()[0]
+    gone = with_first(units, found, total).filter("id <> first_id").select(*PLACE, "of", "piece", "n")
+    weight = F.when(F.col("n") >= SHORT_PIECE, F.col("n")).otherwise(0)
+    pieces = stage(_runs(gone.filter("piece >= 0"), PLACE, "piece", weight), "line-pieces")
+    full = gone.filter("piece < 0").select(*PLACE, "n").unionByName(
+        pieces.filter("members = of").groupBy(*PLACE).agg(F.sum("n").cast("int").alias("n"))
+    )
+    full = _runs(full.groupBy(*PLACE).agg(F.max("n").alias("n")), ROW, "line", F.col("n"))
+    full = stage(full.filter(F.col("run") >= min_line_tokens).select(*PLACE), "line-full")
+    inside = pieces.filter(F.col("run") >= min_sentence_tokens).join(full, PLACE, "left_anti")
+    return full, inside.select(*PLACE, "piece")
+
+
+def templates(docs: DataFrame, lines: DataFrame, gone: DataFrame, min_docs: int, min_line_tokens: int) -> DataFrame:
+    """(id, th, line): lines to go because another document has a line of the same template with
+    variable fields. ``lines`` without those that are ``gone`` already."""
+    left = lines.filter((F.col("n") >= max(min_line_tokens, MIN_CONSTANT))).select(*PLACE, "n", "leaf").join(gone, PLACE, "left_anti")
+    left = stage(left, "line-left")
+    shared = left.groupBy("leaf").agg(F.min("id").alias("_a"), F.max("id").alias("_b")).filter("_a <> _b").select("leaf")
+    held = left.join(shared, "leaf", "left_semi").groupBy(*ROW).agg(F.sort_array(F.collect_set(F.struct("line", "leaf", "n"))).alias("held"))
+    # the texts of these lines, from the rows that have any
+    texts = docs.select(_id(docs).alias("id"), F.xxhash64("text").alias("th"), "text").join(held, ROW)
+    texts = texts.dropDuplicates(ROW).select(*ROW, "held", F.split(_masked(_spaced(F.col("text"))), "\n").alias("all"))
+    one = F.transform("held", lambda h: F.struct(h["line"].alias("line"), h["leaf"].alias("leaf"), h["n"].alias("n"), F.trim(F.get(F.col("all"), h["line"])).alias("t")))
+    fields = texts.select(*ROW, F.explode(one).alias("l")).select(*ROW, "l.*")
+    fields = fields.select(*PLACE, "leaf", "n", F.posexplode(F.split("t", " ")).alias("at", "token"))
+    fields = stage(fields.select(*PLACE, "leaf", "n", "at", F.xxhash64("leaf", "at", "token").alias("key")), "line-fields")
+    constant = stage(recurring(fields.select("id", "key"), 2).select("key"), "line-constants")
+    marked = fields.join(constant.withColumn("same", F.lit(True)), "key", "left")
+    part = F.when(F.col("same"), F.col("key")).otherwise(F.xxhash64("leaf", "at"))
+    per_line = marked.groupBy(*PLACE, "leaf", "n").agg(F.count_if("same").alias("constant"), F.bit_xor(part).alias("_x"))
+    enough = (F.col("constant") >= CONSTANT * F.col("n")) & (F.col("constant") >= MIN_CONSTANT)
+    keyed = stage(per_line.filter(enough).select(*PLACE, F.xxhash64("leaf", "_x").alias("key")), "line-templates")
+    found = recurring(keyed.select("id", "key"), min_docs)
+    return with_first(keyed, found, keyed.count()).filter("id <> first_id").select(*PLACE)
+
+
 def dedup_lines(
     docs: DataFrame,
     min_docs: int = MIN_DOCS,
@@ -116,74 +194,44 @@ def dedup_lines(
     min_sentence_tokens: int = MIN_SENTENCE_TOKENS,
 ) -> DataFrame:
     """``docs`` with recurring templates dropped from ``text``; adds ``dropped_lines``
-    and ``dropped_sentences`` (0 where nothing was dropped)."""
-    parsed = stage(units(docs, min_sentence_tokens), "line-units")  # two numbers per unit; texts are parsed once
-    found = stage(recurring(parsed, min_docs), "line-templates")
-    drops = with_first(parsed, found).filter("id <> first_id").groupBy("id")
-    drops = drops.agg(F.collect_set("key").alias("_keys"), F.count_if("long").alias("_sentences"))
-    drops = drops.withColumnRenamed("id", "_id")
-    met = docs.join(drops, _id() == F.col("_id"), "left")
-
-    def beside(flagged: Column, least: int) -> Column:
-        """Whether each recurring element and its recurring neighbours have ``least`` tokens."""
-
-        def tokens(i: Column) -> Column:
-            return F.coalesce(F.get(flagged, i), F.lit(0))
-
-        return F.transform(flagged, lambda n, i: (n > 0) & (tokens(i - 1) + n + tokens(i + 1) >= least))
-
-    def recurring_tokens(masked: Column) -> Column:
-        """Per unit its token count if its template is to go, else 0."""
-
-        def one(u: Column) -> Column:
-            return F.when((u != "") & F.array_contains(F.col("_keys"), template_key(u)), _tokens(u)).otherwise(0)
-
-        return F.transform(masked, lambda u: let(F.trim(u), one))
-
-    def kept_sentences(line: Column, masked: Column) -> Column:
-        """The line without its recurring sentences, and how many went."""
-        whole = F.struct(line.alias("t"), F.lit(0).alias("lost"), F.lit(False).alias("none"))
-
-        def rest(gone: Column, marked: Column) -> Column:
-            pieces = F.arrays_zip(F.split(marked, CUT).alias("t"), gone.alias("g"))
-            left = F.transform(F.filter(pieces, lambda z: ~z["g"]), lambda z: z["t"])
-            return let(left, lambda t: F.struct(F.array_join(t, " ").alias("t"), (F.size(gone) - F.size(t)).alias("lost"), (F.size(t) == 0).alias("none")))
-
-        def cut(gone: Column) -> Column:
-            return F.when(F.array_contains(gone, True), rest(gone, F.trim(_marked(line)))).otherwise(whole)
-
-        found = let(recurring_tokens(F.split(masked, CUT)), lambda n: beside(n, min_sentence_tokens))
-        return F.when(F.instr(masked, CUT) > 0, let(found, cut)).otherwise(whole)
-
-    # lines and masked lines have the same places, as no step touches a line end
-    met = met.withColumn("_masked", F.when(F.col("_keys").isNotNull(), F.transform(F.split(_masked(_marked(F.col("text"))), "\n"), F.trim)))
-    met = met.withColumn("_gone", let(recurring_tokens(F.col("_masked")), lambda n: beside(n, min_line_tokens)))
-    zipped = F.arrays_zip(F.split("text", "\n").alias("t"), F.col("_masked").alias("m"), F.col("_gone").alias("g"))
-    # the sentences of a recurring line recur too; sentences of other lines are looked at
-    # only where more long ones recur than the dropped lines hold, as no run without a
-    # long one reaches ``min_sentence_tokens``
-    inner = F.filter(F.arrays_zip(F.col("_masked").alias("m"), F.col("_gone").alias("g")), lambda z: z["g"] & (F.instr(z["m"], CUT) > 0))
-    held = F.aggregate(inner, F.lit(0), lambda acc, z: acc + F.size(F.filter(F.split(z["m"], CUT), lambda p: _tokens(p) * 3 >= min_sentence_tokens)))
-    met = met.withColumn("_more", F.when(F.col("_keys").isNotNull(), F.col("_sentences") > held))
-    kept = F.transform(
-        F.filter(zipped, lambda z: ~z["g"]),
-        lambda z: F.when(F.col("_more"), kept_sentences(z["t"], z["m"])).otherwise(F.struct(z["t"].alias("t"), F.lit(0).alias("lost"), F.lit(False).alias("none"))),
-    )
-
-    def whole_text(lines: Column) -> Column:
-        return F.struct(
-            F.array_join(F.transform(F.filter(lines, lambda r: ~r["none"]), lambda r: r["t"]), "\n").alias("t"),
-            (F.size("_masked") - F.size(lines)).cast("long").alias("lines"),
-            F.aggregate(lines, F.lit(0).cast("long"), lambda acc, r: acc + r["lost"]).alias("sentences"),
-        )
-
-    met = met.withColumn("_cut", F.when(F.col("_keys").isNotNull(), let(kept, whole_text)))
-    cut = F.col("_cut")
-    touched = F.coalesce(cut["lines"] + cut["sentences"] > 0, F.lit(False))
-    text = F.when(touched, cut["t"]).otherwise(F.col("text"))
-    out = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return met.select(
-        *out,
-        F.coalesce(cut["lines"], F.lit(0)).alias("dropped_lines"),
-        F.coalesce(cut["sentences"], F.lit(0)).alias("dropped_sentences"),
-    )
+    and ``dropped_sentences`` (pieces inside lines; 0 where nothing was dropped)."""
+    lines = stage(parsed_lines(docs), "line-parsed")  # numbers only; texts are parsed once
+    full, inside = repeats(lines, min_docs, min_line_tokens, min_sentence_tokens)
+    full = stage(full.unionByName(templates(docs, lines, full, min_docs, min_line_tokens)), "line-gone")
+    inside = inside.join(full, PLACE, "left_anti").groupBy(*PLACE).agg(F.sort_array(F.collect_list("piece")).alias("cut"))
+    every = full.withColumn("cut", F.lit(None).cast("array<int>")).unionByName(inside)
+    drops = every.groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct("line", "cut"))).alias("_drops"))
+    drops = drops.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "_drops")
+    met = docs.join(drops, (_id(docs) == F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
+
+    def between(whole: Column, places: Column, instead=None) -> Column:
+        """The elements of ``whole`` without those at ``places`` (ascending), or with
+        ``instead(element, i-th place)`` for each; slices, so the work is linear."""
+
+        def stretch(_: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(places, i - 1), F.lit(-1))
+            end = F.coalesce(F.get(places, i), F.size(whole))
+            kept = F.slice(whole, before + 2, end - before - 1)
+            return kept if instead is None else F.concat(kept, F.when(i < F.size(places), instead(F.get(whole, end), i)).otherwise(F.array().cast("array<string>")))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(places)), stretch))
+
+    def shorter(line: Column, cut: Column) -> Column:
+        """The line without the pieces at ``cut``."""
+
+        def rest(spaced: Column) -> Column:
+            left = let(_pieces(_masked(spaced), spaced), lambda p: between(p, cut))
+            return F.replace(F.replace(F.array_join(left, " "), F.lit(CUT + " "), F.lit("")), F.lit(CUT), F.lit(""))
+
+        return let(F.trim(_spaced(line)), rest)
+
+    def one(line: Column, i: Column) -> Column:
+        cut = F.get(F.col("_drops"), i)["cut"]
+        return F.when(cut.isNull(), F.array().cast("array<string>")).otherwise(F.array(shorter(line, cut)))
+
+    places = F.transform("_drops", lambda d: d["line"])
+    text = F.array_join(let(F.split("text", "\n"), lambda whole: let(places, lambda p: between(whole, p, one))), "\n")
+    lost = F.filter("_drops", lambda d: d["cut"].isNull())
+    within = F.aggregate("_drops", F.lit(0).cast("long"), lambda s, d: s + F.coalesce(F.size(d["cut"]), F.lit(0)))
+    out = [F.when(F.col("_drops").isNotNull(), text).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    return met.select(*out, F.coalesce(F.size(lost), F.lit(0)).cast("long").alias("dropped_lines"), F.coalesce(within, F.lit(0).cast("long")).alias("dropped_sentences"))
