@@ -424,6 +424,25 @@ def q_stream_clean(spark, sf):
     return spark.read.parquet(sink).select(TX_SCHEMA.names)
 
 
+KPI_PARTS, KPI_SPAN_DAYS, KPI_DELAY_DAYS = 4, 24, 30
+
+
+def q_kpi_stream(spark, sf):
+    """Daily goals of both rule models from a stream: the rows arrive in several micro-batches, by
+    spans of days with no order inside a span, and windows come out once they are closed."""
+    src, sink = scratch_path(spark, "scored-stream"), scratch_path(spark, "kpi-stream")
+    rows = _scored_all(spark, sf).select("model", "tx_datetime", LABEL, "prediction", "tx_amount")
+    rows = files.materialize(rows, scratch_path(spark, "kpi-input"))
+    span = F.floor(F.datediff(F.col("tx_datetime").try_cast("timestamp"), F.lit("2024-01-01").cast("date")) / F.lit(KPI_SPAN_DAYS))
+    for i in range(KPI_PARTS):
+        rows.filter(span == i).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    out = st.kpi_stream(stream, "1 day", f"{KPI_DELAY_DAYS} days", by=["model"])
+    w = out.writeStream.format("parquet").outputMode("append").option("path", sink).option("checkpointLocation", scratch_path(spark, "ckpt-kpi"))
+    w.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(sink).withColumn("period", F.date_format("window_start", "yyyy-MM-dd")).drop("window_start", "window_end")
+
+
 def q_ml_metrics(spark, sf):
     a, _ = _rules()
     scored = a.transform(_filled(spark, sf, RULE_COLUMNS))
@@ -585,6 +604,7 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_score": q_stream_score,
     "stream_bad_rows": q_stream_bad_rows,
     "stream_clean": q_stream_clean,
+    "kpi_stream": q_kpi_stream,
     "ml_metrics": q_ml_metrics,
     "train_rf": q_train_rf,
     "train_rf_baseline": q_train_rf_baseline,
@@ -910,23 +930,23 @@ def oracle_sql() -> dict[str, str]:
         ["threshold", "recall", "precision"],
     )
     s["auc_pr"] = _round(_with("SELECT * FROM pr_area", "pr_area"), ["area_under_pr"])
-    s["kpi_report"] = _round(
-        _with(
+    kpi = (
             "SELECT model, period, n, n_fraud, n_missed, n_declined, "
             "CASE WHEN n_fraud > 0 THEN CAST(n_missed AS DOUBLE) / n_fraud END AS miss_rate, "
             "CASE WHEN n_good > 0 THEN CAST(n_declined AS DOUBLE) / n_good END AS false_decline_rate, missed_amount, "
             "(CASE WHEN n_fraud > 0 THEN CAST(n_missed AS DOUBLE) / n_fraud END) <= 0.02e0 AS miss_rate_ok, "
             "missed_amount <= 500000e0 AS missed_amount_ok, "
             "(CASE WHEN n_good > 0 THEN CAST(n_declined AS DOUBLE) / n_good END) <= 0.05e0 AS false_decline_ok "
-            "FROM (SELECT model, substr(tx_datetime, 1, 7) AS period, count(*) AS n, "
+            "FROM (SELECT model, substr(tx_datetime, 1, {length}) AS period, count(*) AS n, "
             "CAST(count_if(tx_fraud = 1) AS BIGINT) AS n_fraud, CAST(count_if(tx_fraud = 1 AND prediction <> 1) AS BIGINT) AS n_missed, "
             "CAST(count_if(tx_fraud <> 1 AND prediction = 1) AS BIGINT) AS n_declined, CAST(count_if(tx_fraud <> 1) AS BIGINT) AS n_good, "
             "coalesce(CAST(sum(CASE WHEN tx_fraud = 1 AND prediction <> 1 THEN CAST(tx_amount AS DECIMAL(18, 6)) END) AS DOUBLE), 0e0) AS missed_amount "
-            "FROM scored_all GROUP BY model, substr(tx_datetime, 1, 7))",
-            "scored_all",
-        ),
-        ["miss_rate", "false_decline_rate", "missed_amount"],
+            "FROM scored_all GROUP BY model, substr(tx_datetime, 1, {length}))"
     )
+    kpi_doubles = ["miss_rate", "false_decline_rate", "missed_amount"]
+    s["kpi_report"] = _round(_with(kpi.format(length=7), "scored_all"), kpi_doubles)
+    closed = "CAST(period AS DATE) + 1 <= (SELECT max(CAST(tx_datetime AS TIMESTAMP)) - INTERVAL 30 DAY FROM scored_all)"
+    s["kpi_stream"] = _round(_with(f"SELECT * FROM ({kpi.format(length=10)}) WHERE {closed}", "scored_all"), kpi_doubles)
     s["split_hash"] = _with("SELECT transaction_id, part FROM labeled", "labeled")
     s["split_90_10_seed24"] = _with(f"SELECT transaction_id, CASE WHEN {_u(24)} < 0.9e0 THEN 'train' ELSE 'test' END AS part FROM filled", "filled")
     s["split_95_5_seed42"] = _with(f"SELECT transaction_id, CASE WHEN {_u(42)} < 0.95e0 THEN 'train' ELSE 'test' END AS part FROM filled", "filled")

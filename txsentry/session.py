@@ -110,6 +110,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly below ``path``; none if it does not exist."""
+    fs, p = _file_system(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def mark_path(spark: SparkSession, path: str) -> None:
     """Create an empty file (a mark); an existing one stays."""
     fs, p = _file_system(spark, path)

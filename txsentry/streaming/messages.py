@@ -115,10 +115,13 @@ def encode_predictions(scored: DataFrame, key: list[str] | None = None, id_col:
     to prediction, in message order; a repeated id keeps its first place and its last value.
     Groups are messages, so each is bounded by the message size, and the work is linear in it:
     the last value of each (message, id) is found before a message's entries are collected.
-    Rows are dealt once by message, which serves both groupings."""
+    Rows are dealt once by message, which serves both groupings. A column ``model_version``
+    (one value per message) is passed on."""
     key = key or MSG_KEY
-    rows = scored.select(*key, "pos", F.col(id_col).cast("string").alias("k"), F.col(pred).cast("double").alias("v")).repartition(*key)
-    last = rows.groupBy(*key, "k").agg(F.min("pos").alias("first"), F.max_by("v", "pos").alias("v"), F.count(F.lit(1)).alias("n"))
-    g = last.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("first", "k", "v"))).alias("_e"), F.sum("n").cast("int").alias("n_rows"))
+    version = ["model_version"] if "model_version" in scored.columns else []
+    rows = scored.select(*key, *version, "pos", F.col(id_col).cast("string").alias("k"), F.col(pred).cast("double").alias("v")).repartition(*key)
+    one = [F.max(c).alias(c) for c in version]
+    last = rows.groupBy(*key, "k").agg(F.min("pos").alias("first"), F.max_by("v", "pos").alias("v"), F.count(F.lit(1)).alias("n"), *one)
+    g = last.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("first", "k", "v"))).alias("_e"), F.sum("n").cast("int").alias("n_rows"), *one)
     m = F.map_from_entries(F.transform("_e", lambda e: F.struct(e["k"], e["v"])))
-    return g.select(*key, F.to_json(m).alias("value"), "n_rows")
+    return g.select(*key, F.to_json(m).alias("value"), "n_rows", *version)

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txsentry.operators.clean import SENTINEL_CUSTOMER
+from txsentry.operators import metrics
 from txsentry.operators.features import with_tx_time
 from txsentry.session import mark_path, path_exists
 from txsentry.sources.tables import TX_COLUMNS, TX_SCHEMA
+from txsentry.streaming.handover import Scorer
 from txsentry.streaming.messages import MESSAGE_SCHEMA, MSG_KEY, decode_messages, encode_predictions
 from txsentry.streaming.seen import first_rows, start_with_rocksdb
 
@@ -100,17 +102,15 @@ def outbox_sink(path: str, send: Callable[[DataFrame], None], slices: int = 8) -
     slice's answers only.
     """
     box = path.rstrip("/")
-    kind = "topic string, partition int, offset long, value string, n_rows int, slice int"
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         place, marks = f"{box}/answers/epoch={epoch}", f"{box}/marks/epoch={epoch}"
+        dealt = encode_predictions(batch).withColumn("slice", F.pmod(F.xxhash64(*MSG_KEY), F.lit(slices)).cast("int"))
         if not path_exists(spark, f"{marks}/written"):
-            answers = encode_predictions(batch)
-            dealt = answers.withColumn("slice", F.pmod(F.xxhash64(*MSG_KEY), F.lit(slices)).cast("int"))
             dealt.write.mode("overwrite").partitionBy("slice").parquet(place)
             mark_path(spark, f"{marks}/written")
-        held = spark.read.schema(kind).parquet(place)
+        held = spark.read.schema(dealt.schema).parquet(place)
         for i in range(slices):
             if not path_exists(spark, f"{marks}/sent-{i}"):
                 send(held.filter(F.col("slice") == i).drop("slice"))
@@ -143,7 +143,7 @@ def bad_rows_kafka_sink(bootstrap: str, topic: str, options: dict[str, str] | No
 
 def score_stream(
     msgs: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | Scorer,
     sink: Callable[[DataFrame, int], None],
     bad_sink: Callable[[DataFrame, int], None],
     checkpoint: str,
@@ -154,13 +154,22 @@ def score_stream(
     Rows that cannot be scored (malformed message, missing or malformed model input) go
     to ``bad_sink`` with their message's place, so no row of the input vanishes; a message
     without any valid row has no answer but its rows there. Grouping by message happens
-    per micro-batch (a message never spans batches), so no streaming state is kept."""
+    per micro-batch (a message never spans batches), so no streaming state is kept.
+
+    ``model`` may be a function of (session, epoch) that gives a model and its version
+    (``handover.current_model``): it is asked once per epoch, and every answer carries the
+    version in ``model_version``."""
     decoded = decode_messages(msgs)
 
     def each(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
-            good = model.transform(with_tx_time(batch.filter("is_valid")))
+            rows = with_tx_time(batch.filter("is_valid"))
+            if callable(model):
+                chosen, version = model(batch.sparkSession, epoch)
+                good = chosen.transform(rows).withColumn("model_version", F.lit(version))
+            else:
+                good = model.transform(rows)
             sink(good, epoch)
             bad_sink(batch.filter(~F.col("is_valid")), epoch)
         finally:
@@ -257,3 +266,14 @@ def clean_stream_to(
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return start_with_rocksdb(tx.sparkSession, w.start)
+
+
+def kpi_stream(scored: DataFrame, window: str = "1 day", delay: str = "1 hour", by: list[str] | None = None, **goals) -> DataFrame:
+    """The business goals (``metrics.kpi_report``) per event-time window of a stream of scored
+    rows, for an append sink: a window's one row comes out when the watermark (the latest
+    event time less ``delay``) has passed its end, and is final. Rows that come later than
+    that are dropped by the engine; its progress report counts them. Rows without a readable
+    time belong to no window. State: one row per group and open window."""
+    timed = scored.withColumn("_event_ts", F.col("tx_datetime").try_cast("timestamp")).withWatermark("_event_ts", delay)
+    out = metrics.kpi_report(timed, by=by, period=F.window("_event_ts", window), **goals)
+    return out.withColumn("window_start", F.col("period.start")).withColumn("window_end", F.col("period.end")).drop("period")
