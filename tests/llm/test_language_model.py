@@ -182,3 +182,28 @@ def test_edge_rows(spark):
     assert lm.log_likelihood(docs(spark, [])).count() == 0
     only = lm.log_likelihood(docs(spark, [(None, "a b")])).first()
     assert (only.train_tokens, only.n_known, only.n_tokens) == (0, 0, 3) and abs(only.base_score) < 1e-9
+
+
+def test_long_documents_cost_their_own_length():
+    """One document of a million tokens among 500 short ones: flat memory, each token once, each
+    behind the word before it; parts for training of even lanes."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 50, n).astype(np.int32) for n in (1_000_000, *rng.integers(1, 300, 500))]
+    total = sum(map(len, texts))
+    for level in (False, True):
+        tracemalloc.start()
+        stream = lm.Lanes(texts, 512, 50, level)
+        tokens, seen, steps = 0, np.zeros(len(texts), np.int64), 0
+        for x, y, on, of, last in stream.windows():
+            tokens += int(on.sum())
+            steps += len(x)
+            seen += np.bincount(of[on], y[on] + 1, len(texts)).astype(np.int64)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert last and tokens == total and peak < 100e6
+        assert seen.tolist() == [int((d + 1).sum()) for d in texts]
+        assert steps < (total / 512 + 400 if level else 1_000_001)
+    parts = lm.Lanes([np.arange(200, dtype=np.int32)], 1, 500, True), lm.Lanes([np.arange(200, dtype=np.int32), np.arange(200, 240, dtype=np.int32)], 4, 500, True)
+    assert all((p.x == np.where(np.isin(p.y, [0, 200]), 501, p.y - 1)).all() for p in parts)

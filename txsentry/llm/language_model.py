@@ -45,9 +45,9 @@ HIDDEN = 16
 BLOCK_TOKENS = 2_000_000
 ROUNDS = 2
 LANES = 512  # documents scored side by side
-TRAIN_LANES = 64
+TRAIN_LANES = 512
 WINDOW = 32  # steps of truncated backpropagation, and of a scoring window
-RATE = 0.01
+RATE = 0.03
 START = 5_000  # tokens that the untrained model counts for in an average
 END = b"\n"  # no word holds white space
 
@@ -232,22 +232,17 @@ class Net:
         All lanes run to their ends. Where few are left, the gradients of several windows
         make one step, so that a step rests on a quarter of the lanes' places or more.
         """
-        stream = lanes_of(docs, lanes, self.k)
-        if stream is None:
-            return 0
-        x, y, on, _ = stream
-        h = np.zeros((x.shape[1], self.h), np.float32)
+        stream = Lanes(docs, lanes, self.k, level=True)
+        h = np.zeros((stream.width, self.h), np.float32)
         m = {n: np.zeros_like(v) for n, v in self.p.items()}
         s = {n: np.zeros_like(v) for n, v in self.p.items()}
-        least = WINDOW * max(1, x.shape[1] // 4)
+        least = WINDOW * max(1, stream.width // 4)
         seen = t = held = 0
-        for lo in range(0, len(x), WINDOW):
-            live = int(on[lo].sum())  # lanes are sorted by length
-            xs, ys, ok = (a[lo : lo + WINDOW, :live] for a in (x, y, on))
-            grad, h = self.window(xs, ys, h[:live], ok)
+        for x, y, on, _, last in stream.windows():
+            grad, h = self.window(x, y, h[: x.shape[1]], on)
             total = {n: total[n] + g for n, g in grad.items()} if held else grad
-            held += int(ok.sum())
-            if held < least and lo + WINDOW < len(x):
+            held += int(on.sum())
+            if held < least and not last:
                 continue
             t += 1
             step = rate / (1 + t / 400)
@@ -262,21 +257,15 @@ class Net:
     def score(self, docs: list[np.ndarray], lanes: int = LANES) -> np.ndarray:
         """Natural log-probability of each document (tail words: of the tail class)."""
         total = np.zeros(len(docs))
-        stream = lanes_of(docs, lanes, self.k)
-        if stream is None:
-            return total
-        x, y, on, of = stream
-        h = np.zeros((x.shape[1], self.h), np.float32)
-        for lo in range(0, len(x), WINDOW):
-            live = int(on[lo].sum())
-            xs, ok = x[lo : lo + WINDOW, :live], on[lo : lo + WINDOW, :live]
-            h, states = h[:live], []
-            for t in range(len(xs)):
-                h, _ = self.step(xs[t], h)
+        stream = Lanes(docs, lanes, self.k)
+        h = np.zeros((stream.width, self.h), np.float32)
+        for x, y, on, of, _ in stream.windows():
+            h, states = h[: x.shape[1]], []
+            for row in x:
+                h, _ = self.step(row, h)
                 states.append(h)
-            ok = ok.ravel()
-            res = self.logp(np.concatenate(states)[ok], y[lo : lo + WINDOW, :live].ravel()[ok])
-            total += np.bincount(of[lo : lo + WINDOW, :live].ravel()[ok], res, len(docs))
+            on = on.ravel()
+            total += np.bincount(of.ravel()[on], self.logp(np.concatenate(states)[on], y.ravel()[on]), len(docs))
         return total
 
     def state(self) -> dict:
@@ -301,34 +290,53 @@ class Net:
         return self
 
 
-def lanes_of(docs: list[np.ndarray], lanes: int, k: int):
-    """Documents laid end to end in lanes of about equal length, the longest lane first:
-    inputs, targets, which places are taken and by which document, each (steps, lanes).
-    The input at a document's first word is the start sign."""
-    sizes = [len(d) for d in docs]
-    if not sum(sizes):
-        return None
-    lanes = max(1, min(lanes, len(docs)))
-    heap, load, own = [(0, i) for i in range(lanes)], [0] * lanes, [[] for _ in range(lanes)]
-    for d in sorted(range(len(docs)), key=lambda d: -sizes[d]):
-        n, i = heapq.heappop(heap)
-        own[i].append(d)
-        load[i] = n + sizes[d]
-        heapq.heappush(heap, (load[i], i))
-    order = sorted(range(lanes), key=lambda i: -load[i])
-    steps = load[order[0]]
-    x, y = np.full((steps, lanes), k + 1, np.int32), np.full((steps, lanes), k, np.int32)
-    on, of = np.zeros((steps, lanes), bool), np.zeros((steps, lanes), np.int32)
-    for j, i in enumerate(order):
+class Lanes:
+    """Documents laid end to end in lanes of about equal length, the longest lane first, and
+    handed out in windows of ``WINDOW`` steps over the lanes that are still running.
+
+    Only flat arrays of the documents' own size are held, so one very long document costs its
+    own length, not its length times the lanes. The input at a document's first word is
+    the start sign. With ``level`` documents are cut where they exceed an even share of a
+    lane; a later part begins with the word before it and without state.
+    """
+
+    def __init__(self, docs: list[np.ndarray], lanes: int, k: int, level: bool = False):
+        sizes = [len(d) for d in docs]
+        self.width = max(1, min(lanes, len(docs))) if sum(sizes) else 0
+        self.start = k + 1
+        if not self.width:
+            return
+        share = max(WINDOW, -(-sum(sizes) // self.width)) if level else max(sizes)
+        parts = [(d, lo, min(share, n - lo)) for d, n in enumerate(sizes) for lo in range(0, n, share)]
+        heap, load, own = [(0, i) for i in range(self.width)], [0] * self.width, [[] for _ in range(self.width)]
+        for part in sorted(parts, key=lambda p: -p[2]):
+            n, i = heapq.heappop(heap)
+            own[i].append(part)
+            load[i] = n + part[2]
+            heapq.heappush(heap, (load[i], i))
+        order = sorted(range(self.width), key=lambda i: -load[i])
+        self.load = np.array([load[i] for i in order])
+        self.begin = np.cumsum(self.load) - self.load
+        self.x, self.y, self.of = (np.empty(int(self.load.sum()), np.int32) for _ in range(3))
         at = 0
-        for d in own[i]:
-            n = sizes[d]
-            y[at : at + n, j] = docs[d]
-            x[at + 1 : at + n, j] = docs[d][:-1]
-            of[at : at + n, j] = d
-            at += n
-        on[:at, j] = True
-    return x, y, on, of
+        for i in order:
+            for d, lo, n in own[i]:
+                self.y[at : at + n] = docs[d][lo : lo + n]
+                self.x[at] = docs[d][lo - 1] if lo else self.start
+                self.x[at + 1 : at + n] = docs[d][lo : lo + n - 1]
+                self.of[at : at + n] = d
+                at += n
+
+    def windows(self):
+        """Per window inputs, targets, which places are taken and by which document, each
+        (steps, running lanes), and whether it is the last one."""
+        end = int(self.load[0]) if self.width else 0
+        for lo in range(0, end, WINDOW):
+            live = int(np.searchsorted(-self.load, -lo, side="left"))
+            steps = lo + np.arange(min(WINDOW, end - lo))[:, None]
+            on = steps < self.load[:live]
+            at = np.where(on, self.begin[:live] + steps, 0)
+            yield np.where(on, self.x[at], self.start), self.y[at], on, self.of[at], lo + WINDOW >= end
 
 
 def word_counts(found: DataFrame) -> DataFrame:
