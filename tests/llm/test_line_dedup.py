@@ -9,15 +9,17 @@ from txsentry.llm import line_dedup as ld
 
 
 def hashes(spark, tokens):
-    """Spark's hash of each token, which decides where pieces are cut."""
-    rows = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", (F.pmod(F.xxhash64("t"), F.lit(ld.CUT_ONE_IN)) == 0).alias("c")).collect()
-    return {r.t: r.c for r in rows}
+    """Spark's hash of each token, which decides where long stretches are cut."""
+    return {r.t: r.h for r in spark.createDataFrame([(t,) for t in tokens], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
 
 
 def spaced(t):
     if re.search(ld.BLANKS, t):
         t = re.sub(r"[ \t\r\x0b\f]+", " ", t)
-    return re.sub(ld.CJK_STOP, "\\1\x0b ", t)
+    t = re.sub(ld.QUOTED, "\\1\x0b", t)
+    for e in ".!?…。！？":
+        t = t.replace(e + " ", e + "\x0b")
+    return re.sub(ld.CJK_STOP, "\\1\f\x0b", t)
 
 
 def mask(t):
@@ -26,22 +28,34 @@ def mask(t):
 
 def brute(spark, rows, min_docs=2):
     """The same rule row by row: (text, dropped lines, dropped pieces) per row of distinct ids."""
-    lines = {}  # (id, line) -> masked tokens
+    lines = {}  # (id, line) -> masked tokens in lists, one for each sentence
+
+    def sentences(line):
+        return [p.split(" ") for p in line.strip(" \x0b\f").split("\x0b")]
+
     for d, t in rows:
         for i, line in enumerate(mask(spaced(t)).split("\n")):
-            if line.strip(" "):
-                lines[d, i] = line.strip(" ").split(" ")
-    cuts = hashes(spark, {t for ts in lines.values() for t in ts})
-
-    def cut(tokens, shown=None):
-        out = [[]]
-        for t, s in zip(tokens, shown or tokens):
-            out[-1].append(s)
-            if cuts[t] or t.endswith("\x0b") or re.search(ld.STOP, t):
-                out.append([])
-        return [" ".join(p) for p in out if p]
-
-    pieces = {k: cut(ts) for k, ts in lines.items()}
+            if line.strip(" \x0b\f"):
+                lines[d, i] = sentences(line)
+    cuts = hashes(spark, {t for ss in lines.values() for ts in ss for t in ts})
+
+    def cut(parts, shown=None):
+        out = []
+        for ts, ss in zip(parts, shown or parts):
+            out.append([])
+            h = [cuts[t] for t in ts]
+            for i, s in enumerate(ss):
+                out[-1].append(s)
+                lo = max(i - ld.REACH, 0)
+                if len(ts) > ld.LONG_PIECE and h[i] == min(h[lo : lo + 2 * ld.REACH + 1]):
+                    out.append([])
+            if not out[-1]:
+                out.pop()
+        return [" ".join(p) for p in out]
+
+    pieces = {k: cut(ss) for k, ss in lines.items()}
+    lines = {k: [t for ts in ss for t in ts] for k, ss in lines.items()}
+    parted = {(d, i): [p.split(" ") for p in mask(spaced(t)).split("\n")[i].strip(" \x0b\f").split("\x0b")] for d, t in rows for i in range(len(t.split("\n"))) if (d, i) in lines}
     ids = {}
     for (d, i), ts in lines.items():
         for u in {" ".join(ts), *pieces[d, i]}:
@@ -101,8 +115,8 @@ def brute(spark, rows, min_docs=2):
             if (d, i) in full:
                 gone += 1
             elif inside.get((d, i)):
-                shown = spaced(line).strip(" ").split(" ")
-                kept.append(" ".join(p for j, p in enumerate(cut(lines[d, i], shown)) if j not in inside[d, i]).replace("\x0b ", "").replace("\x0b", ""))
+                left = [p for j, p in enumerate(cut(parted[d, i], sentences(spaced(line)))) if j not in inside[d, i]]
+                kept.append(" ".join(left).replace("\f ", "").replace("\f", ""))
                 lost += len(inside[d, i])
             else:
                 kept.append(line)
@@ -176,7 +190,7 @@ def test_passage_without_a_stop(spark):
     assert got[0] == rows[0][1]
     for i in (1, 2):
         left = got[i].split(" ")
-        assert left[:2] == ["Own", "start"] and left[-2:] == ["this", "line"] and len(left) < 22 + 32
+        assert left[:2] == ["Own", "start"] and left[-2:] == ["this", "line"] and len(left) < 22 + 36
     assert got == {d: v[0] for d, v in brute(spark, rows).items()}
 
 

@@ -1,9 +1,10 @@
 """Line dedup by a log-template tree.
 
 A text is parsed into lines, and each line into pieces: a piece ends with a sentence (a stop,
-closing quotes and brackets, a stop of CJK text) or after a word chosen by its hash (one in
-``CUT_ONE_IN``), so that a passage pasted anywhere has pieces of its own even without a
-stop inside. On the way every token with a digit becomes ``<*>``.
+closing quotes and brackets, a stop of CJK text), and a stretch of more than ``LONG_PIECE``
+tokens without one is cut after each word whose hash is the least of the ``REACH`` words
+on either side, so that a passage pasted into it has pieces of its own. On the way every token with a digit
+becomes ``<*>``.
 
 Lines go down a tree of fixed depth: token count, leading token, trailing token. First, equal
 lines and pieces are found: a key met in ``min_docs`` or more documents recurs, the document
@@ -38,16 +39,19 @@ MIN_DOCS = 2
 MIN_LINE_TOKENS = 3
 MIN_SENTENCE_TOKENS = 8
 SHORT_PIECE = 3  # pieces of fewer tokens extend a run but don't count
-CUT_ONE_IN = 16
+LONG_PIECE = 24
+REACH = 4
 CONSTANT = 0.7  # constant share of a template with variable fields
 MIN_CONSTANT = 5  # and its least number of constant tokens
 HOT_SHARE = 2000
 
 FIELD = r"(?<!\S)[^\s\d]*+\d\S*"
 BLANKS = r"[\t\r\x0B\f]|  "
-STOP = r"[.!?…][\"'’”»)\]]*$"
-CJK_STOP = r"([。！？][\"'”’»」』）)]*)"
-CUT = "\x0B"  # marks the end of a CJK sentence, which no blank follows
+CLOSERS = "\"'’”»)\\]」』）"
+QUOTED = rf"([.!?…][{CLOSERS}]++) "
+CJK_STOP = rf"([。！？][{CLOSERS}]*+)(?=\S)"
+CUT = "\x0B"  # ends a piece, in place of the space there
+GLUE = "\f"  # before a CUT where the text has no space; both are white space for FIELD
 NO_ID = 2**62
 
 
@@ -60,46 +64,68 @@ def _id(docs: DataFrame) -> Column:
     return F.struct(none.alias("none"), F.col("doc_id").alias("id"), F.when(none, alone).alias("alone"))
 
 
-def _spaced(text: Column) -> Column:
-    """Single spaces, none at a text's ends; a marked space after a CJK stop."""
+def _row(docs: DataFrame) -> Column:
+    """One number for a row, from its id and its text."""
+    return F.xxhash64(_id(docs), F.col("text"))
+
+
+def _marked(text: Column) -> Column:
+    """The text with single spaces, and ``CUT`` after each sentence."""
     text = F.when(text.rlike(BLANKS), F.regexp_replace(text, r"[ \t\r\x0B\f]+", " ")).otherwise(text)
-    return F.when(text.rlike("[。！？]"), F.regexp_replace(text, CJK_STOP, "$1" + CUT + " ")).otherwise(text)
+    text = F.when(text.rlike(QUOTED), F.regexp_replace(text, QUOTED, "$1" + CUT)).otherwise(text)
+    for end in ".!?…。！？":
+        text = F.replace(text, F.lit(end + " "), F.lit(end + CUT))
+    return F.when(text.rlike("[。！？]"), F.regexp_replace(text, CJK_STOP, "$1" + GLUE + CUT)).otherwise(text)
+
 
+def _masked(marked: Column) -> Column:
+    """The marked text with its variable fields generalised."""
+    return F.when(marked.rlike(r"\d"), F.regexp_replace(marked, FIELD, "<*>")).otherwise(marked)
 
-def _masked(text: Column) -> Column:
-    """The spaced text with its variable fields generalised."""
-    return F.when(text.rlike(r"\d"), F.regexp_replace(text, FIELD, "<*>")).otherwise(text)
+
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(" " + CUT + GLUE))
 
 
 def _tokens(unit: Column) -> Column:
-    """Token count of a trimmed unit that is not empty."""
-    return F.octet_length(unit) - F.octet_length(F.replace(unit, F.lit(" "), F.lit(""))) + 1
+    """Token count of a bare unit that is not empty."""
+    less = F.replace(F.replace(unit, F.lit(" "), F.lit("")), F.lit(CUT), F.lit(""))
+    return F.octet_length(unit) - F.octet_length(less) + 1
+
 
+def _cut_long(piece: Column, shown: Column) -> Column:
+    """A long piece in parts, as they stand in ``shown`` (a piece of as many tokens)."""
 
-def _ends(token: Column) -> Column:
-    """Whether a piece ends with this token."""
-    return (F.pmod(F.xxhash64(token), F.lit(CUT_ONE_IN)) == 0) | token.endswith(CUT) | token.rlike(STOP)
+    def least(h: Column) -> Column:
+        def mark(s: Column, i: Column) -> Column:
+            around = F.slice(h, F.greatest(i - REACH, F.lit(0)) + 1, F.lit(2 * REACH + 1))
+            return F.when(F.get(h, i) == F.array_min(around), F.concat(s, F.lit("\n"))).otherwise(s)
+
+        return F.array_join(F.transform(F.split(shown, " "), mark), " ")
+
+    whole = let(F.transform(F.split(piece, " "), lambda t: F.xxhash64(t)), least)
+    return F.split(F.rtrim(whole, F.lit("\n")), "\n ")
 
 
 def _pieces(line: Column, shown: Column | None = None) -> Column:
-    """The pieces of a trimmed masked line, or of the line ``shown`` with as many tokens."""
-    tokens = F.split(line, " ")
-    if shown is None:
-        marked = F.transform(tokens, lambda t: F.when(_ends(t), F.concat(t, F.lit("\n"))).otherwise(t))
-    else:
-        marked = F.zip_with(tokens, F.split(shown, " "), lambda t, s: F.when(_ends(t), F.concat(s, F.lit("\n"))).otherwise(s))
-    return F.split(F.rtrim(F.array_join(marked, " "), F.lit("\n")), "\n ")
-
-
-def parsed_lines(docs: DataFrame) -> DataFrame:
-    """(id, th, line, n, key, leaf, pieces): each row's lines that are not blank, with their
-    place, token count, key, leaf of the tree and the (key, n) of their pieces, if several."""
-    lines = docs.select(_id(docs).alias("id"), F.xxhash64("text").alias("th"), F.posexplode(F.split(_masked(_spaced(F.col("text"))), "\n")).alias("line", "t"))
-    lines = lines.select("id", "th", "line", F.trim("t").alias("t")).filter("t <> ''")
-    keyed = F.transform(_pieces(F.col("t")), lambda p: F.struct(F.xxhash64(p).alias("key"), _tokens(p).alias("n")))
-    keyed = let(keyed, lambda p: F.when(F.size(p) > 1, p).otherwise(F.array().cast("array<struct<key:bigint,n:int>>")))
-    leaf = F.xxhash64(_tokens(F.col("t")), F.substring_index("t", " ", 1), F.substring_index("t", " ", -1))
-    return lines.select("id", "th", "line", _tokens(F.col("t")).alias("n"), F.xxhash64("t").alias("key"), leaf.alias("leaf"), keyed.alias("pieces"))
+    """The pieces of a bare masked line, or those of the line ``shown`` (marked, not masked)."""
+    shown = line if shown is None else shown
+    parts = F.zip_with(F.split(line, CUT), F.split(shown, CUT), lambda m, s: F.when(_tokens(m) > LONG_PIECE, _cut_long(m, s)).otherwise(F.array(s)))
+    return F.when(_tokens(line) > LONG_PIECE, F.flatten(parts)).otherwise(F.split(shown, CUT))
+
+
+def parsed_units(docs: DataFrame) -> DataFrame:
+    """(id, rid, line, piece, of, n, key, leaf): each row's lines that are not blank (piece 0, with
+    their leaf of the tree) and the pieces 1, 2, ... of lines that have several (``of``), with
+    token counts and keys. Numbers only; texts are parsed once."""
+    lines = docs.select(_id(docs).alias("id"), _row(docs).alias("rid"), F.posexplode(F.split(_masked(_marked(F.col("text"))), "\n")).alias("line", "t"))
+    lines = lines.select("id", "rid", "line", _bare(F.col("t")).alias("t")).filter("t <> ''")
+    lines = lines.select("id", "rid", "line", "t", F.when((F.instr("t", CUT) > 0) | (_tokens(F.col("t")) > LONG_PIECE), _pieces(F.col("t"))).alias("p"))
+    several = F.when(F.size("p") > 1, F.col("p")).otherwise(F.array().cast("array<string>"))
+    units = lines.select("id", "rid", "line", F.coalesce(F.size("p"), F.lit(1)).alias("of"), F.posexplode(F.concat(F.array("t"), F.coalesce(several, F.array().cast("array<string>")))).alias("piece", "u"))
+    plain = F.replace(F.col("u"), F.lit(CUT), F.lit(" "))
+    leaf = F.when(F.col("piece") == 0, F.xxhash64(_tokens(F.col("u")), F.substring_index(plain, " ", 1), F.substring_index(plain, " ", -1)))
+    return units.select("id", "rid", "line", "piece", "of", _tokens(F.col("u")).alias("n"), F.xxhash64("u").alias("key"), leaf.alias("leaf"))
 
 
 def recurring(u: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -129,53 +155,55 @@ def with_first(u: DataFrame, found: DataFrame, total: int) -> DataFrame:
     return u.join(hot, "key").unionByName(rest)
 
 
-ROW = ["id", "th"]  # a row of the documents: its id and its text's hash
+ROW = ["id", "rid"]  # a row of the documents
 PLACE = [*ROW, "line"]
 
 
-def _runs(rows: DataFrame, by: list[str], at: str, total: Column, members: str | None = None) -> DataFrame:
-    """``rows`` with ``run``: the total of all rows beside each other in ``at``, and the number of
-    rows there."""
-    order = Window.partitionBy(*by).orderBy(at)
-    rows = rows.withColumn("_run", F.col(at) - F.row_number().over(order))
-    run = Window.partitionBy(*by, "_run")
-    return rows.withColumn("run", F.sum(total).over(run)).withColumn("members", F.count(F.lit(1)).over(run)).drop("_run")
+def _runs(rows: DataFrame, by: list[str], at: str, total: Column) -> DataFrame:
+    """``rows`` with ``run``: the total of all rows beside each other in ``at``."""
+    rows = rows.withColumn("_run", F.col(at) - F.row_number().over(Window.partitionBy(*by).orderBy(at)))
+    return rows.withColumn("run", F.sum(total).over(Window.partitionBy(*by, "_run"))).drop("_run")
 
 
-def repeats(lines: DataFrame, min_docs: int, min_line_tokens: int, min_sentence_tokens: int) -> tuple[DataFrame, DataFrame]:
-    """Equal lines and pieces that recur: (id, th, line) of lines to go, and (id, th, line, piece)
-    of pieces to go inside other lines."""
-    # a line of one piece is that piece: piece -1, beside the pieces 0, 1, ... of the others
-    whole = F.struct(F.lit(-1).alias("piece"), F.col("key").alias("key"), F.col("n").alias("n"))
-    inner = F.transform("pieces", lambda p, i: F.struct(i.alias("piece"), p["key"].alias("key"), p["n"].alias("n")))
-    units = lines.select(*PLACE, F.size("pieces").alias("of"), F.explode(F.concat(F.array(whole), inner)).alias("u")).select(*PLACE, "of", "u.*")
+def repeats(units: DataFrame, min_docs: int, min_line_tokens: int, min_sentence_tokens: int) -> tuple[DataFrame, DataFrame]:
+    """Equal lines and pieces that recur: places of lines to go, and (place, piece) of pieces to go
+    inside other lines."""
     found = stage(recurring(units.select("id", "key"), min_docs), "line-keys")
-    total = lines.agg(F.coalesce(F.sum(F.size("pieces") + 1), F.lit(0))).first()[0]
-    gone = with_first(units, found, total).filter("id <> first_id").select(*PLACE, "of", "piece", "n")
+    gone = with_first(units.drop("leaf"), found, units.count()).filter("id <> first_id")
     weight = F.when(F.col("n") >= SHORT_PIECE, F.col("n")).otherwise(0)
-    pieces = stage(_runs(gone.filter("piece >= 0"), PLACE, "piece", weight), "line-pieces")
-    full = gone.filter("piece < 0").select(*PLACE, "n").unionByName(
-        pieces.filter("members = of").groupBy(*PLACE).agg(F.sum("n").cast("int").alias("n"))
+    inner = F.col("piece") > 0
+    # per line: does it recur itself, do all its pieces, and may its pieces make a run?
+    per_line = gone.groupBy(*PLACE).agg(
+        F.max(F.when(~inner, F.col("n"))).alias("whole"),
+        F.count_if(inner).alias("away"),
+        F.max("of").alias("of"),
+        F.sum(F.when(inner, F.col("n"))).alias("inside"),
+        F.sum(F.when(inner, weight)).alias("weight"),
+        F.collect_list(F.when(inner, F.struct("piece", "n"))).alias("pieces"),
     )
-    full = _runs(full.groupBy(*PLACE).agg(F.max("n").alias("n")), ROW, "line", F.col("n"))
-    full = stage(full.filter(F.col("run") >= min_line_tokens).select(*PLACE), "line-full")
-    inside = pieces.filter(F.col("run") >= min_sentence_tokens).join(full, PLACE, "left_anti")
-    return full, inside.select(*PLACE, "piece")
-
-
-def templates(docs: DataFrame, lines: DataFrame, gone: DataFrame, min_docs: int, min_line_tokens: int) -> DataFrame:
-    """(id, th, line): lines to go because another document has a line of the same template with
-    variable fields. ``lines`` without those that are ``gone`` already."""
-    left = lines.filter((F.col("n") >= max(min_line_tokens, MIN_CONSTANT))).select(*PLACE, "n", "leaf").join(gone, PLACE, "left_anti")
-    left = stage(left, "line-left")
+    all_of_it = F.col("whole").isNotNull() | (F.col("away") == F.col("of"))
+    few = F.col("weight") < min_sentence_tokens
+    per_line = per_line.withColumn("full", all_of_it).withColumn("pieces", F.when(all_of_it & (F.coalesce("whole", "inside") >= min_line_tokens) | few, F.array().cast("array<struct<piece:int,n:int>>")).otherwise(F.col("pieces")))
+    per_line = stage(per_line, "line-recurring")
+    lines = _runs(per_line.filter("full").select(*PLACE, F.coalesce("whole", "inside").alias("n")), ROW, "line", F.col("n"))
+    full = stage(lines.filter(F.col("run") >= min_line_tokens).select(*PLACE), "line-full")
+    pieces = per_line.select(*PLACE, F.inline("pieces"))
+    pieces = _runs(pieces, PLACE, "piece", weight).filter(F.col("run") >= min_sentence_tokens).select(*PLACE, "piece")
+    return full, pieces
+
+
+def templates(docs: DataFrame, units: DataFrame, gone: DataFrame, min_docs: int, min_line_tokens: int) -> DataFrame:
+    """Places of lines to go because another document has a line of the same template with
+    variable fields, among the lines that are not ``gone`` already."""
+    lines = units.filter((F.col("piece") == 0) & (F.col("n") >= max(min_line_tokens, MIN_CONSTANT)))
+    left = stage(lines.select(*PLACE, "n", "leaf").join(gone, PLACE, "left_anti"), "line-left")
     shared = left.groupBy("leaf").agg(F.min("id").alias("_a"), F.max("id").alias("_b")).filter("_a <> _b").select("leaf")
-    held = left.join(shared, "leaf", "left_semi").groupBy(*ROW).agg(F.sort_array(F.collect_set(F.struct("line", "leaf", "n"))).alias("held"))
-    # the texts of these lines, from the rows that have any
-    texts = docs.select(_id(docs).alias("id"), F.xxhash64("text").alias("th"), "text").join(held, ROW)
-    texts = texts.dropDuplicates(ROW).select(*ROW, "held", F.split(_masked(_spaced(F.col("text"))), "\n").alias("all"))
-    one = F.transform("held", lambda h: F.struct(h["line"].alias("line"), h["leaf"].alias("leaf"), h["n"].alias("n"), F.trim(F.get(F.col("all"), h["line"])).alias("t")))
-    fields = texts.select(*ROW, F.explode(one).alias("l")).select(*ROW, "l.*")
-    fields = fields.select(*PLACE, "leaf", "n", F.posexplode(F.split("t", " ")).alias("at", "token"))
+    held = left.join(shared, "leaf", "left_semi").groupBy(*ROW).agg(F.collect_set(F.struct("line", "leaf", "n")).alias("held"))
+    # the texts of these lines, from the rows that have any; rows alike in id and text once
+    texts = docs.select(_id(docs).alias("id"), _row(docs).alias("rid"), "text").join(held, ROW)
+    texts = texts.dropDuplicates(ROW).select(*ROW, "held", F.split("text", "\n").alias("all"))
+    lines = texts.select(*ROW, "all", F.explode("held").alias("h")).select(*ROW, "h.*", F.get("all", F.col("h.line")).alias("t"))
+    fields = lines.select(*PLACE, "leaf", "n", F.posexplode(F.split(_bare(_masked(_marked(F.col("t")))), f"[ {CUT}]")).alias("at", "token"))
     fields = stage(fields.select(*PLACE, "leaf", "n", "at", F.xxhash64("leaf", "at", "token").alias("key")), "line-fields")
     constant = stage(recurring(fields.select("id", "key"), 2).select("key"), "line-constants")
     marked = fields.join(constant.withColumn("same", F.lit(True)), "key", "left")
@@ -195,14 +223,14 @@ def dedup_lines(
 ) -> DataFrame:
     """``docs`` with recurring templates dropped from ``text``; adds ``dropped_lines``
     and ``dropped_sentences`` (pieces inside lines; 0 where nothing was dropped)."""
-    lines = stage(parsed_lines(docs), "line-parsed")  # numbers only; texts are parsed once
-    full, inside = repeats(lines, min_docs, min_line_tokens, min_sentence_tokens)
-    full = stage(full.unionByName(templates(docs, lines, full, min_docs, min_line_tokens)), "line-gone")
-    inside = inside.join(full, PLACE, "left_anti").groupBy(*PLACE).agg(F.sort_array(F.collect_list("piece")).alias("cut"))
+    units = stage(parsed_units(docs), "line-units")
+    full, inside = repeats(units, min_docs, min_line_tokens, min_sentence_tokens)
+    full = stage(full.unionByName(templates(docs, units, full, min_docs, min_line_tokens)), "line-gone")
+    inside = inside.groupBy(*PLACE).agg(F.sort_array(F.collect_list(F.col("piece") - 1)).alias("cut")).join(full, PLACE, "left_anti")
     every = full.withColumn("cut", F.lit(None).cast("array<int>")).unionByName(inside)
     drops = every.groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct("line", "cut"))).alias("_drops"))
-    drops = drops.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "_drops")
-    met = docs.join(drops, (_id(docs) == F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
+    drops = drops.select(F.col("id").alias("_id"), F.col("rid").alias("_rid"), "_drops")
+    met = docs.join(drops, (_row(docs) == F.col("_rid")) & (_id(docs) == F.col("_id")), "left")
 
     def between(whole: Column, places: Column, instead=None) -> Column:
         """The elements of ``whole`` without those at ``places`` (ascending), or with
@@ -219,11 +247,11 @@ def dedup_lines(
     def shorter(line: Column, cut: Column) -> Column:
         """The line without the pieces at ``cut``."""
 
-        def rest(spaced: Column) -> Column:
-            left = let(_pieces(_masked(spaced), spaced), lambda p: between(p, cut))
-            return F.replace(F.replace(F.array_join(left, " "), F.lit(CUT + " "), F.lit("")), F.lit(CUT), F.lit(""))
+        def rest(marked: Column) -> Column:
+            left = F.array_join(let(_pieces(_masked(marked), marked), lambda p: between(p, cut)), " ")
+            return F.replace(F.replace(F.replace(left, F.lit(CUT), F.lit(" ")), F.lit(GLUE + " "), F.lit("")), F.lit(GLUE), F.lit(""))
 
-        return let(F.trim(_spaced(line)), rest)
+        return let(_bare(_marked(line)), rest)
 
     def one(line: Column, i: Column) -> Column:
         cut = F.get(F.col("_drops"), i)["cut"]
