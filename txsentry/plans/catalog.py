@@ -66,7 +66,9 @@ def _clean(spark, sf, keep=None):
 
 
 def _filled(spark, sf, keep=None):
-    return jobs.prepared(_clean(spark, sf, keep))
+    """The clean table as the jobs prepare it; keys come from whole rows, whatever is kept."""
+    rows = cl.clean(jobs.with_key(_tx(spark, sf)), stage_path=scratch_path(spark, "dedup"), keep=keep)
+    return jobs.prepared(rows)
 
 
 def _split(spark, sf, keep=None):

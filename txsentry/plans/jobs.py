@@ -36,15 +36,20 @@ def train_test(df: DataFrame, weights: list[float] | None = None, seed: int = SP
     return train, test
 
 
-def prepared(df: DataFrame) -> DataFrame:
-    """Clean rows as both the training and the validation job read them: NULL numbers
-    become 0. A row without a key gets a negative one from its content, as the split and
-    the bootstrap hash the key: such rows spread over parts and weights like others."""
-    out = df.fillna(0, subset=[c for c in df.columns if c != ID and c in NUMERIC_COLUMNS])
-    if ID not in df.columns:
-        return out
+def with_key(df: DataFrame) -> DataFrame:
+    """A row without a key gets a negative one, a hash of all its columns: the split, the
+    bootstrap and the sketches hash the key, and such rows spread like others. To be called
+    on whole rows, before columns are dropped or filled, so that a row has one key everywhere."""
     alone = -F.shiftrightunsigned(F.xxhash64(*df.columns), 1)
-    return out.withColumn(ID, F.coalesce(F.col(ID), alone))
+    return df.withColumn(ID, F.coalesce(F.col(ID), alone))
+
+
+def prepared(df: DataFrame) -> DataFrame:
+    """Clean rows as both the training and the validation job read them: rows without a key get
+    one (``with_key``; rows that have been through it keep theirs), NULL numbers become 0."""
+    if ID in df.columns:
+        df = with_key(df)
+    return df.fillna(0, subset=[c for c in df.columns if c != ID and c in NUMERIC_COLUMNS])
 
 
 def predictions_ab(test: DataFrame, model_a: PipelineModel, model_b: PipelineModel) -> DataFrame:
