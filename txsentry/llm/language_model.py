@@ -27,6 +27,8 @@ others; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,7 @@ ROUNDS = 2
 LANES = 512  # documents scored side by side
 TRAIN_LANES = 512
 WINDOW = 32  # steps of truncated backpropagation, and of a scoring window
-RATE = 0.03
+RATE = 0.01  # of steps over up to 64 lanes; wider ones rest on more places and go further
 START = 5_000  # tokens that the untrained model counts for in an average
 END = b"\n"  # no word holds white space
 
@@ -58,7 +60,7 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
 
     def run(batches):
         part, serial, size = TaskContext.get().partitionId(), 0, 0
-        ids, held, lens, codes, vocab = [], [], [], [], {}
+        ids, held, lens, codes, vocab = [], [], [], [], defaultdict(count().__next__)
 
         def out():
             tokens = np.concatenate(codes)
@@ -76,9 +78,6 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
             for k, h, t in zip(*(c.to_pylist() for c in b.columns)):
                 ws = (t or b"").lower().split()
                 ws.append(END)
-                for w in ws:
-                    if w not in vocab:
-                        vocab[w] = len(vocab)
                 codes.append(np.fromiter(map(vocab.__getitem__, ws), np.int32, len(ws)))
                 ids.append(k)
                 held.append(h)
@@ -87,7 +86,7 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
                 if size >= block_tokens:
                     yield out()
                     serial, size = serial + 1, 0
-                    ids, held, lens, codes, vocab = [], [], [], [], {}
+                    ids, held, lens, codes, vocab = [], [], [], [], defaultdict(count().__next__)
         if ids:
             yield out()
 
@@ -245,7 +244,7 @@ class Net:
             if held < least and not last:
                 continue
             t += 1
-            step = rate / (1 + t / 400)
+            step = rate * max(1.0, (stream.width / 64) ** 0.5) / (1 + t / 400)
             for n, g in total.items():
                 g = np.clip(g / held, -1, 1)
                 m[n] = 0.9 * m[n] + 0.1 * g
