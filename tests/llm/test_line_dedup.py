@@ -46,8 +46,7 @@ def brute(spark, rows, min_docs=2):
             h = [cuts[t] for t in ts]
             for i, s in enumerate(ss):
                 out[-1].append(s)
-                lo = max(i - ld.REACH, 0)
-                if len(ts) > ld.LONG_PIECE and h[i] == min(h[lo : lo + 2 * ld.REACH + 1]):
+                if len(ts) > ld.LONG_PIECE and h[i] == min(h[max(i - ld.REACH, 0) : i + ld.REACH + 1]):
                     out.append([])
             if not out[-1]:
                 out.pop()

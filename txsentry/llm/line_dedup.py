@@ -40,7 +40,7 @@ MIN_LINE_TOKENS = 3
 MIN_SENTENCE_TOKENS = 8
 SHORT_PIECE = 3  # pieces of fewer tokens extend a run but don't count
 LONG_PIECE = 24
-REACH = 4
+REACH = 2
 CONSTANT = 0.7  # constant share of a template with variable fields
 MIN_CONSTANT = 5  # and its least number of constant tokens
 HOT_SHARE = 2000
@@ -50,6 +50,7 @@ BLANKS = r"[\t\r\x0B\f]|  "
 CLOSERS = "\"'’”»)\\]」』）"
 QUOTED = rf"([.!?…][{CLOSERS}]++) "
 CJK_STOP = rf"([。！？][{CLOSERS}]*+)(?=\S)"
+RARE = rf"[…。！？]|[.!?][{CLOSERS}]"
 CUT = "\x0B"  # ends a piece, in place of the space there
 GLUE = "\f"  # before a CUT where the text has no space; both are white space for FIELD
 NO_ID = 2**62
@@ -71,16 +72,24 @@ def _row(docs: DataFrame) -> Column:
 
 def _marked(text: Column) -> Column:
     """The text with single spaces, and ``CUT`` after each sentence."""
-    text = F.when(text.rlike(BLANKS), F.regexp_replace(text, r"[ \t\r\x0B\f]+", " ")).otherwise(text)
-    text = F.when(text.rlike(QUOTED), F.regexp_replace(text, QUOTED, "$1" + CUT)).otherwise(text)
-    for end in ".!?…。！？":
+
+    def rare(t: Column) -> Column:
+        t = F.regexp_replace(t, QUOTED, "$1" + CUT)
+        for end in "…。！？":
+            t = F.replace(t, F.lit(end + " "), F.lit(end + CUT))
+        return F.regexp_replace(t, CJK_STOP, "$1" + GLUE + CUT)
+
+    # each step once, and the costly ones only where their signs occur
+    text = let(text, lambda t: F.when(t.rlike(BLANKS), F.regexp_replace(t, r"[ \t\r\x0B\f]+", " ")).otherwise(t))
+    text = let(text, lambda t: F.when(t.rlike(RARE), rare(t)).otherwise(t))
+    for end in ".!?":
         text = F.replace(text, F.lit(end + " "), F.lit(end + CUT))
-    return F.when(text.rlike("[。！？]"), F.regexp_replace(text, CJK_STOP, "$1" + GLUE + CUT)).otherwise(text)
+    return text
 
 
 def _masked(marked: Column) -> Column:
     """The marked text with its variable fields generalised."""
-    return F.when(marked.rlike(r"\d"), F.regexp_replace(marked, FIELD, "<*>")).otherwise(marked)
+    return let(marked, lambda m: F.when(m.rlike(r"\d"), F.regexp_replace(m, FIELD, "<*>")).otherwise(m))
 
 
 def _bare(line: Column) -> Column:
@@ -98,8 +107,11 @@ def _cut_long(piece: Column, shown: Column) -> Column:
 
     def least(h: Column) -> Column:
         def mark(s: Column, i: Column) -> Column:
-            around = F.slice(h, F.greatest(i - REACH, F.lit(0)) + 1, F.lit(2 * REACH + 1))
-            return F.when(F.get(h, i) == F.array_min(around), F.concat(s, F.lit("\n"))).otherwise(s)
+            ends = F.lit(True)
+            for k in range(-REACH, REACH + 1):
+                if k:
+                    ends = ends & F.coalesce(F.get(h, i) <= F.get(h, i + k), F.lit(True))
+            return F.when(ends, F.concat(s, F.lit("\n"))).otherwise(s)
 
         return F.array_join(F.transform(F.split(shown, " "), mark), " ")
 
