@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +67,8 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the number of its tokens and digests of their ids and decoded text."""
+    import public_tokenizers  # names the vocabulary files of this box; the operator takes any path
+
     path = public_tokenizers.path("word_bpe_49k.json")
     out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
