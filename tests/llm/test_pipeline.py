@@ -27,7 +27,7 @@ def test_stages_against_brute_force(spark):
             scored = toxicity.toxicity(held, table(spark, SF, "labels"))
             assert set(after) == {r.doc_id for r in scored.collect() if not r.predicted} and len(after) > 0.8 * len(before)
         elif name == "line_dedup":
-            want = lines([(d, t) for d, t in before.items() if t is not None])
+            want = lines(spark, [(d, t) for d, t in before.items() if t is not None])
             assert after == {d: want[d][0] if t is not None else None for d, t in before.items()}
             assert out.filter("text is not null and n_chars <> length(text)").count() == 0
         elif name == "simhash_neardup":
