@@ -125,3 +125,36 @@ def test_searches_do_not_depend_on_the_layout(spark):
     part = ml.split_label("transaction_id", [0.8, 0.2], ["train", "validation"], 42)
     one, two = (sorted(map(tuple, x.select("transaction_id", part.alias("p")).collect())) for x in (df.repartition(2), df.repartition(7)))
     assert one == two
+
+
+def _draws_per_task(df, trees):
+    return max(len(part) for part in df.select("transaction_id").rdd.glom().collect()) * trees
+
+
+def test_forest_rows_are_dealt_by_draws(spark, monkeypatch):
+    """A task's bootstrap draws stay bounded however few files or large partitions there are."""
+    df = planted(spark, 3000).coalesce(1)
+    for trees in (200, 400):
+        monkeypatch.setattr(ml, "TASK_DRAWS", 20_000)
+        data, rows = ml.dealt(df, trees)
+        assert rows == 3000 and _draws_per_task(data, trees) <= 20_000 + trees
+        assert sorted(map(tuple, data.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_forest_fit_bounds_each_task(spark, monkeypatch):
+    """The fit itself reads dealt rows, and its rows carry no node id per tree."""
+    seen = []
+    deal = ml.dealt
+    monkeypatch.setattr(ml, "dealt", lambda df, trees: (lambda out: (seen.append((trees, out[0].rdd.getNumPartitions())), out)[1])(deal(df, trees)))
+    monkeypatch.setattr(ml, "TASK_DRAWS", 10_000)
+    pipe = ml.rf_pipeline(numTrees=20, maxDepth=3)
+    model = ml.fit_forest(pipe, planted(spark, 8000).coalesce(1))
+    assert seen == [(20, 16)] and model.stages[-1].getNumTrees == 20
+    for est in (pipe.getStages()[-1], ml.rf_baseline().getStages()[-1], ml._rf_for_tuning("tx_fraud")):
+        assert not est.getCacheNodeIds()
+
+
+def test_trials_at_once_are_bounded_by_their_draws():
+    assert ml._at_once(1000, 400, 8) == 8
+    assert ml._at_once(2_000_000, 400, 8) == 2
+    assert ml._at_once(50_000_000, 400, 8) == 1

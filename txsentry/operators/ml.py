@@ -53,6 +53,14 @@ DT_B_PARAMS = dict(maxDepth=7, seed=42)
 # iterations to the SparkContext checkpoint folder, which bounds the lineage of a
 # deep tree or a long boosting run and survives a lost executor. Overridable per call.
 TREE_EXEC_PARAMS = dict(cacheNodeIds=True, checkpointInterval=10)
+# A forest's rows would carry a node id per tree, rewritten at every level, beside their draw
+# per tree; its trees are shipped instead.
+FOREST_EXEC_PARAMS = dict(TREE_EXEC_PARAMS, cacheNodeIds=False)
+
+# A forest holds every row with its bootstrap draws, four bytes a tree, for all levels. So
+# many draws one task holds at most, so many all trials of a search that run at once (one
+# trial runs in any case), and into so many tasks fewer rows are dealt.
+TASK_DRAWS, SEARCH_DRAWS, MIN_TASKS = 1 << 24, 1 << 31, 8
 
 # Search space of the sampled search: trees, depth, impurity.
 SEARCH_SPACE = {
@@ -94,17 +102,34 @@ def rf_pipeline(features: list[str] | None = None, label: str = LABEL, scaled: b
     if scaled:
         stages.append(scaler())
         fcol = "scaledFeatures"
-    stages.append(RandomForestClassifier(labelCol=label, featuresCol=fcol, **{**TREE_EXEC_PARAMS, **p}))
+    stages.append(RandomForestClassifier(labelCol=label, featuresCol=fcol, **{**FOREST_EXEC_PARAMS, **p}))
     return Pipeline(stages=stages)
 
 
 def rf_baseline(features: list[str] | None = None, label: str = LABEL, **params) -> Pipeline:
     """The baseline forest: 40 trees, MLlib's defaults (depth 5, one row per leaf), on
     unscaled features."""
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", **{**TREE_EXEC_PARAMS, **RF_BASELINE_PARAMS, **params})
+    rf = RandomForestClassifier(labelCol=label, featuresCol="features", **{**FOREST_EXEC_PARAMS, **RF_BASELINE_PARAMS, **params})
     return Pipeline(stages=[assembler(features), rf])
 
 
+def dealt(df: DataFrame, trees: int) -> tuple[DataFrame, int]:
+    """``df`` dealt evenly to tasks of at most ``TASK_DRAWS`` draws of a forest of ``trees``,
+    whatever files it lies in, and the number of its rows."""
+    rows = df.count()
+    return df.repartition(max(-(-rows * trees // TASK_DRAWS), MIN_TASKS)), rows
+
+
+def fit_forest(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit a pipeline that ends in a forest; its passes read the dealt rows."""
+    data, _ = dealt(train, pipeline.getStages()[-1].getNumTrees())
+    data.persist()
+    try:
+        return pipeline.fit(data)
+    finally:
+        data.unpersist()
+
+
 def gbt_pipeline(features: list[str] | None = None, label: str = LABEL, **params) -> Pipeline:
     gbt = GBTClassifier(labelCol=label, featuresCol="features", **{**TREE_EXEC_PARAMS, **GBT_PARAMS, **params})
     return Pipeline(stages=[assembler(features), gbt])
@@ -187,7 +212,7 @@ def best_params(spark: SparkSession, model, name: str = "best") -> DataFrame:
 
 
 def _rf_for_tuning(label: str) -> RandomForestClassifier:
-    return RandomForestClassifier(labelCol=label, featuresCol="features", seed=42, **TREE_EXEC_PARAMS)
+    return RandomForestClassifier(labelCol=label, featuresCol="features", seed=42, **FOREST_EXEC_PARAMS)
 
 
 # The tuners' own splits draw by row and so depend on the layout. Folds are marked by a
@@ -195,14 +220,32 @@ def _rf_for_tuning(label: str) -> RandomForestClassifier:
 # cross-validation, evaluated on the fold that holds ``1 - train_ratio`` of the rows.
 
 
+def _most_trees(maps, est) -> int:
+    return max(m.get(est.numTrees, est.getNumTrees()) for m in maps)
+
+
+def _at_once(rows: int, trees: int, parallelism: int) -> int:
+    """How many of ``parallelism`` trials run together: those whose draws fit ``SEARCH_DRAWS``."""
+    return max(1, min(parallelism, SEARCH_DRAWS // max(1, rows * trees)))
+
+
 def _holdout(maps, est, ev, data: DataFrame, key: str, train_ratio: float, seed: int, parallelism: int):
+    trees = _most_trees(maps, est)
+    data, rows = dealt(data, trees)
+    data = assembler().transform(data).persist()
     part = split_label(key, [train_ratio, 1 - train_ratio], ["train", "validation"], seed)
     train, valid = data.filter(part == "train"), data.filter(part == "validation")
-    with ThreadPool(max(1, parallelism)) as pool:
-        fitted = pool.map(lambda m: (lambda model: (model, ev.evaluate(model.transform(valid))))(est.copy(m).fit(train)), maps)
-    metrics = [v for _, v in fitted]
-    best = max(range(len(metrics)), key=lambda i: metrics[i])
-    return est.copy(maps[best]).fit(data), metrics
+
+    def metric(m) -> float:
+        return ev.evaluate(est.copy(m).fit(train).transform(valid))
+
+    try:
+        with ThreadPool(_at_once(rows, trees, parallelism)) as pool:
+            metrics = pool.map(metric, maps, chunksize=1)
+        best = max(range(len(metrics)), key=lambda i: metrics[i])
+        return est.copy(maps[best]).fit(data), metrics
+    finally:
+        data.unpersist()
 
 
 class TunedModel:
@@ -217,7 +260,7 @@ def tune_grid(train: DataFrame, label: str = LABEL, train_ratio: float = 0.8, pa
     rf = _rf_for_tuning(label)
     maps = grid_maps(rf, **grid)
     ev = BinaryClassificationEvaluator(labelCol=label)
-    model = TunedModel(*_holdout(maps, rf, ev, assembler().transform(train), key, train_ratio, seed, parallelism))
+    model = TunedModel(*_holdout(maps, rf, ev, train, key, train_ratio, seed, parallelism))
     return model, _tuning_frame(train.sparkSession, maps, model.validationMetrics, ev.getMetricName(), "grid")
 
 
@@ -226,7 +269,7 @@ def tune_random(train: DataFrame, n_trials: int = 50, label: str = LABEL, train_
     rf = _rf_for_tuning(label)
     maps = random_maps(rf, n_trials, seed)
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
-    model = TunedModel(*_holdout(maps, rf, ev, assembler().transform(train), key, train_ratio, seed, parallelism))
+    model = TunedModel(*_holdout(maps, rf, ev, train, key, train_ratio, seed, parallelism))
     return model, _tuning_frame(train.sparkSession, maps, model.validationMetrics, "areaUnderPR", "random")
 
 
@@ -237,8 +280,15 @@ def tune_cv(train: DataFrame, n_trials: int = 40, folds: int = 2, label: str = L
     maps = random_maps(rf, n_trials, seed, CV_SPACE)
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
     fold = F.floor(hash_uniform(key, seed, salt=F.lit("fold")) * folds).cast("int")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, parallelism=parallelism, seed=seed, foldCol="_fold")
-    model = cv.fit(assembler().transform(train).withColumn("_fold", F.coalesce(fold, F.lit(0))))
+    trees = _most_trees(maps, rf)
+    data, rows = dealt(train, trees)
+    data = assembler().transform(data).withColumn("_fold", F.coalesce(fold, F.lit(0))).persist()
+    at_once = _at_once(rows, trees, parallelism)
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, parallelism=at_once, seed=seed, foldCol="_fold")
+    try:
+        model = cv.fit(data)
+    finally:
+        data.unpersist()
     return model, _tuning_frame(train.sparkSession, maps, list(model.avgMetrics), "areaUnderPR", "cv")
 
 

@@ -461,12 +461,12 @@ def _predictions(model, test):
 
 def q_train_rf(spark, sf):
     train, test = _ml_split(spark, sf)
-    return _predictions(ml.rf_pipeline().fit(train), test)
+    return _predictions(ml.fit_forest(ml.rf_pipeline(), train), test)
 
 
 def q_train_rf_baseline(spark, sf):
     train, test = _ml_split(spark, sf)
-    return _predictions(ml.rf_baseline().fit(train), test)
+    return _predictions(ml.fit_forest(ml.rf_baseline(), train), test)
 
 
 def q_train_gbt(spark, sf):
@@ -484,7 +484,7 @@ def q_train_dt_ab(spark, sf):
 def q_importances(spark, sf):
     """Per feature whether it is the most important one, and the importances' sum."""
     train, _ = _ml_split(spark, sf)
-    found = ml.importances_frame(spark, ml.rf_pipeline().fit(train), name="rf")
+    found = ml.importances_frame(spark, ml.fit_forest(ml.rf_pipeline(), train), name="rf")
     every = Window.partitionBy("model")
     return found.select("model", "feature", (F.col("importance") == F.max("importance").over(every)).alias("is_top"), F.sum("importance").over(every).alias("total"))
 

@@ -136,7 +136,7 @@ def train_job(
         weights = weights or TRAIN_WEIGHTS
         train, test = train_test(df, weights, random_state)
         p = {**ml.RF_JOB_PARAMS, "seed": random_state, **(params or {})}
-        model = ml.rf_pipeline(**p).fit(train)
+        model = ml.fit_forest(ml.rf_pipeline(**p), train)
         scored = files.materialize(ml.score(model, test), scratch_path(spark, "train-scored"))
         auc = metrics.auc_pr(scored, score="p_fraud").first()["area_under_pr"]
         f1 = metrics.f1_score(scored).first()["f1"]
