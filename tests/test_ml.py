@@ -158,3 +158,20 @@ def test_trials_at_once_are_bounded_by_their_draws():
     assert ml._at_once(1000, 400, 8) == 8
     assert ml._at_once(2_000_000, 400, 8) == 2
     assert ml._at_once(50_000_000, 400, 8) == 1
+
+
+def test_repeated_points_are_fitted_once(spark, monkeypatch):
+    """Trials drawn again by a later round: every trial is listed with its point's metric, and
+    each point is fitted once a fold, plus the winner's fit on all rows."""
+    fits = []
+    fit = ml.RandomForestClassifier._fit
+    monkeypatch.setattr(ml.RandomForestClassifier, "_fit", lambda est, df: (fits.append(est.getNumTrees()), fit(est, df))[1])
+    monkeypatch.setattr(ml, "CV_SPACE", {"numTrees": [3, 5], "maxDepth": [2], "impurity": ["gini"]})
+    monkeypatch.setattr(ml, "SEARCH_SPACE", ml.CV_SPACE)
+    df = planted(spark, 400)
+    for run, folds in ((ml.tune_cv, 2), (ml.tune_random, 1)):
+        fits.clear()
+        rows = run(df, n_trials=5)[1].orderBy("trial").collect()
+        assert len(fits) == 2 * folds + 1
+        assert len(rows) == 5 and sum(r["is_best"] for r in rows) == 1
+        assert len({(r["num_trees"], r["value"]) for r in rows}) == 2

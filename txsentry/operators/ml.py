@@ -224,12 +224,21 @@ def _most_trees(maps, est) -> int:
     return max(m.get(est.numTrees, est.getNumTrees()) for m in maps)
 
 
+def _distinct(maps) -> tuple[list, list[int]]:
+    """The different ones of ``maps`` in order, and each map's place among them. A forest is
+    fixed by its parameters, seed and dealt rows, so a map that is drawn again has the metric it had."""
+    place: dict = {}
+    at = [place.setdefault(tuple(sorted((p.name, v) for p, v in m.items())), len(place)) for m in maps]
+    return [maps[at.index(i)] for i in range(len(place))], at
+
+
 def _at_once(rows: int, trees: int, parallelism: int) -> int:
     """How many of ``parallelism`` trials run together: those whose draws fit ``SEARCH_DRAWS``."""
     return max(1, min(parallelism, SEARCH_DRAWS // max(1, rows * trees)))
 
 
 def _holdout(maps, est, ev, data: DataFrame, key: str, train_ratio: float, seed: int, parallelism: int):
+    different, at = _distinct(maps)
     trees = _most_trees(maps, est)
     data, rows = dealt(data, trees)
     data = assembler().transform(data).persist()
@@ -241,7 +250,8 @@ def _holdout(maps, est, ev, data: DataFrame, key: str, train_ratio: float, seed:
 
     try:
         with ThreadPool(_at_once(rows, trees, parallelism)) as pool:
-            metrics = pool.map(metric, maps, chunksize=1)
+            found = pool.map(metric, different, chunksize=1)
+        metrics = [found[i] for i in at]
         best = max(range(len(metrics)), key=lambda i: metrics[i])
         return est.copy(maps[best]).fit(data), metrics
     finally:
@@ -280,16 +290,17 @@ def tune_cv(train: DataFrame, n_trials: int = 40, folds: int = 2, label: str = L
     maps = random_maps(rf, n_trials, seed, CV_SPACE)
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderPR")
     fold = F.floor(hash_uniform(key, seed, salt=F.lit("fold")) * folds).cast("int")
+    different, at = _distinct(maps)
     trees = _most_trees(maps, rf)
     data, rows = dealt(train, trees)
     data = assembler().transform(data).withColumn("_fold", F.coalesce(fold, F.lit(0))).persist()
     at_once = _at_once(rows, trees, parallelism)
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, parallelism=at_once, seed=seed, foldCol="_fold")
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=different, evaluator=ev, numFolds=folds, parallelism=at_once, seed=seed, foldCol="_fold")
     try:
         model = cv.fit(data)
     finally:
         data.unpersist()
-    return model, _tuning_frame(train.sparkSession, maps, list(model.avgMetrics), "areaUnderPR", "cv")
+    return model, _tuning_frame(train.sparkSession, maps, [model.avgMetrics[i] for i in at], "areaUnderPR", "cv")
 
 
 # --- metrics from the MLlib evaluators -------------------------------------
