@@ -57,3 +57,56 @@ def test_every_column_tells_rows_apart(spark, tmp_path):
     run(spark, tmp_path)
     got = spark.read.parquet(str(tmp_path / "sink")).drop("epoch").collect()
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, rows))
+
+
+def test_a_day_is_read_and_written_once_a_micro_batch():
+    """However many chunks a micro-batch comes in; the state grows with its rows, the work must
+    not grow with chunks x state."""
+    import pandas as pd
+
+    from txsentry.streaming.seen import _processor
+
+    calls, days, value = [], {}, {}
+
+    class Days:
+        def getValue(self, key):
+            calls.append(("get", key[0]))
+            return days.get(key[0])
+
+        def updateValue(self, key, v):
+            calls.append(("put", key[0]))
+            days[key[0]] = v
+
+        def keys(self):
+            return [(k,) for k in days]
+
+        def removeKey(self, key):
+            del days[key[0]]
+
+    class Newest:
+        def get(self):
+            return value.get("v")
+
+        def update(self, v):
+            value["v"] = v
+
+    class Handle:
+        def getMapState(self, *a):
+            return Days()
+
+        def getValueState(self, *a):
+            return Newest()
+
+    def chunks(lo):
+        for c in range(5):
+            n = [(lo + c * 10 + i) % 40 for i in range(10)]
+            yield pd.DataFrame({"day": [1 + i % 2 for i in n], "digest": [i.to_bytes(16, "big") for i in n], "row": [str(i) for i in n]})
+
+    seen = _processor(5)
+    seen.init(Handle())
+    first = pd.concat(seen.handleInputRows((0,), chunks(0), None))
+    assert sorted(map(int, first["row"])) == list(range(40)) and not first["is_late"].any()
+    assert sorted(calls) == [("get", 1), ("get", 2), ("put", 1), ("put", 2)]
+    calls.clear()
+    assert sum(len(f) for f in seen.handleInputRows((0,), chunks(0), None)) == 0
+    assert sorted(calls) == [("get", 1), ("get", 2)]

@@ -416,12 +416,16 @@ def q_stream_bad_rows(spark, sf):
     return _run_score_stream(spark, sf)[1]
 
 
+BUCKET_ROWS = 250_000  # a bucket's digests are in one task's memory during a micro-batch
+
+
 def q_stream_clean(spark, sf):
     """The raw table arrives in four micro-batches in no order of time."""
     src, sink = scratch_path(spark, "tx-stream"), scratch_path(spark, "clean-stream")
     files.write_parquet(_tx(spark, sf).repartition(4), src)
     fence = cl.iqr_fences(_base(spark, sf).select("tx_amount")).first()["upper_fence"]
-    q = st.clean_stream_to(st.tx_file_source(spark, src, max_files=1), sink, fence, scratch_path(spark, "ckpt-clean"), available_now=True)
+    buckets = max(st.BUCKETS, -(-files.read_parquet(spark, src).count() // BUCKET_ROWS))
+    q = st.clean_stream_to(st.tx_file_source(spark, src, max_files=1), sink, fence, scratch_path(spark, "ckpt-clean"), available_now=True, buckets=buckets)
     q.awaitTermination()
     return spark.read.parquet(sink).select(TX_SCHEMA.names)
 

@@ -5,7 +5,7 @@ bucket holds, per event day, the 16-byte digests of its rows (one state entry a
 the newest day it has seen. A day that lies more than ``horizon_days`` behind it is
 forgotten; a row of such a day cannot be told from its copies any more and is marked as
 late. So the state is bounded by the rows of ``horizon_days``, a micro-batch touches only the
-days that it has rows of, and what becomes of a row depends on the rows of its bucket alone.
+days that it has rows of, each read and written once, and what becomes of a row depends on the rows of its bucket alone.
 
 Rows without a readable time have no day; their digests are kept under a day of their own.
 """
@@ -37,27 +37,31 @@ def _processor(horizon_days: int):
         def handleInputRows(self, key, rows, timerValues):
             held = self.newest.get()
             newest = before = held[0] if held else None
+            olds, known, fresh = {}, {}, {}  # by day: read once a micro-batch, written once at its end
             for chunk in rows:
-                out, late, by_day = [], [], {}
+                out, late = [], []
                 for day, digest, row in zip(chunk["day"].tolist(), chunk["digest"], chunk["row"]):
-                    by_day.setdefault(day, {}).setdefault(bytes(digest), []).append(row)
-                for day, found in by_day.items():
                     if day != no_day and before is not None and day < before - horizon_days:
-                        every = [row for copies in found.values() for row in copies]
-                        out += every
-                        late += [True] * len(every)
+                        out.append(row)
+                        late.append(True)
                         continue
-                    entry = self.days.getValue((day,))
-                    old = bytes(entry[0]) if entry else b""
-                    seen = {old[i : i + width] for i in range(0, len(old), width)}
-                    fresh = [d for d in found if d not in seen]
-                    if fresh:
-                        self.days.updateValue((day,), (old + b"".join(fresh),))
-                        out += [found[d][0] for d in fresh]
-                        late += [False] * len(fresh)
-                    if day != no_day:
-                        newest = day if newest is None else max(newest, day)
+                    if day not in known:
+                        entry = self.days.getValue((day,))
+                        old = olds[day] = bytes(entry[0]) if entry else b""
+                        known[day] = {old[i : i + width] for i in range(0, len(old), width)}
+                        fresh[day] = []
+                    digest = bytes(digest)
+                    if digest not in known[day]:
+                        known[day].add(digest)
+                        fresh[day].append(digest)
+                        out.append(row)
+                        late.append(False)
                 yield pd.DataFrame({"row": pd.Series(out, dtype=object), "is_late": pd.Series(late, dtype=bool)})
+            for day, more in fresh.items():
+                if more:
+                    self.days.updateValue((day,), (olds[day] + b"".join(more),))
+                if day != no_day:
+                    newest = day if newest is None else max(newest, day)
             if newest is not None and newest != before:
                 self.newest.update((newest,))
                 for day in [k[0] for k in self.days.keys()]:
