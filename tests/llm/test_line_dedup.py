@@ -216,3 +216,9 @@ def test_long_line_and_many_lines(spark):
     got = {r.doc_id: r.text for r in ld.dedup_lines(docs(spark, [(1, "x " + long), (2, "y " + long), (3, many), (4, many + "\nits own end")])).collect()}
     assert got[1] == "x " + long and got[3] == many
     assert len(got[2]) < 400 and got[4] == "its own end"
+
+
+def test_parsing_takes_each_text_step_once(spark):
+    """Texts are the bulk of the work: the plan replaces and splits no text twice over."""
+    plan = ld.parsed_units(docs(spark, [(1, "a line. of two")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"(?<!_)replace\(", plan)) <= 13 and len(re.findall(r"\bsplit\(", plan)) <= 6

@@ -29,6 +29,8 @@ empty result; extra columns are kept. No Python runs on the executors.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,11 +48,12 @@ MIN_CONSTANT = 5  # and its least number of constant tokens
 HOT_SHARE = 2000
 
 FIELD = r"(?<!\S)[^\s\d]*+\d\S*"
-BLANKS = r"[\t\r\x0B\f]|  "
+WIDE = r"[\t\r\x0B\f]"
+BLANKS = rf"{WIDE}|  "
 CLOSERS = "\"'’”»)\\]」』）"
 QUOTED = rf"([.!?…][{CLOSERS}]++) "
 CJK_STOP = rf"([。！？][{CLOSERS}]*+)(?=\S)"
-RARE = rf"[…。！？]|[.!?][{CLOSERS}]"
+RARE = rf"[.!?][{CLOSERS}]"
 CUT = "\x0B"  # ends a piece, in place of the space there
 GLUE = "\f"  # before a CUT where the text has no space; both are white space for FIELD
 NO_ID = 2**62
@@ -79,9 +82,13 @@ def _marked(text: Column) -> Column:
             t = F.replace(t, F.lit(end + " "), F.lit(end + CUT))
         return F.regexp_replace(t, CJK_STOP, "$1" + GLUE + CUT)
 
-    # each step once, and the costly ones only where their signs occur
-    text = let(text, lambda t: F.when(t.rlike(BLANKS), F.regexp_replace(t, r"[ \t\r\x0B\f]+", " ")).otherwise(t))
-    text = let(text, lambda t: F.when(t.rlike(RARE), rare(t)).otherwise(t))
+    def has_rare(t: Column) -> Column:
+        return t.contains("…") | t.contains("。") | t.contains("！") | t.contains("？") | t.rlike(RARE)
+
+    # each step once, and the costly ones only where their signs occur; patterns begin with an
+    # ASCII class, which is quick to pass over, and other signs are looked for as they are
+    text = let(text, lambda t: F.when(t.contains("  ") | t.rlike(WIDE), F.regexp_replace(t, r"[ \t\r\x0B\f]+", " ")).otherwise(t))
+    text = let(text, lambda t: F.when(has_rare(t), rare(t)).otherwise(t))
     for end in ".!?":
         text = F.replace(text, F.lit(end + " "), F.lit(end + CUT))
     return text
@@ -107,11 +114,9 @@ def _cut_long(piece: Column, shown: Column) -> Column:
 
     def least(h: Column) -> Column:
         def mark(s: Column, i: Column) -> Column:
-            ends = F.lit(True)
-            for k in range(-REACH, REACH + 1):
-                if k:
-                    ends = ends & F.coalesce(F.get(h, i) <= F.get(h, i + k), F.lit(True))
-            return F.when(ends, F.concat(s, F.lit("\n"))).otherwise(s)
+            # beyond either end there is no hash, and null is no reason to go on
+            goes_on = [F.get(h, i) > F.get(h, i + k) for k in range(-REACH, REACH + 1) if k]
+            return F.when(reduce(Column.__or__, goes_on), s).otherwise(F.concat(s, F.lit("\n")))
 
         return F.array_join(F.transform(F.split(shown, " "), mark), " ")
 
@@ -119,11 +124,20 @@ def _cut_long(piece: Column, shown: Column) -> Column:
     return F.split(F.rtrim(whole, F.lit("\n")), "\n ")
 
 
-def _pieces(line: Column, shown: Column | None = None) -> Column:
-    """The pieces of a bare masked line, or those of the line ``shown`` (marked, not masked)."""
-    shown = line if shown is None else shown
-    parts = F.zip_with(F.split(line, CUT), F.split(shown, CUT), lambda m, s: F.when(_tokens(m) > LONG_PIECE, _cut_long(m, s)).otherwise(F.array(s)))
-    return F.when(_tokens(line) > LONG_PIECE, F.flatten(parts)).otherwise(F.split(shown, CUT))
+def _piece_tokens(piece: Column) -> Column:
+    """Token count of a piece: it holds no ``CUT``."""
+    return F.octet_length(piece) - F.octet_length(F.replace(piece, F.lit(" "), F.lit(""))) + 1
+
+
+def _pieces(line: Column, n: Column, shown: Column | None = None) -> Column:
+    """The pieces of a bare masked line of ``n`` tokens, or those of the line ``shown`` (marked, not masked)."""
+
+    def parts(m: Column, s: Column) -> Column:
+        return F.when(_piece_tokens(m) > LONG_PIECE, _cut_long(m, s)).otherwise(F.array(s))
+
+    if shown is None:
+        return F.when(n > LONG_PIECE, F.flatten(F.transform(F.split(line, CUT), lambda m: parts(m, m)))).otherwise(F.split(line, CUT))
+    return F.when(n > LONG_PIECE, F.flatten(F.zip_with(F.split(line, CUT), F.split(shown, CUT), parts))).otherwise(F.split(shown, CUT))
 
 
 def parsed_units(docs: DataFrame) -> DataFrame:
@@ -132,12 +146,15 @@ def parsed_units(docs: DataFrame) -> DataFrame:
     token counts and keys. Numbers only; texts are parsed once."""
     lines = docs.select(_id(docs).alias("id"), _row(docs).alias("rid"), F.posexplode(F.split(_masked(_marked(F.col("text"))), "\n")).alias("line", "t"))
     lines = lines.select("id", "rid", "line", _bare(F.col("t")).alias("t")).filter("t <> ''")
-    lines = lines.select("id", "rid", "line", "t", F.when((F.instr("t", CUT) > 0) | (_tokens(F.col("t")) > LONG_PIECE), _pieces(F.col("t"))).alias("p"))
-    several = F.when(F.size("p") > 1, F.col("p")).otherwise(F.array().cast("array<string>"))
-    units = lines.select("id", "rid", "line", F.coalesce(F.size("p"), F.lit(1)).alias("of"), F.posexplode(F.concat(F.array("t"), F.coalesce(several, F.array().cast("array<string>")))).alias("piece", "u"))
+    lines = lines.select("*", _tokens(F.col("t")).alias("tokens"))
+    lines = lines.select("*", F.when((F.instr("t", CUT) > 0) | (F.col("tokens") > LONG_PIECE), _pieces(F.col("t"), F.col("tokens"))).alias("p"))
+    several = F.when(F.size("p") > 1, F.concat(F.array("t"), F.col("p"))).otherwise(F.array("t"))
+    units = lines.select("id", "rid", "line", F.coalesce(F.size("p"), F.lit(1)).alias("of"), "tokens", F.posexplode(several).alias("piece", "u"))
+    whole = F.col("piece") == 0
     plain = F.replace(F.col("u"), F.lit(CUT), F.lit(" "))
-    leaf = F.when(F.col("piece") == 0, F.xxhash64(_tokens(F.col("u")), F.substring_index(plain, " ", 1), F.substring_index(plain, " ", -1)))
-    return units.select("id", "rid", "line", "piece", "of", _tokens(F.col("u")).alias("n"), F.xxhash64("u").alias("key"), leaf.alias("leaf"))
+    leaf = F.when(whole, F.xxhash64("tokens", F.substring_index(plain, " ", 1), F.substring_index(plain, " ", -1)))
+    n = F.when(whole, F.col("tokens")).otherwise(_piece_tokens(F.col("u")))
+    return units.select("id", "rid", "line", "piece", "of", n.alias("n"), F.xxhash64("u").alias("key"), leaf.alias("leaf"))
 
 
 def recurring(u: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -260,7 +277,7 @@ def dedup_lines(
         """The line without the pieces at ``cut``."""
 
         def rest(marked: Column) -> Column:
-            left = F.array_join(let(_pieces(_masked(marked), marked), lambda p: between(p, cut)), " ")
+            left = F.array_join(let(let(_masked(marked), lambda m: _pieces(m, _tokens(m), marked)), lambda p: between(p, cut)), " ")
             return F.replace(F.replace(F.replace(left, F.lit(CUT), F.lit(" ")), F.lit(GLUE + " "), F.lit("")), F.lit(GLUE), F.lit(""))
 
         return let(_bare(_marked(line)), rest)
