@@ -207,3 +207,22 @@ def test_long_documents_cost_their_own_length():
         assert steps < (total / 512 + 400 if level else 1_000_001)
     parts = lm.Lanes([np.arange(200, dtype=np.int32)], 1, 500, True), lm.Lanes([np.arange(200, dtype=np.int32), np.arange(200, 240, dtype=np.int32)], 4, 500, True)
     assert all((p.x == np.where(np.isin(p.y, [0, 200]), 501, p.y - 1)).all() for p in parts)
+
+
+def test_long_rows_agree_with_single_steps():
+    """A window holds places along the last axis, so that no pass runs over short rows."""
+    rng = np.random.default_rng(3)
+    net = lm.Net(np.array([9.0, 7, 5, 3, 2, 1]), 2.0, hidden=3, classes=3)
+    for v in net.p.values():
+        v += rng.standard_normal(v.shape).astype(np.float32)
+    x, y = rng.integers(0, 8, (4, 6)), rng.integers(0, 7, (4, 6))
+    states = net.states(x, np.zeros((net.h, 6), np.float32))[0]
+    assert states.shape == (net.h, 4, 6) and states[:, 0].strides[-1] == 4
+    h = np.zeros((6, net.h), np.float32)
+    for t in range(4):
+        h, _ = net.step(x[t], h)
+        assert np.allclose(states[:, t].T, h, atol=1e-6)
+    at = np.array([7, 2, 20])
+    got, back = net.outputs(states.reshape(net.h, -1), y.ravel(), at, {n: np.zeros_like(v) for n, v in net.p.items()})
+    assert np.allclose(got, net.logp(states.reshape(net.h, -1).T[at], y.ravel()[at]), atol=1e-6)
+    assert back[:, at].any() and not np.delete(back, at, axis=1).any()

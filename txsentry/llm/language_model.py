@@ -144,86 +144,144 @@ class Net:
             "wb": word.astype(np.float32),
         }
 
-    def step(self, x: np.ndarray, h: np.ndarray):
-        """One step for a row of input words and states: new state and what the way back needs."""
+    def gates(self, a: np.ndarray, h: np.ndarray, runs: np.ndarray):
+        """One step, lanes along the last axis, so that every slice of gates is one flat run:
+        from the rows ``a`` of "x" (lanes, 3 * hidden) and the states (hidden, lanes), which
+        begin anew where ``runs`` is not set; new states and what the way back needs."""
         H = self.h
-        h = h * (x != self.k + 1)[:, None]  # a document starts anew
-        a = self.p["x"][x]
-        g = h @ self.p["u"]
-        zr = 1 / (1 + np.exp(-(a[:, : 2 * H] + g[:, : 2 * H])))
-        z, r, s = zr[:, :H], zr[:, H:], g[:, 2 * H :]
-        n = np.tanh(a[:, 2 * H :] + r * s)
-        return n + z * (h - n), (x, h, z, r, s, n)
+        h = h * runs  # a document starts anew
+        a = np.ascontiguousarray(a.T)
+        g = self.p["u"].T @ h
+        zr = a[: 2 * H]
+        zr += g[: 2 * H]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        z, r, s = zr[:H], zr[H:], g[2 * H :]
+        n = r * s
+        n += a[2 * H :]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, (h, z, r, s, n)
+
+    def states(self, x: np.ndarray, h: np.ndarray):
+        """The states (hidden, steps, lanes) over a window of input words (steps, lanes), which
+        documents run on, and what the way back needs."""
+        out, kept, runs = np.empty((self.h, *x.shape), np.float32), [], x != self.k + 1
+        for t, row in enumerate(x):
+            h, back = self.gates(self.p["x"][row], h, runs[t])
+            out[:, t] = h
+            kept.append(back)
+        return out, kept, runs
+
+    def step(self, x: np.ndarray, h: np.ndarray):
+        """One step for a row of input words and states (lanes, hidden): new state and what the way back needs."""
+        new, back = self.gates(self.p["x"][x], h.T, x != self.k + 1)
+        return new.T, (x, *back)
 
     def logp(self, h: np.ndarray, y: np.ndarray, grad: dict | None = None):
         """Natural log-probability of the words ``y`` (k: some word of the tail) given the
         states; with ``grad`` also the states' gradients, adding those of the outputs."""
-        p, c = self.p, self.cls[y]
-        out = h @ p["c"].T + p["cb"]
-        out -= out.max(axis=1, keepdims=True)
-        e = np.exp(out)
-        z = e.sum(axis=1)
-        res = out[np.arange(len(y)), c] - np.log(z)
-        dh = None
+        got = self.outputs(h.T, y, np.arange(len(y)), grad)
+        return got if grad is None else (got[0], got[1].T)
+
+    def outputs(self, states: np.ndarray, y: np.ndarray, at: np.ndarray, grad: dict | None = None):
+        """``logp`` at the places ``at`` of (hidden, places); the gradients are those of all
+        places, 0 at others.
+
+        Places are put in order of their class and run along the last axis, so sums over
+        classes and words are sums of long rows.
+        """
+        p, y = self.p, y[at]
+        c = self.cls.astype(np.int16)[y]
+        order = np.argsort(c, kind="stable")  # short numbers: a radix sort
+        cut = np.searchsorted(c[order], np.arange(self.n + 2))
+        at, t = at[order], y[order]
+        own = np.take(states, at, axis=1, mode="clip")  # all are inside; the default mode checks each row again
+        out = p["c"] @ own + p["cb"][:, None]
+        out -= out.max(axis=0)
+        got = np.empty(len(y), out.dtype)
+        for i in range(self.n + 1):
+            got[cut[i] : cut[i + 1]] = out[i, cut[i] : cut[i + 1]]
+        np.exp(out, out=out)
+        z = out.sum(axis=0)
+        got -= np.log(z)
         if grad is not None:
-            e /= z[:, None]
-            e[np.arange(len(y)), c] -= 1
-            dh = e @ p["c"]
-            grad["c"] += e.T @ h
-            grad["cb"] += e.sum(axis=0)
-        order = np.argsort(c, kind="stable")
-        cut = np.searchsorted(c[order], np.arange(self.n + 1))
+            out /= z
+            for i in range(self.n + 1):
+                out[i, cut[i] : cut[i + 1]] -= 1
+            dh = p["c"].T @ out
+            grad["c"] += out @ own.T
+            grad["cb"] += out.sum(axis=1)
         for i in range(self.n):
-            at = order[cut[i] : cut[i + 1]]
+            here = slice(cut[i], cut[i + 1])
             lo, hi = self.first[i], self.first[i + 1]
-            if not len(at) or hi - lo == 1:
+            if cut[i] == cut[i + 1] or hi - lo == 1:
                 continue
-            own = h[at]
-            o = own @ p["w"][lo:hi].T + p["wb"][lo:hi]
-            o -= o.max(axis=1, keepdims=True)
-            e = np.exp(o)
-            z = e.sum(axis=1)
-            t = y[at] - lo
-            res[at] += o[np.arange(len(at)), t] - np.log(z)
+            e = p["w"][lo:hi] @ own[:, here] + p["wb"][lo:hi, None]
+            e -= e.max(axis=0)
+            word = (t[here] - lo, np.arange(cut[i + 1] - cut[i]))
+            got[here] += e[word]
+            np.exp(e, out=e)
+            z = e.sum(axis=0)
+            got[here] -= np.log(z)
             if grad is not None:
-                e /= z[:, None]
-                e[np.arange(len(at)), t] -= 1
-                dh[at] += e @ p["w"][lo:hi]
-                grad["w"][lo:hi] += e.T @ own
-                grad["wb"][lo:hi] += e.sum(axis=0)
-        return (res, dh) if grad is not None else res
+                e /= z
+                e[word] -= 1
+                dh[:, here] += p["w"][lo:hi].T @ e
+                grad["w"][lo:hi] += e @ own[:, here].T
+                grad["wb"][lo:hi] += e.sum(axis=1)
+        res = np.empty_like(got)
+        res[order] = got
+        if grad is None:
+            return res
+        back = np.zeros_like(states)
+        for row, d in zip(back, dh):
+            row[at] = d
+        return res, back
 
     def window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, on: np.ndarray | None = None):
         """Gradients of one window (steps, lanes) over its taken places ``on`` (default:
         all), the state after it."""
-        H, kept, states = self.h, [], []
-        for t in range(len(x)):
-            h, back = self.step(x[t], h)
-            kept.append(back)
-            states.append(h)
+        H, u = self.h, self.p["u"]
+        states, kept, runs = self.states(x, h.T)
         grad = {n: np.zeros_like(v) for n, v in self.p.items()}
-        taken = slice(None) if on is None or on.all() else on.ravel()
-        states = np.concatenate(states)
-        dh = np.zeros_like(states)
-        dh[taken] = self.logp(states[taken], y.ravel()[taken], grad)[1]
-        dh = dh.reshape(len(x), -1, H)
-        later, inners, outers = np.zeros_like(h), [], []
+        taken = np.arange(x.size) if on is None else np.flatnonzero(on)
+        dh = self.outputs(states.reshape(H, -1), y.ravel(), taken, grad)[1]
+        dh = dh.reshape(states.shape)
+        later, inner = np.zeros_like(kept[0][0]), np.empty((3 * H, x.shape[1]), np.float32)
+        dz, dr, dm = inner[:H], inner[H : 2 * H], inner[2 * H :]
+        outers = np.empty((3 * H, *x.shape), np.float32)
         for t in reversed(range(len(x))):
-            xs, before, z, r, s, n = kept[t]
-            d = dh[t] + later
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * s * r * (1 - r)
-            inner = np.concatenate([dz, dr, dn * r], axis=1)
-            inners.append(inner)
-            outers.append(np.concatenate([dz, dr, dn], axis=1))
-            later = (d * z + inner @ self.p["u"].T) * (xs != self.k + 1)[:, None]
-        grad["u"] += np.concatenate([back[1] for back in reversed(kept)]).T @ np.concatenate(inners)
-        words = x[::-1].ravel()
-        order = np.argsort(words, kind="stable")
+            before, z, r, s, n = kept[t]
+            d = dh[:, t] + later
+            dn = n * n
+            np.subtract(1, dn, out=dn)
+            dn *= d
+            away = 1 - z
+            dn *= away
+            np.subtract(before, n, out=dz)
+            dz *= d
+            away *= z
+            dz *= away
+            np.multiply(dn, r, out=dm)
+            np.subtract(1, r, out=dr)
+            dr *= dm
+            dr *= s
+            outers[: 2 * H, t] = inner[: 2 * H]
+            outers[2 * H :, t] = dn
+            grad["u"] += before @ inner.T
+            d *= z
+            d += u @ inner
+            later = d * runs[t]
+        words = x.ravel()
+        order = np.argsort(words.astype(np.uint16) if self.k < 2**16 - 2 else words, kind="stable")  # short ones by radix
         first = np.flatnonzero(np.diff(words[order], prepend=-1))
-        grad["x"][words[order[first]]] = np.add.reduceat(np.concatenate(outers)[order], first, axis=0)
-        return grad, h
+        grad["x"][words[order[first]]] = np.add.reduceat(np.take(outers.reshape(3 * H, -1), order, axis=1, mode="clip"), first, axis=1).T
+        return grad, states[:, -1].T
 
     def fit(self, docs: list[np.ndarray], lanes: int = TRAIN_LANES, rate: float = RATE) -> int:
         """One pass over the documents (arrays of shortlist numbers) by Adam; tokens seen.
@@ -259,12 +317,9 @@ class Net:
         stream = Lanes(docs, lanes, self.k)
         h = np.zeros((stream.width, self.h), np.float32)
         for x, y, on, of, _ in stream.windows():
-            h, states = h[: x.shape[1]], []
-            for row in x:
-                h, _ = self.step(row, h)
-                states.append(h)
-            on = on.ravel()
-            total += np.bincount(of.ravel()[on], self.logp(np.concatenate(states)[on], y.ravel()[on]), len(docs))
+            states = self.states(x, h[: x.shape[1]].T)[0]
+            h, on = states[:, -1].T, np.flatnonzero(on)
+            total += np.bincount(of.ravel()[on], self.outputs(states.reshape(self.h, -1), y.ravel(), on), len(docs))
         return total
 
     def state(self) -> dict:
