@@ -222,3 +222,11 @@ def test_parsing_takes_each_text_step_once(spark):
     """Texts are the bulk of the work: the plan replaces and splits no text twice over."""
     plan = ld.parsed_units(docs(spark, [(1, "a line. of two")]))._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"(?<!_)replace\(", plan)) <= 13 and len(re.findall(r"\bsplit\(", plan)) <= 6
+
+
+def test_rows_that_come_twice(spark):
+    shared = "It was seen by all of them on that very same day. Nobody has ever said so before or after."
+    rows = [(i, f"{w} began here. {shared} {w} went on\n{w} alone") for i, w in enumerate(["alpha", "beta"])]
+    got = sorted((r.doc_id, r.text, r.dropped_sentences) for r in ld.dedup_lines(docs(spark, rows + rows)).collect())
+    once = sorted((r.doc_id, r.text, r.dropped_sentences) for r in ld.dedup_lines(docs(spark, rows)).collect())
+    assert got == sorted(once + once) and got[2][2] > 0

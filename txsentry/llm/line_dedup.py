@@ -202,14 +202,17 @@ def repeats(units: DataFrame, min_docs: int, min_line_tokens: int, min_sentence_
     weight = F.when(F.col("n") >= SHORT_PIECE, F.col("n")).otherwise(0)
     inner = F.col("piece") > 0
     # per line: does it recur itself, do all its pieces, and may its pieces make a run?
+    # (a set: rows that come twice have each piece once)
     per_line = gone.groupBy(*PLACE).agg(
         F.max(F.when(~inner, F.col("n"))).alias("whole"),
-        F.count_if(inner).alias("away"),
         F.max("of").alias("of"),
-        F.sum(F.when(inner, F.col("n"))).alias("inside"),
-        F.sum(F.when(inner, weight)).alias("weight"),
-        F.collect_list(F.when(inner, F.struct("piece", "n"))).alias("pieces"),
+        F.collect_set(F.when(inner, F.struct("piece", "n"))).alias("pieces"),
     )
+
+    def total(of) -> Column:
+        return F.aggregate("pieces", F.lit(0).cast("long"), lambda s, p: s + of(p["n"]))
+
+    per_line = per_line.withColumns({"away": F.size("pieces"), "inside": total(lambda n: n), "weight": total(lambda n: F.when(n >= SHORT_PIECE, n).otherwise(0))})
     all_of_it = F.col("whole").isNotNull() | (F.col("away") == F.col("of"))
     few = F.col("weight") < min_sentence_tokens
     per_line = per_line.withColumn("full", all_of_it).withColumn("pieces", F.when(all_of_it & (F.coalesce("whole", "inside") >= min_line_tokens) | few, F.array().cast("array<struct<piece:int,n:int>>")).otherwise(F.col("pieces")))
