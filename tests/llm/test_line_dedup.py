@@ -230,3 +230,24 @@ def test_rows_that_come_twice(spark):
     got = sorted((r.doc_id, r.text, r.dropped_sentences) for r in ld.dedup_lines(docs(spark, rows + rows)).collect())
     once = sorted((r.doc_id, r.text, r.dropped_sentences) for r in ld.dedup_lines(docs(spark, rows)).collect())
     assert got == sorted(once + once) and got[2][2] > 0
+
+
+def test_lines_carry_no_text(spark):
+    """A row's numbers are taken once, not once per line together with its whole text."""
+    plan = ld.parsed_units(docs(spark, [(1, "a line. of two\nand another")]))._jdf.queryExecution().executedPlan().toString()
+    carried = re.findall(r"Generate posexplode\(.*\), \[([^\[\]]*)\], false, \[line", plan, re.S)
+    assert len(carried) == 1 and "text#" not in carried[0]
+
+
+def test_units_meet_their_keys_unsorted(spark):
+    units = spark.range(100).select(F.col("id"), (F.col("id") % 50).alias("key"))
+    plan = ld.with_first(units, ld.recurring(units), 100)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
+
+
+def test_tokens_of_lines_with_rare_signs(spark):
+    """White space, fields and stops of CJK text: templates by the same tokens as the pieces."""
+    lines = [f"  User {w}\tof  room{i} saw this：没有。好的 (all of it) and then left \f" for i, w in enumerate(["alice", "bob", "carol"])]
+    rows = [(i, t + "\nown words of " + str(i)) for i, t in enumerate(lines)]
+    got = {r.doc_id: (r.text, r.dropped_lines) for r in ld.dedup_lines(docs(spark, rows)).collect()}
+    assert got == {d: v[:2] for d, v in brute(spark, rows).items()} and got[1][1] > 0

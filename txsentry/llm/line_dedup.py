@@ -54,6 +54,7 @@ CLOSERS = "\"'’”»)\\]」』）"
 QUOTED = rf"([.!?…][{CLOSERS}]++) "
 CJK_STOP = rf"([。！？][{CLOSERS}]*+)(?=\S)"
 RARE = rf"[.!?][{CLOSERS}]"
+SIGNS = r"[\t\r\x0B\f…-。！-？]"  # in a text that may need more than its ASCII stops marked (in two ranges: fewer tests a sign)
 CUT = "\x0B"  # ends a piece, in place of the space there
 GLUE = "\f"  # before a CUT where the text has no space; both are white space for FIELD
 NO_ID = 2**62
@@ -73,6 +74,11 @@ def _row(docs: DataFrame) -> Column:
     return F.xxhash64(_id(docs), F.col("text"))
 
 
+def _spaced(text: Column) -> Column:
+    """The text with single spaces."""
+    return F.regexp_replace(text, r"[ \t\r\x0B\f]+", " ")
+
+
 def _marked(text: Column) -> Column:
     """The text with single spaces, and ``CUT`` after each sentence."""
 
@@ -82,13 +88,9 @@ def _marked(text: Column) -> Column:
             t = F.replace(t, F.lit(end + " "), F.lit(end + CUT))
         return F.regexp_replace(t, CJK_STOP, "$1" + GLUE + CUT)
 
-    def has_rare(t: Column) -> Column:
-        return t.contains("…") | t.contains("。") | t.contains("！") | t.contains("？") | t.rlike(RARE)
-
-    # each step once, and the costly ones only where their signs occur; patterns begin with an
-    # ASCII class, which is quick to pass over, and other signs are looked for as they are
-    text = let(text, lambda t: F.when(t.contains("  ") | t.rlike(WIDE), F.regexp_replace(t, r"[ \t\r\x0B\f]+", " ")).otherwise(t))
-    text = let(text, lambda t: F.when(has_rare(t), rare(t)).otherwise(t))
+    # each step once, and the costly ones only where their signs occur; patterns of one class, or that
+    # begin with one, are quick to pass over, quicker than looking for many signs one by one
+    text = let(text, lambda t: F.when(t.rlike(SIGNS) | t.contains("  ") | t.rlike(RARE), rare(_spaced(t))).otherwise(t))
     for end in ".!?":
         text = F.replace(text, F.lit(end + " "), F.lit(end + CUT))
     return text
@@ -100,43 +102,55 @@ def _masked(marked: Column) -> Column:
 
 
 def _bare(line: Column) -> Column:
-    return F.btrim(line, F.lit(" " + CUT + GLUE))
+    """The line without white space around it; ``line`` is named several times, so not a costly expression."""
+    ends = " " + CUT + GLUE  # trimming by a set of signs lists all places of a text, so only where it is needed
+    loose = reduce(Column.__or__, [line.startswith(e) | line.endswith(e) for e in ends])
+    return F.when(loose, F.btrim(line, F.lit(ends))).otherwise(line)
+
+
+def _plain(unit: Column) -> Column:
+    return F.replace(unit, F.lit(CUT), F.lit(" "))
 
 
-def _tokens(unit: Column) -> Column:
-    """Token count of a bare unit that is not empty."""
-    less = F.replace(F.replace(unit, F.lit(" "), F.lit("")), F.lit(CUT), F.lit(""))
-    return F.octet_length(unit) - F.octet_length(less) + 1
+def _field_tokens(line: Column) -> Column:
+    """The tokens of a line of the text as they stand in the tree; its pieces don't matter here."""
+    glued = let(line, lambda t: F.when(t.rlike(SIGNS) | t.contains("  "), F.regexp_replace(_spaced(t), CJK_STOP, "$1" + GLUE + " ")).otherwise(t))
+    return F.split(let(_masked(glued), _bare), " ")
 
 
-def _cut_long(piece: Column, shown: Column) -> Column:
-    """A long piece in parts, as they stand in ``shown`` (a piece of as many tokens)."""
+def _cut_long(piece: Column, shown: Column | None = None) -> Column:
+    """A long piece in parts, or as they stand in ``shown`` (a piece of as many tokens)."""
 
-    def least(h: Column) -> Column:
+    def joined(tokens: Column, h: Column) -> Column:
         def mark(s: Column, i: Column) -> Column:
             # beyond either end there is no hash, and null is no reason to go on
             goes_on = [F.get(h, i) > F.get(h, i + k) for k in range(-REACH, REACH + 1) if k]
             return F.when(reduce(Column.__or__, goes_on), s).otherwise(F.concat(s, F.lit("\n")))
 
-        return F.array_join(F.transform(F.split(shown, " "), mark), " ")
+        return F.array_join(F.transform(tokens, mark), " ")
 
-    whole = let(F.transform(F.split(piece, " "), lambda t: F.xxhash64(t)), least)
-    return F.split(F.rtrim(whole, F.lit("\n")), "\n ")
+    def marks(tokens: Column) -> Column:
+        shown_tokens = tokens if shown is None else F.split(shown, " ")
+        return let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: joined(shown_tokens, h))
 
+    # split at one sign, which needs no pattern
+    whole = F.replace(let(F.split(piece, " "), marks), F.lit("\n "), F.lit("\n"))
+    return F.split(let(whole, lambda w: F.when(w.endswith("\n"), F.rtrim(w, F.lit("\n"))).otherwise(w)), "\n")
 
-def _piece_tokens(piece: Column) -> Column:
-    """Token count of a piece: it holds no ``CUT``."""
-    return F.octet_length(piece) - F.octet_length(F.replace(piece, F.lit(" "), F.lit(""))) + 1
+
+def _tokens(plain: Column) -> Column:
+    """Token count of a bare unit without ``CUT`` that is not empty."""
+    return F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" "), F.lit(""))) + 1
 
 
 def _pieces(line: Column, n: Column, shown: Column | None = None) -> Column:
     """The pieces of a bare masked line of ``n`` tokens, or those of the line ``shown`` (marked, not masked)."""
 
-    def parts(m: Column, s: Column) -> Column:
-        return F.when(_piece_tokens(m) > LONG_PIECE, _cut_long(m, s)).otherwise(F.array(s))
+    def parts(m: Column, s: Column | None = None) -> Column:
+        return F.when((F.octet_length(m) > 2 * LONG_PIECE) & (_tokens(m) > LONG_PIECE), _cut_long(m, s)).otherwise(F.array(m if s is None else s))
 
     if shown is None:
-        return F.when(n > LONG_PIECE, F.flatten(F.transform(F.split(line, CUT), lambda m: parts(m, m)))).otherwise(F.split(line, CUT))
+        return F.when(n > LONG_PIECE, F.flatten(F.transform(F.split(line, CUT), lambda m: parts(m)))).otherwise(F.split(line, CUT))
     return F.when(n > LONG_PIECE, F.flatten(F.zip_with(F.split(line, CUT), F.split(shown, CUT), parts))).otherwise(F.split(shown, CUT))
 
 
@@ -144,17 +158,21 @@ def parsed_units(docs: DataFrame) -> DataFrame:
     """(id, rid, line, piece, of, n, key, leaf): each row's lines that are not blank (piece 0, with
     their leaf of the tree) and the pieces 1, 2, ... of lines that have several (``of``), with
     token counts and keys. Numbers only; texts are parsed once."""
-    lines = docs.select(_id(docs).alias("id"), _row(docs).alias("rid"), F.posexplode(F.split(_masked(_marked(F.col("text"))), "\n")).alias("line", "t"))
+    # a row's numbers below the generator: above it they would be taken, with the whole text, once per
+    # line; the generators' arrays are expressions, as a column of arrays is computed again in a filter
+    rows = docs.select(_id(docs).alias("id"), _row(docs).alias("rid"), _masked(_marked(F.col("text"))).alias("m"))
+    lines = rows.select("id", "rid", F.posexplode(F.split("m", "\n")).alias("line", "t"))
     lines = lines.select("id", "rid", "line", _bare(F.col("t")).alias("t")).filter("t <> ''")
-    lines = lines.select("*", _tokens(F.col("t")).alias("tokens"))
+    lines = lines.select("*", _plain(F.col("t")).alias("plain"))
+    leaf = F.xxhash64("tokens", F.substring_index("plain", " ", 1), F.substring_index("plain", " ", -1))
+    lines = lines.select("*", _tokens(F.col("plain")).alias("tokens")).select("id", "rid", "line", "t", "tokens", leaf.alias("leaf"))
     lines = lines.select("*", F.when((F.instr("t", CUT) > 0) | (F.col("tokens") > LONG_PIECE), _pieces(F.col("t"), F.col("tokens"))).alias("p"))
     several = F.when(F.size("p") > 1, F.concat(F.array("t"), F.col("p"))).otherwise(F.array("t"))
-    units = lines.select("id", "rid", "line", F.coalesce(F.size("p"), F.lit(1)).alias("of"), "tokens", F.posexplode(several).alias("piece", "u"))
+    lines = lines.select("*", F.coalesce(F.size("p"), F.lit(1)).alias("of"))
+    units = lines.select("id", "rid", "line", "of", "tokens", "leaf", F.posexplode(several).alias("piece", "u"))
     whole = F.col("piece") == 0
-    plain = F.replace(F.col("u"), F.lit(CUT), F.lit(" "))
-    leaf = F.when(whole, F.xxhash64("tokens", F.substring_index(plain, " ", 1), F.substring_index(plain, " ", -1)))
-    n = F.when(whole, F.col("tokens")).otherwise(_piece_tokens(F.col("u")))
-    return units.select("id", "rid", "line", "piece", "of", n.alias("n"), F.xxhash64("u").alias("key"), leaf.alias("leaf"))
+    n = F.when(whole, F.col("tokens")).otherwise(_tokens(F.col("u")))
+    return units.select("id", "rid", "line", "piece", "of", n.alias("n"), F.xxhash64("u").alias("key"), F.when(whole, F.col("leaf")).alias("leaf"))
 
 
 def recurring(u: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -176,11 +194,13 @@ def with_first(u: DataFrame, found: DataFrame, total: int) -> DataFrame:
 
     Very frequent keys, at least one in ``HOT_SHARE`` of all units and so at most
     ``HOT_SHARE`` keys, are joined by broadcast, so their units stay where they are; the
-    others meet by a shuffle in which no key is large.
+    others meet by a shuffle in which no key is large. There the found keys, each once, are
+    hashed, so the far more numerous units need no sorting.
     """
     least = total / HOT_SHARE
     hot = F.broadcast(found.filter(F.col("units") > least).select("key", "first_id"))
-    rest = u.join(hot.select("key"), "key", "left_anti").join(found.filter(F.col("units") <= least).select("key", "first_id"), "key")
+    few = found.filter(F.col("units") <= least).select("key", "first_id").hint("shuffle_hash")
+    rest = u.join(hot.select("key"), "key", "left_anti").join(few, "key")
     return u.join(hot, "key").unionByName(rest)
 
 
@@ -199,27 +219,28 @@ def repeats(units: DataFrame, min_docs: int, min_line_tokens: int, min_sentence_
     inside other lines."""
     found = stage(recurring(units.select("id", "key"), min_docs), "line-keys")
     gone = with_first(units.drop("leaf"), found, units.count()).filter("id <> first_id")
-    weight = F.when(F.col("n") >= SHORT_PIECE, F.col("n")).otherwise(0)
     inner = F.col("piece") > 0
     # per line: does it recur itself, do all its pieces, and may its pieces make a run?
-    # (a set: rows that come twice have each piece once)
-    per_line = gone.groupBy(*PLACE).agg(
-        F.max(F.when(~inner, F.col("n"))).alias("whole"),
-        F.max("of").alias("of"),
-        F.collect_set(F.when(inner, F.struct("piece", "n"))).alias("pieces"),
-    )
-
-    def total(of) -> Column:
-        return F.aggregate("pieces", F.lit(0).cast("long"), lambda s, p: s + of(p["n"]))
-
-    per_line = per_line.withColumns({"away": F.size("pieces"), "inside": total(lambda n: n), "weight": total(lambda n: F.when(n >= SHORT_PIECE, n).otherwise(0))})
+    # (rows that come twice have each piece once)
+    ordered, line = Window.partitionBy(*PLACE).orderBy("piece"), Window.partitionBy(*PLACE)
+    gone = gone.select(*PLACE, "piece", "of", "n", F.lag("piece").over(ordered).alias("_before")).filter("_before is null or _before <> piece")
+    total = {
+        "whole": F.max(F.when(~inner, F.col("n"))),
+        "away": F.count_if(inner),
+        "inside": F.sum(F.when(inner, F.col("n"))),
+        "weight": F.sum(F.when(inner & (F.col("n") >= SHORT_PIECE), F.col("n"))),
+    }
+    gone = gone.select(*PLACE, "piece", "n", "of", F.col("_before").isNull().alias("first"), *[v.over(line).alias(k) for k, v in total.items()])
     all_of_it = F.col("whole").isNotNull() | (F.col("away") == F.col("of"))
-    few = F.col("weight") < min_sentence_tokens
-    per_line = per_line.withColumn("full", all_of_it).withColumn("pieces", F.when(all_of_it & (F.coalesce("whole", "inside") >= min_line_tokens) | few, F.array().cast("array<struct<piece:int,n:int>>")).otherwise(F.col("pieces")))
-    per_line = stage(per_line, "line-recurring")
-    lines = _runs(per_line.filter("full").select(*PLACE, F.coalesce("whole", "inside").alias("n")), ROW, "line", F.col("n"))
+    tokens = F.coalesce("whole", "inside")
+    is_full = F.col("first") & all_of_it
+    may_run = inner & (F.col("weight") >= min_sentence_tokens) & ~(all_of_it & (tokens >= min_line_tokens))
+    marked = gone.select(*PLACE, "piece", "n", tokens.alias("tokens"), is_full.alias("full"), may_run.alias("run_piece"))
+    marked = stage(marked.filter("full or run_piece"), "line-recurring")
+    lines = _runs(marked.filter("full").select(*PLACE, F.col("tokens").alias("n")), ROW, "line", F.col("n"))
     full = stage(lines.filter(F.col("run") >= min_line_tokens).select(*PLACE), "line-full")
-    pieces = per_line.select(*PLACE, F.inline("pieces"))
+    weight = F.when(F.col("n") >= SHORT_PIECE, F.col("n")).otherwise(0)
+    pieces = marked.filter("run_piece").select(*PLACE, "piece", "n")
     pieces = _runs(pieces, PLACE, "piece", weight).filter(F.col("run") >= min_sentence_tokens).select(*PLACE, "piece")
     return full, pieces
 
@@ -233,14 +254,15 @@ def templates(docs: DataFrame, units: DataFrame, gone: DataFrame, min_docs: int,
     held = left.join(shared, "leaf", "left_semi").groupBy(*ROW).agg(F.collect_set(F.struct("line", "leaf", "n")).alias("held"))
     # the texts of these lines, from the rows that have any; rows alike in id and text once
     texts = docs.select(_id(docs).alias("id"), _row(docs).alias("rid"), "text").join(held, ROW)
-    texts = texts.dropDuplicates(ROW).select(*ROW, "held", F.split("text", "\n").alias("all"))
-    lines = texts.select(*ROW, "all", F.explode("held").alias("h")).select(*ROW, "h.*", F.get("all", F.col("h.line")).alias("t"))
-    fields = lines.select(*PLACE, "leaf", "n", F.posexplode(F.split(_bare(_masked(_marked(F.col("t")))), f"[ {CUT}]")).alias("at", "token"))
+    texts = texts.dropDuplicates(ROW)
+    taken = let(F.split("text", "\n"), lambda all_: F.transform("held", lambda h: F.struct(h["line"].alias("line"), h["leaf"].alias("leaf"), h["n"].alias("n"), F.get(all_, h["line"]).alias("t"))))
+    lines = texts.select(*ROW, F.inline(taken))
+    fields = lines.select(*PLACE, "leaf", "n", F.posexplode(_field_tokens(F.col("t"))).alias("at", "token"))
     fields = stage(fields.select(*PLACE, "leaf", "n", "at", F.xxhash64("leaf", "at", "token").alias("key")), "line-fields")
     constant = stage(recurring(fields.select("id", "key"), 2).select("key"), "line-constants")
-    marked = fields.join(constant.withColumn("same", F.lit(True)), "key", "left")
-    part = F.when(F.col("same"), F.col("key")).otherwise(F.xxhash64("leaf", "at"))
-    per_line = marked.groupBy(*PLACE, "leaf", "n").agg(F.count_if("same").alias("constant"), F.bit_xor(part).alias("_x"))
+    # a template is the set of its constant tokens, each known by leaf, place and token
+    met = fields.join(constant.hint("shuffle_hash"), "key")
+    per_line = met.groupBy(*PLACE, "leaf", "n").agg(F.count(F.lit(1)).alias("constant"), F.bit_xor("key").alias("_x"))
     enough = (F.col("constant") >= CONSTANT * F.col("n")) & (F.col("constant") >= MIN_CONSTANT)
     keyed = stage(per_line.filter(enough).select(*PLACE, F.xxhash64("leaf", "_x").alias("key")), "line-templates")
     found = recurring(keyed.select("id", "key"), min_docs)
@@ -280,10 +302,10 @@ def dedup_lines(
         """The line without the pieces at ``cut``."""
 
         def rest(marked: Column) -> Column:
-            left = F.array_join(let(let(_masked(marked), lambda m: _pieces(m, _tokens(m), marked)), lambda p: between(p, cut)), " ")
+            left = F.array_join(let(let(_masked(marked), lambda m: _pieces(m, _tokens(_plain(m)), marked)), lambda p: between(p, cut)), " ")
             return F.replace(F.replace(F.replace(left, F.lit(CUT), F.lit(" ")), F.lit(GLUE + " "), F.lit("")), F.lit(GLUE), F.lit(""))
 
-        return let(_bare(_marked(line)), rest)
+        return let(let(_marked(line), _bare), rest)
 
     def one(line: Column, i: Column) -> Column:
         cut = F.get(F.col("_drops"), i)["cut"]
