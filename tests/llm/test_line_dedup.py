@@ -251,3 +251,30 @@ def test_tokens_of_lines_with_rare_signs(spark):
     rows = [(i, t + "\nown words of " + str(i)) for i, t in enumerate(lines)]
     got = {r.doc_id: (r.text, r.dropped_lines) for r in ld.dedup_lines(docs(spark, rows)).collect()}
     assert got == {d: v[:2] for d, v in brute(spark, rows).items()} and got[1][1] > 0
+
+
+def test_texts_without_rare_signs_meet_few_patterns(spark):
+    """A pattern passes over a text many times slower than a search for bytes: parsing plain text tries one, the digit's."""
+    plan = ld.parsed_units(docs(spark, [(1, "a line. of two")]))._jdf.queryExecution().optimizedPlan().toString()
+    # every other pattern stands behind a search for bytes: white space, a closing sign before a space, signs beyond ASCII
+    assert "RLIKE(text" in plan and "Contains(" in plan and "octet_length(" in plan
+    assert not re.search(r"WHEN \(*RLIKE\(lambda x_\d+#\d+, \[", plan)
+
+
+def test_signs_that_ask_for_patterns(spark):
+    """Each kind of sign that a text may need more than its ASCII stops marked for, alone in its texts."""
+    signs = ["\t", "\r", "\x0b", "\f", "  ", '." ', "!' ", "?) ", ".] ", ".” ", "!」 ", "?）", "… ", "。", "！", "？", "。」", "é. ", "don't. ", " 7 ", "7\t8"]
+    rows = []
+    for k, s in enumerate(signs):
+        passage = f"All of them saw number{'x' * k} on that day{s}Nobody has ever said so before or after it was found."
+        rows += [(10 * k + i, f"{w} began here. {passage} {w} went on\n{w} alone") for i, w in enumerate([f"alpha{chr(97 + k)}", f"beta{chr(97 + k)}"])]
+    got = {r.doc_id: (r.text, r.dropped_lines, r.dropped_sentences) for r in ld.dedup_lines(docs(spark, rows)).collect()}
+    assert got == brute(spark, rows)
+    assert all(got[10 * k + 1][2] > 0 for k in range(len(signs)))
+
+
+def test_cut_lines_take_their_tokens_once(spark):
+    """Linear work where pieces go from a line: its tokens are split once, not once per token."""
+    long = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(17_000))
+    got = {r.doc_id: r.text for r in ld.dedup_lines(docs(spark, [(1, "own start x " + long), (2, "another start y of it " + long + " end z")])).collect()}
+    assert got[1] == "own start x " + long and got[2].startswith("another start") and len(got[2]) < 200

@@ -48,13 +48,13 @@ MIN_CONSTANT = 5  # and its least number of constant tokens
 HOT_SHARE = 2000
 
 FIELD = r"(?<!\S)[^\s\d]*+\d\S*"
-WIDE = r"[\t\r\x0B\f]"
-BLANKS = rf"{WIDE}|  "
+WIDE = "\t\r\x0B\f"
+BLANKS = r"[\t\r\x0B\f]|  "
 CLOSERS = "\"'’”»)\\]」』）"
 QUOTED = rf"([.!?…][{CLOSERS}]++) "
 CJK_STOP = rf"([。！？][{CLOSERS}]*+)(?=\S)"
 RARE = rf"[.!?][{CLOSERS}]"
-SIGNS = r"[\t\r\x0B\f…-。！-？]"  # in a text that may need more than its ASCII stops marked (in two ranges: fewer tests a sign)
+FAR = "[…-。！-？]"  # holds the stops beyond ASCII (in two ranges: fewer tests a sign)
 CUT = "\x0B"  # ends a piece, in place of the space there
 GLUE = "\f"  # before a CUT where the text has no space; both are white space for FIELD
 NO_ID = 2**62
@@ -74,6 +74,20 @@ def _row(docs: DataFrame) -> Column:
     return F.xxhash64(_id(docs), F.col("text"))
 
 
+def _any(text: Column, signs) -> Column:
+    return reduce(Column.__or__, [text.contains(s) for s in signs])
+
+
+def _loose(text: Column) -> Column:
+    """Has white space that is not single spaces (or line ends)."""
+    return _any(text, ["  ", *WIDE])
+
+
+def _far(text: Column) -> Column:
+    """Has signs beyond ASCII."""
+    return F.length(text) != F.octet_length(text)
+
+
 def _spaced(text: Column) -> Column:
     """The text with single spaces."""
     return F.regexp_replace(text, r"[ \t\r\x0B\f]+", " ")
@@ -88,9 +102,10 @@ def _marked(text: Column) -> Column:
             t = F.replace(t, F.lit(end + " "), F.lit(end + CUT))
         return F.regexp_replace(t, CJK_STOP, "$1" + GLUE + CUT)
 
-    # each step once, and the costly ones only where their signs occur; patterns of one class, or that
-    # begin with one, are quick to pass over, quicker than looking for many signs one by one
-    text = let(text, lambda t: F.when(t.rlike(SIGNS) | t.contains("  ") | t.rlike(RARE), rare(_spaced(t))).otherwise(t))
+    # each step once, and the costly ones only where their signs occur. A pattern passes over a text many
+    # times slower than a search for bytes, so patterns are tried only where such a search finds cause
+    quoted = [c + " " for c in "\"')]"]
+    text = let(text, lambda t: F.when(_loose(t) | (_any(t, quoted) & t.rlike(RARE)) | (_far(t) & (t.rlike(FAR) | t.rlike(RARE))), rare(_spaced(t))).otherwise(t))
     for end in ".!?":
         text = F.replace(text, F.lit(end + " "), F.lit(end + CUT))
     return text
@@ -114,7 +129,7 @@ def _plain(unit: Column) -> Column:
 
 def _field_tokens(line: Column) -> Column:
     """The tokens of a line of the text as they stand in the tree; its pieces don't matter here."""
-    glued = let(line, lambda t: F.when(t.rlike(SIGNS) | t.contains("  "), F.regexp_replace(_spaced(t), CJK_STOP, "$1" + GLUE + " ")).otherwise(t))
+    glued = let(line, lambda t: F.when(_loose(t) | (_far(t) & t.rlike(FAR)), F.regexp_replace(_spaced(t), CJK_STOP, "$1" + GLUE + " ")).otherwise(t))
     return F.split(let(_masked(glued), _bare), " ")
 
 
@@ -122,16 +137,19 @@ def _cut_long(piece: Column, shown: Column | None = None) -> Column:
     """A long piece in parts, or as they stand in ``shown`` (a piece of as many tokens)."""
 
     def joined(tokens: Column, h: Column) -> Column:
-        def mark(s: Column, i: Column) -> Column:
+        def mark(own: Column, i: Column) -> Column:
             # beyond either end there is no hash, and null is no reason to go on
-            goes_on = [F.get(h, i) > F.get(h, i + k) for k in range(-REACH, REACH + 1) if k]
+            goes_on = [own > F.get(h, i + k) for k in range(-REACH, REACH + 1) if k]
+            s = F.get(tokens, i)
             return F.when(reduce(Column.__or__, goes_on), s).otherwise(F.concat(s, F.lit("\n")))
 
-        return F.array_join(F.transform(tokens, mark), " ")
+        return F.array_join(F.transform(h, mark), " ")
 
     def marks(tokens: Column) -> Column:
-        shown_tokens = tokens if shown is None else F.split(shown, " ")
-        return let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: joined(shown_tokens, h))
+        hashes = F.transform(tokens, lambda t: F.xxhash64(t))
+        if shown is None:
+            return let(hashes, lambda h: joined(tokens, h))
+        return let(F.split(shown, " "), lambda own: let(hashes, lambda h: joined(own, h)))
 
     # split at one sign, which needs no pattern
     whole = F.replace(let(F.split(piece, " "), marks), F.lit("\n "), F.lit("\n"))
@@ -160,9 +178,11 @@ def parsed_units(docs: DataFrame) -> DataFrame:
     token counts and keys. Numbers only; texts are parsed once."""
     # a row's numbers below the generator: above it they would be taken, with the whole text, once per
     # line; the generators' arrays are expressions, as a column of arrays is computed again in a filter
-    rows = docs.select(_id(docs).alias("id"), _row(docs).alias("rid"), _masked(_marked(F.col("text"))).alias("m"))
-    lines = rows.select("id", "rid", F.posexplode(F.split("m", "\n")).alias("line", "t"))
-    lines = lines.select("id", "rid", "line", _bare(F.col("t")).alias("t")).filter("t <> ''")
+    rows = docs.select(_id(docs).alias("id"), _row(docs).alias("rid"), F.col("text").rlike(r"\d").alias("fields"), _marked(F.col("text")).alias("m"))
+    lines = rows.select("id", "rid", "fields", F.posexplode(F.split("m", "\n")).alias("line", "t"))
+    lines = lines.select("id", "rid", "fields", "line", _bare(F.col("t")).alias("t")).filter("t <> ''")
+    # of a text with digits only the lines that have some are masked: that pattern is slow
+    lines = lines.select("id", "rid", "line", F.when(F.col("fields"), _masked(F.col("t"))).otherwise(F.col("t")).alias("t"))
     lines = lines.select("*", _plain(F.col("t")).alias("plain"))
     leaf = F.xxhash64("tokens", F.substring_index("plain", " ", 1), F.substring_index("plain", " ", -1))
     lines = lines.select("*", _tokens(F.col("plain")).alias("tokens")).select("id", "rid", "line", "t", "tokens", leaf.alias("leaf"))
