@@ -175,3 +175,45 @@ def test_repeated_points_are_fitted_once(spark, monkeypatch):
         assert len(fits) == 2 * folds + 1
         assert len(rows) == 5 and sum(r["is_best"] for r in rows) == 1
         assert len({(r["num_trees"], r["value"]) for r in rows}) == 2
+
+
+def test_forests_of_smaller_depth_are_cut_from_the_deepest(spark, monkeypatch):
+    """Maps that differ in depth alone take one fit, and their forests, probabilities included,
+    are those of fits of their own, also where siblings that predict alike were merged."""
+    rnd = random.Random(1)
+    rows = [(rnd.randint(0, 100), rnd.randint(0, 20), rnd.uniform(0, 50), rnd.randint(0, 86399), int(rnd.random() < 0.3)) for _ in range(600)]
+    df = ml.assembler().transform(spark.createDataFrame(rows, "customer_id long, terminal_id int, tx_amount double, tx_time_seconds int, tx_fraud int")).repartition(3).persist()
+    rf = ml._rf_for_tuning("tx_fraud")
+    maps = [{rf.numTrees: n, rf.maxDepth: d, rf.impurity: "entropy"} for n, d in ((4, 2), (4, 9), (1, 5), (4, 5), (1, 3))]
+    fits = []
+    fit = ml.RandomForestClassifier._fit
+    monkeypatch.setattr(ml.RandomForestClassifier, "_fit", lambda est, df: (fits.append((est.getNumTrees(), est.getMaxDepth())), fit(est, df))[1])
+    found = dict(rf.fitMultiple(df, maps))
+    assert sorted(fits) == [(1, 5), (4, 9)] and sorted(found) == [0, 1, 2, 3, 4]
+    for i, m in enumerate(maps):
+        own = fit(rf.copy(m), df)
+        assert found[i].getMaxDepth() == m[rf.maxDepth]
+        assert found[i].toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1]
+        a, b = ([r[0] for r in x.transform(df).select("rawPrediction").collect()] for x in (found[i], own))
+        assert a == b
+    df.unpersist()
+
+
+def test_forests_too_wide_for_one_turn_are_fitted_on_their_own():
+    rf = ml._rf_for_tuning("tx_fraud")
+    assert rf._level_fits(400, 10, 4) and not rf._level_fits(400, 12, 4) and not rf._level_fits(400, 10, 40)
+
+
+def test_a_failing_fit_ends_the_search(spark):
+    """Threads that wait for the failed forest get its error, and none of them hangs."""
+    df = ml.assembler().transform(planted(spark, 50).withColumn("tx_fraud", F.lit(-1)))
+    rf = ml._rf_for_tuning("tx_fraud")
+    found = rf.fitMultiple(df, [{rf.numTrees: 3, rf.maxDepth: d} for d in (2, 3)])
+    for _ in range(2):
+        try:
+            next(found)
+        except StopIteration:
+            raise AssertionError("the error was lost") from None
+        except Exception:
+            continue
+        raise AssertionError("no error")

@@ -11,12 +11,15 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import math
+import threading
 import warnings
+from concurrent.futures import Future
 from datetime import datetime, timezone
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
@@ -28,6 +31,7 @@ from pyspark.sql import types as T
 from txsentry.functions.hashing import hash_uniform
 from txsentry.operators.features import assembler, scaler
 from txsentry.operators.sampling import split_label
+from txsentry.session import remove_path, scratch_path
 from txsentry.sources.tables import FEATURES, ID, LABEL
 
 # Parameters of the weekly training job, of the other models and of the
@@ -58,9 +62,11 @@ TREE_EXEC_PARAMS = dict(cacheNodeIds=True, checkpointInterval=10)
 FOREST_EXEC_PARAMS = dict(TREE_EXEC_PARAMS, cacheNodeIds=False)
 
 # A forest holds every row with its bootstrap draws, four bytes a tree, for all levels. So
-# many draws one task holds at most, so many all trials of a search that run at once (one
-# trial runs in any case), and into so many tasks fewer rows are dealt.
+# many draws one task holds at most, so many all fits of a search that run at once (one
+# fit runs in any case), and into so many tasks fewer rows are dealt.
 TASK_DRAWS, SEARCH_DRAWS, MIN_TASKS = 1 << 24, 1 << 31, 8
+# With fewer draws a fit takes no longer than the few small jobs that cut a stored forest.
+SHARED_DRAWS = 1 << 26
 
 # Search space of the sampled search: trees, depth, impurity.
 SEARCH_SPACE = {
@@ -211,8 +217,127 @@ def best_params(spark: SparkSession, model, name: str = "best") -> DataFrame:
     return spark.createDataFrame(rows, "model string, param string, value string")
 
 
-def _rf_for_tuning(label: str) -> RandomForestClassifier:
-    return RandomForestClassifier(labelCol=label, featuresCol="features", seed=42, **FOREST_EXEC_PARAMS)
+class SearchForest(RandomForestClassifier):
+    """A random forest whose fits for many parameter maps, as a tuner asks for them
+    (``fitMultiple``), are shared by the maps that differ in depth alone.
+
+    A forest is grown level by level, and no draw of a level depends on the levels to come:
+    with the same rows, seed and trees, a forest of smaller depth is the deeper one cut at
+    that depth. So the deepest map of such a group is fitted, and the others' forests, equal
+    to those of their own fits, are cut from it. That holds as long as a level's nodes fit
+    ``maxMemoryInMB``, beyond which they are split in turns; such maps are fitted on their own.
+    At most ``at_once`` fits run together, however many threads ask; cutting a forest and
+    scoring with it holds no draws and goes on meanwhile. Where the number of ``rows`` is given
+    and a fit would hold fewer than ``SHARED_DRAWS`` draws, each map is fitted on its own: the
+    same forests, sooner.
+    """
+
+    at_once = 1
+    rows: int | None = None
+
+    def _level_fits(self, trees: int, depth: int, n_features: int) -> bool:
+        """Whether the statistics (two classes) of the widest level split fit one turn."""
+        of = math.ceil(math.sqrt(n_features)) if trees > 1 and self.getFeatureSubsetStrategy() in ("auto", "sqrt") else n_features
+        return trees * 2 ** max(depth - 1, 0) * of * self.getMaxBins() * 2 * 8 <= self.getMaxMemoryInMB() << 20
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps):
+        """A thread-safe iterator of (place in ``paramMaps``, model), the fits first; each
+        group's cuts follow in the order of the fits."""
+        spark = dataset.sparkSession
+        n_features = dataset.schema[self.getFeaturesCol()].metadata.get("ml_attr", {}).get("num_attrs", len(FEATURES))
+        groups: dict = {}
+        of = []
+        depths = [m.get(self.maxDepth, self.getMaxDepth()) for m in paramMaps]
+        for m, depth in zip(paramMaps, depths):
+            trees = m.get(self.numTrees, self.getNumTrees())
+            shared = self._level_fits(trees, depth, n_features) and (self.rows is None or self.rows * trees >= SHARED_DRAWS)
+            group = (*sorted((p.name, v) for p, v in m.items() if p.name != "maxDepth"), None if shared else depth)
+            groups.setdefault(group, []).append(len(of))
+            of.append(group)
+        deepest = {g: max(places, key=lambda i: depths[i]) for g, places in groups.items()}
+        stored = {g: Future() for g in groups}
+        turn = threading.Semaphore(self.at_once)
+        waiting = {g: sorted(set(places) - {deepest[g]}) for g, places in groups.items()}
+
+        def fitted(i: int):
+            g = of[i]
+            if i != deepest[g]:
+                path = stored[g].result()
+                model = _cut_forest(spark, path, depths[i])
+                waiting[g].remove(i)
+                if not waiting[g]:
+                    remove_path(spark, path)
+                return i, model
+            try:
+                with turn:
+                    model = self.fit(dataset, paramMaps[i])
+                stored[g].set_result(_store_forest(spark, model) if waiting[g] else None)
+            except BaseException as e:
+                stored[g].set_exception(e)  # those that wait for it fail as well
+                raise
+            return i, model
+
+        # the next place is taken under the interpreter's lock, the fit itself runs outside it
+        return map(fitted, [*deepest.values(), *(i for g in groups for i in list(waiting[g]))])
+
+
+# A leaf's depth of no return: no forest makes it an inner node.
+NEVER = 1 << 30
+
+
+def _inner_from():
+    """For the nodes of one saved tree (ids in order of a walk from the root, left before
+    right) the least depth of a forest in which a node is an inner one: the depth at which
+    leaves below it first predict differently, since siblings that predict alike are merged.
+    Once they do, deeper ones do too. Made inside a function so that it is sent to the
+    workers by value."""
+    never = NEVER
+
+    def walk(tree):
+        tree = tree.sort_values("id")
+        left, right, says = (tree[c].tolist() for c in ("leftChild", "rightChild", "prediction"))
+        level, least = [0] * len(tree), [never] * len(tree)
+        inner = [i for i, child in enumerate(left) if child >= 0]
+        for i in inner:
+            level[left[i]] = level[right[i]] = level[i] + 1
+        for i in reversed(inner):
+            a, b = left[i], right[i]
+            least[i] = level[i] + 1 if says[a] != says[b] else min(least[a], least[b])
+        return tree[["treeID", "id"]].assign(inner_from=least)
+
+    return walk
+
+
+def _store_forest(spark: SparkSession, model: RandomForestClassificationModel) -> str:
+    """The model saved below a scratch path, with a table of its nodes that says from which
+    depth on each one is an inner node."""
+    path = scratch_path(spark, "forest")
+    model.save(f"{path}/model")
+    nodes = spark.read.parquet(f"{path}/model/data")
+    flat = nodes.select("treeID", *(f"nodeData.{c}" for c in ("id", "leftChild", "rightChild", "prediction")))
+    least = flat.groupBy("treeID").applyInPandas(_inner_from(), "treeID int, id int, inner_from int")
+    nodes.withColumn("id", F.col("nodeData.id")).join(least, ["treeID", "id"]).drop("id").write.parquet(f"{path}/nodes")
+    return path
+
+
+def _cut_forest(spark: SparkSession, path: str, depth: int) -> RandomForestClassificationModel:
+    """The stored forest as a fit with maximum depth ``depth`` gives it. Nodes below the cut
+    stay in the saved table, out of the root's reach."""
+    to = scratch_path(spark, "cut")
+    node, leaf = F.col("nodeData"), F.col("inner_from") > F.lit(depth)
+    for child in ("leftChild", "rightChild"):
+        node = node.withField(child, F.when(leaf, F.lit(-1)).otherwise(F.col(f"nodeData.{child}")))
+    spark.read.parquet(f"{path}/nodes").select("treeID", node.alias("nodeData")).write.parquet(f"{to}/data")
+    spark.read.text(f"{path}/model/metadata").write.text(f"{to}/metadata")
+    spark.read.parquet(f"{path}/model/treesMetadata").write.parquet(f"{to}/treesMetadata")
+    model = RandomForestClassificationModel.load(to)
+    remove_path(spark, to)
+    model.set(model.maxDepth, depth)
+    return model
+
+
+def _rf_for_tuning(label: str) -> SearchForest:
+    return SearchForest(labelCol=label, featuresCol="features", seed=42, **FOREST_EXEC_PARAMS)
 
 
 # The tuners' own splits draw by row and so depend on the layout. Folds are marked by a
@@ -233,7 +358,7 @@ def _distinct(maps) -> tuple[list, list[int]]:
 
 
 def _at_once(rows: int, trees: int, parallelism: int) -> int:
-    """How many of ``parallelism`` trials run together: those whose draws fit ``SEARCH_DRAWS``."""
+    """How many of ``parallelism`` fits run together: those whose draws fit ``SEARCH_DRAWS``."""
     return max(1, min(parallelism, SEARCH_DRAWS // max(1, rows * trees)))
 
 
@@ -294,8 +419,8 @@ def tune_cv(train: DataFrame, n_trials: int = 40, folds: int = 2, label: str = L
     trees = _most_trees(maps, rf)
     data, rows = dealt(train, trees)
     data = assembler().transform(data).withColumn("_fold", F.coalesce(fold, F.lit(0))).persist()
-    at_once = _at_once(rows, trees, parallelism)
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=different, evaluator=ev, numFolds=folds, parallelism=at_once, seed=seed, foldCol="_fold")
+    rf.rows, rf.at_once = rows, _at_once(rows, trees, parallelism)
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=different, evaluator=ev, numFolds=folds, parallelism=parallelism, seed=seed, foldCol="_fold")
     try:
         model = cv.fit(data)
     finally:
