@@ -204,6 +204,24 @@ def test_forests_too_wide_for_one_turn_are_fitted_on_their_own():
     assert rf._level_fits(400, 10, 4) and not rf._level_fits(400, 12, 4) and not rf._level_fits(400, 10, 40)
 
 
+def test_searches_share_fits_and_list_the_same_metrics(spark, monkeypatch):
+    """Both searches, with forests shared by depth and with each fitted on its own."""
+    fits = []
+    fit = ml.RandomForestClassifier._fit
+    monkeypatch.setattr(ml.RandomForestClassifier, "_fit", lambda est, df: (fits.append(est.getMaxDepth()), fit(est, df))[1])
+    monkeypatch.setattr(ml, "CV_SPACE", {"numTrees": [3], "maxDepth": [1, 2, 4], "impurity": ["gini"]})
+    monkeypatch.setattr(ml, "SEARCH_SPACE", ml.CV_SPACE)
+    df = planted(spark, 300).withColumn("tx_fraud", (F.col("terminal_id") + F.col("customer_id")) % 3 % 2)
+    for run, folds in ((ml.tune_cv, 2), (ml.tune_random, 1)):
+        found = []
+        for least, own in ((0, 1), (1 << 40, 3)):
+            monkeypatch.setattr(ml, "SHARED_DRAWS", least)
+            fits.clear()
+            found.append([tuple(r) for r in run(df, n_trials=4)[1].orderBy("trial").collect()])
+            assert len(fits) == own * folds + 1
+        assert found[0] == found[1] and len({r[7] for r in found[0]}) > 1
+
+
 def test_a_failing_fit_ends_the_search(spark):
     """Threads that wait for the failed forest get its error, and none of them hangs."""
     df = ml.assembler().transform(planted(spark, 50).withColumn("tx_fraud", F.lit(-1)))

@@ -366,16 +366,19 @@ def _holdout(maps, est, ev, data: DataFrame, key: str, train_ratio: float, seed:
     different, at = _distinct(maps)
     trees = _most_trees(maps, est)
     data, rows = dealt(data, trees)
-    data = assembler().transform(data).persist()
     part = split_label(key, [train_ratio, 1 - train_ratio], ["train", "validation"], seed)
-    train, valid = data.filter(part == "train"), data.filter(part == "validation")
+    data = assembler().transform(data).withColumn("_part", part).persist()
+    train, valid = (data.filter(F.col("_part") == name) for name in ("train", "validation"))
+    est.rows, est.at_once = rows, _at_once(rows, trees, parallelism)
+    models = est.fitMultiple(train, different)
 
-    def metric(m) -> float:
-        return ev.evaluate(est.copy(m).fit(train).transform(valid))
+    def metric(_) -> tuple[int, float]:
+        i, model = next(models)
+        return i, ev.evaluate(model.transform(valid))
 
     try:
-        with ThreadPool(_at_once(rows, trees, parallelism)) as pool:
-            found = pool.map(metric, different, chunksize=1)
+        with ThreadPool(parallelism) as pool:
+            found = dict(pool.map(metric, different, chunksize=1))
         metrics = [found[i] for i in at]
         best = max(range(len(metrics)), key=lambda i: metrics[i])
         return est.copy(maps[best]).fit(data), metrics
